@@ -50,7 +50,7 @@ FROM raw_seeds LEFT JOIN fulls ON short = {HEAD} GROUP BY ALL""", *RAW_S, FULLS)
 add("province_full_to_short", f"""
 SELECT coalesce(full_, {HEAD}) AS full_name, {HEAD} AS short_name, count(*) AS listings
 FROM raw_seeds LEFT JOIN fulls ON short = {HEAD} GROUP BY ALL""", *RAW_S, FULLS)
-add("region_head_counts", """
+add("region_head", """
 SELECT trim(split_part(origin, '>', 1)) AS province, count(*) AS listings FROM raw_suppliers GROUP BY ALL""", *RAW_U)
 add("variety_name_to_code", f"""
 SELECT category, coalesce(code, category) AS code, count(*) AS listings
@@ -366,3 +366,99 @@ SELECT * EXCLUDE (l_orderkey, l_partkey, l_suppkey) FROM (
   SELECT *, count(*) OVER () AS total, CAST(1 AS INT) AS page FROM suppliers
   WHERE company_type = 'MACHINERY' AND (regexp_matches(product_name, 'ring|00012') OR regexp_matches(contact_person, 'ring|00012'))
   ORDER BY publish_date DESC, product_name, contact_person, l_orderkey, l_partkey, l_suppkey LIMIT 100)""")
+
+# --- 2.7 forecasting ------------------------------------------------------
+STATS = """stats AS (
+  SELECT variety, m AS variety_national_avg, s AS variety_price_std, coalesce(round(r, 4), m) AS recent_30d_avg, n AS variety_price_records,
+         coalesce(seed_count, 0) AS variety_seed_count, coalesce(supplier_count, 0) AS variety_supplier_count
+  FROM (SELECT variety, avg(avg_price) AS m, stddev_samp(avg_price) AS s, count(*) AS n,
+               avg(avg_price) FILTER (price_date >= d - 30) AS r FROM prices, newest GROUP BY variety)
+  LEFT JOIN sv USING (variety) LEFT JOIN uv USING (variety))"""
+add("variety_stats", """
+SELECT variety, round(variety_national_avg, 4) AS variety_national_avg, round(variety_price_std, 4) AS variety_price_std,
+       round(recent_30d_avg, 4) AS recent_30d_avg, variety_price_records, variety_seed_count, variety_supplier_count
+FROM stats""", p.CLEAN, PAIRS, NEWEST, STATS)
+FEATURES = """features AS (
+  SELECT kept.*, CAST(month(price_date) AS INT) AS month, CAST(dayofyear(price_date) AS INT) AS day_of_year, CAST(year(price_date) AS INT) AS year,
+         round(avg_price / variety_national_avg, 3) AS price_ratio, round(avg_price / recent_30d_avg, 3) AS price_vs_recent,
+         variety_price_records, variety_seed_count, variety_supplier_count
+  FROM kept JOIN stats USING (variety))"""
+add("ml_features", """
+SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey, variety, province, month, day_of_year, year, price_ratio, price_vs_recent,
+       variety_price_records, variety_seed_count, variety_supplier_count FROM features""",
+    p.CLEAN, PAIRS, NEWEST, FENCES, STATS, FEATURES)
+add("string_index", """
+SELECT variety, CAST(row_number() OVER (ORDER BY count(*) DESC, variety) - 1 AS INT) AS variety_idx, count(*) AS quotes
+FROM prices GROUP BY variety""")
+add("assemble", """
+SELECT variety, count(*) AS vectors, sum(month)::DOUBLE AS sum_month, sum(day_of_year)::DOUBLE AS sum_day_of_year, sum(year)::DOUBLE AS sum_year,
+       sum(variety_price_records)::DOUBLE AS sum_variety_price_records, sum(variety_seed_count)::DOUBLE AS sum_variety_seed_count,
+       sum(variety_supplier_count)::DOUBLE AS sum_variety_supplier_count FROM features GROUP BY variety""",
+    p.CLEAN, PAIRS, NEWEST, FENCES, STATS, FEATURES)
+add("train_test_split", """
+SELECT variety, ('0x' || substr(md5(concat_ws('|', l_orderkey, l_linenumber, l_partkey, l_suppkey)), 1, 8))::BIGINT % 10 < 8 AS is_train,
+       count(*) AS quotes, min(price_date) AS first_day FROM prices GROUP BY ALL""")
+CUTOFF = """cutoff AS (
+  SELECT min(price_date) AS c FROM (
+    SELECT price_date, sum(count(*)) OVER (ORDER BY price_date) AS upto, sum(count(*)) OVER () AS total FROM prices GROUP BY price_date)
+  WHERE upto > total * 0.8::DOUBLE),
+naive AS (
+  SELECT avg_price, prediction FROM prices, cutoff
+  JOIN (SELECT variety, month(price_date) AS mm, avg(avg_price) AS prediction FROM prices, cutoff WHERE price_date < c GROUP BY ALL) t
+  ON t.variety = prices.variety AND mm = month(price_date)
+  WHERE price_date >= c),
+naive_metrics AS (
+  SELECT 'RMSE' AS metric, round(sqrt(avg((avg_price - prediction) ** 2)), 4) AS value FROM naive
+  UNION ALL SELECT 'R2', round(1 - avg((avg_price - prediction) ** 2) / var_pop(avg_price), 4) FROM naive
+  UNION ALL SELECT 'MAE', round(avg(abs(avg_price - prediction)), 4) FROM naive)"""
+CUTOFF = CUTOFF.replace("FROM prices, cutoff\n  JOIN", "FROM prices CROSS JOIN cutoff\n  JOIN")
+add("regression_metrics", "SELECT * FROM naive_metrics", p.CLEAN, CUTOFF)
+add("trailing_level", """
+SELECT variety, price_date, round(sum(t) OVER w / sum(n) OVER w, 4) AS level
+FROM (SELECT variety, price_date, sum(avg_price) AS t, count(*) AS n FROM prices GROUP BY ALL)
+WINDOW w AS (PARTITION BY variety ORDER BY price_date RANGE BETWEEN INTERVAL 30 DAYS PRECEDING AND INTERVAL 1 DAY PRECEDING)""")
+
+STAT_FORECAST = """
+season AS (
+  SELECT variety, month(price_date) AS mm, round(avg(avg_price) / any_value(a), 4) AS f
+  FROM kept JOIN (SELECT variety, avg(avg_price) AS a FROM kept GROUP BY variety) USING (variety) GROUP BY ALL),
+base AS (
+  SELECT variety, ema, coalesce(sd, 0) AS sd, coalesce(slope, 0) AS slope, la, h, d + h AS prediction_date, h / 60::DOUBLE AS share,
+         coalesce((SELECT f FROM season s WHERE s.variety = v.variety AND mm = month(d + h)), 1) AS f1,
+         coalesce((SELECT f FROM season s WHERE s.variety = v.variety AND mm = month(d)), 1) AS f0
+  FROM (SELECT variety, avg(avg_price) AS la, stddev_samp(avg_price) AS sd FROM kept GROUP BY variety) v
+  JOIN ema USING (variety) LEFT JOIN slopes USING (variety) CROSS JOIN newest
+  CROSS JOIN (VALUES (7), (14), (30), (60)) w(h) WHERE ema > 0),
+pulled AS (
+  SELECT *, ema * 0.0025::DOUBLE * h * CASE WHEN abs((ema - la) / la) > 0.05 THEN -sign((ema - la) / la)
+                                            WHEN abs(slope) > 0.001 THEN sign(slope) ELSE 1 END AS pull FROM base),
+raw AS (
+  SELECT *, (ema + CASE WHEN abs(slope * h) > abs(pull) THEN slope * h ELSE pull END) * (f1 / f0) AS raw FROM pulled),
+priced AS (
+  SELECT *, greatest(round(greatest(ema * 0.5::DOUBLE, 0.1::DOUBLE), 2), least(round(ema * 1.5::DOUBLE, 2),
+            round(raw * (1::DOUBLE - (raw - la) / la * (share * 0.15::DOUBLE + 0.05::DOUBLE)), 2))) AS p,
+         round(greatest(ema * 0.5::DOUBLE, 0.1::DOUBLE), 2) AS lo, round(ema * 1.5::DOUBLE, 2) AS hi, share * 1.5::DOUBLE + 0.5::DOUBLE AS u FROM raw),
+stat_forecast AS (
+  SELECT CAST(h AS INT) AS horizon, variety, p AS predicted_price, round(ema, 2) AS current_avg_price,
+         round(least(p + margin, hi), 2) AS confidence_upper, round(greatest(p - margin, lo), 2) AS confidence_lower,
+         round((p - ema) / ema * 100::DOUBLE, 1) AS trend_rate, prediction_date
+  FROM (SELECT *, round(greatest(sd * 1.96::DOUBLE * u, p * 0.08::DOUBLE * u), 2) AS margin FROM priced))"""
+STAT = (p.CLEAN, NEWEST, FENCES, EMA.format(t="kept"), SLOPE.format(t="kept"), STAT_FORECAST)
+add("forecast_statistical", "SELECT * FROM stat_forecast", *STAT)
+add("forecast_postprocess", """
+SELECT horizon, forecast_date, variety, current_avg_price, p AS predicted_price,
+       round(least(p + margin, cur * 1.3::DOUBLE), 2) AS confidence_upper, round(greatest(p - margin, cur * 0.7::DOUBLE), 2) AS confidence_lower
+FROM (SELECT horizon, prediction_date AS forecast_date, variety, current_avg_price, current_avg_price AS cur,
+             greatest(round(current_avg_price * 0.7::DOUBLE, 2), least(round(current_avg_price * 1.3::DOUBLE, 2), predicted_price)) AS p,
+             (SELECT value FROM naive_metrics WHERE metric = 'RMSE') * 1.96::DOUBLE AS margin FROM stat_forecast)""", *STAT, CUTOFF)
+add("forecast_rollup", """
+SELECT horizon, forecast_date, rank, variety, predicted_price, current_avg_price FROM (
+  SELECT *, CAST(row_number() OVER (PARTITION BY horizon ORDER BY predicted_price DESC, variety) AS INT) AS rank FROM (
+    SELECT CAST(h AS INT) AS horizon, d + h AS forecast_date, variety, round(recent_30d_avg, 2) AS current_avg_price,
+           greatest(round(greatest(recent_30d_avg * 0.7::DOUBLE, 0.1::DOUBLE), 2), least(round(recent_30d_avg * 1.3::DOUBLE, 2),
+             round(round(variety_national_avg * 1.25::DOUBLE, 2) * round(coalesce(f1.f, 1) / coalesce(f0.f, 1), 4), 2))) AS predicted_price
+    FROM stats CROSS JOIN newest CROSS JOIN (VALUES (7), (14), (30), (60)) w(h)
+    LEFT JOIN factors f1 USING (variety) LEFT JOIN factors f0 USING (variety)
+    WHERE f1.mm = month(d + h) AND f0.mm = month(d))) WHERE rank <= 30""", p.CLEAN, PAIRS, NEWEST, STATS, """
+factors AS (SELECT variety, month(price_date) AS mm, round(avg(avg_price) / any_value(a), 4) AS f
+  FROM prices JOIN (SELECT variety, avg(avg_price) AS a FROM prices GROUP BY variety) USING (variety) GROUP BY ALL)""")

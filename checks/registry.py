@@ -8,9 +8,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from marketlens.functions import dates, numbers
+from marketlens.functions.settle import settle
 from marketlens.functions.text import region_head
 from marketlens.operators import (
-    cleaning, compare, listings, pricing, profiles, quality, quantiles, scoring, search, temporal,
+    cleaning, compare, forecast_ml, forecast_stat, listings, pricing, profiles, quality, quantiles, scoring, search,
+    temporal,
 )
 from marketlens.sources import star_views as sv
 
@@ -120,6 +122,9 @@ def region_head_counts(raw):
     return raw.groupBy(region_head("origin").alias("province")).agg(F.count(F.lit(1)).alias("listings"))
 
 
+QUERIES["region_head"] = QUERIES.pop("region_head_counts")
+
+
 @over(sv.raw_seeds)
 def variety_name_to_code(raw):
     return cleaning.variety_name_to_code(raw, F.col("category"), "code").groupBy("category", "code").agg(
@@ -486,3 +491,147 @@ def search_suppliers(suppliers):
     found = search.find_suppliers(suppliers, keyword="ring|00012", company_type="MACHINERY")
     order = search.newest_first("publish_date", "product_name", "contact_person", "l_orderkey", "l_partkey", "l_suppkey")
     return search.page_of(found, order, 1, 100).drop("l_orderkey", "l_partkey", "l_suppkey")
+
+
+# --- 2.7 forecasting ------------------------------------------------------
+
+def _stats(spark, sf_dir):
+    return forecast_ml.variety_stats(sv.prices(spark, sf_dir), sv.seeds(spark, sf_dir), sv.suppliers(spark, sf_dir))
+
+
+@query
+def variety_stats(spark, sf_dir):
+    s = _stats(spark, sf_dir)
+    r = lambda c: numbers.round_out(c, 4).alias(c)
+    return s.select(
+        "variety", r("variety_national_avg"), r("variety_price_std"), r("recent_30d_avg"),
+        "variety_price_records", "variety_seed_count", "variety_supplier_count",
+    )
+
+
+def _features(spark, sf_dir):
+    kept = quantiles.iqr_filter(sv.prices(spark, sf_dir))
+    return forecast_ml.ml_features(kept, _stats(spark, sf_dir))
+
+
+@query
+def ml_features(spark, sf_dir):
+    return _features(spark, sf_dir).select(
+        *temporal.ROW_KEYS, "variety", "province", "month", "day_of_year", "year", "price_ratio", "price_vs_recent",
+        "variety_price_records", "variety_seed_count", "variety_supplier_count",
+    )
+
+
+@over(sv.prices)
+def string_index(prices):
+    model = forecast_ml.feature_stages()[1].fit(prices)
+    return model.transform(prices).groupBy("variety", F.col("variety_idx").cast("int").alias("variety_idx")).agg(
+        F.count(F.lit(1)).alias("quotes")
+    )
+
+
+@query
+def assemble(spark, sf_dir):
+    """Assembled vectors, read back element by element."""
+    from pyspark.ml.feature import VectorAssembler
+    from pyspark.ml.functions import vector_to_array
+
+    columns = ["month", "day_of_year", "year", "variety_price_records", "variety_seed_count", "variety_supplier_count"]
+    vectors = VectorAssembler(inputCols=columns, outputCol="features", handleInvalid="skip").transform(
+        _features(spark, sf_dir)
+    ).select("variety", vector_to_array("features").alias("v"))
+    return vectors.groupBy("variety").agg(
+        F.count(F.lit(1)).alias("vectors"), *[F.sum(F.col("v")[i]).alias(f"sum_{c}") for i, c in enumerate(columns)]
+    )
+
+
+@over(sv.prices)
+def train_test_split(prices):
+    return forecast_ml.train_test_split(prices, *temporal.ROW_KEYS).groupBy("variety", "is_train").agg(
+        F.count(F.lit(1)).alias("quotes"), F.min("price_date").alias("first_day")
+    )
+
+
+def _naive(prices, cutoff):
+    rows = forecast_ml.with_calendar(temporal.dated(prices)).withColumn("is_train", F.col("price_date") < cutoff)
+    return forecast_ml.seasonal_naive(rows)
+
+
+@over(sv.prices)
+def regression_metrics(prices):
+    return forecast_ml.regression_metrics(_naive(prices, forecast_ml.time_cutoff(prices)))
+
+
+@over(sv.prices)
+def trailing_level(prices):
+    t = forecast_ml.trailing_level(prices)
+    return t.withColumn("level", numbers.round_out("level", 4))
+
+
+@over(sv.prices)
+def forecast_statistical(prices):
+    return forecast_stat.forecast_statistical(prices)
+
+
+_FITTED: dict = {}
+
+
+def _fitted(spark, sf_dir):
+    """Train once per session and data folder: (model, scored test rows)."""
+    key = (spark.sparkContext.applicationId, sf_dir)
+    if key not in _FITTED:
+        views = sv.prices(spark, sf_dir), sv.seeds(spark, sf_dir), sv.suppliers(spark, sf_dir)
+        frame = settle(forecast_ml.training_frame(*views), "training-frame")
+        model = forecast_ml.rf_train(frame.where("is_train"))
+        _FITTED[key] = model, frame
+    return _FITTED[key]
+
+
+@query
+def rf_train(spark, sf_dir):
+    """Test rows and mean prediction per variety of the fitted forest."""
+    model, frame = _fitted(spark, sf_dir)
+    return model.transform(frame.where("NOT is_train")).groupBy("variety").agg(
+        F.count(F.lit(1)).alias("test_rows"),
+        numbers.round_out(F.avg("avg_price"), 2).alias("mean_price"),
+        numbers.round_out(F.avg("prediction"), 2).alias("mean_prediction"),
+    )
+
+
+@query
+def model_metrics(spark, sf_dir):
+    """Scores on the later test range, with the seasonal-naive scores beside them."""
+    model, frame = _fitted(spark, sf_dir)
+    scored = forecast_ml.model_metrics(model.transform(frame.where("NOT is_train")), model)
+    naive = forecast_ml.regression_metrics(forecast_ml.seasonal_naive(frame))
+    return scored.unionByName(naive.withColumn("metric", F.concat(F.lit("naive_"), F.col("metric"))))
+
+
+@query
+def feature_importance(spark, sf_dir):
+    return forecast_ml.feature_importance(spark, _fitted(spark, sf_dir)[0])
+
+
+@query
+def forecast(spark, sf_dir):
+    model, _ = _fitted(spark, sf_dir)
+    return forecast_ml.forecast(
+        model, sv.prices(spark, sf_dir), sv.seeds(spark, sf_dir), sv.suppliers(spark, sf_dir)
+    )
+
+
+@query
+def forecast_rollup(spark, sf_dir):
+    """The roll-up step on the current level as prediction, which the oracle can rebuild."""
+    views = sv.prices(spark, sf_dir), sv.seeds(spark, sf_dir), sv.suppliers(spark, sf_dir)
+    inputs = forecast_ml.forecast_inputs(*views).withColumn("prediction", F.col("variety_national_avg") * 1.25)
+    return forecast_ml.roll_up_forecast(inputs, views[0])
+
+
+@query
+def forecast_postprocess(spark, sf_dir):
+    """Bounds around the statistical forecast, with the error of the seasonal-naive model."""
+    prices = sv.prices(spark, sf_dir)
+    metrics = settle(forecast_ml.regression_metrics(_naive(prices, forecast_ml.time_cutoff(prices))), "metrics")
+    rows = forecast_stat.forecast_statistical(prices).withColumnRenamed("prediction_date", "forecast_date")
+    return forecast_ml.forecast_postprocess(rows, metrics)

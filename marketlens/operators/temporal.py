@@ -103,9 +103,9 @@ def seasonal_factor(prices: DataFrame) -> DataFrame:
     )
 
 
-def recent_slope(prices: DataFrame, days: int = 60, min_rows: int = 5) -> DataFrame:
+def recent_slope(prices: DataFrame, days: int = 60, min_rows: int = 5, newest: Column | None = None) -> DataFrame:
     """Least-squares slope of price on day number over the last days; zero when undefined."""
-    start = F.date_sub(max_date(prices), days)
+    start = F.date_sub(max_date(prices) if newest is None else newest, days)
     day_no = F.datediff("price_date", start).cast("double")
     fitted = dated(prices).where(F.col("price_date") >= start).select("variety", "avg_price", day_no.alias("x")).groupBy(
         "variety"
