@@ -462,3 +462,122 @@ SELECT horizon, forecast_date, rank, variety, predicted_price, current_avg_price
     WHERE f1.mm = month(d + h) AND f0.mm = month(d))) WHERE rank <= 30""", p.CLEAN, PAIRS, NEWEST, STATS, """
 factors AS (SELECT variety, month(price_date) AS mm, round(avg(avg_price) / any_value(a), 4) AS f
   FROM prices JOIN (SELECT variety, avg(avg_price) AS a FROM prices GROUP BY variety) USING (variety) GROUP BY ALL)""")
+
+# --- 2.8 pages ------------------------------------------------------------
+add("html_table_rows", f"""
+, quoted AS (
+  SELECT *, CAST(floor(l_extendedprice / l_quantity * 100) AS BIGINT) AS c, CAST(l_shipdate AS DATE) AS day
+  FROM lineitem JOIN part ON l_partkey = p_partkey JOIN supplier ON l_suppkey = s_suppkey WHERE l_linenumber <> 7)
+SELECT p_brand AS variety, s_name AS market, count(*) AS quotes, CAST(sum(c + k) AS BIGINT) AS cents,
+       min(concat('￥', {p._money('(c * 9 // 10)')})) AS lowest, max(concat('￥', {p._money('(c * 11 // 10)')})) AS highest,
+       min(CASE WHEN k < 3 THEN strftime(day + CAST(k AS INT), '%Y-%m-%d') ELSE '2024-01-01' END) AS first_day,
+       count(*) FILTER (k = 3) AS loaded_today
+FROM quoted CROSS JOIN generate_series(0, 3) g(k) WHERE k = 0 OR l_linenumber % 3 <> 0 GROUP BY ALL""".lstrip(), "one AS (SELECT 1)")
+add("html_listing_rows", """
+SELECT product_name, trim(supply_region) AS supply_region, company_name, click_count, date,
+       concat('http://seeds.example.com', product_url) AS product_url, company_url FROM raw_seeds""", *RAW_S)
+add("html_supplier_rows", """
+SELECT product_name, origin, contact_person,
+       CASE WHEN company_type IN ('BUILDING', 'MACHINERY') THEN '企业' ELSE '个人' END AS company_type,
+       click_count, CASE WHEN date = '未知' THEN '' ELSE date END AS date,
+       concat('http://offers.example.com', product_url) AS product_url FROM raw_suppliers""", *RAW_U)
+_STEP = "html"
+for _a, _b in (("[\"'']", ""), ("[\\n\\r\\t]|\\\\n|\\\\r", " "), ("[\\x00-\\x1F\\x7F-\\x{9F}]", ""), ("[\\s\\p{Z}]+", " ")):
+    _STEP = f"regexp_replace({_STEP}, '{_a}', '{_b}', 'g')"
+NORMAL = f"replace(trim({_STEP}), ',', '，')"
+add("text_normalize", f"SELECT page_id, CAST(length({NORMAL}) AS INT) AS characters, md5({NORMAL}) AS digest FROM pages", "one AS (SELECT 1)")
+LINKS = """links AS (
+  SELECT page_id, url, CAST(position AS INT) AS position, hrefs[position + 1] AS href
+  FROM (SELECT page_id, url, regexp_extract_all(html, '(?i)<a\\s[^>]*?href\\s*=\\s*["'']([^"'']*)["'']', 1) AS hrefs FROM pages),
+       LATERAL (SELECT unnest(generate_series(0, len(hrefs) - 1)) AS position)),
+hosts AS (SELECT *, regexp_extract(url, '^https?://[^/?#]+') AS host FROM links),
+resolved AS (
+  SELECT *, CASE WHEN starts_with(href, 'http') THEN href WHEN starts_with(href, '/') THEN host || href
+                 ELSE rtrim(url, '/') || '/' || href END AS target,
+         CASE WHEN starts_with(href, 'http') THEN href WHEN starts_with(href, '/') THEN host || href ELSE host || '/' || href END AS at_root
+  FROM hosts)"""
+add("link_extract", "SELECT page_id, position, href FROM links", LINKS)
+add("link_slugs", """
+SELECT DISTINCT regexp_extract(href, '^/([^/]+)$', 1) AS slug FROM links
+WHERE regexp_extract(href, '^/([^/]+)$', 1) NOT IN ('', 'p', 'buy', 'the', 'The')""", LINKS)
+add("page_count_detect", """
+SELECT CAST(CASE WHEN l_linenumber BETWEEN 1 AND 5 THEN l_quantity ELSE 5 END AS INT) AS page_count, count(*) AS pages
+FROM lineitem GROUP BY 1""", "one AS (SELECT 1)")
+add("listing_page_count", """
+SELECT CAST(CASE l_linenumber WHEN 5 THEN 9999 WHEN 6 THEN l_quantity ELSE 1 END AS INT) AS page_count, count(*) AS pages
+FROM lineitem GROUP BY 1""", "one AS (SELECT 1)")
+add("url_resolve", "SELECT page_id, position, target AS at_page, at_root FROM resolved", LINKS)
+add("link_frontier", "SELECT DISTINCT target FROM resolved WHERE target NOT IN (SELECT url FROM pages)", LINKS)
+add("crawl_coverage", """
+SELECT host, pages_held, coalesce(links_seen, 0) AS links_seen, coalesce(links_missing, 0) AS links_missing, CAST(0 AS BIGINT) AS rows_extracted
+FROM (SELECT regexp_extract(url, '^https?://[^/?#]+') AS host, count(*) AS pages_held FROM pages GROUP BY 1)
+LEFT JOIN (SELECT host, count(DISTINCT target) AS links_seen,
+                  count(DISTINCT target) FILTER (target NOT IN (SELECT url FROM pages)) AS links_missing FROM resolved GROUP BY host) USING (host)""", LINKS)
+
+# --- 2.1 sources, sinks, layers; 2.9 streaming ----------------------------
+ALL_CLEAN = (*CLEAN_P, *CLEAN_S, *CLEAN_U)
+add("src_prices", f"SELECT * FROM clean_prices WHERE province NOT IN {OUT}", *CLEAN_P)
+_LISTED = """SELECT * REPLACE (CAST(click_count AS VARCHAR) AS click_count, CAST(publish_date AS VARCHAR) AS publish_date),
+  click_count AS click_count_num FROM {t} WHERE province NOT IN """ + OUT
+add("src_seeds", _LISTED.format(t="clean_seeds"), *CLEAN_S)
+add("src_suppliers", _LISTED.format(t="clean_suppliers"), *CLEAN_U)
+add("src_lenient_csv", """
+SELECT variety, count(*) AS kept, nullif(count(*) FILTER (date = '未知'), 0) AS malformed FROM raw_prices GROUP BY variety""", *RAW_P)
+add("src_external_table", """
+SELECT province, count(*) AS quotes, min(price_date) AS first_day, max(avg_price) AS highest FROM clean_prices GROUP BY province""", *CLEAN_P)
+add("src_result_readback", f"""
+SELECT province, {MEAN}, source FROM prices CROSS JOIN (VALUES ('computed'), ('stored')) s(source) GROUP BY province, source""")
+ORACLE["sink_result"] = ORACLE["price_by_variety"]
+add("sink_ctas", f"SELECT variety, province, count(*) AS quotes FROM clean_prices WHERE province NOT IN {OUT} GROUP BY ALL", *CLEAN_P)
+add("sink_append", "SELECT variety, province, count(*) AS quotes, max(market) AS last_market FROM raw_prices GROUP BY ALL", *RAW_P)
+add("sink_clean", "SELECT * FROM clean_suppliers", *CLEAN_U)
+add("sink_partitioned", """
+SELECT strftime(price_date, '%Y-%m') AS ym, count(*) AS quotes, max(price_date) AS last_day FROM prices
+WHERE price_date BETWEEN DATE '1996-01-01' AND DATE '1997-12-31' GROUP BY 1""")
+add("sink_search_csv", """
+SELECT concat('"', product_name, '","', supply_region, '","', company_name, '",', variety, ',', click_count, ',', publish_date, ',', product_url) AS line
+FROM clean_seeds WHERE regexp_matches(product_name, 'red|blue') OR regexp_matches(company_name, 'red|blue')
+UNION ALL SELECT '产品名称,供应地区,企业名称,品种,点击量,日期,产品链接'""", *CLEAN_S)
+_N = "(SELECT count(*) FROM clean_{t})"
+add("landing_audit", " UNION ALL ".join(
+    [f"SELECT '{t}' AS table_name, true AS present, {_N.format(t=t)} AS row_count" for t in ("prices", "seeds", "suppliers")]
+    + ["SELECT 'missing', false, CAST(0 AS BIGINT)"]), *ALL_CLEAN)
+add("dwd_prices", f"""
+SELECT variety, province, market AS market_name, min_price, max_price, avg_price, price_date, variety_code
+FROM clean_prices WHERE province NOT IN {OUT}""", *CLEAN_P)
+add("dwd_seeds", f"""
+SELECT variety, province, company_name, click_count, publish_date, category FROM clean_seeds WHERE province NOT IN {OUT}""", *CLEAN_S)
+add("dwd_suppliers", f"""
+SELECT variety, province, contact_person, company_type, click_count, publish_date, category
+FROM clean_suppliers WHERE province NOT IN {OUT}""", *CLEAN_U)
+_LAYERS = {
+    "ods_prices": "SELECT count(*) FROM clean_prices", "ods_seeds": "SELECT count(*) FROM clean_seeds",
+    "ods_suppliers": "SELECT count(*) FROM clean_suppliers",
+    "dwd_prices": f"SELECT count(*) FROM clean_prices WHERE province NOT IN {OUT}",
+    "dwd_seeds": f"SELECT count(*) FROM clean_seeds WHERE province NOT IN {OUT}",
+    "dwd_suppliers": f"SELECT count(*) FROM clean_suppliers WHERE province NOT IN {OUT}",
+    "dws_panorama": f"SELECT count(*) FROM (SELECT DISTINCT variety, province FROM clean_prices WHERE province NOT IN {OUT})",
+    "ads_variety_province_profile":
+        f"SELECT count(*) FROM (SELECT variety, province FROM clean_prices WHERE province NOT IN {OUT} GROUP BY ALL HAVING count(*) >= 10)",
+    "ads_variety_ranking": f"SELECT count(DISTINCT variety) FROM clean_prices WHERE province NOT IN {OUT}",
+}
+add("layer_counts", " UNION ALL ".join(f"SELECT '{n}' AS layer_table, ({q}) AS cnt" for n, q in _LAYERS.items()), *ALL_CLEAN)
+add("union_all", """
+SELECT kind, variety, count(*) AS n, max(day) AS last_day FROM (
+  SELECT 'price' AS kind, variety, price_date AS day FROM prices
+  UNION ALL SELECT 'seed', variety, publish_date FROM seeds
+  UNION ALL SELECT 'supplier', variety, publish_date FROM suppliers) GROUP BY ALL""")
+add("merged_statistics", """
+SELECT variety, count(*) AS n, round(avg(avg_price), 4) AS mean, round(stddev_samp(avg_price), 4) AS std,
+       round(min(min_price), 4) AS low, round(max(max_price), 4) AS high FROM prices GROUP BY variety""")
+add("batch_reports", """
+SELECT 'price_by_province' AS layer_table, (SELECT count(DISTINCT province) FROM prices) AS cnt
+UNION ALL SELECT 'price_by_variety', (SELECT least(20, count(DISTINCT variety)) FROM prices)
+UNION ALL SELECT 'heatmap', (SELECT count(*) FROM (SELECT DISTINCT province, variety FROM prices))
+UNION ALL SELECT 'seed_by_province', (SELECT count(DISTINCT province) FROM seeds)
+UNION ALL SELECT 'supplier_by_province', (SELECT count(DISTINCT province) FROM suppliers)
+UNION ALL SELECT 'price_trend', (SELECT count(DISTINCT price_date) FROM prices)
+UNION ALL SELECT 'variety_score', 15
+UNION ALL SELECT 'cross_table_profile', (SELECT count(*) FROM (SELECT 1 FROM prices GROUP BY variety, province HAVING count(*) >= 10))
+UNION ALL SELECT 'forecast_statistical', (SELECT 4 * count(DISTINCT variety) FROM prices)""")
+add("incremental_ingest", "SELECT * FROM clean_prices", *CLEAN_P)

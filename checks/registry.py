@@ -7,14 +7,18 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from marketlens import schemas
 from marketlens.functions import dates, numbers
-from marketlens.functions.settle import settle
-from marketlens.functions.text import region_head
+from marketlens.functions.settle import fresh_path, settle
+from marketlens.functions.text import normalize_text, region_head
 from marketlens.operators import (
-    cleaning, compare, forecast_ml, forecast_stat, listings, pricing, profiles, quality, quantiles, scoring, search,
-    temporal,
+    cleaning, compare, forecast_ml, forecast_stat, listings, pages, pricing, profiles, quality, quantiles, scoring,
+    search, temporal,
 )
+from marketlens.plans import batch, warehouse
+from marketlens.sources import audit, readers, writers
 from marketlens.sources import star_views as sv
+from marketlens.streaming import ingest
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -635,3 +639,252 @@ def forecast_postprocess(spark, sf_dir):
     metrics = settle(forecast_ml.regression_metrics(_naive(prices, forecast_ml.time_cutoff(prices))), "metrics")
     rows = forecast_stat.forecast_statistical(prices).withColumnRenamed("prediction_date", "forecast_date")
     return forecast_ml.forecast_postprocess(rows, metrics)
+
+
+# --- 2.8 pages ------------------------------------------------------------
+
+def _pages(spark, sf_dir):
+    return sv.table(spark, sf_dir, "pages")
+
+
+@over(sv.quote_pages)
+def html_table_rows(stored):
+    cents = F.floor(numbers.to_number(numbers.strip_currency("avg_price")) * 100 + 0.5)
+    return pages.html_table_rows(stored, "2024-01-01").groupBy("variety", "market").agg(
+        F.count(F.lit(1)).alias("quotes"), F.sum(cents).alias("cents"),
+        F.min("min_price").alias("lowest"), F.max("max_price").alias("highest"),
+        F.min("date").alias("first_day"), F.count_if(F.col("date") == "2024-01-01").alias("loaded_today"),
+    )
+
+
+@over(sv.seed_pages)
+def html_listing_rows(stored):
+    return pages.html_listing_rows(stored).drop("page_id", "url", "row_no")
+
+
+@over(sv.supplier_pages)
+def html_supplier_rows(stored):
+    return pages.html_supplier_rows(stored).drop("page_id", "url", "row_no")
+
+
+@over(_pages)
+def text_normalize(stored):
+    clean = normalize_text("html")
+    return stored.select("page_id", F.length(clean).alias("characters"), F.md5(clean).alias("digest"))
+
+
+@over(_pages)
+def link_extract(stored):
+    return pages.link_extract(stored).drop("url")
+
+
+@over(_pages)
+def link_slugs(stored):
+    return pages.link_slugs(stored, pattern=r"^/([^/]+)$", dropped=("p", "buy", "the", "The"))
+
+
+@over(sv.pager_pages)
+def page_count_detect(stored):
+    return pages.page_count_detect(stored).groupBy("page_count").agg(F.count(F.lit(1)).alias("pages"))
+
+
+@over(sv.pager_pages)
+def listing_page_count(stored):
+    return pages.listing_page_count(stored).groupBy("page_count").agg(F.count(F.lit(1)).alias("pages"))
+
+
+@over(_pages)
+def url_resolve(stored):
+    return pages.link_extract(stored).select(
+        "page_id", "position", pages.url_resolve("url", "href").alias("at_page"),
+        pages.url_resolve("url", "href", at_root=True).alias("at_root"),
+    )
+
+
+@over(_pages)
+def link_frontier(stored):
+    return pages.link_frontier(stored)
+
+
+@over(_pages)
+def crawl_coverage(stored):
+    return pages.crawl_coverage(stored, pages.html_supplier_rows(stored))
+
+
+# --- 2.1 sources, sinks, layers; 2.9 streaming ----------------------------
+
+def _clean_layer(spark, sf_dir):
+    """The cleaned raw tables: quotes, seeds, suppliers."""
+    return (
+        cleaning.clean_prices(sv.raw_prices(spark, sf_dir)),
+        cleaning.clean_seeds(sv.raw_seeds(spark, sf_dir)),
+        cleaning.clean_suppliers(sv.raw_suppliers(spark, sf_dir)),
+    )
+
+
+@query
+def src_prices(spark, sf_dir):
+    path = writers.write_clean(_clean_layer(spark, sf_dir)[0], fresh_path(spark, "clean-prices"))
+    return readers.read_prices(spark, path)
+
+
+@query
+def src_seeds(spark, sf_dir):
+    path = writers.write_clean(_clean_layer(spark, sf_dir)[1], fresh_path(spark, "clean-seeds"))
+    return readers.read_seeds(spark, path)
+
+
+@query
+def src_suppliers(spark, sf_dir):
+    path = writers.write_clean(_clean_layer(spark, sf_dir)[2], fresh_path(spark, "clean-suppliers"))
+    return readers.read_suppliers(spark, path)
+
+
+@query
+def src_lenient_csv(spark, sf_dir):
+    """Raw quotes landed with overlong lines among them: kept rows and quarantined lines per variety."""
+    path = fresh_path(spark, "raw-prices")
+    raw = sv.raw_prices(spark, sf_dir)
+    writers.append_rows(raw, path)
+    writers.append_rows(raw.where("date = '未知'").withColumn("surplus", F.lit("x")), path)
+    kept, malformed = readers.read_lenient(spark, path, schemas.RAW_PRICES)
+    bad = malformed.groupBy(F.substring_index("line", ",", 1).alias("variety")).agg(F.count(F.lit(1)).alias("malformed"))
+    return kept.groupBy("variety").agg(F.count(F.lit(1)).alias("kept")).join(bad, "variety", "left")
+
+
+@query
+def src_external_table(spark, sf_dir):
+    path = writers.write_clean(_clean_layer(spark, sf_dir)[0], fresh_path(spark, "ods-prices"))
+    readers.external_table(spark, path, schemas.CLEAN_PRICES, "ods_prices")
+    return spark.sql("""
+        SELECT province, count(*) AS quotes, min(price_date) AS first_day, max(avg_price) AS highest
+        FROM ods_prices GROUP BY province""")
+
+
+@query
+def src_result_readback(spark, sf_dir):
+    """The same report computed (nothing stored yet) and read back once stored."""
+    path, prices = fresh_path(spark, "result"), sv.prices(spark, sf_dir)
+    report = lambda: readers.result_or_compute(spark, path, lambda: pricing.price_by_province(prices))
+    computed = report().withColumn("source", F.lit("computed"))
+    writers.write_result(report(), path)
+    return computed.unionByName(report().withColumn("source", F.lit("stored")))
+
+
+@query
+def sink_result(spark, sf_dir):
+    path = fresh_path(spark, "result-csv")
+    report = pricing.price_by_variety(sv.prices(spark, sf_dir))
+    writers.write_result(report, path, "csv", single_file=True)
+    return readers.read_csv(spark, path, report.schema)
+
+
+@query
+def sink_ctas(spark, sf_dir):
+    path = fresh_path(spark, "ctas")
+    table = "dwd_prices_" + path.rsplit("-", 1)[-1]
+    dwd = warehouse.dwd_prices(_clean_layer(spark, sf_dir)[0])
+    stored = writers.create_table_as(dwd, table, path)
+    return stored.groupBy("variety", "province").agg(F.count(F.lit(1)).alias("quotes"))
+
+
+@query
+def sink_append(spark, sf_dir):
+    """Quotes appended in two runs, read back as one table."""
+    path, raw = fresh_path(spark, "append"), sv.raw_prices(spark, sf_dir)
+    early = dates.parse_date("date") < F.lit("1998-01-01").cast("date")
+    writers.append_rows(raw.where(F.coalesce(early, F.lit(False))), path)
+    writers.append_rows(raw.where(~F.coalesce(early, F.lit(False))), path)
+    back = readers.read_csv(spark, path, schemas.RAW_PRICES)
+    return back.groupBy("variety", "province").agg(F.count(F.lit(1)).alias("quotes"), F.max("market").alias("last_market"))
+
+
+@query
+def sink_clean(spark, sf_dir):
+    path = writers.write_clean(_clean_layer(spark, sf_dir)[2], fresh_path(spark, "clean"))
+    return readers.read_csv(spark, path, schemas.CLEAN_SUPPLIERS)
+
+
+@query
+def sink_partitioned(spark, sf_dir):
+    path = writers.write_partitioned(sv.prices(spark, sf_dir), fresh_path(spark, "by-month"))
+    back = spark.read.parquet(path).where("ym BETWEEN '1996-01' AND '1997-12'")
+    return back.groupBy("ym").agg(F.count(F.lit(1)).alias("quotes"), F.max("price_date").alias("last_day"))
+
+
+@query
+def sink_search_csv(spark, sf_dir):
+    """An exported seed search, read back line by line."""
+    found = search.find_seeds(_clean_layer(spark, sf_dir)[1], keyword="red|blue")
+    path = writers.write_search_csv(found, "seeds", fresh_path(spark, "export"))
+    return spark.read.text(path).select(F.replace("value", F.lit(writers.BOM), F.lit("")).alias("line"))
+
+
+@query
+def landing_audit(spark, sf_dir):
+    landed = {}
+    for name, df in zip(("prices", "seeds", "suppliers"), _clean_layer(spark, sf_dir)):
+        path = writers.write_clean(df, fresh_path(spark, f"landed-{name}"))
+        landed[name] = readers.read_csv(spark, path, readers.as_text(df.schema))
+    return audit.landing_audit({**landed, "missing": None}).drop("files")
+
+
+@query
+def dwd_prices(spark, sf_dir):
+    return warehouse.dwd_prices(_clean_layer(spark, sf_dir)[0])
+
+
+@query
+def dwd_seeds(spark, sf_dir):
+    return warehouse.dwd_seeds(_clean_layer(spark, sf_dir)[1])
+
+
+@query
+def dwd_suppliers(spark, sf_dir):
+    return warehouse.dwd_suppliers(_clean_layer(spark, sf_dir)[2])
+
+
+@query
+def layer_counts(spark, sf_dir):
+    """Rows per stored warehouse layer."""
+    return warehouse.counts(warehouse.build(*_clean_layer(spark, sf_dir), fresh_path(spark, "warehouse")))
+
+
+@three
+def union_all(prices, seeds, suppliers):
+    """All three tables as (kind, variety, day) rows, counted per variety."""
+    part = lambda df, kind, day: df.select(F.lit(kind).alias("kind"), "variety", F.col(day).alias("day"))
+    rows = part(prices, "price", "price_date").unionByName(part(seeds, "seed", "publish_date")).unionByName(
+        part(suppliers, "supplier", "publish_date")
+    )
+    return rows.groupBy("kind", "variety").agg(F.count(F.lit(1)).alias("n"), F.max("day").alias("last_day"))
+
+
+@over(sv.prices)
+def merged_statistics(prices):
+    """Per variety statistics merged from (variety, province, month) cells."""
+    m = batch.merge_cells(settle(batch.quote_cells(prices), "cells"), "variety")
+    return m.select("variety", "n", *[numbers.round_out(c, 4).alias(c) for c in ("mean", "std", "low", "high")])
+
+
+@query
+def batch_reports(spark, sf_dir):
+    """All batch reports stored, then their row counts."""
+    out = fresh_path(spark, "reports")
+    paths = batch.run(sv.prices(spark, sf_dir), sv.seeds(spark, sf_dir), sv.suppliers(spark, sf_dir), out)
+    return audit.layer_counts({p.rsplit("/", 1)[-1]: spark.read.parquet(p) for p in paths})
+
+
+@query
+def incremental_ingest(spark, sf_dir):
+    """Raw quotes landed in two waves with copies, each taken in by its own run."""
+    base, raw = fresh_path(spark, "stream"), sv.raw_prices(spark, sf_dir)
+    landing, target, checkpoint = f"{base}/landing", f"{base}/table", f"{base}/checkpoint"
+    take = lambda: ingest.incremental_ingest(
+        spark, landing, schemas.RAW_PRICES, target, checkpoint, cleaning.clean_prices
+    )
+    early = F.coalesce(dates.parse_date("date") < F.lit("1999-01-01").cast("date"), F.lit(False))
+    writers.append_rows(raw.where(early), landing)
+    take()
+    writers.append_rows(raw.where(~early | (F.col("variety") == "白菜")), landing)
+    return take()

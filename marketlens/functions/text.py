@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from .numbers import _col
 
-_BLANKS = " \t\r\n　 "
+_BLANKS = " \t\r\n\u3000\u00a0"
 
 
 def strip(c: Column | str) -> Column:

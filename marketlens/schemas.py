@@ -6,11 +6,15 @@ and dates are parsed by the cleaning operators so that a bad token becomes NULL.
 
 from __future__ import annotations
 
-from pyspark.sql.types import StructType
+from pyspark.sql.types import DateType, DoubleType, IntegerType, StringType, StructField, StructType
 
+_TYPES = {"string": StringType(), "double": DoubleType(), "int": IntegerType(), "date": DateType()}
 
-def _struct(ddl: str) -> StructType:
-    return StructType.fromDDL(ddl)
+
+def _struct(columns: str) -> StructType:
+    """A schema from 'name type, ...'; usable before any session exists."""
+    pairs = [c.split() for c in columns.split(",")]
+    return StructType([StructField(name, _TYPES[kind]) for name, kind in pairs])
 
 
 RAW_PRICES = _struct(

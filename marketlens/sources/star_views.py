@@ -215,3 +215,102 @@ def raw_suppliers(spark: SparkSession, sf_dir: str) -> DataFrame:
         _pick([n for n, _ in RAW_VARIETIES], _brand_no()).alias("category"),
         F.col("p_type").alias("sub_type"),
     )
+
+
+def quote_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Quotes as stored web pages: one page per quote with a price table of four days, or of one day.
+
+    Every third line number has the short table (recognised by its headings
+    only), line 7 is a page that says it found nothing.
+    """
+    t = lambda name: table(spark, sf_dir, name)
+    line, day = F.col("l_linenumber"), F.col("l_shipdate").cast("date")
+    cell = lambda *parts: F.concat(F.lit("<td>"), *parts, F.lit("</td>"))
+    money = lambda c: F.concat(F.lit("￥"), _money(c))
+
+    def row(offset: int) -> Column:
+        stamp = F.date_format(F.date_add(day, offset), "yyyy-MM-dd") if offset < 3 else F.lit("&nbsp;")
+        return F.concat(
+            F.lit("<TR>"),
+            cell(F.lit("<b>"), F.col("p_brand"), F.lit("</b>\n")),
+            cell(F.lit('<span><a href="/m" title="'), F.col("s_name"), F.lit('">'), F.substring("s_name", 1, 5), F.lit("..</a></span>")),
+            cell(money(F.floor(F.col("cents") * 9 / 10))), cell(money(F.floor(F.col("cents") * 11 / 10))),
+            cell(money(F.col("cents") + offset)), cell(stamp),
+            F.lit("</TR>\n"),
+        )
+
+    head = F.lit("<tr>" + "".join(f"<td>{h}</td>" for h in ("品种", "批发市场", "最低价格", "最高价格", "平均价格", "发布时间")) + "</tr>")
+    rows = F.when(line % 3 == 0, row(0)).otherwise(F.concat(*[row(i) for i in range(4)]))
+    note = F.when(line == 7, F.lit("共找到0条")).otherwise(F.lit(""))
+    return (
+        t("lineitem")
+        .join(t("part"), F.col("l_partkey") == F.col("p_partkey"))
+        .join(t("supplier"), F.col("l_suppkey") == F.col("s_suppkey"))
+        .withColumn("cents", F.floor(F.col("l_extendedprice") / F.col("l_quantity") * 100))
+        .select(
+            F.col("l_orderkey").alias("page_id"),
+            F.concat(F.lit("http://quotes.example.com/p"), line.cast("string"), F.lit(".html")).alias("url"),
+            F.concat(
+                F.lit('<html><body><table class="nav"><tr><td>menu</td></tr></table>'), note,
+                F.lit('<table border="1">'), head, rows, F.lit("</table></body></html>"),
+            ).alias("html"),
+        )
+    )
+
+
+def seed_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Seed offers as stored listing pages, one offer each."""
+    link = lambda href, text: F.concat(F.lit('<a href="'), href, F.lit('">'), text, F.lit("</a>"))
+    raw = raw_seeds(spark, sf_dir)
+    html = F.concat(
+        F.lit("<table><tr><td><img src='x.jpg'></td><td><p>"), link(F.col("product_url"), F.col("product_name")),
+        F.lit("</p><p>供应地区："), F.col("supply_region"),
+        F.lit("</p><p>企业："), link(F.col("company_url"), F.col("company_name")),
+        F.lit("</p></td><td>评论数：<strong>0</strong> 点击量：<strong>"), F.col("click_count"),
+        F.lit("</strong><br>"), F.col("date"), F.lit("</td></tr></table>"),
+    )
+    return raw.select(
+        F.xxhash64("product_url", "company_url").alias("page_id"),
+        F.lit("http://seeds.example.com/zhongzi/").alias("url"), html.alias("html"),
+    )
+
+
+def supplier_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Supplier offers as stored listing pages, one offer each; companies and persons by segment."""
+    raw = raw_suppliers(spark, sf_dir)
+    label = F.when(F.col("company_type").isin("BUILDING", "MACHINERY"), F.lit("企业")).otherwise(F.lit("个人"))
+    clicks = F.when(F.col("company_type") == "BUILDING", F.concat(F.lit("<strong>"), F.col("click_count"), F.lit("</strong>"))).otherwise(
+        F.concat(F.lit("点击量: "), F.col("click_count"))
+    )
+    html = F.concat(
+        F.lit('<table class="m_t_5 list"><tr><td>img</td><td><a href="'), F.col("product_url"), F.lit('">'),
+        F.col("product_name"), F.lit("</a><p>产地："), F.col("origin"), F.lit("</p><p>"), label, F.lit('：<a title="'),
+        F.col("contact_person"), F.lit('">x</a></p></td><td>'), clicks, F.lit("<br>"), F.col("date"),
+        F.lit('</td></tr></table><table class="other"><tr><td>1</td><td><a href="/sell/0.html">no</a></td></tr></table>'),
+    )
+    return raw.select(
+        F.xxhash64("product_url", "contact_person").alias("page_id"),
+        F.lit("http://offers.example.com/shucai/").alias("url"),
+        html.alias("html"),
+    )
+
+
+def pager_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Pages that state their page count in each of the known ways, or not at all."""
+    n, line = F.col("l_quantity").cast("int").cast("string"), F.col("l_linenumber")
+    text = (
+        F.when(line == 1, F.concat(F.lit("共 "), n, F.lit(" 页")))
+        .when(line == 2, F.concat(F.lit("<b>1</b>"), n, F.lit("</b> 页")))
+        .when(line == 3, F.concat(F.lit("1&nbsp;/<b>"), n, F.lit("</b>页")))
+        .when(line == 4, F.concat(F.lit("var pageCount = "), n, F.lit(";")))
+        .when(line == 5, F.concat(
+            F.lit('<div align="center" id="pager"><a href="/x/p1.html">1</a>\n<a href="/x/p'), n,
+            F.lit('.html">last</a></div><a href="/y/p9999.html">other</a>'),
+        ))
+        .when(line == 6, F.concat(F.lit('<a class="n" href="/z/p'), n, F.lit('.html">next</a>')))
+        .otherwise(F.lit("no pager"))
+    )
+    return table(spark, sf_dir, "lineitem").select(
+        F.col("l_orderkey").alias("page_id"), F.lit("http://quotes.example.com/").alias("url"),
+        F.concat(F.lit("<html>"), text, F.lit("</html>")).alias("html"),
+    )
