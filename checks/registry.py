@@ -748,7 +748,7 @@ def src_lenient_csv(spark, sf_dir):
     writers.append_rows(raw, path)
     writers.append_rows(raw.where("date = '未知'").withColumn("surplus", F.lit("x")), path)
     kept, malformed = readers.read_lenient(spark, path, schemas.RAW_PRICES)
-    bad = malformed.groupBy(F.substring_index("line", ",", 1).alias("variety")).agg(F.count(F.lit(1)).alias("malformed"))
+    bad = malformed.groupBy("variety").agg(F.count(F.lit(1)).alias("malformed"))
     return kept.groupBy("variety").agg(F.count(F.lit(1)).alias("kept")).join(bad, "variety", "left")
 
 

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from .numbers import _col
 
+_PLAIN_CELL = r"^[\p{L}\p{N}.#:/_￥¥-]*$"
 _BLANKS = " \t\r\n\u3000\u00a0"
 
 
@@ -22,11 +23,14 @@ def region_head(c: Column | str) -> Column:
 
 def normalize_text(c: Column | str) -> Column:
     """One-line cell text: no quotes or control characters, single blanks, full-width commas."""
-    x = F.regexp_replace(_col(c), "[\"']", "")
-    x = F.regexp_replace(x, r"[\n\r\t]|\\n|\\r", " ")
-    x = F.regexp_replace(x, r"[\x00-\x1F\x7F-\x{9F}]", "")
-    x = F.regexp_replace(x, r"(?U)\s+", " ")
-    return F.replace(strip(x), F.lit(","), F.lit("，"))
+    x = _col(c)
+    y = F.regexp_replace(x, "[\"']", "")
+    y = F.regexp_replace(y, r"[\n\r\t]|\\n|\\r", " ")
+    y = F.regexp_replace(y, r"[\x00-\x1F\x7F-\x{9F}]", "")
+    y = F.regexp_replace(y, r"(?U)\s+", " ")
+    y = F.replace(strip(y), F.lit(","), F.lit("，"))
+    # Short clean values, the bulk of table cells, skip the four rewrites.
+    return F.when(x.rlike(_PLAIN_CELL), x).otherwise(y)
 
 
 def contains_any(pattern: str, *cols: Column | str) -> Column:

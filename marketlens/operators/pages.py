@@ -34,10 +34,8 @@ _ENTITIES = {"&nbsp;": " ", "&lt;": "<", "&gt;": ">", "&quot;": '"', "&#39;": "'
 
 def _blocks(html: Column, tag: str) -> Column:
     """Markup of every ``tag`` element, opening tag text included, cut at the next opening or the closing tag."""
-    pieces = F.split(html, rf"(?i)<{tag}(?=[\s>])")
-    return F.transform(
-        F.slice(pieces, 2, F.greatest(F.size(pieces) - 1, F.lit(0))),
-        lambda piece: F.element_at(F.split(piece, rf"(?i)</{tag}\s*>", 2), 1),
+    return F.regexp_extract_all(
+        html, F.lit(rf"(?is)<{tag}(?=[\s>])(.*?)(?=<{tag}[\s>]|</{tag}\s*>|\z)"), F.lit(1)
     )
 
 
@@ -52,10 +50,22 @@ def _open_tag(block: Column) -> Column:
 
 def text_of(markup: Column) -> Column:
     """Text without tags, entities of the common kinds decoded."""
-    x = F.regexp_replace(markup, r"(?s)<[^>]*>", "")
+    bare = F.when(markup.contains("<"), F.regexp_replace(markup, r"(?s)<[^>]*>", "")).otherwise(markup)
+    decoded = bare
     for entity, char in _ENTITIES.items():
-        x = F.replace(x, F.lit(entity), F.lit(char))
-    return x
+        decoded = F.replace(decoded, F.lit(entity), F.lit(char))
+    # Most cells hold no entity: one scan decides.
+    return F.when(markup.contains("&"), decoded).otherwise(bare)
+
+
+def _computed(df: DataFrame, *keep: str, **columns: Column) -> DataFrame:
+    """Add columns as the output of a one-row generator.
+
+    Later filters then read the values; they are not rewritten into the
+    expressions, which would run the text functions again per condition.
+    """
+    row = F.struct(*[c.alias(name) for name, c in columns.items()])
+    return df.select(*keep, F.inline(F.array(row)))
 
 
 def _cells(row: Column) -> Column:
@@ -77,49 +87,54 @@ def html_table_rows(pages: DataFrame, load_date: str) -> DataFrame:
     first with the expected headings. Headings, blank and oversized rows are
     skipped; a missing date becomes ``load_date``.
     """
+    width = lambda row: F.regexp_count(row, F.lit(r"(?i)<td[\s>]"))
+
     def shaped(rows: Column) -> Column:
-        opening = F.transform(F.slice(rows, 1, 5), lambda cells: F.size(cells))
+        opening = F.transform(F.slice(rows, 1, 5), width)
         six = F.size(F.filter(opening, lambda n: n == 6))
-        return (F.size(rows) >= 5) & (six >= 3) & (F.get(opening, F.lit(0)) == 6)
+        return (F.size(rows) >= 5) & (F.get(opening, F.lit(0)) == 6) & (six >= 3)
 
     def titled(rows: Column) -> Column:
         first = F.get(rows, F.lit(0))
-        heading = F.concat_ws("", F.transform(first, text_of))
+        heading = text_of(first)
         named = F.lit(True)
         for word in PRICE_HEADINGS:
             named = named & heading.contains(word)
-        return (F.size(rows) >= 2) & (F.size(first) >= 3) & named
+        return (F.size(rows) >= 2) & (width(first) >= 3) & named
 
-    tables = F.transform(
-        _blocks(F.col("html"), "table"), lambda t: F.transform(_blocks(_inner(t), "tr"), lambda r: _cells(r))
-    )
+    # Tables become arrays of row markup; cells are cut only for rows of the chosen table.
+    tables = F.transform(_blocks(F.col("html"), "table"), lambda t: _blocks(t, "tr"))
     found = (
         pages.where(F.col("html").rlike("(?i)<td") & ~F.col("html").contains(NO_RESULT))
         .select("page_id", "url", tables.alias("tables"))
         .select("page_id", "url", F.coalesce(_first(F.col("tables"), shaped), _first(F.col("tables"), titled)).alias("rows"))
-        .select("page_id", "url", F.posexplode("rows").alias("row_no", "cells"))
+        .select("page_id", "url", F.posexplode(F.transform("rows", _cells)).alias("row_no", "cells"))
         .where(F.size("cells") >= 6)
     )
     cell = lambda i: F.get("cells", F.lit(i))
     raw_name, first = text_of(cell(0)), strip(text_of(cell(0)))
-    repeated = F.lit(False)
-    for mark in REPEATED_MARKS:
-        repeated = repeated | (F.size(F.split(raw_name, mark)) > 2)
     titles = F.transform(_blocks(cell(1), "a"), lambda a: strip(_attribute(_open_tag(a), "title")))
     title = _first(titles, lambda t: t != "")
     plain = lambda i: normalize_text(text_of(cell(i)))
-    day = plain(5)
+    day = F.col("day")
+    fields = _computed(
+        found, "page_id", "url", "row_no",
+        raw_name=raw_name, variety=normalize_text(raw_name), first=first,
+        market=normalize_text(F.coalesce(title, strip(text_of(cell(1))))),
+        min_price=plain(2), max_price=plain(3), avg_price=plain(4), day=plain(5),
+    )
+    name = F.col("raw_name")
+    repeated = F.lit(False)
+    for mark in REPEATED_MARKS:
+        repeated = repeated | (F.size(F.split(name, mark)) > 2)
     return (
-        found.where(~first.isin(*SKIPPED_FIRST_CELLS) & ~first.contains("价格"))
-        .where((F.length(raw_name) <= LONGEST_RAW_NAME) & ~repeated)
+        fields.where(~F.col("first").isin(*SKIPPED_FIRST_CELLS) & ~F.col("first").contains("价格"))
+        .where((F.length(name) <= LONGEST_RAW_NAME) & ~repeated)
+        .where((F.col("variety") != "") & (F.length("variety") <= LONGEST_NAME))
         .select(
-            "page_id", "url", "row_no",
-            normalize_text(raw_name).alias("variety"),
-            normalize_text(F.coalesce(title, strip(text_of(cell(1))))).alias("market"),
-            plain(2).alias("min_price"), plain(3).alias("max_price"), plain(4).alias("avg_price"),
+            "page_id", "url", "row_no", "variety", "market", "min_price", "max_price", "avg_price",
             F.when(day != "", day).otherwise(F.lit(load_date)).alias("date"),
         )
-        .where((F.col("variety") != "") & (F.length("variety") <= LONGEST_NAME))
     )
 
 
@@ -133,29 +148,29 @@ def html_listing_rows(pages: DataFrame) -> DataFrame:
     """Seed listings: every table row with three cells whose second holds three paragraphs."""
     rows = (
         pages.where(F.col("html").rlike("(?i)<td"))
-        .select("page_id", "url", F.posexplode(F.flatten(F.transform(
-            _blocks(F.col("html"), "table"), lambda t: F.transform(_blocks(_inner(t), "tr"), lambda r: _cells(r))
-        ))).alias("row_no", "cells"))
+        .select("page_id", "url", F.posexplode(F.transform(
+            F.flatten(F.transform(_blocks(F.col("html"), "table"), lambda t: _blocks(t, "tr"))), _cells
+        )).alias("row_no", "cells"))
         .where(F.size("cells") >= 3)
-        .withColumn("p", F.transform(_blocks(F.get("cells", F.lit(1)), "p"), _inner))
-        .where(F.size("p") >= 3)
     )
+    offers = _computed(
+        rows, "page_id", "url", "row_no",
+        p=F.transform(_blocks(F.get("cells", F.lit(1)), "p"), _inner), third=F.get("cells", F.lit(2)),
+    ).where(F.size("p") >= 3)
     link = lambda i: F.get(_blocks(F.get("p", F.lit(i)), "a"), F.lit(0))
-    href = lambda i: F.coalesce(_attribute(_open_tag(link(i)), "href"), F.lit(""))
-    third = F.get("cells", F.lit(2))
+    href = lambda a: F.coalesce(_attribute(_open_tag(a), "href"), F.lit(""))
     part = lambda i, label: strip(F.replace(strip(text_of(F.get("p", F.lit(i)))), F.lit(label), F.lit("")))
-    return (
-        rows.select(
-            "page_id", "url", "row_no",
-            F.coalesce(strip(text_of(_inner(link(0)))), F.lit("")).alias("product_name"),
-            part(1, REGION_LABEL).alias("supply_region"),
-            part(2, COMPANY_LABEL + "：").alias("company_name"),
-            _clicks(third, last=True).alias("click_count"),
-            F.regexp_extract(text_of(third), LISTING_DATE, 1).alias("date"),
-            F.when(href(0) == "", "").otherwise(url_resolve(F.col("url"), href(0), at_root=True)).alias("product_url"),
-            href(2).alias("company_url"),
-        )
-        .where(F.col("product_name") != "")
+    fields = _computed(
+        offers, "page_id", "url", "row_no",
+        product_name=F.coalesce(strip(text_of(_inner(link(0)))), F.lit("")), href=href(link(0)),
+        supply_region=part(1, REGION_LABEL), company_name=part(2, COMPANY_LABEL + "："), company_url=href(link(2)),
+        click_count=_clicks(F.col("third"), last=True),
+        date=F.regexp_extract(text_of(F.col("third")), LISTING_DATE, 1),
+    )
+    target = F.when(F.col("href") == "", "").otherwise(url_resolve("url", "href", at_root=True))
+    return fields.where(F.col("product_name") != "").select(
+        "page_id", "url", "row_no", "product_name", "supply_region", "company_name", "click_count", "date",
+        target.alias("product_url"), "company_url",
     )
 
 
@@ -167,13 +182,16 @@ def html_supplier_rows(pages: DataFrame) -> DataFrame:
     )
     rows = (
         pages.where(F.col("html").rlike("(?i)<td"))
-        .select("page_id", "url", F.posexplode(tables).alias("row_no", "t"))
-        .select("page_id", "url", "row_no", _cells(F.get(_blocks(_inner(F.col("t")), "tr"), F.lit(0))).alias("cells"))
+        .select("page_id", "url", F.posexplode(
+            F.transform(tables, lambda t: _cells(F.get(_blocks(t, "tr"), F.lit(0))))
+        ).alias("row_no", "cells"))
         .where(F.size("cells") >= 2)
-        .withColumn("a", _first(_blocks(F.get("cells", F.lit(1)), "a"), lambda a: _attribute(_open_tag(a), "href") != ""))
-        .withColumn("href", _attribute(_open_tag(F.col("a")), "href"))
-        .where(F.col("href").contains("/sell/"))
-        .withColumn("p", F.transform(_blocks(F.get("cells", F.lit(1)), "p"), _inner))
+    )
+    second = F.get("cells", F.lit(1))
+    offers = _computed(
+        rows, "page_id", "url", "row_no",
+        a=_first(_blocks(second, "a"), lambda a: _attribute(_open_tag(a), "href") != ""),
+        p=F.transform(_blocks(second, "p"), _inner), third=F.coalesce(F.get("cells", F.lit(2)), F.lit("")),
     )
     titled = lambda p: _first(
         F.transform(_blocks(p, "a"), lambda a: strip(_attribute(_open_tag(a), "title"))), lambda t: t != ""
@@ -181,24 +199,21 @@ def html_supplier_rows(pages: DataFrame) -> DataFrame:
     labelled = lambda label: F.get(F.filter(
         F.transform("p", lambda p: F.when(text_of(p).contains(label), titled(p))), lambda t: t.isNotNull()
     ), F.lit(0))
-    origin = F.get(F.filter(
-        F.transform("p", lambda p: strip(F.regexp_extract(strip(text_of(p)), ORIGIN_LABEL + r"[:：]\s*([^<\n]+)", 1))),
-        lambda t: t != "",
-    ), F.lit(0))
-    third = F.coalesce(F.get("cells", F.lit(2)), F.lit(""))
-    person, company = labelled(PERSON_LABEL), labelled(COMPANY_LABEL)
-    return (
-        rows.select(
-            "page_id", "url", "row_no",
-            strip(text_of(_inner(F.col("a")))).alias("product_name"),
-            F.coalesce(origin, F.lit("")).alias("origin"),
-            F.coalesce(person, company, F.lit("")).alias("contact_person"),
-            F.when(person.isNotNull(), PERSON_LABEL).when(company.isNotNull(), COMPANY_LABEL).otherwise("").alias("company_type"),
-            _clicks(third, last=False).alias("click_count"),
-            F.regexp_extract(text_of(third), LISTING_DATE, 1).alias("date"),
-            url_resolve(F.col("url"), F.col("href"), at_root=True).alias("product_url"),
-        )
-        .where(F.col("product_name") != "")
+    origins = F.transform("p", lambda p: strip(F.regexp_extract(strip(text_of(p)), ORIGIN_LABEL + r"[:：]\s*([^<\n]+)", 1)))
+    fields = _computed(
+        offers, "page_id", "url", "row_no",
+        href=_attribute(_open_tag(F.col("a")), "href"), product_name=strip(text_of(_inner(F.col("a")))),
+        origin=F.coalesce(_first(origins, lambda t: t != ""), F.lit("")),
+        person=labelled(PERSON_LABEL), company=labelled(COMPANY_LABEL),
+        click_count=_clicks(F.col("third"), last=False),
+        date=F.regexp_extract(text_of(F.col("third")), LISTING_DATE, 1),
+    )
+    person, company = F.col("person"), F.col("company")
+    return fields.where(F.col("href").contains("/sell/") & (F.col("product_name") != "")).select(
+        "page_id", "url", "row_no", "product_name", "origin",
+        F.coalesce(person, company, F.lit("")).alias("contact_person"),
+        F.when(person.isNotNull(), PERSON_LABEL).when(company.isNotNull(), COMPANY_LABEL).otherwise("").alias("company_type"),
+        "click_count", "date", url_resolve("url", "href", at_root=True).alias("product_url"),
     )
 
 

@@ -14,7 +14,7 @@ from ..functions.numbers import click_count
 from ..operators.cleaning import exclude_regions
 from ..schemas import CLEAN_PRICES, CLEAN_SEEDS, CLEAN_SUPPLIERS
 
-CORRUPT = "_corrupt_record"
+SURPLUS = "_surplus"
 
 
 def as_text(schema: StructType) -> StructType:
@@ -49,20 +49,14 @@ def read_suppliers(spark: SparkSession, path: str, regions=EXCLUDED_REGIONS) ->
 
 
 def read_lenient(spark: SparkSession, path: str, schema: StructType) -> tuple[DataFrame, DataFrame]:
-    """All-text rows, and the malformed lines apart instead of lost.
+    """All-text rows, and the malformed ones apart instead of lost.
 
-    A line with too few fields is kept with NULLs; one with too many is malformed.
+    A line with too few fields is kept with NULLs; one with a field too many is
+    malformed and shows the first surplus field beside its columns.
     """
-    text = as_text(schema)
-    last = text.fields[-1].name
-    rows = (
-        spark.read.schema(StructType([*text.fields, StructField(CORRUPT, StringType())]))
-        .option("header", True).option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", CORRUPT)
-        .option("quote", '"').option("escape", '"')
-        .csv(path)
-    )
-    overlong = F.col(CORRUPT).isNotNull() & F.col(last).isNotNull()
-    return rows.where(~overlong).drop(CORRUPT), rows.where(overlong).select(F.col(CORRUPT).alias("line"))
+    text = StructType([*as_text(schema).fields, StructField(SURPLUS, StringType())])
+    rows = read_csv(spark, path, text)
+    return rows.where(F.col(SURPLUS).isNull()).drop(SURPLUS), rows.where(F.col(SURPLUS).isNotNull())
 
 
 def external_table(spark: SparkSession, path: str, schema: StructType, name: str) -> DataFrame:

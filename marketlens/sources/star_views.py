@@ -285,7 +285,7 @@ def supplier_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     html = F.concat(
         F.lit('<table class="m_t_5 list"><tr><td>img</td><td><a href="'), F.col("product_url"), F.lit('">'),
         F.col("product_name"), F.lit("</a><p>产地："), F.col("origin"), F.lit("</p><p>"), label, F.lit('：<a title="'),
-        F.col("contact_person"), F.lit('">x</a></p></td><td>'), clicks, F.lit("<br>"), F.col("date"),
+        F.col("contact_person"), F.lit('">x</a></p></td><td>'), F.col("date"), F.lit("<br>"), clicks,
         F.lit('</td></tr></table><table class="other"><tr><td>1</td><td><a href="/sell/0.html">no</a></td></tr></table>'),
     )
     return raw.select(

@@ -13,11 +13,21 @@ EXPORT_ROWS = 99_999
 BOM = "\ufeff"
 
 
+def _csv(df: DataFrame, mode: str):
+    """Header CSV writer that keeps the text as it is: quotes doubled, blanks kept."""
+    return (
+        df.write.mode(mode).option("header", True).option("escape", '"').option("dateFormat", "yyyy-MM-dd")
+        .option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False)
+    )
+
+
 def write_result(df: DataFrame, path: str, fmt: str = "parquet", single_file: bool = False) -> str:
     """Overwrite a result folder. ``single_file`` is for small report tables only."""
     out = df.coalesce(1) if single_file else df
-    writer = out.write.mode("overwrite")
-    (writer.option("header", True).csv(path) if fmt == "csv" else writer.format(fmt).save(path))
+    if fmt == "csv":
+        _csv(out, "overwrite").csv(path)
+    else:
+        out.write.mode("overwrite").format(fmt).save(path)
     return path
 
 
@@ -34,14 +44,16 @@ def create_table_as(df: DataFrame, table: str, path: str | None = None, partitio
 
 def append_rows(df: DataFrame, path: str, fmt: str = "csv") -> str:
     """Append scraped rows; every file carries its own header, so a re-read needs no state."""
-    writer = df.write.mode("append")
-    (writer.option("header", True).option("escape", '"').csv(path) if fmt == "csv" else writer.format(fmt).save(path))
+    if fmt == "csv":
+        _csv(df, "append").csv(path)
+    else:
+        df.write.mode("append").format(fmt).save(path)
     return path
 
 
 def write_clean(df: DataFrame, path: str) -> str:
     """Overwrite a table of the clean layer as UTF-8 CSV with a header."""
-    df.write.mode("overwrite").option("header", True).option("escape", '"').option("dateFormat", "yyyy-MM-dd").csv(path)
+    _csv(df, "overwrite").csv(path)
     return path
 
 
