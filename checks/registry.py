@@ -846,8 +846,9 @@ def dwd_suppliers(spark, sf_dir):
 
 @query
 def layer_counts(spark, sf_dir):
-    """Rows per stored warehouse layer."""
-    return warehouse.counts(warehouse.build(*_clean_layer(spark, sf_dir), fresh_path(spark, "warehouse")))
+    """Rows per stored warehouse layer, built on the landed clean tables."""
+    landed = [settle(df, "ods") for df in _clean_layer(spark, sf_dir)]
+    return warehouse.counts(warehouse.build(*landed, fresh_path(spark, "warehouse")))
 
 
 @three

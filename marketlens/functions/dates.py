@@ -6,21 +6,19 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from .numbers import _col
-from .text import strip
 
-# Year-month-day with '-' or '/', then optionally a time of day. The shape is
-# checked first so that no row pays for a failed parse.
+# Year-month-day with '-' or '/', then optionally a time of day. Matching the
+# whole shape first means that no row pays for a failed parse.
 _DATE_SHAPE = (
-    r"^[0-9]{4}([-/])[0-9]{1,2}\1[0-9]{1,2}"
-    r"(\s+([01]?[0-9]|2[0-3]):[0-5]?[0-9](:[0-5]?[0-9])?)?$"
+    r"(?U)^\s*([0-9]{4}([-/])[0-9]{1,2}\2[0-9]{1,2})"
+    r"(\s+([01]?[0-9]|2[0-3]):[0-5]?[0-9](:[0-5]?[0-9])?)?\s*$"
 )
 
 
 def parse_date(c: Column | str) -> Column:
     """Text in one of the accepted date shapes to DATE; everything else is NULL."""
-    s = strip(c)
-    day = F.replace(F.substring_index(F.substring_index(s, " ", 1), "\t", 1), F.lit("/"), F.lit("-"))
-    return F.when(s.rlike(_DATE_SHAPE), day.try_cast("date"))
+    day = F.regexp_extract(_col(c), _DATE_SHAPE, 1)
+    return F.replace(day, F.lit("/"), F.lit("-")).try_cast("date")
 
 
 def between_dates(c: Column | str, date_from: str | None, date_to: str | None) -> Column:

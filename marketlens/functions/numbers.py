@@ -36,8 +36,7 @@ def strip_currency(c: Column | str) -> Column:
 
 def to_number(c: Column | str) -> Column:
     """Text to double; anything that is not a plain number becomes NULL."""
-    x = _col(c)
-    return F.when(x.rlike(_NUMBER), x.try_cast("double"))
+    return F.regexp_extract(_col(c), _NUMBER, 0).try_cast("double")
 
 
 def click_count(c: Column | str) -> Column:

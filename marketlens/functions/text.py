@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from .numbers import _col
 
-_PLAIN_CELL = r"^[\p{L}\p{N}.#:/_￥¥-]*$"
+_PLAIN_CELL = r"\A[\p{L}\p{N}.#:/_￥¥-]*\z"
 _BLANKS = " \t\r\n\u3000\u00a0"
 
 

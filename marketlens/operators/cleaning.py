@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from ..functions import dims
 from ..functions.dates import parse_date
 from ..functions.numbers import click_count, strip_currency, to_number
+from ..functions.once import compute_once
 from ..functions.text import region_head, strip
 
 PRICE_COLUMNS = ("min_price", "max_price", "avg_price")
@@ -28,13 +29,14 @@ def exclude_regions(df: DataFrame, column: str = "province", regions=dims.EXCLUD
 
 def clean_prices(raw: DataFrame) -> DataFrame:
     """Raw quote text to the clean schema; rows without date or average price go."""
-    typed = raw.select(
-        "variety", "market",
-        *[to_number(strip_currency(c)).alias(c) for c in PRICE_COLUMNS],
-        parse_date("date").alias("price_date"),
-        F.col("province").alias("province_raw"),
-        "variety_code",
-    ).where(F.col("avg_price").isNotNull() & F.col("price_date").isNotNull())
+    parsed = compute_once(
+        raw, "variety", "market", "province", "variety_code",
+        **{f"{c}_value": to_number(strip_currency(c)) for c in PRICE_COLUMNS}, price_date=parse_date("date"),
+    )
+    typed = parsed.where(F.col("avg_price_value").isNotNull() & F.col("price_date").isNotNull()).select(
+        "variety", "market", *[F.col(f"{c}_value").alias(c) for c in PRICE_COLUMNS], "price_date",
+        F.col("province").alias("province_raw"), "variety_code",
+    )
     # Copies go first: the lookup then runs once per kept row.
     return dims.with_lookup(
         dedup_exact(typed), dims.CODE_TO_PROVINCE, F.col("province_raw"), "province", keep_unmapped=True

@@ -146,10 +146,17 @@ def feature_stages() -> list:
 
 def rf_train(train: DataFrame, num_trees: int = NUM_TREES, max_depth: int = MAX_DEPTH, max_bins: int = MAX_BINS,
              min_rows: int = MIN_ROWS_PER_NODE, seed: int = SEED) -> PipelineModel:
-    """Fit indexers, assembler and random forest as one pipeline."""
+    """Fit indexers, assembler and random forest as one pipeline.
+
+    A training table with fewer partitions than cores is spread first; the
+    histogram memory lets each pass over the rows grow many tree nodes.
+    """
+    cores = train.sparkSession.sparkContext.defaultParallelism
+    if train.rdd.getNumPartitions() < cores:
+        train = train.repartition(cores)
     forest = RandomForestRegressor(
         featuresCol="features", labelCol="avg_price", numTrees=num_trees, maxDepth=max_depth, maxBins=max_bins,
-        minInstancesPerNode=min_rows, seed=seed,
+        minInstancesPerNode=min_rows, seed=seed, maxMemoryInMB=1024,
     )
     return Pipeline(stages=[*feature_stages(), forest]).fit(train)
 

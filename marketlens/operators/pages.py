@@ -11,6 +11,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.numbers import _col
+from ..functions.once import compute_once
 from ..functions.text import normalize_text, strip
 
 # Words that identify headings and labels on the pages.
@@ -58,16 +59,6 @@ def text_of(markup: Column) -> Column:
     return F.when(markup.contains("&"), decoded).otherwise(bare)
 
 
-def _computed(df: DataFrame, *keep: str, **columns: Column) -> DataFrame:
-    """Add columns as the output of a one-row generator.
-
-    Later filters then read the values; they are not rewritten into the
-    expressions, which would run the text functions again per condition.
-    """
-    row = F.struct(*[c.alias(name) for name, c in columns.items()])
-    return df.select(*keep, F.inline(F.array(row)))
-
-
 def _cells(row: Column) -> Column:
     return F.transform(_blocks(row, "td"), _inner)
 
@@ -117,7 +108,7 @@ def html_table_rows(pages: DataFrame, load_date: str) -> DataFrame:
     title = _first(titles, lambda t: t != "")
     plain = lambda i: normalize_text(text_of(cell(i)))
     day = F.col("day")
-    fields = _computed(
+    fields = compute_once(
         found, "page_id", "url", "row_no",
         raw_name=raw_name, variety=normalize_text(raw_name), first=first,
         market=normalize_text(F.coalesce(title, strip(text_of(cell(1))))),
@@ -153,14 +144,14 @@ def html_listing_rows(pages: DataFrame) -> DataFrame:
         )).alias("row_no", "cells"))
         .where(F.size("cells") >= 3)
     )
-    offers = _computed(
+    offers = compute_once(
         rows, "page_id", "url", "row_no",
         p=F.transform(_blocks(F.get("cells", F.lit(1)), "p"), _inner), third=F.get("cells", F.lit(2)),
     ).where(F.size("p") >= 3)
     link = lambda i: F.get(_blocks(F.get("p", F.lit(i)), "a"), F.lit(0))
     href = lambda a: F.coalesce(_attribute(_open_tag(a), "href"), F.lit(""))
     part = lambda i, label: strip(F.replace(strip(text_of(F.get("p", F.lit(i)))), F.lit(label), F.lit("")))
-    fields = _computed(
+    fields = compute_once(
         offers, "page_id", "url", "row_no",
         product_name=F.coalesce(strip(text_of(_inner(link(0)))), F.lit("")), href=href(link(0)),
         supply_region=part(1, REGION_LABEL), company_name=part(2, COMPANY_LABEL + "："), company_url=href(link(2)),
@@ -188,7 +179,7 @@ def html_supplier_rows(pages: DataFrame) -> DataFrame:
         .where(F.size("cells") >= 2)
     )
     second = F.get("cells", F.lit(1))
-    offers = _computed(
+    offers = compute_once(
         rows, "page_id", "url", "row_no",
         a=_first(_blocks(second, "a"), lambda a: _attribute(_open_tag(a), "href") != ""),
         p=F.transform(_blocks(second, "p"), _inner), third=F.coalesce(F.get("cells", F.lit(2)), F.lit("")),
@@ -200,7 +191,7 @@ def html_supplier_rows(pages: DataFrame) -> DataFrame:
         F.transform("p", lambda p: F.when(text_of(p).contains(label), titled(p))), lambda t: t.isNotNull()
     ), F.lit(0))
     origins = F.transform("p", lambda p: strip(F.regexp_extract(strip(text_of(p)), ORIGIN_LABEL + r"[:：]\s*([^<\n]+)", 1)))
-    fields = _computed(
+    fields = compute_once(
         offers, "page_id", "url", "row_no",
         href=_attribute(_open_tag(F.col("a")), "href"), product_name=strip(text_of(_inner(F.col("a")))),
         origin=F.coalesce(_first(origins, lambda t: t != ""), F.lit("")),

@@ -25,7 +25,8 @@ def _cell(value: Column, per_octave: int) -> Column:
     It does not depend on the group, so no group needs to be scanned first.
     """
     step = lambda x: F.floor(F.log2(x) * per_octave) + _OFFSET * per_octave
-    return F.when(value > 0, step(value)).when(value < 0, -step(-value) - 1).otherwise(F.lit(0)).cast("bigint")
+    signed = F.when(value > 0, step(value)).when(value < 0, -step(-value) - 1)
+    return F.coalesce(signed.cast("bigint"), F.lit(0).cast("bigint"))
 
 
 def _holding_ranks(cells: DataFrame, keys: list[str], order: str, ranks: list[str]) -> DataFrame:
@@ -44,19 +45,19 @@ def _holding_ranks(cells: DataFrame, keys: list[str], order: str, ranks: list[st
 def exact_percentiles(df: DataFrame, keys: list[str], value: str, probs: dict[str, float]) -> DataFrame:
     """Linearly interpolated percentiles per group, one column per entry of ``probs``.
 
-    Values are first collapsed to (group, value, n), keyed by group and value so
-    that a hot group spreads over the cluster. Two cell levels (64, then 64*4096
-    per doubling) narrow the search; running sums only ever see the cells of a
-    group or the values of one narrow cell.
+    First scan: rows per (group, cell), folded map-side to a few thousand rows
+    per group. The cells holding wanted ranks, at most two per percentile and
+    group, are settled. Second scan: only values inside those cells are kept
+    (about one in a hundred), counted per distinct value, narrowed once more by
+    finer cells, and ranked. No shuffle is keyed by the group alone until the
+    rows are that few. Rows with a NULL key or value do not count.
     """
-    hist = (
-        df.where(F.col(value).isNotNull())
-        .groupBy(*keys, F.col(value).cast("double").alias("v"))
-        .agg(F.count(F.lit(1)).alias("n"))
-        .withColumn("cell", _cell(F.col("v"), _COARSE))
-    )
-    cells = hist.groupBy(*keys, "cell").agg(F.sum("n").alias("n"))
-    # Group sizes come from the few cells of each group.
+    rows = df.where(F.col(value).isNotNull())
+    for k in keys:
+        rows = rows.where(F.col(k).isNotNull())
+    rows = rows.select(*keys, F.col(value).cast("double").alias("v")).withColumn("cell", _cell(F.col("v"), _COARSE))
+
+    cells = rows.groupBy(*keys, "cell").agg(F.count(F.lit(1)).alias("n"))
     sizes = cells.withColumn("size", F.sum("n").over(W.partitionBy(*keys)))
     ranks, at = [], {}
     for name, p in probs.items():
@@ -64,26 +65,27 @@ def exact_percentiles(df: DataFrame, keys: list[str], value: str, probs: dict[st
         sizes = sizes.withColumn(f"lo_{name}", F.floor(at[name])).withColumn(f"hi_{name}", F.ceil(at[name]))
         ranks += [f"lo_{name}", f"hi_{name}"]
     carried = ["size", *ranks]
+    coarse = settle(
+        _holding_ranks(sizes.withColumn("base", F.lit(0).cast("bigint")), keys, "cell", ranks).select(
+            *keys, "cell", (F.col("upto") - F.col("n")).alias("base"), *carried
+        ),
+        "percentile-cells",
+    )
 
-    coarse = _holding_ranks(sizes.withColumn("base", F.lit(0)), keys, "cell", ranks).select(
-        *keys, "cell", (F.col("upto") - F.col("n")).alias("base"), *carried
+    inside = (
+        rows.join(coarse.select(*keys, "cell"), [*keys, "cell"], "left_semi")
+        .groupBy(*keys, "cell", "v").agg(F.count(F.lit(1)).alias("n"))
+        .withColumn("sub", _cell(F.col("v"), _COARSE * _FINE))
     )
-    inside = hist.join(coarse, [*keys, "cell"]).withColumn("sub", _cell(F.col("v"), _COARSE * _FINE))
-    group = [*keys, "cell", "sub", "base", *carried]
-    fine = _holding_ranks(
-        inside.groupBy(*group).agg(F.sum("n").alias("n")), [*keys, "cell"], "sub", ranks
-    ).select(*keys, "cell", "sub", (F.col("upto") - F.col("n")).alias("sub_base"))
-    last = (
-        inside.join(fine, [*keys, "cell", "sub"])
-        .drop("base").withColumnRenamed("sub_base", "base")
+    subs = inside.groupBy(*keys, "cell", "sub").agg(F.sum("n").alias("n")).join(coarse, [*keys, "cell"])
+    fine = _holding_ranks(subs, [*keys, "cell"], "sub", ranks).select(
+        *keys, "cell", "sub", (F.col("upto") - F.col("n")).alias("base"), *carried
     )
-    placed = _holding_ranks(last, [*keys, "cell", "sub"], "v", ranks)
+    placed = _holding_ranks(inside.join(fine, [*keys, "cell", "sub"]), [*keys, "cell", "sub"], "v", ranks)
     holds = lambda r: F.max(
         F.when((F.col(r) >= F.col("upto") - F.col("n")) & (F.col(r) < F.col("upto")), F.col("v"))
     )
-    found = placed.groupBy(*keys).agg(
-        F.first("size").alias("size"), *[holds(r).alias(f"v_{r}") for r in ranks]
-    )
+    found = placed.groupBy(*keys).agg(F.first("size").alias("size"), *[holds(r).alias(f"v_{r}") for r in ranks])
     columns = []
     for name in probs:
         lo, hi = F.col(f"v_lo_{name}"), F.col(f"v_hi_{name}")

@@ -98,7 +98,8 @@ def supply_demand_items(prices: DataFrame, seeds: DataFrame, suppliers: DataFram
 def supply_demand_correlation(items: DataFrame) -> DataFrame:
     """Pearson r of listings against variation; zero below three varieties or without variance."""
     def r(x: str) -> Column:
-        value = F.coalesce(F.nanvl(F.corr(x, "cv"), F.lit(0.0)), F.lit(0.0))
+        # corr() itself raises on zero variance in ANSI mode.
+        value = F.coalesce(ratio(F.covar_pop(x, "cv"), F.stddev_pop(x) * F.stddev_pop("cv")), F.lit(0.0))
         return round_out(F.when(F.count(F.lit(1)) < 3, F.lit(0.0)).otherwise(value), 3)
 
     return items.agg(

@@ -55,7 +55,8 @@ def build(ods_prices: DataFrame, ods_seeds: DataFrame, ods_suppliers: DataFrame,
         (writer.partitionBy(*partition_by) if partition_by else writer).parquet(f"{base}/{name}")
         return spark.read.parquet(f"{base}/{name}")
 
-    detail = dwd_prices(ods_prices).withColumn("ym", F.date_format("price_date", "yyyy-MM")).repartition("ym", "variety")
+    # Rebalancing clusters the months and lets AQE split a heavy one over tasks.
+    detail = dwd_prices(ods_prices).withColumn("ym", F.date_format("price_date", "yyyy-MM")).hint("rebalance", "ym")
     p = store("dwd_prices", detail, "ym").drop("ym")
     s, u = store("dwd_seeds", dwd_seeds(ods_seeds)), store("dwd_suppliers", dwd_suppliers(ods_suppliers))
     return {

@@ -18,12 +18,25 @@ VIEW_EXCLUDED = ("NATION_22", "NATION_23", "NATION_24")
 # Codes standing in for nation 0..24 and names for brand 1..25 in the raw views.
 RAW_PROVINCE_CODES = list(CODE_TO_PROVINCE)[:22] + ["台湾", "香港", "zhongguo"]
 RAW_VARIETIES = list(NAME_TO_CODE.items())[:25]
+_QUOTE_COLUMNS = (
+    "l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity", "l_extendedprice", "l_shipdate",
+)
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """Give a scan that has fewer partitions than cores one partition per core.
+
+    The text views below cost far more per row than the scan. A table of
+    cluster size has many splits already and is left alone.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+
+
 def _kept(nation: DataFrame) -> DataFrame:
     return nation.where(~F.col("n_name").isin(*VIEW_EXCLUDED))
 
@@ -81,7 +94,7 @@ def seeds(spark: SparkSession, sf_dir: str) -> DataFrame:
 def _supplier_rows(spark: SparkSession, sf_dir: str, nation: DataFrame) -> DataFrame:
     t = lambda name: table(spark, sf_dir, name)
     return (
-        t("lineitem").where("l_linenumber = 1")
+        spread(t("lineitem").where("l_linenumber = 1").select("l_orderkey", "l_partkey", "l_suppkey", "l_quantity"))
         .join(t("orders"), F.col("l_orderkey") == F.col("o_orderkey"))
         .join(t("customer"), F.col("o_custkey") == F.col("c_custkey"))
         .join(nation, F.col("c_nationkey") == F.col("n_nationkey"))
@@ -154,7 +167,7 @@ def raw_prices(spark: SparkSession, sf_dir: str) -> DataFrame:
         .otherwise(F.date_format(day, "yyyy/MM/dd"))
     )
     rows = (
-        t("lineitem")
+        spread(t("lineitem").select(*_QUOTE_COLUMNS))
         .join(t("part"), F.col("l_partkey") == F.col("p_partkey"))
         .join(t("supplier"), F.col("l_suppkey") == F.col("s_suppkey"))
         .withColumn("cents", cents)
@@ -243,7 +256,7 @@ def quote_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = F.when(line % 3 == 0, row(0)).otherwise(F.concat(*[row(i) for i in range(4)]))
     note = F.when(line == 7, F.lit("共找到0条")).otherwise(F.lit(""))
     return (
-        t("lineitem")
+        spread(t("lineitem").select(*_QUOTE_COLUMNS))
         .join(t("part"), F.col("l_partkey") == F.col("p_partkey"))
         .join(t("supplier"), F.col("l_suppkey") == F.col("s_suppkey"))
         .withColumn("cents", F.floor(F.col("l_extendedprice") / F.col("l_quantity") * 100))
@@ -285,7 +298,7 @@ def supplier_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     html = F.concat(
         F.lit('<table class="m_t_5 list"><tr><td>img</td><td><a href="'), F.col("product_url"), F.lit('">'),
         F.col("product_name"), F.lit("</a><p>产地："), F.col("origin"), F.lit("</p><p>"), label, F.lit('：<a title="'),
-        F.col("contact_person"), F.lit('">x</a></p></td><td>'), F.col("date"), F.lit("<br>"), clicks,
+        F.col("contact_person"), F.lit('">x</a></p></td><td>'), F.col("date"), F.lit(" <br>"), clicks,
         F.lit('</td></tr></table><table class="other"><tr><td>1</td><td><a href="/sell/0.html">no</a></td></tr></table>'),
     )
     return raw.select(

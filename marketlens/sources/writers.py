@@ -60,11 +60,11 @@ def write_clean(df: DataFrame, path: str) -> str:
 def write_partitioned(df: DataFrame, path: str, date: str = "price_date") -> str:
     """Clean quotes as parquet by year-month, so that date filters prune folders.
 
-    Rows are clustered by month and variety before writing; AQE splits the
-    large months and joins the small ones.
+    Rows are rebalanced by month before writing: AQE splits the heavy months
+    over tasks and joins the small ones.
     """
     keyed = df.withColumn("ym", F.date_format(date, "yyyy-MM"))
-    keyed.repartition("ym", "variety").write.mode("overwrite").partitionBy("ym").parquet(path)
+    keyed.hint("rebalance", "ym").write.mode("overwrite").partitionBy("ym").parquet(path)
     return path
 
 
