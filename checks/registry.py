@@ -585,7 +585,7 @@ def _fitted(spark, sf_dir):
     key = (spark.sparkContext.applicationId, sf_dir)
     if key not in _FITTED:
         views = sv.prices(spark, sf_dir), sv.seeds(spark, sf_dir), sv.suppliers(spark, sf_dir)
-        frame = settle(forecast_ml.training_frame(*views), "training-frame")
+        frame = forecast_ml.training_frame(*views)
         model = forecast_ml.rf_train(frame.where("is_train"))
         _FITTED[key] = model, frame
     return _FITTED[key]
@@ -808,8 +808,8 @@ def sink_clean(spark, sf_dir):
 @query
 def sink_partitioned(spark, sf_dir):
     path = writers.write_partitioned(sv.prices(spark, sf_dir), fresh_path(spark, "by-month"))
-    back = spark.read.parquet(path).where("ym BETWEEN '1996-01' AND '1997-12'")
-    return back.groupBy("ym").agg(F.count(F.lit(1)).alias("quotes"), F.max("price_date").alias("last_day"))
+    back = readers.read_partitioned(spark, path, "1996-01-01", "1997-12-31")
+    return back.groupBy(dates.year_month("price_date").alias("ym")).agg(F.count(F.lit(1)).alias("quotes"), F.max("price_date").alias("last_day"))
 
 
 @query

@@ -109,7 +109,11 @@ def time_cutoff(prices: DataFrame, train_share: float = 0.8) -> Column:
 
 
 def training_frame(prices: DataFrame, seeds: DataFrame, suppliers: DataFrame, train_share: float = 0.8) -> DataFrame:
-    """Feature rows with ``is_train``; no column of a row depends on later quotes."""
+    """Feature rows with ``is_train``; no column of a row depends on later quotes.
+
+    The rows are settled: training passes over them many times, and a lost
+    executor then costs a read instead of the windows and joins behind them.
+    """
     cutoff = time_cutoff(prices, train_share)
     past = prices.where(F.col("price_date") < cutoff)
     groups = past.groupBy("variety").agg(
@@ -126,7 +130,7 @@ def training_frame(prices: DataFrame, seeds: DataFrame, suppliers: DataFrame, tr
     rows = with_calendar(dated(prices).select(*PAIR, "price_date", "avg_price"))
     # Outliers are dropped from training only: the test rows stay whole.
     usable = (F.col("price_date") >= cutoff) | F.col("avg_price").between(F.col("lower_fence"), F.col("upper_fence"))
-    return (
+    frame = (
         rows.join(stats, "variety")
         .where(usable)
         .join(level, ["variety", "price_date"])
@@ -134,6 +138,7 @@ def training_frame(prices: DataFrame, seeds: DataFrame, suppliers: DataFrame, tr
         .withColumn("is_train", F.col("price_date") < cutoff)
         .drop("level", "lower_fence", "upper_fence")
     )
+    return settle(frame, "training-frame")
 
 
 def feature_stages() -> list:

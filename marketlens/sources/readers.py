@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
+from ..functions.dates import between_dates
 from ..functions.dims import EXCLUDED_REGIONS
 from ..functions.numbers import click_count
 from ..operators.cleaning import exclude_regions
@@ -59,6 +60,17 @@ def read_lenient(spark: SparkSession, path: str, schema: StructType) -> tuple[Da
     return rows.where(F.col(SURPLUS).isNull()).drop(SURPLUS), rows.where(F.col(SURPLUS).isNotNull())
 
 
+def read_partitioned(spark: SparkSession, path: str, date_from: str | None = None, date_to: str | None = None,
+                     date: str = "price_date") -> DataFrame:
+    """Quotes stored by year-month; the date range also prunes month folders."""
+    rows = spark.read.parquet(path)
+    if date_from:
+        rows = rows.where(F.col("ym") >= date_from[:7])
+    if date_to:
+        rows = rows.where(F.col("ym") <= date_to[:7])
+    return rows.where(between_dates(date, date_from, date_to)).drop("ym")
+
+
 def external_table(spark: SparkSession, path: str, schema: StructType, name: str) -> DataFrame:
     """A folder of header CSV files as a named view with a fixed schema."""
     df = read_csv(spark, path, schema)
