@@ -581,3 +581,26 @@ UNION ALL SELECT 'variety_score', 15
 UNION ALL SELECT 'cross_table_profile', (SELECT count(*) FROM (SELECT 1 FROM prices GROUP BY variety, province HAVING count(*) >= 10))
 UNION ALL SELECT 'forecast_statistical', (SELECT 4 * count(DISTINCT variety) FROM prices)""")
 add("incremental_ingest", "SELECT * FROM clean_prices", *CLEAN_P)
+
+# --- 2.2 scalar functions, 2.6 value discard ------------------------------
+add("scalar_math", """
+SELECT variety, province, round(gap, 3) AS gap, round(abs(gap), 3) AS size, CAST(sign(gap) AS INT) AS direction,
+       round(least(50::DOUBLE, greatest(-50::DOUBLE, gap)), 3) AS clipped, coalesce(nullif(n, 100), 0) AS n_or_zero,
+       round(gap / CASE WHEN n % 2 = 0 THEN NULL ELSE n END, 6) AS per_quote
+FROM (SELECT variety, province, avg(max_price + min_price - 2 * avg_price) AS gap, count(*) AS n FROM prices GROUP BY ALL)""")
+add("scalar_date", """
+SELECT price_date, count(*) AS quotes, CAST(month(price_date) AS INT) AS month, CAST(dayofyear(price_date) AS INT) AS day_of_year,
+       CAST(year(price_date) AS INT) AS year, price_date + 30 AS ahead, price_date - 60 AS before,
+       CAST(date_diff('day', DATE '1995-01-01', price_date) AS INT) AS day_no, strftime(price_date, '%Y-%m') AS ym,
+       CAST(date_trunc('month', price_date) AS DATE) AS first_day FROM prices GROUP BY price_date""")
+add("scalar_string", """
+SELECT split_part(supply_region, ' > ', 2) AS second, trim(split_part(supply_region, '>', 3)) AS last,
+       replace(supply_region, ' > ', '/') AS path, regexp_replace(product_url, '^https?://', '') AS bare_url,
+       regexp_extract(product_url, '/sell/(\\d+)\\.html', 1) AS offer, count(*) AS listings
+FROM seeds GROUP BY supply_region, product_url""")
+add("conditional", """
+SELECT variety, CASE WHEN avg_price >= 10000 THEN 'A' WHEN avg_price >= 2000 THEN 'B' WHEN avg_price >= 500 THEN 'C' ELSE 'D' END AS band,
+       count(*) AS quotes FROM prices GROUP BY ALL""")
+add("except_values", """
+(SELECT province FROM prices UNION SELECT province FROM seeds UNION SELECT province FROM suppliers)
+EXCEPT SELECT * FROM (VALUES ('NATION_1'), ('NATION_2'))""")

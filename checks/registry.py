@@ -889,3 +889,59 @@ def incremental_ingest(spark, sf_dir):
     take()
     writers.append_rows(raw.where(~early | (F.col("variety") == "白菜")), landing)
     return take()
+
+
+# --- 2.2 scalar functions, 2.6 value discard ------------------------------
+
+@over(sv.prices)
+def scalar_math(prices):
+    """Rounding, clipping, sign and null handling on the mean gap between high and low quotes."""
+    cells = prices.groupBy("variety", "province").agg(
+        F.avg(F.col("max_price") + F.col("min_price") - 2 * F.col("avg_price")).alias("gap"), F.count(F.lit(1)).alias("n")
+    )
+    gap = F.col("gap")
+    return cells.select(
+        "variety", "province", numbers.round_out(gap, 3).alias("gap"), numbers.round_out(F.abs(gap), 3).alias("size"),
+        F.signum(gap).cast("int").alias("direction"),
+        numbers.round_out(F.least(F.lit(50.0), F.greatest(F.lit(-50.0), gap)), 3).alias("clipped"),
+        F.coalesce(F.nullif("n", F.lit(100).cast("bigint")), F.lit(0).cast("bigint")).alias("n_or_zero"),
+        numbers.round_out(numbers.ratio(gap, F.when(F.col("n") % 2 == 0, F.lit(0.0)).otherwise(F.col("n"))), 6).alias("per_quote"),
+    )
+
+
+@over(sv.prices)
+def scalar_date(prices):
+    d = F.col("price_date")
+    return prices.groupBy("price_date").agg(F.count(F.lit(1)).alias("quotes")).select(
+        "price_date", "quotes", F.month(d).alias("month"), F.dayofyear(d).alias("day_of_year"), F.year(d).alias("year"),
+        F.date_add(d, 30).alias("ahead"), F.date_sub(d, 60).alias("before"),
+        F.datediff(d, F.lit("1995-01-01").cast("date")).alias("day_no"),
+        dates.year_month(d).alias("ym"), F.trunc(d, "month").alias("first_day"),
+    )
+
+
+@over(sv.seeds)
+def scalar_string(seeds):
+    return seeds.groupBy("supply_region", "product_url").agg(F.count(F.lit(1)).alias("listings")).select(
+        F.get(F.split("supply_region", " > "), F.lit(1)).alias("second"),
+        F.trim(F.substring_index("supply_region", ">", -1)).alias("last"),
+        F.replace("supply_region", F.lit(" > "), F.lit("/")).alias("path"),
+        F.regexp_replace("product_url", "^https?://", "").alias("bare_url"),
+        F.regexp_extract("product_url", r"/sell/(\d+)\.html", 1).alias("offer"),
+        "listings",
+    )
+
+
+@over(sv.prices)
+def conditional(prices):
+    """Quotes per price band, with the bands as a multi-branch condition."""
+    p = F.col("avg_price")
+    band = F.when(p >= 10000, "A").when(p >= 2000, "B").when(p >= 500, "C").otherwise("D")
+    return prices.groupBy("variety", band.alias("band")).agg(F.count(F.lit(1)).alias("quotes"))
+
+
+@three
+def except_values(prices, seeds, suppliers):
+    """Distinct provinces less a discarded set of values."""
+    discarded = ("NATION_1", "NATION_2")
+    return quality.key_union("province", prices, seeds, suppliers).where(~F.col("province").isin(*discarded))
