@@ -271,7 +271,7 @@ add("price_cv_norm", "SELECT variety, round(cv, 6) AS cv, round(1 - cv / max(cv)
 add("province_panorama", """
 SELECT 'NATION_4' AS province, (SELECT count(*) FROM seeds WHERE province = 'NATION_4') AS seed_count,
        (SELECT count(*) FROM suppliers WHERE province = 'NATION_4') AS supplier_count,
-       (SELECT round(avg(avg_price), 2) FROM prices WHERE province = 'NATION_4') AS avg_price""")
+       coalesce((SELECT round(avg(avg_price), 2) FROM prices WHERE province = 'NATION_4'), 0) AS avg_price""")
 add("province_compare", """
 SELECT position, province, coalesce(s, 0) AS seed_count, coalesce(u, 0) AS supplier_count, coalesce(m, 0) AS avg_price,
        coalesce(nv, 0) AS varieties, coalesce(nm, 0) AS markets

@@ -41,6 +41,8 @@ def append_new_rows(target: str, clean: Callable[[DataFrame], DataFrame], date:
             if held is not None:
                 same = [rows[c].eqNullSafe(held[c]) for c in rows.columns]
                 new = rows.join(held, same, "left_anti")
+            # One file per month and batch unless a month is heavy; AQE splits those.
+            new = new.hint("rebalance", "ym")
             new.write.mode("overwrite").partitionBy("ym").parquet(f"{target}/batch_id={batch_id}")
         finally:
             rows.unpersist()
