@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from ..functions.numbers import ratio, round_out
 from ..functions.settle import settle
-from ..operators import forecast_stat, listings, pricing, profiles, scoring
+from ..operators import forecast_ml, forecast_stat, listings, pricing, profiles, scoring
 from ..sources.writers import write_result
 
 CELL = ["variety", "province", "month"]
@@ -65,6 +65,27 @@ def reports(prices: DataFrame, seeds: DataFrame, suppliers: DataFrame) -> dict[s
     }
 
 
-def run(prices: DataFrame, seeds: DataFrame, suppliers: DataFrame, out: str, fmt: str = "parquet") -> list[str]:
-    """Compute and store every report below ``out``."""
-    return [write_result(df, f"{out}/{name}", fmt) for name, df in reports(prices, seeds, suppliers).items()]
+def forest_reports(prices: DataFrame, seeds: DataFrame, suppliers: DataFrame, **forest) -> dict[str, DataFrame]:
+    """Train the forest once and report its forecast with bounds, its scores and its importances.
+
+    The scores of the seasonal-naive rule on the same rows stand beside the model's.
+    """
+    frame = forecast_ml.training_frame(prices, seeds, suppliers)
+    model = forecast_ml.rf_train(frame.where("is_train"), **forest)
+    scores = settle(forecast_ml.model_metrics(model.transform(frame.where("NOT is_train")), model), "model-metrics")
+    naive = forecast_ml.regression_metrics(forecast_ml.seasonal_naive(frame))
+    predicted = forecast_ml.forecast(model, prices, seeds, suppliers)
+    return {
+        "price_prediction": forecast_ml.forecast_postprocess(predicted, scores),
+        "model_metrics": scores.unionByName(naive.withColumn("metric", F.concat(F.lit("naive_"), "metric"))),
+        "feature_importance": forecast_ml.feature_importance(prices.sparkSession, model),
+    }
+
+
+def run(prices: DataFrame, seeds: DataFrame, suppliers: DataFrame, out: str, fmt: str = "parquet",
+        with_forest: bool = False, **forest) -> list[str]:
+    """Compute and store every report below ``out``, the forest's too when asked for."""
+    plans = reports(prices, seeds, suppliers)
+    if with_forest:
+        plans.update(forest_reports(prices, seeds, suppliers, **forest))
+    return [write_result(df, f"{out}/{name}", fmt) for name, df in plans.items()]

@@ -103,3 +103,14 @@ def test_statistical_forecast_bounds(quotes, step, heading):
     for r in rows:
         assert 0.5 * r.current_avg_price - 0.01 <= r.confidence_lower <= r.predicted_price <= r.confidence_upper <= 1.5 * r.current_avg_price + 0.01
         assert r.prediction_date == dt.date(2024, 2, 9) + dt.timedelta(days=r.horizon)
+
+
+def test_batch_stores_the_forest_reports(spark, views, tmp_path):
+    from marketlens.plans import batch
+
+    paths = batch.run(*views, str(tmp_path), with_forest=True, num_trees=3, max_depth=4)
+    stored = {p.rsplit("/", 1)[-1]: spark.read.parquet(p) for p in paths}
+    assert {"cross_table_profile", "price_prediction", "model_metrics", "feature_importance"} <= set(stored)
+    rows = stored["price_prediction"].collect()
+    assert rows and all(r.confidence_lower <= r.predicted_price <= r.confidence_upper for r in rows)
+    assert {"RMSE", "naive_RMSE", "numTrees"} <= {r.metric for r in stored["model_metrics"].collect()}
