@@ -10,28 +10,23 @@ of executors.
 
 from __future__ import annotations
 
-import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
-_LOCAL_DIRS: dict[str, str] = {}
-
 
 def shared_dir(spark: SparkSession) -> str:
     """The shared folder named by ``spark.checkpoint.dir``.
 
-    Only a local session that names none gets a temporary folder.
+    A session that names none uses a folder beside its warehouse tables, which
+    the cluster's file system holds as well.
     """
     named = spark.conf.get("spark.checkpoint.dir", None)
     if named:
         return named.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
-        raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
-    app = spark.sparkContext.applicationId
-    if app not in _LOCAL_DIRS:
-        _LOCAL_DIRS[app] = tempfile.mkdtemp(prefix="marketlens-")
-    return _LOCAL_DIRS[app]
+    return spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/_settled"
 
 
 def fresh_path(spark: SparkSession, label: str) -> str:
@@ -44,3 +39,38 @@ def settle(df: DataFrame, label: str) -> DataFrame:
     path = fresh_path(df.sparkSession, label)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def delete_path(spark: SparkSession, path: str) -> None:
+    """Remove a settled table through the cluster's file system."""
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
+
+
+class Settled:
+    """Settled tables with one owner, which deletes them when it is done."""
+
+    def __init__(self, spark: SparkSession):
+        self.spark = spark
+        self.paths: list[str] = []
+
+    def keep(self, df: DataFrame, label: str) -> DataFrame:
+        path = fresh_path(self.spark, label)
+        self.paths.append(path)
+        df.write.parquet(path)
+        return self.spark.read.schema(df.schema).parquet(path)
+
+    def drop(self) -> None:
+        for path in self.paths:
+            delete_path(self.spark, path)
+        self.paths.clear()
+
+
+@contextmanager
+def settled(spark: SparkSession) -> Iterator[Settled]:
+    """Tables settled inside the block are deleted at its end."""
+    owner = Settled(spark)
+    try:
+        yield owner
+    finally:
+        owner.drop()
