@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from marketlens.llm import packing, sharding, token_store
+from marketlens.llm import near_dup, packing, sharding, token_store
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -17,6 +17,10 @@ def op1_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.packed_documents(_table(spark, sf_dir, "documents"))
 
 
+def op2_minhash_near_dup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_dup.near_duplicates(_table(spark, sf_dir, "documents"))
+
+
 def op7_jump_hash_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.assign_shards(_table(spark, sf_dir, "documents"))
 
@@ -27,6 +31,7 @@ def op8_token_store(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_best_fit_packing": op1_best_fit_packing,
+    "op2_minhash_near_dup": op2_minhash_near_dup,
     "op7_jump_hash_sharding": op7_jump_hash_sharding,
     "op8_token_store": op8_token_store,
 }
