@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from marketlens.llm import near_dup, packing, sharding, suffixes, token_store
+from marketlens.llm import near_dup, packing, sharding, suffixes, token_store, toxicity
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -33,12 +33,17 @@ def op8_token_store(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_store.round_trip(spark, _table(spark, sf_dir, "documents"))
 
 
+def op9_factorization_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.toxic_documents(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_best_fit_packing": op1_best_fit_packing,
     "op2_minhash_near_dup": op2_minhash_near_dup,
     "op5_suffix_dedup": op5_suffix_dedup,
     "op7_jump_hash_sharding": op7_jump_hash_sharding,
     "op8_token_store": op8_token_store,
+    "op9_factorization_toxicity": op9_factorization_toxicity,
 }
 
 ORACLE: dict[str, str] = {}
