@@ -108,7 +108,7 @@ class Machine:
         squares = np.bincount(owner, (self.vectors[found] ** 2).sum(axis=1), n)
         return self.bias + linear + 0.5 * ((total**2).sum(axis=1) - squares), total
 
-    def fit(self, labels: np.ndarray, texts: list[np.ndarray], rounds: int = 30, batch: int = 2048, rate: float = 0.02, decay: float = 2e-4) -> None:
+    def fit(self, labels: np.ndarray, texts: list[np.ndarray], rounds: int = 40, batch: int = 1024, rate: float = 0.03, decay: float = 5e-5) -> None:
         """Minimise the log loss by Adam over small batches, in a fixed order."""
         random = np.random.default_rng(3)
         parts = [np.array([self.bias]), self.weights, self.vectors]
