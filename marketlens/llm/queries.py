@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from marketlens.llm import near_dup, packing, sharding, suffixes, token_store, toxicity
+from marketlens.llm import html_text, near_dup, packing, sharding, suffixes, token_store, toxicity
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -37,6 +37,10 @@ def op9_factorization_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.toxic_documents(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
 
 
+def op10_template_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_text.main_texts(_table(spark, sf_dir, "pages"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_best_fit_packing": op1_best_fit_packing,
     "op2_minhash_near_dup": op2_minhash_near_dup,
@@ -44,6 +48,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op7_jump_hash_sharding": op7_jump_hash_sharding,
     "op8_token_store": op8_token_store,
     "op9_factorization_toxicity": op9_factorization_toxicity,
+    "op10_template_html_text": op10_template_html_text,
 }
 
 ORACLE: dict[str, str] = {}
