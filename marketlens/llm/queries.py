@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from marketlens.llm import html_text, near_dup, packing, sharding, suffixes, token_store, toxicity
+from marketlens.llm import html_text, near_dup, packing, sharding, suffixes, token_store, toxicity, warc
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -21,6 +21,10 @@ def op2_minhash_near_dup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_dup.near_duplicates(_table(spark, sf_dir, "documents"))
 
 
+def op4_warc_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return warc.round_trip(spark, _table(spark, sf_dir, "pages"))
+
+
 def op5_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return suffixes.remove_repeats(_table(spark, sf_dir, "documents").select("doc_id", "text"))
 
@@ -44,6 +48,7 @@ def op10_template_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_best_fit_packing": op1_best_fit_packing,
     "op2_minhash_near_dup": op2_minhash_near_dup,
+    "op4_warc_round_trip": op4_warc_round_trip,
     "op5_suffix_dedup": op5_suffix_dedup,
     "op7_jump_hash_sharding": op7_jump_hash_sharding,
     "op8_token_store": op8_token_store,
