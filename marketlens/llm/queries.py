@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from marketlens.llm import html_text, near_dup, packing, sharding, suffixes, token_store, toxicity, warc
+from marketlens.llm import decontaminate, html_text, near_dup, packing, sharding, suffixes, token_store, toxicity, warc
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -29,6 +29,10 @@ def op5_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return suffixes.remove_repeats(_table(spark, sf_dir, "documents").select("doc_id", "text"))
 
 
+def op6_template_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontaminate.contaminated(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
+
+
 def op7_jump_hash_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.assign_shards(_table(spark, sf_dir, "documents"))
 
@@ -50,6 +54,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_minhash_near_dup": op2_minhash_near_dup,
     "op4_warc_round_trip": op4_warc_round_trip,
     "op5_suffix_dedup": op5_suffix_dedup,
+    "op6_template_decontamination": op6_template_decontamination,
     "op7_jump_hash_sharding": op7_jump_hash_sharding,
     "op8_token_store": op8_token_store,
     "op9_factorization_toxicity": op9_factorization_toxicity,
