@@ -199,7 +199,7 @@ def near_duplicates(docs: DataFrame, percent: int = SIMILAR_PERCENT, list_member
 def stage(spark, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Pipeline stage: one document of each near-duplicate group stays.
 
-    Rows that repeat the kept ``doc_id`` stay once if they are equal.
+    Rows that repeat a kept ``doc_id`` stay.
     """
-    dropped = near_duplicates(docs).where(~F.col("kept")).select("doc_id").distinct()
+    dropped = settle(near_duplicates(docs).where(~F.col("kept")).select("doc_id").distinct(), "dropped")
     return docs.join(dropped, "doc_id", "left_anti").select(docs.columns)

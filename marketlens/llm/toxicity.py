@@ -195,8 +195,8 @@ def train(docs: DataFrame, labels: DataFrame, sample_rows: int = SAMPLE_ROWS, ac
     return machine
 
 
-def score(docs: DataFrame, machine: Machine) -> DataFrame:
-    """All columns of ``docs`` with ``score``; a null text scores as an empty one."""
+def score(docs: DataFrame, machine: Machine, name: str = "score") -> DataFrame:
+    """All columns of ``docs`` and the score as ``name``; a null text scores as an empty one."""
     model = docs.sparkSession.sparkContext.broadcast(machine)
     row = F.struct(*[F.col(f"`{c}`") for c in docs.columns])
     packed = docs.select(row.alias("row"), F.col("text").cast("string").alias("text"))
@@ -205,9 +205,9 @@ def score(docs: DataFrame, machine: Machine) -> DataFrame:
         for batch in batches:
             for first, end, found, owner in _term_sets(batch.column(1), model.value.numbered):
                 rated = model.value.scores(end - first, found, owner)
-                yield pa.RecordBatch.from_arrays([batch.column(0).slice(first, end - first), pa.array(rated)], names=["row", "score"])
+                yield pa.RecordBatch.from_arrays([batch.column(0).slice(first, end - first), pa.array(rated)], names=["row", "rated"])
 
-    return packed.mapInArrow(rate, f"row {packed.schema['row'].dataType.simpleString()}, score double").select("row.*", "score")
+    return packed.mapInArrow(rate, f"row {packed.schema['row'].dataType.simpleString()}, rated double").select("row.*", F.col("rated").alias(name))
 
 
 def toxic_documents(docs: DataFrame, labels: DataFrame) -> DataFrame:
@@ -219,8 +219,8 @@ def toxic_documents(docs: DataFrame, labels: DataFrame) -> DataFrame:
 
 def stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Pipeline stage: documents that the machine finds toxic go."""
-    machine = train(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
-    slim = docs.drop("score")
-    return score(slim, machine).where(F.col("score") < THRESHOLD).select(slim.columns) if slim.columns == docs.columns else (
-        score(docs.withColumnRenamed("score", "_own_score"), machine).where(F.col("score") < THRESHOLD).drop("score")
-        .withColumnRenamed("_own_score", "score").select(docs.columns))
+    name = "toxicity"
+    while name in docs.columns:
+        name += "_"
+    scored = score(docs, train(docs, spark.read.parquet(f"{sf_dir}/labels.parquet")), name)
+    return scored.where(F.col(name) < THRESHOLD).select(docs.columns)
