@@ -203,7 +203,7 @@ def digest_row(text: bytes, spans: list[tuple[int, int]]) -> tuple:
 
 
 def cleaned_row(text: bytes, spans: list[tuple[int, int]]) -> tuple:
-    """``cleaned``: the text without the characters that lie whole in a span."""
+    """The text without the characters that lie whole in a span."""
     whole = []
     for lo, hi in spans:
         while lo < hi and text[lo] & 0xC0 == 0x80:
@@ -216,7 +216,6 @@ def cleaned_row(text: bytes, spans: list[tuple[int, int]]) -> tuple:
 
 
 DIGEST = "n_bytes long, n_removed long, n_spans long, kept_sha256 string", digest_row
-CLEANED = "cleaned string", cleaned_row
 
 
 def _rows(values: list[tuple], schema: pa.Schema) -> list[pa.Array]:
@@ -228,10 +227,12 @@ def remove_repeats(docs: DataFrame, output: tuple[str, Callable] = DIGEST, token
     """Every row of ``docs`` without ``text``, with columns made from the text and its repeated spans.
 
     ``output`` is a schema and a function of the text's bytes and the merged
-    spans, such as ``DIGEST`` or ``CLEANED``.
+    spans, such as ``DIGEST``. Columns of ``docs`` with a name of that schema
+    give way.
     """
     fields, make = output
-    row = F.struct(*[F.col(f"`{c}`") for c in docs.columns if c != "text"])
+    made = _arrow_schema(docs.sparkSession, fields)
+    row = F.struct(*[F.col(f"`{c}`") for c in docs.columns if c != "text" and c not in made.names])
     base = docs.select(row.alias("row"), F.coalesce(F.col("doc_id").cast("long"), F.lit(-1)).alias("doc_id"),
                        F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text")).withColumn("stamp", F.hash("text"))
     found = settle(repeated_suffixes(base.select("doc_id", "stamp", "text"), bucket_suffixes), "repeated-suffixes")
@@ -243,7 +244,6 @@ def remove_repeats(docs: DataFrame, output: tuple[str, Callable] = DIGEST, token
         F.collect_list(F.when(border, place)).alias("places"),
     )
     joined = base.join(per_row.hint("shuffle_hash"), ["doc_id", "stamp"], "left").select("row", "doc_id", "stamp", "text", "spans", "places")
-    made = _arrow_schema(docs.sparkSession, fields)
     row_type = docs.select(row.alias("row")).schema["row"].dataType.simpleString()
     contexts_type = "array<struct<token:bigint,many:boolean,known:boolean,lo:int,hi:int>>"
     spans_type = "array<struct<lo:int,hi:int>>"
@@ -366,7 +366,10 @@ def _windows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def stage(spark, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Pipeline stage: texts without their repeated passages; ``n_chars`` follows."""
-    cleaned = remove_repeats(docs, CLEANED).withColumnRenamed("cleaned", "text")
+    name = "cleaned"
+    while name in docs.columns:
+        name += "_"
+    cleaned = remove_repeats(docs, (f"{name} string", cleaned_row)).withColumnRenamed(name, "text")
     if "n_chars" in docs.columns:
         cleaned = cleaned.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType))
     return cleaned.select(docs.columns)
