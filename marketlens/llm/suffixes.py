@@ -237,7 +237,8 @@ def remove_repeats(docs: DataFrame, output: tuple[str, Callable] = DIGEST, token
                        F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text")).withColumn("stamp", F.hash("text"))
     found = settle(repeated_suffixes(base.select("doc_id", "stamp", "text"), bucket_suffixes), "repeated-suffixes")
     border = (~F.col("same")) | (F.col("lead") & F.col("mixed"))
-    many = found.where(border).groupBy("token").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > token_contexts).select("token", F.lit(True).alias("many"))
+    # Stored, so that its size is known: it is broadcast while it is small, and a hot token's rows stay where they are.
+    many = settle(found.where(border).groupBy("token").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > token_contexts).select("token", F.lit(True).alias("many")), "hot-tokens")
     place = F.struct("token", F.coalesce("many", F.lit(False)).alias("many"), F.col("same").alias("known"), F.col("at") - F.col("back"), F.col("at") + F.col("ahead"))
     per_row = found.join(many, "token", "left").groupBy("doc_id", "stamp").agg(
         F.collect_list(F.when(F.col("same"), F.struct((F.col("at") - F.col("back")).alias("lo"), (F.col("at") + F.col("ahead") + WIDTH).alias("hi")))).alias("spans"),
