@@ -6,14 +6,17 @@
 2. Representatives are posted under every (coordinate, value). Two texts of
    the wanted similarity agree in ``MATCHES`` coordinates at least (they miss
    with a chance of about one in a million at the threshold itself), so a text
-   that meets others in fewer coordinates is skipped.
+   that meets others in fewer coordinates is skipped. So is one whose full set
+   has too few shingles in common with all other candidates together.
 3. Of any ``MATCHES`` agreeing coordinates the first lies in a prefix of
    ``COORDINATES - MATCHES + 1``, so only that prefix is joined. In a first
-   round each posting list links its members to its smallest one, which folds
-   groups of many near copies without forming their pairs.
+   round each posting list links its members to its hub, the member that meets
+   most others, which folds groups of many near copies without their pairs.
 4. In a second round lists that still hold several components are joined
-   within themselves, but only between components. A list that is too long is
-   first split by the next agreeing coordinates, of which there must be more.
+   within themselves, only between components, only where sizes and shared
+   shingles leave the similarity possible, and only in the first list in which
+   two texts agree, so that each pair comes once. A long list is cut into
+   blocks, and every two blocks meet in a cell of their own.
 5. Every candidate pair is confirmed on its full shingle sets.
 
 A text shorter than five words has its whole sequence as one shingle; one
@@ -37,8 +40,8 @@ from marketlens.llm.components import components
 COORDINATES = 16
 MATCHES = 6
 PREFIX = COORDINATES - MATCHES + 1
-#: Members of a posting list that are compared with each other at once.
-LIST_MEMBERS = 64
+#: Members of a block of a posting list.
+LIST_MEMBERS = 512
 SIMILAR_PERCENT = 85
 
 _random = np.random.default_rng(7)
@@ -106,52 +109,55 @@ def _agreeing(a: Column, b: Column) -> Column:
     return F.aggregate(F.zip_with(a, b, lambda x, y: F.when(x == y, 1).otherwise(0)), F.lit(0), lambda s, x: s + x)
 
 
-def _confirmed(pairs: DataFrame, posted: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """The distinct pairs ``a < b`` that agree in enough coordinates and whose full sets are similar."""
-    left = posted.select(F.col("doc_id").alias("a"), F.col("sketch").alias("sketch_a"), F.col("n_shingles").alias("n_a"))
-    right = posted.select(F.col("doc_id").alias("b"), F.col("sketch").alias("sketch_b"), F.col("n_shingles").alias("n_b"))
-    likely = (
-        pairs.distinct().join(left, "a").join(right, "b")
-        .where((_agreeing(F.col("sketch_a"), F.col("sketch_b")) >= MATCHES)
-               & (F.least("n_a", "n_b") * 100 >= F.greatest("n_a", "n_b") * percent))
-        .select("a", "b")
+def _possible(a: str, b: str, percent: int) -> Column:
+    """Whether sizes, shingles shared with any candidate, and sketches of two texts allow the similarity."""
+    n_a, n_b = F.col(f"{a}.n_shingles"), F.col(f"{b}.n_shingles")
+    return (
+        (F.least(n_a, n_b) * 100 >= F.greatest(n_a, n_b) * percent)
+        & (F.least(f"{a}.shared", f"{b}.shared") * (100 + percent) >= (n_a + n_b) * percent)
+        & (_agreeing(F.col(f"{a}.sketch"), F.col(f"{b}.sketch")) >= MATCHES)
     )
+
+
+def _confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """The pairs ``a, b`` whose full sets are similar."""
     shared = F.size(F.array_intersect("set_a", "set_b"))
     return (
-        likely.join(sets.select(F.col("doc_id").alias("a"), F.col("shingles").alias("set_a")), "a")
+        pairs.join(sets.select(F.col("doc_id").alias("a"), F.col("shingles").alias("set_a")), "a")
         .join(sets.select(F.col("doc_id").alias("b"), F.col("shingles").alias("set_b")), "b")
         .where(shared * 100 >= (F.size("set_a") + F.size("set_b") - shared) * percent)
         .select("a", "b")
     )
 
 
-def _cross_pairs(posts: DataFrame, joined: DataFrame, list_members: int) -> DataFrame:
-    """Pairs of members of different components that meet in a posting list.
+def _star_pairs(posts: DataFrame, percent: int) -> DataFrame:
+    """Each member of a list with the list's hub."""
+    reach = posts.groupBy("doc_id").agg(F.sum("members").alias("reach"))
+    hubs = posts.join(reach, "doc_id").groupBy("key").agg(F.max_by(F.struct("doc_id", "n_shingles", "shared", "sketch"), F.struct("reach", -F.col("doc_id"))).alias("x"))
+    return (
+        posts.alias("y").join(hubs, "key").where((F.col("x.doc_id") != F.col("y.doc_id")) & _possible("x", "y", percent))
+        .select(F.least("x.doc_id", "y.doc_id").alias("a"), F.greatest("x.doc_id", "y.doc_id").alias("b")).distinct()
+    )
 
-    ``posts(doc_id, component, sketch, key, last)`` are the lists of single
-    coordinates; ``last`` is the coordinate's number. A list over
-    ``list_members`` is split by each later coordinate, up to ``MATCHES``.
-    """
-    found = None
-    for depth in range(1, MATCHES + 1):
-        lists = posts.groupBy("key").agg(F.count(F.lit(1)).alias("members"), F.min("component").alias("low"), F.max("component").alias("high"))
-        mixed = lists.where("low < high").select("key", "members")
-        posts = settle(posts.join(mixed, "key"), "mixed-posts")
-        ready = posts if depth == MATCHES else posts.where(F.col("members") <= list_members)
-        left = ready.select("key", F.col("doc_id").alias("x"), F.col("component").alias("of_x"))
-        right = ready.select("key", F.col("doc_id").alias("y"), F.col("component").alias("of_y"))
-        pairs = left.join(right, "key").where("of_x < of_y").select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct()
-        found = pairs if found is None else found.union(pairs)
-        posts = posts.where(F.col("members") > list_members)
-        if depth == MATCHES or posts.isEmpty():
-            break
-        later = F.expr(f"explode(sequence(last + 1, {PREFIX + depth}))")
-        posts = (
-            posts.where(F.col("last") < PREFIX + depth)
-            .select("doc_id", "component", "sketch", "key", later.alias("next"))
-            .select("doc_id", "component", "sketch", F.xxhash64("key", "next", F.element_at("sketch", F.col("next"))).alias("key"), F.col("next").alias("last"))
-        )
-    return found
+
+def _cross_pairs(posts: DataFrame, percent: int, list_members: int) -> DataFrame:
+    """Possible pairs between the components that meet in a posting list, each in the first list it agrees in."""
+    lists = posts.groupBy("key").agg(F.count(F.lit(1)).alias("n"), F.min("component").alias("low"), F.max("component").alias("high"))
+    mixed = lists.where("low < high").select("key", F.ceil(F.col("n") / list_members).cast("int").alias("blocks"))
+    cells = settle(
+        posts.join(mixed, "key").withColumn("own", F.pmod(F.xxhash64("doc_id"), F.col("blocks")).cast("int"))
+        .withColumn("other", F.explode(F.expr("sequence(0, blocks - 1)")))
+        .select("doc_id", "n_shingles", "shared", "sketch", "component", "at", "own", "key", F.least("own", "other").alias("low"), F.greatest("own", "other").alias("high")),
+        "cells",
+    )
+    x, y = cells.alias("x"), cells.alias("y")
+    met = [F.col(f"x.{c}") == F.col(f"y.{c}") for c in ("key", "low", "high")]
+    earlier = _agreeing(F.slice("x.sketch", F.lit(1), F.col("x.at")), F.slice("y.sketch", F.lit(1), F.col("x.at"))) == 0
+    apart = (F.col("x.component") < F.col("y.component")) & ((F.col("x.low") == F.col("x.high")) | (F.col("x.own") != F.col("y.own")))
+    return (
+        x.join(y, met[0] & met[1] & met[2] & apart & _possible("x", "y", percent) & earlier)
+        .select(F.least("x.doc_id", "y.doc_id").alias("a"), F.greatest("x.doc_id", "y.doc_id").alias("b"))
+    )
 
 
 def near_duplicates(docs: DataFrame, percent: int = SIMILAR_PERCENT, list_members: int = LIST_MEMBERS) -> DataFrame:
@@ -169,23 +175,28 @@ def near_duplicates(docs: DataFrame, percent: int = SIMILAR_PERCENT, list_member
     posts = classes.select("doc_id", F.posexplode("sketch").alias("at", "value"))
     met = posts.groupBy("at", "value").agg(F.count(F.lit(1)).alias("members")).where("members > 1").select("at", "value")
     enough = posts.join(met, ["at", "value"]).groupBy("doc_id").agg(F.count(F.lit(1)).alias("met")).where(F.col("met") >= MATCHES).select("doc_id")
-    posted = settle(classes.join(enough, "doc_id", "left_semi").dropDuplicates(["doc_id"]), "posted")
+    posted = settle(classes.join(enough, "doc_id", "left_semi").dropDuplicates(["doc_id"]).select("doc_id", "n_shingles", "sketch"), "posted")
     sets = settle(
         shingle_sets(docs.join(posted.select("doc_id").hint("shuffle_hash"), "doc_id", "left_semi")).dropDuplicates(["doc_id"]), "shingle-sets"
     )
-    lists = settle(
-        posted.select("doc_id", "sketch", F.posexplode(F.slice("sketch", 1, PREFIX)).alias("at", "value"))
-        .select("doc_id", (F.col("at") + 1).alias("last"), F.xxhash64("at", "value").alias("key")), "posts",
+    alone = (
+        sets.select("doc_id", F.explode("shingles").alias("shingle")).groupBy("shingle").agg(F.count(F.lit(1)).alias("n"), F.min("doc_id").alias("doc_id"))
+        .where("n = 1").groupBy("doc_id").agg(F.count(F.lit(1)).alias("alone"))
     )
-    centres = lists.groupBy("key").agg(F.min("doc_id").alias("a"), F.count(F.lit(1)).alias("members")).where("members > 1").select("key", "a")
-    stars = settle(_confirmed(lists.join(centres, "key").where("a < doc_id").select("a", F.col("doc_id").alias("b")), posted, sets, percent), "star-links")
-    folded = components(stars)
-    coloured = (
-        lists.join(folded.withColumnRenamed("node", "doc_id"), "doc_id", "left")
-        .select("doc_id", F.coalesce("component", "doc_id").alias("component"), "key", "last")
-        .join(posted.select("doc_id", "sketch"), "doc_id")
+    likely = (
+        posted.join(alone, "doc_id", "left").withColumn("shared", F.col("n_shingles") - F.coalesce("alone", F.lit(0)))
+        .where(F.col("shared") * 100 >= F.col("n_shingles") * percent)
     )
-    more = _confirmed(_cross_pairs(coloured, posted, list_members), posted, sets, percent)
+    prefix = settle(
+        likely.select("doc_id", "n_shingles", "shared", "sketch", F.posexplode(F.slice("sketch", 1, PREFIX)).alias("at", "value"))
+        .withColumn("key", F.xxhash64("at", "value")).drop("value"), "posts",
+    )
+    sizes = prefix.groupBy("key").agg(F.count(F.lit(1)).alias("members")).where("members > 1")
+    lists = settle(prefix.join(sizes, "key"), "lists")
+    stars = settle(_confirmed(_star_pairs(lists, percent), sets, percent), "star-links")
+    folded = components(stars)
+    coloured = lists.join(folded.withColumnRenamed("node", "doc_id"), "doc_id", "left").withColumn("component", F.coalesce("component", "doc_id"))
+    more = _confirmed(_cross_pairs(coloured, percent, list_members), sets, percent)
     linked = components(stars.union(more)).withColumnRenamed("node", "class_id")
     members = classes.select("key_a", "key_b", F.col("doc_id").alias("class_id")).join(linked, "class_id", "left")
     return (
