@@ -34,7 +34,7 @@ BEGINNINGS = (4, 5, 6)
 FACTORS = 8
 THRESHOLD = 0.3
 #: Chi-square of a term below which it gets no weight.
-LEAST_CHI_SQUARE = 12.0
+LEAST_CHI_SQUARE = 20.0
 
 _LETTERS = np.zeros(256, bool)
 _LETTERS[[*range(48, 58), *range(65, 91), *range(97, 123), *range(128, 256)]] = True
@@ -108,12 +108,12 @@ class Machine:
         squares = np.bincount(owner, (self.vectors[found] ** 2).sum(axis=1), n)
         return self.bias + linear + 0.5 * ((total**2).sum(axis=1) - squares), total
 
-    def fit(self, labels: np.ndarray, texts: list[np.ndarray], rounds: int = 40, batch: int = 1024, rate: float = 0.03, decay: float = 5e-5) -> None:
+    def fit(self, labels: np.ndarray, texts: list[np.ndarray], steps: int = 1000, batch: int = 1024, rate: float = 0.03, decay: float = 5e-5) -> None:
         """Minimise the log loss by Adam over small batches, in a fixed order."""
         random = np.random.default_rng(3)
         parts = [np.array([self.bias]), self.weights, self.vectors]
         first, second, step = [np.zeros_like(p) for p in parts], [np.zeros_like(p) for p in parts], 0
-        for _ in range(rounds):
+        while step < steps:
             order = random.permutation(len(labels))
             for lo in range(0, len(order), batch):
                 rows = order[lo : lo + batch]
