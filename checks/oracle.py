@@ -181,6 +181,8 @@ SELECT variety, month, price FROM (
   SELECT variety, strftime(price_date, '%Y-%m') AS month, round(avg(avg_price), 2) AS price,
          row_number() OVER (PARTITION BY variety ORDER BY strftime(price_date, '%Y-%m') DESC) AS r
   FROM prices GROUP BY variety, strftime(price_date, '%Y-%m')) WHERE r <= 12""")
+ORACLE["variety_compare_series"] = ORACLE["monthly_trend"].replace(
+    "WHERE r <= 12", "WHERE r <= 12 AND variety IN ('Brand#3', 'Brand#7', 'Brand#11', 'Brand#1', 'Brand#2', 'Brand#5', 'Brand#8')")
 add("seasonal_analysis", """
 SELECT variety, CAST(month AS INT) AS month, monthly_price, round(monthly_price / yearly, 3) AS seasonal_index, round(yearly, 2) AS yearly_avg
 FROM (SELECT variety, avg(avg_price) AS yearly FROM prices GROUP BY variety ORDER BY count(*) DESC, variety LIMIT 8)
@@ -275,7 +277,7 @@ SELECT 'NATION_4' AS province, (SELECT count(*) FROM seeds WHERE province = 'NAT
 add("province_compare", """
 SELECT position, province, coalesce(s, 0) AS seed_count, coalesce(u, 0) AS supplier_count, coalesce(m, 0) AS avg_price,
        coalesce(nv, 0) AS varieties, coalesce(nm, 0) AS markets
-FROM (VALUES (0, 'NATION_4'), (1, 'NATION_1'), (2, 'nowhere'), (3, 'NATION_7'), (4, 'NATION_9')) r(position, province)
+FROM (VALUES (0, 'NATION_4'), (1, 'NATION_1'), (2, 'nowhere'), (3, 'NATION_7'), (4, 'NATION_9'), (5, 'NATION_2'), (6, 'NATION_3')) r(position, province)
 LEFT JOIN (SELECT province, round(avg(avg_price), 2) AS m, count(DISTINCT variety) AS nv, count(DISTINCT market) AS nm FROM prices GROUP BY 1) USING (province)
 LEFT JOIN (SELECT province, count(*) AS s FROM seeds GROUP BY 1) USING (province)
 LEFT JOIN (SELECT province, count(*) AS u FROM suppliers GROUP BY 1) USING (province)""")
@@ -290,7 +292,7 @@ FROM (SELECT province, coalesce(s, 0) AS seed_count, coalesce(u, 0) AS supplier_
 add("variety_compare", """
 SELECT position, variety, avg_price, price_std, round(price_std / avg_price, 3) AS volatility, province_count, market_count,
        coalesce(seed_count, 0) AS seed_count, coalesce(supplier_count, 0) AS supplier_count, record_count
-FROM (VALUES (0, 'Brand#3'), (1, 'Brand#7'), (2, 'no such variety'), (3, 'Brand#11')) r(position, variety)
+FROM (VALUES (0, 'Brand#3'), (1, 'Brand#7'), (2, 'no such variety'), (3, 'Brand#11'), (4, 'Brand#1'), (5, 'Brand#2'), (6, 'Brand#5'), (7, 'Brand#8')) r(position, variety)
 JOIN (SELECT variety, round(avg(avg_price), 2) AS avg_price, round(stddev_samp(avg_price), 2) AS price_std,
              count(DISTINCT province) AS province_count, count(DISTINCT market) AS market_count, count(*) AS record_count
       FROM prices GROUP BY variety) USING (variety)
@@ -308,8 +310,8 @@ add("supply_chain_health", """
 SELECT variety, seeds, suppliers, round(cv, 3) AS cv, round(m, 2) AS avg_price, health_score,
        CASE WHEN health_score >= 0.8 THEN 'A' WHEN health_score >= 0.6 THEN 'B' WHEN health_score >= 0.4 THEN 'C' ELSE 'D' END AS grade,
        round((sim - health_score) * 100::DOUBLE, 1) AS sim_improvement
-FROM (SELECT *, round(ns * 0.4::DOUBLE + (nu * 0.3::DOUBLE + (1::DOUBLE - nc) * 0.3::DOUBLE), 3) AS health_score,
-             round(least(1::DOUBLE, ns * 1.2::DOUBLE) * 0.4::DOUBLE + (nu * 0.3::DOUBLE + (1::DOUBLE - nc) * 0.3::DOUBLE), 3) AS sim
+FROM (SELECT *, round(ns * 0.4::DOUBLE + nu * 0.3::DOUBLE + (1::DOUBLE - nc) * 0.3::DOUBLE, 3) AS health_score,
+             round(least(1::DOUBLE, ns * 1.2::DOUBLE) * 0.4::DOUBLE + nu * 0.3::DOUBLE + (1::DOUBLE - nc) * 0.3::DOUBLE, 3) AS sim
       FROM (SELECT *, seeds / max(seeds) OVER () AS ns, suppliers / max(suppliers) OVER () AS nu, cv / max(cv) OVER () AS nc
             FROM (SELECT variety, coalesce(seed_count, 0) AS seeds, coalesce(supplier_count, 0) AS suppliers, coalesce(s / m, 0) AS cv, m
                   FROM (SELECT variety, stddev_samp(avg_price) AS s, avg(avg_price) AS m FROM prices GROUP BY variety)
@@ -331,6 +333,9 @@ EMA = """ema AS (
                                     lambda y, x: 0.3::DOUBLE * x + 0.7::DOUBLE * y), 4) AS ema
   FROM {t} GROUP BY variety)"""
 add("ema", "SELECT * FROM ema", p.CLEAN, EMA.format(t="prices"))
+_SLOW = EMA.format(t="prices").replace("ema AS", "ema_{n} AS").replace("0.3::DOUBLE", "{a}::DOUBLE").replace("0.7::DOUBLE", "{b}::DOUBLE")
+add("ema_slow", "SELECT *, 0.05::DOUBLE AS alpha FROM ema_a UNION ALL SELECT *, 0.01::DOUBLE AS alpha FROM ema_b", p.CLEAN,
+    _SLOW.format(n="a", a="0.05", b="0.95"), _SLOW.format(n="b", a="0.01", b="0.99"))
 SLOPE = """slopes AS (
   SELECT variety, round(CASE WHEN count(*) >= 5 THEN coalesce(regr_slope(avg_price, date_diff('day', d - 60, price_date)), 0) ELSE 0 END, 6) AS slope
   FROM {t}, newest WHERE price_date >= d - 60 GROUP BY variety)"""
@@ -365,7 +370,7 @@ add("search_suppliers", """
 SELECT * EXCLUDE (l_orderkey, l_partkey, l_suppkey) FROM (
   SELECT *, count(*) OVER () AS total, CAST(1 AS INT) AS page FROM suppliers
   WHERE company_type = 'MACHINERY' AND (regexp_matches(product_name, 'ring|00012') OR regexp_matches(contact_person, 'ring|00012'))
-  ORDER BY publish_date DESC, product_name, contact_person, l_orderkey, l_partkey, l_suppkey LIMIT 100)""")
+  ORDER BY publish_date DESC, product_name, contact_person, l_orderkey, l_partkey, l_suppkey, click_count LIMIT 100)""")
 
 # --- 2.7 forecasting ------------------------------------------------------
 STATS = """stats AS (
@@ -413,6 +418,26 @@ naive_metrics AS (
   UNION ALL SELECT 'MAE', round(avg(abs(avg_price - prediction)), 4) FROM naive)"""
 CUTOFF = CUTOFF.replace("FROM prices, cutoff\n  JOIN", "FROM prices CROSS JOIN cutoff\n  JOIN")
 add("regression_metrics", "SELECT * FROM naive_metrics", p.CLEAN, CUTOFF)
+add("rf_train", """
+SELECT variety, count(*) AS test_rows, round(avg(avg_price), 2) AS mean_price, true AS in_range
+FROM prices CROSS JOIN cutoff WHERE price_date >= c GROUP BY variety""", p.CLEAN, CUTOFF)
+add("model_metrics", """
+SELECT * FROM (VALUES ('numTrees', 50::DOUBLE), ('maxDepth', 10::DOUBLE), ('featureCount', 11::DOUBLE), ('scores_fit', 1::DOUBLE), ('naive_scores_fit', 1::DOUBLE)) v(metric, value)
+UNION ALL SELECT 'test_rows', CAST(count(*) AS DOUBLE) FROM prices CROSS JOIN cutoff WHERE price_date >= c""", p.CLEAN, CUTOFF)
+ORACLE["feature_importance"] = """
+SELECT feature, true AS not_negative, true AS sum_is_one FROM (VALUES ('province_idx'), ('variety_idx'), ('month'), ('day_of_year'), ('year'),
+  ('variety_national_avg'), ('variety_price_std'), ('variety_seed_count'), ('variety_supplier_count'), ('variety_price_records'), ('recent_level')) v(feature)"""
+add("forecast", """
+SELECT CAST(h AS INT) AS horizon, d + h AS forecast_date, variety, round(coalesce(round(r, 4), m), 2) AS current_avg_price, true AS in_band, true AS in_order
+FROM (SELECT variety, avg(avg_price) AS m, avg(avg_price) FILTER (price_date >= d - 30) AS r FROM prices, newest GROUP BY variety)
+CROSS JOIN newest CROSS JOIN (VALUES (7), (14), (30), (60)) w(h)""", p.CLEAN, NEWEST)
+add("forecast_fallbacks", """
+SELECT 7 AS horizon, variety, cur AS current_avg_price, price AS predicted_price,
+       round(least(price + margin, cur * 1.3::DOUBLE), 2) AS confidence_upper, round(greatest(price - margin, cur * 0.7::DOUBLE), 2) AS confidence_lower, bound_by
+FROM (SELECT *, CASE bound_by WHEN 'MAE' THEN 250::DOUBLE ELSE greatest(price * 0.1::DOUBLE, 0.1::DOUBLE) END AS margin
+      FROM (SELECT variety, cur, greatest(round(cur * 0.7::DOUBLE, 2), least(round(cur * 1.3::DOUBLE, 2), top)) AS price
+            FROM (SELECT variety, round(avg(avg_price), 2) AS cur, round(max(avg_price), 2) AS top FROM prices GROUP BY variety))
+      CROSS JOIN (VALUES ('MAE'), ('price')) b(bound_by))""")
 add("trailing_level", """
 SELECT variety, price_date, round(sum(t) OVER w / sum(n) OVER w, 4) AS level
 FROM (SELECT variety, price_date, sum(avg_price) AS t, count(*) AS n FROM prices GROUP BY ALL)

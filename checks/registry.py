@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from marketlens import schemas
@@ -55,8 +56,8 @@ PERIODS = [
     {"label": "since 2000", "from": "2000-01-01"},
     {"label": "empty", "from": "2030-01-01", "to": "2030-12-31"},
 ]
-VARIETIES = ["Brand#3", "Brand#7", "no such variety", "Brand#11"]
-PROVINCES = ["NATION_4", "NATION_1", "nowhere", "NATION_7", "NATION_9", "NATION_2"]
+VARIETIES = ["Brand#3", "Brand#7", "no such variety", "Brand#11", "Brand#1", "Brand#2", "Brand#5", "Brand#8"]
+PROVINCES = ["NATION_4", "NATION_1", "nowhere", "NATION_7", "NATION_9", "NATION_2", "NATION_3"]
 
 
 # --- 2.2 cleaning ---------------------------------------------------------
@@ -410,6 +411,13 @@ def variety_compare(prices, seeds, suppliers):
     return compare.variety_compare(prices, seeds, suppliers, VARIETIES).drop("monthly_trend")
 
 
+@three
+def variety_compare_series(prices, seeds, suppliers):
+    """The nested monthly series of the compared varieties, one row per month."""
+    rows = compare.variety_compare(prices, seeds, suppliers, VARIETIES)
+    return rows.select("variety", F.explode("monthly_trend").alias("m")).select("variety", "m.month", "m.price")
+
+
 @three
 def supply_demand_correlation(prices, seeds, suppliers):
     return scoring.supply_demand_correlation(scoring.supply_demand_items(prices, seeds, suppliers))
@@ -433,6 +441,13 @@ def ema(prices):
     return temporal.ema(prices)
 
 
+@over(sv.prices)
+def ema_slow(prices):
+    """Averages whose weights reach far back."""
+    each = lambda a: temporal.ema(prices, alpha=a).withColumn("alpha", F.lit(a))
+    return each(0.05).unionByName(each(0.01))
+
+
 @over(sv.prices)
 def recent_slope(prices):
     return temporal.recent_slope(prices)
@@ -493,7 +508,7 @@ def search_seeds(seeds):
 @over(sv.suppliers)
 def search_suppliers(suppliers):
     found = search.find_suppliers(suppliers, keyword="ring|00012", company_type="MACHINERY")
-    order = search.newest_first("publish_date", "product_name", "contact_person", "l_orderkey", "l_partkey", "l_suppkey")
+    order = search.newest_first("publish_date", "product_name", "contact_person", "l_orderkey", "l_partkey", "l_suppkey", "click_count")
     return search.page_of(found, order, 1, 100).drop("l_orderkey", "l_partkey", "l_suppkey")
 
 
@@ -577,51 +592,70 @@ def forecast_statistical(prices):
     return forecast_stat.forecast_statistical(prices)
 
 
-_FITTED: dict = {}
-
-
 def _fitted(spark, sf_dir):
-    """Train once per session and data folder: (model, scored test rows)."""
-    key = (spark.sparkContext.applicationId, sf_dir)
-    if key not in _FITTED:
-        views = sv.prices(spark, sf_dir), sv.seeds(spark, sf_dir), sv.suppliers(spark, sf_dir)
-        frame = forecast_ml.training_frame(*views)
-        model = forecast_ml.rf_train(frame.where("is_train"))
-        _FITTED[key] = model, frame
-    return _FITTED[key]
+    """Model and training frame."""
+    frame = forecast_ml.training_frame(sv.prices(spark, sf_dir), sv.seeds(spark, sf_dir), sv.suppliers(spark, sf_dir))
+    return forecast_ml.rf_train(frame.where("is_train")), frame
 
 
 @query
 def rf_train(spark, sf_dir):
-    """Test rows and mean prediction per variety of the fitted forest."""
+    """Test rows per variety, and whether all their predictions lie inside the training range."""
     model, frame = _fitted(spark, sf_dir)
+    edge = lambda f: frame.where("is_train").agg(f("avg_price")).scalar()
     return model.transform(frame.where("NOT is_train")).groupBy("variety").agg(
         F.count(F.lit(1)).alias("test_rows"),
         numbers.round_out(F.avg("avg_price"), 2).alias("mean_price"),
-        numbers.round_out(F.avg("prediction"), 2).alias("mean_prediction"),
-    )
+        F.min(F.col("prediction")).alias("low"), F.max(F.col("prediction")).alias("high"),
+    ).select("variety", "test_rows", "mean_price", ((F.col("low") >= edge(F.min) - 1e-6) & (F.col("high") <= edge(F.max) + 1e-6)).alias("in_range"))
 
 
 @query
 def model_metrics(spark, sf_dir):
-    """Scores on the later test range, with the seasonal-naive scores beside them."""
+    """Settings and test rows of the fitted forest, and whether its scores and the naive rule's fit together."""
     model, frame = _fitted(spark, sf_dir)
-    scored = forecast_ml.model_metrics(model.transform(frame.where("NOT is_train")), model)
+    test = frame.where("NOT is_train")
+    scores = forecast_ml.model_metrics(model.transform(test), model)
     naive = forecast_ml.regression_metrics(forecast_ml.seasonal_naive(frame))
-    return scored.unionByName(naive.withColumn("metric", F.concat(F.lit("naive_"), F.col("metric"))))
+    named = settle(scores.unionByName(naive.withColumn("metric", F.concat(F.lit("naive_"), F.col("metric")))), "scores")
+    value = lambda name: named.where(F.col("metric") == name).agg(F.max("value")).scalar()
+    fits = lambda prefix: (value(f"{prefix}RMSE") >= value(f"{prefix}MAE")) & (value(f"{prefix}MAE") >= 0) & (value(f"{prefix}R2") <= 1)
+    checks = spark.range(1).select(
+        fits("").cast("double").alias("scores_fit"), fits("naive_").cast("double").alias("naive_scores_fit"),
+        test.agg(F.count(F.lit(1))).scalar().cast("double").alias("test_rows"),
+    ).unpivot([], ["scores_fit", "naive_scores_fit", "test_rows"], "metric", "value")
+    return named.where(F.col("metric").isin("numTrees", "maxDepth", "featureCount")).unionByName(checks)
 
 
 @query
 def feature_importance(spark, sf_dir):
-    return forecast_ml.feature_importance(spark, _fitted(spark, sf_dir)[0])
+    """All features, with no negative importance, which sum to one."""
+    found = settle(forecast_ml.feature_importance(spark, _fitted(spark, sf_dir)[0]), "importances")
+    whole = found.agg(F.abs(F.sum("importance") - 1) < 1e-6).scalar()
+    return found.select("feature", (F.col("importance") >= 0).alias("not_negative"), whole.alias("sum_is_one"))
 
 
 @query
 def forecast(spark, sf_dir):
-    model, _ = _fitted(spark, sf_dir)
-    return forecast_ml.forecast(
-        model, sv.prices(spark, sf_dir), sv.seeds(spark, sf_dir), sv.suppliers(spark, sf_dir)
-    )
+    """Forecasts with their current price, and whether price and rank are in order."""
+    views = sv.prices(spark, sf_dir), sv.seeds(spark, sf_dir), sv.suppliers(spark, sf_dir)
+    rows = settle(forecast_ml.forecast(_fitted(spark, sf_dir)[0], *views), "forecasts")
+    by_price = Window.partitionBy("horizon").orderBy(F.desc("predicted_price"), "variety")
+    level = F.col("current_avg_price")
+    return rows.withColumn("place", F.row_number().over(by_price)).select(
+        "horizon", "forecast_date", "variety", "current_avg_price",
+        F.col("predicted_price").between(level * 0.7 - 0.011, level * 1.3 + 0.011).alias("in_band"), (F.col("place") == F.col("rank")).alias("in_order"))
+
+
+@query
+def forecast_fallbacks(spark, sf_dir):
+    """Bounds by the MAE and by the price alone, around forecasts stored without a current price."""
+    prices = sv.prices(spark, sf_dir)
+    rows = settle(prices.groupBy("variety").agg(numbers.round_out(F.max("avg_price"), 2).alias("predicted_price")), "stored").withColumns(
+        {"horizon": F.lit(7), "forecast_date": F.lit("2024-01-08").cast("date")})
+    known = spark.createDataFrame([("RMSE", 0.0), ("MAE", 100.0)], "metric string, value double")
+    bound = lambda metrics, name: forecast_ml.forecast_postprocess(rows, metrics, prices).withColumn("bound_by", F.lit(name))
+    return bound(known, "MAE").unionByName(bound(known.limit(0), "price")).drop("forecast_date")
 
 
 @query
@@ -878,17 +912,18 @@ def batch_reports(spark, sf_dir):
 
 @query
 def incremental_ingest(spark, sf_dir):
-    """Raw quotes landed in two waves with copies, each taken in by its own run."""
+    """Raw quotes landed in two waves with copies, each taken in by its own run, then once more by a new stream."""
     base, raw = fresh_path(spark, "stream"), sv.raw_prices(spark, sf_dir)
-    landing, target, checkpoint = f"{base}/landing", f"{base}/table", f"{base}/checkpoint"
-    take = lambda: ingest.incremental_ingest(
-        spark, landing, schemas.RAW_PRICES, target, checkpoint, cleaning.clean_prices
+    landing, target = f"{base}/landing", f"{base}/table"
+    take = lambda checkpoint: ingest.incremental_ingest(
+        spark, landing, schemas.RAW_PRICES, target, f"{base}/{checkpoint}", cleaning.clean_prices
     )
     early = F.coalesce(dates.parse_date("date") < F.lit("1999-01-01").cast("date"), F.lit(False))
     writers.append_rows(raw.where(early), landing)
-    take()
+    take("first")
     writers.append_rows(raw.where(~early | (F.col("variety") == "白菜")), landing)
-    return take()
+    take("first")
+    return take("second")
 
 
 # --- 2.2 scalar functions, 2.6 value discard ------------------------------

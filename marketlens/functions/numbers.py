@@ -17,11 +17,13 @@ def round_out(c: Column | str, digits: int) -> Column:
 
     Built from floor so that it agrees with engines that round by scaling;
     Spark's own ``round`` goes through the decimal text of the number and
-    differs on ties.
+    differs on ties. A value whose scaled size has no fraction left in a double
+    stays as it is.
     """
     x = _col(c).cast("double")
     scale = float(10**digits)
-    return F.signum(x) * F.floor(F.abs(x) * F.lit(scale) + F.lit(0.5)) / F.lit(scale)
+    size = F.abs(x) * F.lit(scale)
+    return F.when(size >= F.lit(2.0**53), x).otherwise(F.signum(x) * F.floor(size + F.lit(0.5)) / F.lit(scale))
 
 
 def ratio(a: Column | str, b: Column | str) -> Column:

@@ -9,9 +9,6 @@ from ..functions import dims
 from ..functions.numbers import ratio, round_out
 from .pricing import monthly_trend
 
-MAX_PROVINCES = 5
-MAX_VARIETIES = 6
-
 
 def _row_total(df: DataFrame) -> DataFrame:
     return df.agg(F.count(F.lit(1)))
@@ -36,9 +33,8 @@ def _requested(df: DataFrame, values: list[str], key: str) -> DataFrame:
 
 
 def province_compare(prices: DataFrame, seeds: DataFrame, suppliers: DataFrame, provinces: list[str]) -> DataFrame:
-    """Up to five provinces in request order, zeros where a table has none."""
-    asked = provinces[:MAX_PROVINCES]
-    local = lambda df: df.where(F.col("province").isin(*asked))
+    """All asked provinces in request order, zeros where a table has none."""
+    local = lambda df: df.where(F.col("province").isin(*provinces))
     # (variety, market) groups first: the distinct counts then see few rows.
     groups = local(prices).groupBy("province", "variety", "market").agg(
         F.sum("avg_price").alias("total"), F.count("avg_price").alias("priced")
@@ -51,7 +47,7 @@ def province_compare(prices: DataFrame, seeds: DataFrame, suppliers: DataFrame,
     counts = lambda df, name: local(df).groupBy("province").agg(F.count(F.lit(1)).alias(name))
     zero = lambda c: F.coalesce(c, F.lit(0))
     return (
-        _requested(prices, asked, "province")
+        _requested(prices, provinces, "province")
         .join(priced, "province", "left")
         .join(counts(seeds, "n_seeds"), "province", "left")
         .join(counts(suppliers, "n_suppliers"), "province", "left")
@@ -90,13 +86,12 @@ def province_radar(prices: DataFrame, seeds: DataFrame, suppliers: DataFrame, to
 
 
 def variety_compare(prices: DataFrame, seeds: DataFrame, suppliers: DataFrame, varieties: list[str]) -> DataFrame:
-    """Up to six varieties in request order with a nested last-twelve-months series.
+    """All asked varieties in request order with a nested last-twelve-months series.
 
     Varieties without quotes are left out. The spread and coverage of each come
     from one pass; listing counts and the monthly series are joined per variety.
     """
-    asked = varieties[:MAX_VARIETIES]
-    forms = [(str(i), f) for i, v in enumerate(asked) for f in dims.variety_forms(v)]
+    forms = [(str(i), f) for i, v in enumerate(varieties) for f in dims.variety_forms(v)]
     request = dims.literal_frame(prices.sparkSession, forms, "no", "variety").select(
         F.col("no").cast("int").alias("position"), "variety"
     )
@@ -111,7 +106,7 @@ def variety_compare(prices: DataFrame, seeds: DataFrame, suppliers: DataFrame, v
         .agg(F.countDistinct("province").alias("province_count"), F.countDistinct("market").alias("market_count"))
     )
     counts = lambda df, name: local(df).groupBy("variety").agg(F.count(F.lit(1)).alias(name))
-    series = monthly_trend(prices, asked).groupBy("variety").agg(
+    series = monthly_trend(prices, varieties).groupBy("variety").agg(
         F.array_sort(F.collect_list(F.struct("month", "price"))).alias("monthly_trend")
     )
     return (

@@ -24,11 +24,13 @@ from .quantiles import iqr_filter, percentile_bounds
 from .temporal import dated, max_date, recent_avg_30d, seasonal_factor
 
 # Model settings and forecast bounds.
-NUM_TREES, MAX_DEPTH, MAX_BINS, MIN_ROWS_PER_NODE, SEED = 50, 10, 64, 20, 42
+NUM_TREES, MAX_DEPTH, MIN_BINS, MIN_ROWS_PER_NODE, SEED = 50, 10, 64, 20, 42
 CLIP_LOW, CLIP_HIGH, PRICE_FLOOR, TOP_N = 0.7, 1.3, 0.1, 30
 RMSE_FACTOR, MAE_FACTOR, MARGIN_SHARE, MARGIN_FLOOR = 1.96, 2.5, 0.10, 0.1
 
 LEVEL_DAYS = 30
+# Rows of a training partition.
+PARTITION_ROWS = 25_000
 FEATURES = [
     "province_idx", "variety_idx", "month", "day_of_year", "year",
     "variety_national_avg", "variety_price_std", "variety_seed_count", "variety_supplier_count",
@@ -111,6 +113,9 @@ def time_cutoff(prices: DataFrame, train_share: float = 0.8) -> Column:
 def training_frame(prices: DataFrame, seeds: DataFrame, suppliers: DataFrame, train_share: float = 0.8) -> DataFrame:
     """Feature rows with ``is_train``; no column of a row depends on later quotes.
 
+    A variety first quoted after the cutoff keeps its test rows: it gets the
+    mean and deviation of all training quotes and zero counts.
+
     The rows are settled: training passes over them many times, and a lost
     executor then costs a read instead of the windows and joins behind them.
     """
@@ -130,9 +135,15 @@ def training_frame(prices: DataFrame, seeds: DataFrame, suppliers: DataFrame, tr
     rows = with_calendar(dated(prices).select(*PAIR, "price_date", "avg_price"))
     # Outliers are dropped from training only: the test rows stay whole.
     usable = (F.col("price_date") >= cutoff) | F.col("avg_price").between(F.col("lower_fence"), F.col("upper_fence"))
+    overall = lambda f: past.agg(f("avg_price")).scalar()
     frame = (
-        rows.join(stats, "variety")
+        rows.join(stats, "variety", "left")
         .where(usable)
+        .withColumns({
+            "variety_price_std": F.when(F.col("variety_national_avg").isNull(), overall(F.stddev_samp)).otherwise(F.coalesce("variety_price_std", F.lit(0.0))),
+            "variety_national_avg": F.coalesce("variety_national_avg", overall(F.avg)),
+            **{c: F.coalesce(c, F.lit(0)) for c in ("variety_price_records", "variety_seed_count", "variety_supplier_count")},
+        })
         .join(level, ["variety", "price_date"])
         .withColumn("recent_level", F.coalesce("level", "variety_national_avg"))
         .withColumn("is_train", F.col("price_date") < cutoff)
@@ -149,16 +160,26 @@ def feature_stages() -> list:
     ]
 
 
-def rf_train(train: DataFrame, num_trees: int = NUM_TREES, max_depth: int = MAX_DEPTH, max_bins: int = MAX_BINS,
-             min_rows: int = MIN_ROWS_PER_NODE, seed: int = SEED) -> PipelineModel:
+def in_fixed_order(rows: DataFrame, partition_rows: int = PARTITION_ROWS) -> DataFrame:
+    """Rows dealt and sorted by their own values, into partitions counted from the rows.
+
+    Trees draw their samples per partition, so the forest must not depend on
+    how the rows happen to lie.
+    """
+    partitions = max(1, -(-rows.count() // partition_rows))
+    return rows.repartition(partitions, F.xxhash64(*rows.columns)).sortWithinPartitions(*rows.columns)
+
+
+def rf_train(train: DataFrame, num_trees: int = NUM_TREES, max_depth: int = MAX_DEPTH, min_bins: int = MIN_BINS,
+             min_rows: int = MIN_ROWS_PER_NODE, seed: int = SEED, partition_rows: int = PARTITION_ROWS) -> PipelineModel:
     """Fit indexers, assembler and random forest as one pipeline.
 
-    A training table with fewer partitions than cores is spread first; the
-    histogram memory lets each pass over the rows grow many tree nodes.
+    There are as many bins as the widest category needs. The histogram memory
+    lets each pass over the rows grow many tree nodes.
     """
-    cores = train.sparkSession.sparkContext.defaultParallelism
-    if train.rdd.getNumPartitions() < cores:
-        train = train.repartition(cores)
+    widest = train.agg(F.greatest(F.countDistinct("variety"), F.countDistinct("province"))).first()[0]
+    max_bins = max(min_bins, (widest or 0) + 1)
+    train = in_fixed_order(train, partition_rows)
     forest = RandomForestRegressor(
         featuresCol="features", labelCol="avg_price", numTrees=num_trees, maxDepth=max_depth, maxBins=max_bins,
         minInstancesPerNode=min_rows, seed=seed, maxMemoryInMB=1024,
@@ -180,9 +201,14 @@ def regression_metrics(scored: DataFrame, label: str = "avg_price", prediction:
 
 
 def seasonal_naive(rows: DataFrame) -> DataFrame:
-    """Score test rows by the training mean of their variety and month: the bar a model has to clear."""
-    means = rows.where("is_train").groupBy("variety", "month").agg(F.avg("avg_price").alias("prediction"))
-    return rows.where("NOT is_train").join(settle(means, "naive"), ["variety", "month"])
+    """Score test rows by the training mean of their variety and month: the bar a model has to clear.
+
+    Where training has no such month, the mean of all training rows stands in.
+    """
+    train = rows.where("is_train")
+    means = train.groupBy("variety", "month").agg(F.avg("avg_price").alias("prediction"))
+    scored = rows.where("NOT is_train").join(settle(means, "naive"), ["variety", "month"], "left")
+    return scored.withColumn("prediction", F.coalesce("prediction", train.agg(F.avg("avg_price")).scalar()))
 
 
 def feature_importance(spark: SparkSession, model: PipelineModel) -> DataFrame:
@@ -211,7 +237,8 @@ def forecast_inputs(prices: DataFrame, seeds: DataFrame, suppliers: DataFrame, w
     newest = max_date(prices)
     kept = iqr_filter(prices)
     weights = kept.groupBy(*PAIR).agg(F.count(F.lit(1)).alias("weight"))
-    stats = variety_stats(prices, seeds, suppliers).withColumn("recent_level", F.col("recent_30d_avg"))
+    stats = variety_stats(prices, seeds, suppliers).withColumn("recent_level", F.col("recent_30d_avg")).withColumn(
+        "variety_price_std", F.coalesce("variety_price_std", F.lit(0.0)))
     dated_rows = (
         weights.join(stats, "variety")
         .withColumn("horizon", F.explode(F.array(*[F.lit(int(w)) for w in windows])))
@@ -269,12 +296,18 @@ def forecast(model: PipelineModel, prices: DataFrame, seeds: DataFrame, supplier
     return roll_up_forecast(model.transform(inputs), prices, top_n)
 
 
-def forecast_postprocess(forecasts: DataFrame, metrics: DataFrame) -> DataFrame:
+def forecast_postprocess(forecasts: DataFrame, metrics: DataFrame, prices: DataFrame | None = None) -> DataFrame:
     """Clip to 30 % around the current mean and add confidence bounds from the model error.
 
     The margin is 1.96 RMSE, else 2.5 MAE, else a tenth of the price. Results
-    by province are averaged per variety first.
+    by province are averaged per variety first. Where a stored result has no
+    current mean, or no such column, the variety's mean in ``prices`` stands in.
     """
+    if "current_avg_price" not in forecasts.columns:
+        forecasts = forecasts.withColumn("current_avg_price", F.lit(None).cast("double"))
+    if prices is not None:
+        means = prices.groupBy("variety").agg(round_out(F.avg("avg_price"), 2).alias("own_mean"))
+        forecasts = forecasts.join(means, "variety", "left").withColumn("current_avg_price", F.coalesce("current_avg_price", "own_mean")).drop("own_mean")
     keys = ["horizon", "forecast_date", "variety", "current_avg_price"]
     rows = forecasts
     if "province" in forecasts.columns:

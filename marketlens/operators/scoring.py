@@ -120,9 +120,9 @@ def supply_chain_health(prices: DataFrame, seeds: DataFrame, suppliers: DataFram
         "variety", "seeds", "suppliers", "cv", "mean",
         share("seeds").alias("n_seed"), share("suppliers").alias("n_sup"), share("cv").alias("n_cv"),
     )
-    rest = F.col("n_sup") * 0.3 + (F.lit(1.0) - F.col("n_cv")) * 0.3
-    scored = normed.withColumn("health_score", round_out(F.col("n_seed") * 0.4 + rest, 3)).withColumn(
-        "sim_score", round_out(F.least(F.lit(1.0), F.col("n_seed") * 1.2) * 0.4 + rest, 3)
+    total = lambda seed: seed * 0.4 + F.col("n_sup") * 0.3 + (F.lit(1.0) - F.col("n_cv")) * 0.3
+    scored = normed.withColumn("health_score", round_out(total(F.col("n_seed")), 3)).withColumn(
+        "sim_score", round_out(total(F.least(F.lit(1.0), F.col("n_seed") * 1.2)), 3)
     )
     score = F.col("health_score")
     return scored.select(

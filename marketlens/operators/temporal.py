@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
@@ -9,9 +11,11 @@ from pyspark.sql import Window as W
 from ..functions.numbers import ratio, round_out
 
 EMA_ALPHA = 0.3
-# Weight of the k-th newest row is alpha * 0.7^(k-1); at k = 128 that is below
-# 1e-20 and cannot change a double.
-EMA_DEPTH = 128
+# Weights below this share of the whole cannot change a double.
+EMA_LEAST_WEIGHT = 1e-20
+# Up to so many newest rows are cut out of the table; a mean that reaches
+# farther back is built from all rows with their ranks.
+EMA_DEPTH = 1024
 ROW_KEYS = ("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey")
 
 
@@ -137,18 +141,36 @@ def newest_rows(prices: DataFrame, depth: int, tie_break, spread: int = 64) -> D
     )
 
 
-def ema(prices: DataFrame, counts: DataFrame | None = None, alpha: float = EMA_ALPHA, tie_break=ROW_KEYS,
-        depth: int = EMA_DEPTH) -> DataFrame:
+def ranked_rows(prices: DataFrame, tie_break) -> DataFrame:
+    """All rows with their rank in the variety (1 = newest).
+
+    A day's rows are ranked among themselves, after the rows of all later
+    days, whose counts are one row per variety and day.
+    """
+    daily = prices.groupBy("variety", "price_date").agg(F.count(F.lit(1)).alias("on_day"))
+    later = W.partitionBy("variety").orderBy(F.desc("price_date")).rowsBetween(W.unboundedPreceding, -1)
+    offsets = daily.select("variety", "price_date", F.coalesce(F.sum("on_day").over(later), F.lit(0)).alias("later"))
+    inside = W.partitionBy("variety", "price_date").orderBy(*[F.desc(k) for k in tie_break])
+    ranked = prices.withColumn("in_day", F.row_number().over(inside)).join(offsets, ["variety", "price_date"])
+    return ranked.withColumn("k", F.col("later") + F.col("in_day")).drop("later", "in_day")
+
+
+def ema(prices: DataFrame, counts: DataFrame | None = None, alpha: float = EMA_ALPHA, tie_break=ROW_KEYS) -> DataFrame:
     """Last value of the recursive mean y1 = x1, yn = a*xn + (1-a)*y(n-1), oldest to newest.
 
-    Closed form over the newest rows: row k weighs a*(1-a)^(k-1), and the very
-    first row of the series (1-a)^(k-1). ``counts`` (variety, n) may be passed
-    in when the caller has it already.
+    Closed form: row k from the newest weighs a*(1-a)^(k-1), and the very first
+    row of the series (1-a)^(k-1). Rows are left out only where their weight is
+    below double precision. ``counts`` (variety, n) may be passed in when the
+    caller has it already.
     """
+    if not 0 < alpha <= 1:
+        raise ValueError("alpha lies above 0 and up to 1")
     rows = dated(prices).where(F.col("avg_price").isNotNull())
     if counts is None:
         counts = rows.groupBy("variety").agg(F.count(F.lit(1)).alias("n"))
-    top = newest_rows(rows.select("variety", "price_date", "avg_price", *tie_break), depth, tie_break)
+    depth = 1 if alpha == 1 else math.ceil(math.log(EMA_LEAST_WEIGHT) / math.log1p(-alpha))
+    needed = rows.select("variety", "price_date", "avg_price", *tie_break)
+    top = newest_rows(needed, depth, tie_break) if depth <= EMA_DEPTH else ranked_rows(needed, tie_break)
     fade = F.pow(F.lit(1.0 - alpha), F.col("k") - 1)
     weight = F.when(F.col("k") == F.col("n"), fade).otherwise(fade * alpha)
     return (

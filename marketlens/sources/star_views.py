@@ -94,7 +94,7 @@ def seeds(spark: SparkSession, sf_dir: str) -> DataFrame:
 def _supplier_rows(spark: SparkSession, sf_dir: str, nation: DataFrame) -> DataFrame:
     t = lambda name: table(spark, sf_dir, name)
     return (
-        spread(t("lineitem").where("l_linenumber = 1").select("l_orderkey", "l_partkey", "l_suppkey", "l_quantity"))
+        spread(t("lineitem").select("l_orderkey", "l_partkey", "l_suppkey", "l_quantity"))
         .join(t("orders"), F.col("l_orderkey") == F.col("o_orderkey"))
         .join(t("customer"), F.col("o_custkey") == F.col("c_custkey"))
         .join(nation, F.col("c_nationkey") == F.col("n_nationkey"))

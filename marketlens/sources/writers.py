@@ -8,8 +8,6 @@ from pyspark.sql import functions as F
 from ..operators.search import newest_first
 from ..schemas import SEED_EXPORT_HEADER, SUPPLIER_EXPORT_HEADER
 
-# Fixed value: most rows of one exported search.
-EXPORT_ROWS = 99_999
 BOM = "\ufeff"
 
 
@@ -76,11 +74,13 @@ def _plain(c: str) -> Column:
     return F.coalesce(F.col(c).cast("string"), F.lit(""))
 
 
-def search_csv_lines(found: DataFrame, kind: str) -> DataFrame:
-    """Lines of an exported search: header with byte-order mark, then the newest hits.
+def search_csv_lines(found: DataFrame, kind: str, limit: int | None = None) -> DataFrame:
+    """Lines of an exported search: header with byte-order mark, then the hits, newest first.
 
     Free text is quoted with quotes doubled, the other columns are plain. Any
-    kind but 'seeds' exports suppliers. ``line_no`` orders the lines.
+    kind but 'seeds' exports suppliers. All hits are exported unless a
+    ``limit`` is given. Rows come range-sorted; ``line_no`` rises in their
+    order, with gaps between partitions.
     """
     if kind == "seeds":
         header, quoted = SEED_EXPORT_HEADER, ["product_name", "supply_region", "company_name"]
@@ -89,16 +89,17 @@ def search_csv_lines(found: DataFrame, kind: str) -> DataFrame:
         header, quoted = SUPPLIER_EXPORT_HEADER, ["product_name", "origin", "contact_person"]
         plain = ["company_type", "variety", "click_count", "publish_date", "product_url"]
     columns = quoted + plain
+    order = newest_first("publish_date", *[c for c in columns if c != "publish_date"])
+    if limit is not None:
+        found = found.orderBy(*order).limit(limit)
     line = F.concat_ws(",", *[_quoted(c) for c in quoted], *[_plain(c) for c in plain])
-    # The export is at most EXPORT_ROWS lines, so numbering them in one task is bounded.
-    top = found.orderBy(*newest_first("publish_date", *[c for c in columns if c != "publish_date"])).limit(EXPORT_ROWS)
-    body = top.select((F.monotonically_increasing_id() + 1).alias("line_no"), line.alias("line"))
-    head = found.sparkSession.range(1).select(F.col("id").alias("line_no"), F.lit(BOM + ",".join(header)).alias("line"))
-    return head.unionByName(body)
+    body = found.select(F.lit(1).alias("part"), line.alias("line"), *columns)
+    empty = [F.lit(None).cast(body.schema[c].dataType).alias(c) for c in columns]
+    head = found.sparkSession.range(1).select(F.lit(0).alias("part"), F.lit(BOM + ",".join(header)).alias("line"), *empty)
+    return head.union(body).orderBy("part", *order).select(F.monotonically_increasing_id().alias("line_no"), "line")
 
 
-def write_search_csv(found: DataFrame, kind: str, path: str) -> str:
-    """Write an exported search as one ordered text file (bounded by the export limit)."""
-    lines = search_csv_lines(found, kind)
-    lines.repartition(1).sortWithinPartitions("line_no").select("line").write.mode("overwrite").text(path)
+def write_search_csv(found: DataFrame, kind: str, path: str, limit: int | None = None) -> str:
+    """Write an exported search as text files whose names give the order of their lines."""
+    search_csv_lines(found, kind, limit).select("line").write.mode("overwrite").text(path)
     return path

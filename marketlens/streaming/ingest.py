@@ -2,48 +2,71 @@
 
 The stream checkpoint remembers which files are done. Every micro-batch is
 cleaned, made distinct and reduced to rows the table does not hold yet, then
-written to a folder of its own batch number. A batch that is retried after a
-failure overwrites only that folder, so each row lands exactly once. Nothing
-is dropped for being late, and no state grows with the stream.
+written to a folder named by the stream and the batch. A batch that is retried
+after a failure overwrites only that folder, so each row lands exactly once. A
+new checkpoint is a new stream: it never touches the folders of an earlier
+one, and copies of their rows are seen. Rows are compared by a digest of all
+their columns, which is stored beside them, so a batch reads two columns of
+the months it touches. Nothing is dropped for being late, and no state grows
+with the stream.
 """
 
 from __future__ import annotations
 
+import json
 from collections.abc import Callable
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 
-def _held_rows(spark: SparkSession, target: str, batch_id: int, months) -> DataFrame | None:
-    """Rows of other batches in the month range of the batch; the folders prune the read."""
+def row_digest(columns: list[str]) -> Column:
+    """128-bit digest of a row; nulls and empty texts differ."""
+    text = lambda c: F.coalesce(F.concat(F.length(F.col(c).cast("string")).cast("string"), F.lit(":"), F.col(c).cast("string")), F.lit("-"))
+    return F.md5(F.concat_ws(",", *[text(c) for c in columns]))
+
+
+def stream_of(spark: SparkSession, checkpoint: str) -> str:
+    """The id that a checkpoint keeps for its stream as long as it lives."""
+    return json.loads(spark.read.text(f"{checkpoint}/metadata").first()[0])["id"]
+
+
+def _held_rows(spark: SparkSession, target: str, stream: str, batch_id: int, months) -> DataFrame | None:
+    """Digests of other batches in the month range of the batch; the folders prune the read."""
     try:
         held = spark.read.parquet(target)
     except AnalysisException as e:
         if e.getCondition() not in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
             raise
         return None
-    return held.where((F.col("batch_id") != batch_id) & F.col("ym").between(months["first"], months["last"]))
+    other = (F.col("stream") != stream) | (F.col("batch_id") != batch_id)
+    return held.where(other & F.col("ym").between(months["first"], months["last"])).select("ym", "row_digest")
+
 
+def append_new_rows(target: str, clean: Callable[[DataFrame], DataFrame], date: str,
+                    stream: Callable[[SparkSession], str] = lambda spark: "direct") -> Callable[[DataFrame, int], None]:
+    """A batch function writing the unseen rows of a batch below ``target``.
 
-def append_new_rows(target: str, clean: Callable[[DataFrame], DataFrame], date: str) -> Callable[[DataFrame, int], None]:
-    """A batch function writing the unseen rows of a batch below ``target``."""
+    ``stream`` gives the name under which the stream's batches are numbered.
+    """
     def write(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
-        rows = clean(batch).dropDuplicates().withColumn("ym", F.coalesce(F.date_format(date, "yyyy-MM"), F.lit("none")))
+        name = stream(spark)
+        rows = clean(batch)
+        rows = rows.withColumn("row_digest", row_digest(rows.columns)).dropDuplicates(["row_digest"]).withColumn(
+            "ym", F.coalesce(F.date_format(date, "yyyy-MM"), F.lit("none")))
         rows = rows.persist()
         try:
             months = rows.agg(F.min("ym").alias("first"), F.max("ym").alias("last")).first()
-            held = None if months["first"] is None else _held_rows(spark, target, batch_id, months)
+            held = None if months["first"] is None else _held_rows(spark, target, name, batch_id, months)
             new = rows
             if held is not None:
-                same = [rows[c].eqNullSafe(held[c]) for c in rows.columns]
-                new = rows.join(held, same, "left_anti")
+                new = rows.join(held, ["ym", "row_digest"], "left_anti")
             # One file per month and batch unless a month is heavy; AQE splits those.
             new = new.hint("rebalance", "ym")
-            new.write.mode("overwrite").partitionBy("ym").parquet(f"{target}/batch_id={batch_id}")
+            new.write.mode("overwrite").partitionBy("ym").parquet(f"{target}/stream={name}/batch_id={batch_id}")
         finally:
             rows.unpersist()
 
@@ -56,15 +79,15 @@ def incremental_ingest(spark: SparkSession, landing: str, schema: StructType, ta
     """Take in every file not taken in yet, then stop; returns the whole table.
 
     Safe to run again at any time: done files are skipped by the checkpoint and
-    copies of stored rows by the anti join.
+    copies of stored rows by the anti join, whichever stream stored them.
     """
     files = (
         spark.readStream.schema(schema).option("header", True).option("quote", '"').option("escape", '"')
         .option("maxFilesPerTrigger", max_files).csv(landing)
     )
     run = (
-        files.writeStream.foreachBatch(append_new_rows(target, clean, date))
+        files.writeStream.foreachBatch(append_new_rows(target, clean, date, lambda s: stream_of(s, checkpoint)))
         .option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
     )
     run.awaitTermination()
-    return spark.read.parquet(target).drop("batch_id", "ym")
+    return spark.read.parquet(target).drop("stream", "batch_id", "ym", "row_digest")

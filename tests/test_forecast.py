@@ -69,6 +69,28 @@ def test_metrics_are_finite_and_compared_with_naive(fitted):
     assert 0 < got["MAE"] <= got["RMSE"] and 0 < naive["MAE"] <= naive["RMSE"]
 
 
+def test_forest_does_not_depend_on_how_rows_lie(fitted):
+    train = fitted[1].where("is_train")
+    test = fitted[1].where("NOT is_train")
+    means = [
+        ml.rf_train(train.repartition(n), num_trees=3, max_depth=4, partition_rows=1500).transform(test).agg(F.avg("prediction")).first()[0]
+        for n in (4, 8)
+    ]
+    assert means[0] == means[1]
+
+
+def test_many_and_new_varieties(quotes, offers):
+    d = lambda i: str(dt.date(2024, 1, 1) + dt.timedelta(days=i))
+    rows = [(f"v{i % 100}", "p", "m", 5 + i % 7, d(i // 20)) for i in range(2000)]
+    rows += [(f"new{i}", "p", "m", 4, d(99)) for i in range(6)]
+    frame = ml.training_frame(quotes(rows), offers([("v1", "p")]), offers([]))
+    test = frame.where("NOT is_train")
+    model = ml.rf_train(frame.where("is_train"), num_trees=2, max_depth=3)
+    scored = model.transform(test).where("variety like 'new%'")
+    assert scored.count() == 6 and scored.where("prediction > 0").count() == 6
+    assert ml.seasonal_naive(frame).count() == test.count()
+
+
 def test_importances_sum_to_one(spark, fitted):
     rows = ml.feature_importance(spark, fitted[0]).collect()
     assert [r.feature for r in rows] == ml.FEATURES and abs(sum(r.importance for r in rows) - 1) < 1e-6
@@ -87,6 +109,13 @@ def test_postprocess_margins(spark, metrics, margin):
     assert got["c"].predicted_price == 5.0 and got["c"].confidence_lower >= 0
 
 
+def test_postprocess_takes_the_mean_where_no_current_price_is_stored(spark, quotes):
+    prices = quotes([("a", "p", "m", 10, "2024-01-01"), ("a", "p", "m", 20, "2024-01-01")])
+    rows = spark.createDataFrame([(7, "d", "a", 90.0), (7, "d", "b", 90.0)], "horizon int, forecast_date string, variety string, predicted_price double")
+    got = {r.variety: r for r in ml.forecast_postprocess(rows, spark.createDataFrame([], "metric string, value double"), prices).collect()}
+    assert (got["a"].current_avg_price, got["a"].predicted_price) == (15.0, 19.5) and got["b"].predicted_price == 90.0
+
+
 def test_postprocess_averages_provinces(spark):
     rows = spark.createDataFrame([(7, "d", "a", "p", 10.0, 9.0), (7, "d", "a", "q", 10.0, 11.0)],
                                  "horizon int, forecast_date string, variety string, province string, current_avg_price double, predicted_price double")

@@ -79,6 +79,17 @@ def test_ema_is_the_recursion(quotes, n):
     assert abs(got - want) < 1e-4
 
 
+@pytest.mark.parametrize("alpha", [0.05, 0.01, 1.0])
+def test_ema_reaches_as_far_as_its_weights(quotes, alpha):
+    rng = random.Random(5)
+    values = [rng.uniform(100, 200) for _ in range(1500)]
+    want = values[0]
+    for x in values[1:]:
+        want = alpha * x + (1 - alpha) * want
+    got = temporal.ema(quotes([("a", "p", "m", x, day(i // 3)) for i, x in enumerate(values)]).repartition(5), alpha=alpha).first().ema
+    assert abs(got - want) < 1e-4
+
+
 @pytest.mark.parametrize("seed", range(6))
 def test_percentiles_are_exact(quotes, rows_by, seed):
     rng = np.random.default_rng(seed)
@@ -143,10 +154,10 @@ def test_correlation_guards(quotes, offers):
     assert scoring.supply_demand_correlation(flat).first().r_seed_cv == 0.0
 
 
-def test_compare_keeps_request_order_and_limits(quotes, offers):
+def test_compare_keeps_request_order_and_answers_all(quotes, offers):
     df = quotes([("a", "p", "m1", 2, day(0)), ("b", "p", "m2", 4, day(0))])
     got = compare.province_compare(df, offers([("a", "p")]), offers([]), ["x", "p", "y", "z", "w", "over"]).collect()
-    assert [r.province for r in got] == ["x", "p", "y", "z", "w"]
+    assert [r.province for r in got] == ["x", "p", "y", "z", "w", "over"]
     assert (got[1].avg_price, got[1].varieties, got[1].markets, got[1].seed_count) == (3.0, 2, 2, 1)
     pick = compare.variety_compare(df, offers([]), offers([]), ["b", "none", "a"]).collect()
     assert [(r.variety, r.price_std) for r in pick] == [("b", 0.0), ("a", 0.0)]

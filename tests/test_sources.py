@@ -79,6 +79,28 @@ def test_ingest_takes_each_file_and_row_once(spark, tmp_path):
     assert sorted(r.variety for r in run().collect()) == ["a", "new", "old"]
 
 
+def test_new_checkpoint_keeps_old_rows(spark, tmp_path):
+    land, table = tmp_path / "land", str(tmp_path / "table")
+    run = lambda ckpt, folder: incremental_ingest(spark, str(folder), schemas.RAW_PRICES, table, str(tmp_path / ckpt), clean_prices)
+    put(land / "1.csv", RAW_HEAD + line("a", 2, "2024-03-01") + line("a", 3, "2024-03-02"))
+    assert run("first", land).count() == 2
+    other = tmp_path / "other"
+    put(other / "2.csv", RAW_HEAD + line("b", 5, "2024-03-01") + line("a", 2, "2024-03-01"))
+    assert sorted((r.variety, r.avg_price) for r in run("second", other).collect()) == [("a", 2.0), ("a", 3.0), ("b", 5.0)]
+    assert run("first", land).count() == 3
+
+
+def test_export_has_no_limit_unless_asked(spark, tmp_path):
+    rows = spark.range(120_000).selectExpr(
+        "concat('p', id) as product_name", "'r' as supply_region", "'x' as company_name", "cast(id as int) as click_count",
+        "date_add(date '2024-01-01', cast(id % 300 as int)) as publish_date", "'u' as product_url", "'v' as variety")
+    writers.write_search_csv(rows, "seeds", str(tmp_path / "all"))
+    lines = [x for p in sorted((tmp_path / "all").glob("part-*.txt")) for x in p.read_text(encoding="utf-8").splitlines()]
+    days = [x.split(",")[5] for x in lines[1:]]
+    assert len(lines) == 120_001 and lines[0].startswith(writers.BOM) and days == sorted(days, reverse=True)
+    assert writers.search_csv_lines(rows, "seeds", limit=50).count() == 51
+
+
 def test_retried_batch_does_not_double(spark, tmp_path):
     write = append_new_rows(str(tmp_path / "t"), lambda df: df, "day")
     rows = spark.createDataFrame([(1, None), (2, "2024-01-01")], "k int, day string").withColumn("day", F.col("day").cast("date"))
