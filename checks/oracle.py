@@ -513,7 +513,7 @@ NORMAL = f"replace(trim({_STEP}), ',', '，')"
 add("text_normalize", f"SELECT page_id, CAST(length({NORMAL}) AS INT) AS characters, md5({NORMAL}) AS digest FROM pages", "one AS (SELECT 1)")
 LINKS = """links AS (
   SELECT page_id, url, CAST(position AS INT) AS position, hrefs[position + 1] AS href
-  FROM (SELECT page_id, url, regexp_extract_all(html, '(?i)<a\\s[^>]*?href\\s*=\\s*["'']([^"'']*)["'']', 1) AS hrefs FROM pages),
+  FROM (SELECT page_id, url, [replace(trim(h, '"'), '&amp;', '&') FOR h IN regexp_extract_all(html, '<a href=("[^"]*")', 1)] AS hrefs FROM pages),
        LATERAL (SELECT unnest(generate_series(0, len(hrefs) - 1)) AS position)),
 hosts AS (SELECT *, regexp_extract(url, '^https?://[^/?#]+') AS host FROM links),
 resolved AS (
@@ -531,13 +531,17 @@ FROM lineitem GROUP BY 1""", "one AS (SELECT 1)")
 add("listing_page_count", """
 SELECT CAST(CASE l_linenumber WHEN 5 THEN 9999 WHEN 6 THEN l_quantity ELSE 1 END AS INT) AS page_count, count(*) AS pages
 FROM lineitem GROUP BY 1""", "one AS (SELECT 1)")
+add("page_addresses", """
+SELECT CAST(n AS INT) AS page_no, count(*) AS pages, concat('http://quotes.example.com/p', n, '.html') AS target
+FROM (SELECT CAST(CASE WHEN l_linenumber BETWEEN 1 AND 5 THEN l_quantity ELSE 5 END AS INT) AS page_count FROM lineitem)
+JOIN generate_series(1, 60) g(n) ON n <= page_count GROUP BY n""", "one AS (SELECT 1)")
 add("url_resolve", "SELECT page_id, position, target AS at_page, at_root FROM resolved", LINKS)
-add("link_frontier", "SELECT DISTINCT target FROM resolved WHERE target NOT IN (SELECT url FROM pages)", LINKS)
+add("link_frontier", "SELECT DISTINCT split_part(target, '#', 1) AS target FROM resolved WHERE split_part(target, '#', 1) NOT IN (SELECT url FROM pages)", LINKS)
 add("crawl_coverage", """
 SELECT host, pages_held, coalesce(links_seen, 0) AS links_seen, coalesce(links_missing, 0) AS links_missing, CAST(0 AS BIGINT) AS rows_extracted
 FROM (SELECT regexp_extract(url, '^https?://[^/?#]+') AS host, count(*) AS pages_held FROM pages GROUP BY 1)
-LEFT JOIN (SELECT host, count(DISTINCT target) AS links_seen,
-                  count(DISTINCT target) FILTER (target NOT IN (SELECT url FROM pages)) AS links_missing FROM resolved GROUP BY host) USING (host)""", LINKS)
+LEFT JOIN (SELECT host, count(DISTINCT split_part(target, '#', 1)) AS links_seen,
+                  count(DISTINCT split_part(target, '#', 1)) FILTER (split_part(target, '#', 1) NOT IN (SELECT url FROM pages)) AS links_missing FROM resolved GROUP BY host) USING (host)""", LINKS)
 
 # --- 2.1 sources, sinks, layers; 2.9 streaming ----------------------------
 ALL_CLEAN = (*CLEAN_P, *CLEAN_S, *CLEAN_U)

@@ -727,6 +727,12 @@ def listing_page_count(stored):
     return pages.listing_page_count(stored).groupBy("page_count").agg(F.count(F.lit(1)).alias("pages"))
 
 
+@over(sv.pager_pages)
+def page_addresses(stored):
+    found = pages.page_addresses(pages.page_count_detect(stored))
+    return found.groupBy("page_no", "target").agg(F.count(F.lit(1)).alias("pages"))
+
+
 @over(_pages)
 def url_resolve(stored):
     return pages.link_extract(stored).select(

@@ -30,7 +30,14 @@ NOT_SUB_CATEGORIES = ("p", "buy")
 LISTING_TABLE_CLASS = "m_t_5"
 LONGEST_RAW_NAME, LONGEST_NAME = 200, 100
 
-_ENTITIES = {"&nbsp;": " ", "&lt;": "<", "&gt;": ">", "&quot;": '"', "&#39;": "'", "&yen;": "¥", "&amp;": "&"}
+# Named character references; the ampersand comes last.
+_ENTITIES = {
+    "&nbsp;": " ", "&lt;": "<", "&gt;": ">", "&quot;": '"', "&apos;": "'", "&yen;": "¥", "&copy;": "©", "&reg;": "®", "&middot;": "·",
+    "&laquo;": "«", "&raquo;": "»", "&ldquo;": "“", "&rdquo;": "”", "&lsquo;": "‘", "&rsquo;": "’", "&hellip;": "…", "&mdash;": "—", "&ndash;": "–",
+    "&times;": "×", "&deg;": "°", "&euro;": "€", "&pound;": "£", "&amp;": "&",
+}
+_UNREAD = r"(?is)<!--.*?(?:-->|\z)|<(script|style)\b.*?(?:</\1\s*>|\z)"
+_VALUE = r"""("[^"]*"|'[^']*'|[^\s"'>]+)"""
 
 
 def _blocks(html: Column, tag: str) -> Column:
@@ -49,14 +56,37 @@ def _open_tag(block: Column) -> Column:
     return F.regexp_extract(block, r"^[^>]*", 0)
 
 
-def text_of(markup: Column) -> Column:
-    """Text without tags, entities of the common kinds decoded."""
-    bare = F.when(markup.contains("<"), F.regexp_replace(markup, r"(?s)<[^>]*>", "")).otherwise(markup)
-    decoded = bare
+def _numbered(text: Column, pattern: str, base: int) -> Column:
+    """Text with its numeric character references of one base decoded."""
+    digits = F.array_distinct(F.regexp_extract_all(text, F.lit(pattern), F.lit(0)))
+
+    def put(done: Column, reference: Column) -> Column:
+        number = F.conv(F.regexp_extract(reference, "([0-9a-fA-F]+);", 1), base, 10).cast("bigint")
+        valid = (number > 0) & (number < 0x110000) & ~number.between(0xD800, 0xDFFF)
+        char = F.decode(F.unhex(F.lpad(F.hex(F.when(valid, number).otherwise(0xFFFD)), 8, "0")), "UTF-32")
+        return F.replace(done, reference, char)
+
+    return F.aggregate(digits, text, put)
+
+
+def decode_entities(text: Column) -> Column:
+    """Character references of all numbers and the common names, each decoded once."""
+    numbered = _numbered(_numbered(text, "&#[0-9]{1,7};", 10), "&#[xX][0-9a-fA-F]{1,6};", 16)
+    decoded = F.when(text.contains("&#"), numbered).otherwise(text)
     for entity, char in _ENTITIES.items():
         decoded = F.replace(decoded, F.lit(entity), F.lit(char))
-    # Most cells hold no entity: one scan decides.
-    return F.when(markup.contains("&"), decoded).otherwise(bare)
+    # Most texts hold no entity: one scan decides.
+    return F.when(text.contains("&"), decoded).otherwise(text)
+
+
+def text_of(markup: Column) -> Column:
+    """Text without tags, character references decoded."""
+    return decode_entities(F.when(markup.contains("<"), F.regexp_replace(markup, r"(?s)<[^>]*>", "")).otherwise(markup))
+
+
+def _unquoted(value: Column) -> Column:
+    """A captured attribute value without its quotes, decoded."""
+    return decode_entities(F.regexp_replace(value, r"""^["']|["']$""", ""))
 
 
 def _cells(row: Column) -> Column:
@@ -64,19 +94,17 @@ def _cells(row: Column) -> Column:
 
 
 def _attribute(block: Column, name: str) -> Column:
-    return F.regexp_extract(block, rf"(?is)\b{name}\s*=\s*[\"']([^\"']*)[\"']", 1)
+    return _unquoted(F.regexp_extract(block, rf"(?is)(?<![\w-]){name}\s*=\s*{_VALUE}", 1))
 
 
 def _first(array: Column, test) -> Column:
     return F.get(F.filter(array, test), F.lit(0))
 
 
-def html_table_rows(pages: DataFrame, load_date: str) -> DataFrame:
-    """Quote rows of the price table of every page.
+def _table_fields(pages: DataFrame, longest_raw_name: int, longest_name: int, repeated_marks) -> DataFrame:
+    """Fields of the rows of the price table, with the ``reason`` for which a row is no quote.
 
-    The price table is the first whose opening rows have six cells, else the
-    first with the expected headings. Headings, blank and oversized rows are
-    skipped; a missing date becomes ``load_date``.
+    The first five rows of a table are only looked at to recognise it.
     """
     width = lambda row: F.regexp_count(row, F.lit(r"(?i)<td[\s>]"))
 
@@ -107,7 +135,6 @@ def html_table_rows(pages: DataFrame, load_date: str) -> DataFrame:
     titles = F.transform(_blocks(cell(1), "a"), lambda a: strip(_attribute(_open_tag(a), "title")))
     title = _first(titles, lambda t: t != "")
     plain = lambda i: normalize_text(text_of(cell(i)))
-    day = F.col("day")
     fields = compute_once(
         found, "page_id", "url", "row_no",
         raw_name=raw_name, variety=normalize_text(raw_name), first=first,
@@ -116,19 +143,39 @@ def html_table_rows(pages: DataFrame, load_date: str) -> DataFrame:
     )
     name = F.col("raw_name")
     repeated = F.lit(False)
-    for mark in REPEATED_MARKS:
+    for mark in repeated_marks:
         repeated = repeated | (F.size(F.split(name, mark)) > 2)
-    return (
-        fields.where(~F.col("first").isin(*SKIPPED_FIRST_CELLS) & ~F.col("first").contains("价格"))
-        .where((F.length(name) <= LONGEST_RAW_NAME) & ~repeated)
-        .where((F.col("variety") != "") & (F.length("variety") <= LONGEST_NAME))
-        .select(
-            "page_id", "url", "row_no", "variety", "market", "min_price", "max_price", "avg_price",
-            F.when(day != "", day).otherwise(F.lit(load_date)).alias("date"),
-        )
+    named = fields.where(~F.col("first").isin(*SKIPPED_FIRST_CELLS) & ~F.col("first").contains("价格"))
+    return named.withColumn(
+        "reason",
+        F.when((F.length(name) > longest_raw_name) | (F.length("variety") > longest_name), "long name")
+        .when(repeated, "repeated mark").when(F.col("variety") == "", "no name"),
     )
 
 
+def html_table_rows(pages: DataFrame, load_date: str, longest_raw_name: int = LONGEST_RAW_NAME, longest_name: int = LONGEST_NAME,
+                    repeated_marks=REPEATED_MARKS) -> DataFrame:
+    """Quote rows of the price table of every page.
+
+    The price table is the first whose opening rows have six cells, else the
+    first with the expected headings. Headings are skipped; a missing date
+    becomes ``load_date``. Rows whose name is overlong or run together are in
+    ``html_table_rejects``.
+    """
+    day = F.col("day")
+    return _table_fields(pages, longest_raw_name, longest_name, repeated_marks).where("reason is null").select(
+        "page_id", "url", "row_no", "variety", "market", "min_price", "max_price", "avg_price",
+        F.when(day != "", day).otherwise(F.lit(load_date)).alias("date"),
+    )
+
+
+def html_table_rejects(pages: DataFrame, longest_raw_name: int = LONGEST_RAW_NAME, longest_name: int = LONGEST_NAME,
+                       repeated_marks=REPEATED_MARKS) -> DataFrame:
+    """The rows that ``html_table_rows`` does not take, with the reason."""
+    return _table_fields(pages, longest_raw_name, longest_name, repeated_marks).where("reason is not null").select(
+        "page_id", "url", "row_no", "raw_name", "market", "min_price", "max_price", "avg_price", "day", "reason")
+
+
 def _clicks(cell: Column, last: bool) -> Column:
     strong = F.transform(_blocks(cell, "strong"), lambda s: strip(text_of(_inner(s))))
     marked = F.try_element_at(strong, F.lit(-1 if last else 1))
@@ -209,9 +256,10 @@ def html_supplier_rows(pages: DataFrame) -> DataFrame:
 
 
 def link_extract(pages: DataFrame) -> DataFrame:
-    """(page_id, url, position, href) of every link with a target."""
-    hrefs = F.regexp_extract_all("html", F.lit(r"(?i)<a\s[^>]*?href\s*=\s*[\"']([^\"']*)[\"']"), F.lit(1))
-    return pages.select("page_id", "url", F.posexplode(hrefs).alias("position", "href"))
+    """(page_id, url, position, href) of every link with a target, outside comments and scripts; targets are decoded."""
+    read = F.regexp_replace("html", _UNREAD, " ")
+    hrefs = F.regexp_extract_all(read, F.lit(rf"(?i)<a(?=\s)[^>]*?\shref\s*=\s*{_VALUE}"), F.lit(1))
+    return pages.select("page_id", "url", F.posexplode(F.transform(hrefs, _unquoted)).alias("position", "href"))
 
 
 def link_slugs(pages: DataFrame, pattern: str = SUB_CATEGORY, dropped=NOT_SUB_CATEGORIES) -> DataFrame:
@@ -255,17 +303,18 @@ def url_resolve(base: Column | str, href: Column | str, at_root: bool = False) -
     base, href = _col(base), _col(href)
     below = F.concat(url_host(base), F.lit("/"), href) if at_root else F.concat(F.rtrim(base, F.lit("/")), F.lit("/"), href)
     return (
-        F.when(href.startswith("http"), href)
+        F.when(F.lower(href).startswith("http"), href)
         .when(href.startswith("/"), F.concat(url_host(base), href))
         .otherwise(below)
     )
 
 
 def link_targets(pages: DataFrame) -> DataFrame:
-    """Distinct (host of the page, resolved link)."""
-    return link_extract(pages).select(
-        url_host("url").alias("host"), url_resolve("url", "href").alias("target")
-    ).distinct()
+    """(host of the page, resolved link) of the links that can be fetched: fragments and other schemes are left out."""
+    fetched = ~F.col("href").startswith("#") & ~F.col("href").rlike("^(?!(?i)https?:)[A-Za-z][A-Za-z0-9+.-]*:")
+    return link_extract(pages).where(fetched).select(
+        url_host("url").alias("host"), F.regexp_replace(url_resolve("url", "href"), "#.*$", "").alias("target")
+    )
 
 
 def link_frontier(pages: DataFrame) -> DataFrame:
@@ -274,6 +323,17 @@ def link_frontier(pages: DataFrame) -> DataFrame:
     return link_targets(pages).select("target").distinct().join(held, "target", "left_anti")
 
 
+def page_addresses(counts: DataFrame, template: str = "p{n}.html", first_page: int = 1) -> DataFrame:
+    """(page_id, url, page_no, target) for every page of a listing, from its ``page_count``.
+
+    ``{n}`` in ``template`` stands for the page number; the address is resolved
+    against the listing. Its targets are what a frontier may fetch.
+    """
+    numbers = F.expr(f"explode(sequence({first_page}, page_count))")
+    return counts.where(F.col("page_count") >= first_page).select("page_id", "url", numbers.alias("page_no")).withColumn(
+        "target", url_resolve("url", F.replace(F.lit(template), F.lit("{n}"), F.col("page_no").cast("string"))))
+
+
 def crawl_coverage(pages: DataFrame, extracted: DataFrame) -> DataFrame:
     """Per host: pages held, links seen, links still missing, and whether any row was extracted.
 
@@ -282,7 +342,7 @@ def crawl_coverage(pages: DataFrame, extracted: DataFrame) -> DataFrame:
     held = pages.groupBy(url_host("url").alias("host")).agg(F.count(F.lit(1)).alias("pages_held"))
     known = pages.select(F.col("url").alias("target")).distinct().withColumn("is_held", F.lit(1))
     links = (
-        link_targets(pages).join(known, "target", "left").groupBy("host")
+        link_targets(pages).distinct().join(known, "target", "left").groupBy("host")
         .agg(F.count(F.lit(1)).alias("links_seen"), F.count_if(F.col("is_held").isNull()).alias("links_missing"))
     )
     rows = extracted.groupBy(url_host("url").alias("host")).agg(F.count(F.lit(1)).alias("rows_extracted"))

@@ -37,6 +37,38 @@ def test_price_table_by_headings_and_unclosed_cells(stored):
     assert [(r.variety, r.max_price, r.date) for r in got] == [("葱", "2", "2024-01-01")]
 
 
+def test_rejected_rows_have_a_reason(stored):
+    html = "<table>" + HEAD + "".join(row(n, "m", "1", "3", "2", "2024-01-05") for n in ("葱", "菠菜菠菜", "x" * 101, "姜", "蒜")) + "</table>"
+    got = {r.raw_name[:4]: r.reason for r in pg.html_table_rejects(stored(html)).collect()}
+    assert got == {"菠菜菠菜": "repeated mark", "xxxx": "long name"}
+    assert pg.html_table_rows(stored(html), "d", longest_name=200, repeated_marks=()).count() == 5
+
+
+@pytest.mark.parametrize("text,want", [
+    ("&#30333;&#x83DC; &amp;#65; &lt;b&gt; A&amp;B", "白菜 &#65; <b> A&B"), ("&#0;&#xD800;&#99999999;", "\ufffd\ufffd&#99999999;"), ("none", "none"), ("&copy;&unknown;", "©&unknown;"),
+])
+def test_character_references(spark, text, want):
+    from pyspark.sql import functions as F
+
+    assert spark.createDataFrame([(text,)], "t string").select(pg.decode_entities(F.col("t")).alias("t")).first().t == want
+
+
+def test_links_are_decoded_and_fetchable(stored, spark):
+    html = """<!-- <a href="/no.html">x</a> --><script>'<a href="/js.html">'</script><a data-href="/d" href=/q.html>q</a>
+    <a href="/p?x=1&amp;y=2#top">p</a><a href="mailto:a@b.c">m</a><a href="#top">t</a><a href='HTTP://o.com/'>o</a>"""
+    df = stored(html)
+    assert [r.href for r in pg.link_extract(df).orderBy("position").collect()] == ["/q.html", "/p?x=1&y=2#top", "mailto:a@b.c", "#top", "HTTP://o.com/"]
+    held = df.union(spark.createDataFrame([(9, "http://q.example.com/p?x=1&y=2", "")], df.schema))
+    assert "http://q.example.com/p?x=1&y=2" not in {r.target for r in pg.link_frontier(held).collect()}
+    assert {r.target for r in pg.link_frontier(df).collect()} >= {"http://q.example.com/q.html", "http://q.example.com/p?x=1&y=2"}
+    assert len(pg.link_frontier(df).collect()) == 3
+
+
+def test_page_addresses(spark):
+    counts = spark.createDataFrame([(1, "http://a.com/list/", 3), (2, "http://b.com", 0)], "page_id long, url string, page_count int")
+    assert [r.target for r in pg.page_addresses(counts, "/p{n}.html").orderBy("page_no").collect()] == [f"http://a.com/p{i}.html" for i in (1, 2, 3)]
+
+
 @pytest.mark.parametrize("html", ["", "<p>no table</p>", "共找到0条<table>" + HEAD + row(*"abcdef") + "</table>", "<table>" + row(*"abcdef") + "</table>"])
 def test_pages_without_price_table(stored, html):
     assert pg.html_table_rows(stored(html), "d").count() == 0
