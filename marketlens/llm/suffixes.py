@@ -44,7 +44,7 @@ BUCKET_SUFFIXES = 400_000
 #: Contexts of one leading token that one task compares; above, windows are counted in Spark.
 TOKEN_CONTEXTS = 20_000
 #: Windows that are compared at once.
-BATCH_WINDOWS = 1_500_000
+BATCH_WINDOWS = 800_000
 
 SUFFIXES = "doc_id long, stamp int, token long, context long, at int, back short, ahead short"
 _SUFFIX_TYPES = [("doc_id", pa.int64()), ("stamp", pa.int32()), ("token", pa.int64()), ("context", pa.int64()), ("at", pa.int32()), ("back", pa.int16()), ("ahead", pa.int16())]

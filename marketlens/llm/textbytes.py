@@ -13,7 +13,8 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 
-CHUNK_BYTES = 4 << 20
+#: Texts are worked on in runs of about this size; each byte takes some hundred bytes of arrays meanwhile.
+CHUNK_BYTES = 1 << 20
 WORDS_IN_SHINGLE = 5
 
 _MASK = (1 << 64) - 1
