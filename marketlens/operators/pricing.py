@@ -53,25 +53,28 @@ def price_heatmap_long(prices: DataFrame) -> DataFrame:
 def price_heatmap(prices: DataFrame, top_vegs: int = 12, top_provs: int | None = None) -> DataFrame:
     """Mean quote per (top variety, top province) with zero-based axis positions.
 
-    Facts are reduced once to (variety, province) groups; the rankings and the
-    restriction to the top groups all run on those.
+    Facts are scanned once, into (variety, province) groups; both axes are ranked
+    by windows over those.
     """
     groups = prices.groupBy("variety", "province").agg(
         F.count(F.lit(1)).alias("n"), F.avg("avg_price").alias("mean")
     )
     valid = dims.UNKNOWN_PROVINCES + dims.EXCLUDED_REGIONS
-    known = groups.where(F.col("province").isNotNull() & ~F.col("province").isin(*valid))
-
-    def axis(df: DataFrame, key: str, index: str, top: int | None) -> DataFrame:
-        totals = df.where(F.col(key).isNotNull()).groupBy(key).agg(F.sum("n").alias("total"))
-        if top:
-            totals = totals.orderBy(F.desc("total"), key).limit(top)
-        order = W.partitionBy().orderBy(F.desc("total"), key)
-        return totals.select(key, (F.row_number().over(order) - 1).alias(index))
+    known = F.coalesce(~F.col("province").isin(*valid), F.lit(False))
+    totals = groups.withColumn("known", known).withColumns({
+        "of_variety": F.sum("n").over(W.partitionBy("variety")),
+        "of_province": F.sum(F.when(F.col("known"), F.col("n"))).over(W.partitionBy("province")),
+    })
+    # Ranks over one row per (variety, province); rows that have no place on an axis come last on it.
+    by_variety = W.partitionBy().orderBy(F.col("variety").isNull(), F.desc("of_variety"), "variety")
+    by_province = W.partitionBy().orderBy(~F.col("known"), F.desc("of_province"), "province")
+    placed = totals.withColumns({"i": F.dense_rank().over(by_variety) - 1, "j": F.dense_rank().over(by_province) - 1})
+    inside = F.col("known") & F.col("variety").isNotNull()
+    for index, top in (("i", top_vegs), ("j", top_provs)):
+        inside = inside & (F.col(index) < top) if top else inside
 
     return (
-        known.join(axis(groups, "variety", "i", top_vegs), "variety")
-        .join(axis(known, "province", "j", top_provs), "province")
+        placed.where(inside)
         .select("variety", "province", "i", "j", round_out("mean", 2).alias("avg_price"))
         .where(F.col("avg_price").isNotNull())
         .orderBy("i", "j")

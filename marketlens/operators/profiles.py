@@ -9,6 +9,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import Window as W
 
 from ..functions import dims
 from ..functions.numbers import ratio, round_out
@@ -41,22 +42,26 @@ def panorama(prices: DataFrame, seeds: DataFrame, suppliers: DataFrame) -> DataF
     return with_listing_counts(groups, seeds, suppliers, PAIR)
 
 
+def _national():
+    """Mean quote of the variety over all its pairs."""
+    everywhere = W.partitionBy("variety")
+    return ratio(F.sum("total").over(everywhere), F.sum("priced").over(everywhere))
+
+
 def variety_province_profile(prices: DataFrame, seeds: DataFrame, suppliers: DataFrame,
                              min_records: int = 10) -> DataFrame:
     """Pairs with enough quotes: supply maturity and price against the national mean.
 
-    The national mean uses unrounded inputs. It is taken from the pair groups
-    (sum over rows), so the facts are scanned once.
+    The national mean uses unrounded inputs. It is a window over the pair groups,
+    so the facts are scanned once.
     """
     groups = prices.groupBy(*PAIR).agg(
         F.sum("avg_price").alias("total"), F.count("avg_price").alias("priced"),
         F.avg("avg_price").alias("mean"), F.count(F.lit(1)).alias("price_records"),
     )
-    national = groups.groupBy("variety").agg(ratio(F.sum("total"), F.sum("priced")).alias("national"))
-    kept = groups.where(F.col("price_records") >= min_records)
+    kept = groups.withColumn("national", _national()).where(F.col("price_records") >= min_records)
     return (
         with_listing_counts(kept, seeds, suppliers, PAIR)
-        .join(national, "variety", "left")
         .select(
             *PAIR,
             round_out("mean", 2).alias("avg_price"),
@@ -80,17 +85,13 @@ def cross_table_profile(prices: DataFrame, seeds: DataFrame, suppliers: DataFram
         round_out(F.stddev_samp("avg_price"), 2).alias("price_std"),
         F.count(F.lit(1)).alias("price_records"),
     )
-    national = groups.groupBy("variety").agg(
-        round_out(ratio(F.sum("total"), F.sum("priced")), 4).alias("national_avg_price")
-    )
-    kept = groups.where(F.col("price_records") >= min_records)
+    kept = groups.withColumn("national_avg_price", round_out(_national(), 4)).where(F.col("price_records") >= min_records)
     if variety:
         kept = kept.where(dims.is_variety(F.col("variety"), variety))
     if province:
         kept = kept.where(dims.is_province(F.col("province"), province))
     result = (
         with_listing_counts(kept, seeds, suppliers, PAIR)
-        .join(national, "variety", "left")
         .select(
             *PAIR, "avg_price", "price_std", "price_records", "seed_count", "supplier_count",
             (F.col("seed_count") + F.col("supplier_count")).alias("supply_maturity"),

@@ -6,6 +6,7 @@ from functools import reduce
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import Window as W
 
 from ..functions import dims
 from ..functions.numbers import round_out
@@ -35,26 +36,31 @@ def province_list(prices: DataFrame, seeds: DataFrame, suppliers: DataFrame) ->
 def overview(prices: DataFrame, seeds: DataFrame, suppliers: DataFrame) -> DataFrame:
     """Row counts, distinct keys and date bounds of the three tables, as one row.
 
-    Quotes are reduced to (variety, market) groups before anything is counted
-    as distinct; the listing totals enter as scalar subqueries.
+    Each table is scanned once: quotes are reduced to (variety, market) groups
+    before anything is counted as distinct, and the listing totals enter as one
+    scalar subquery per table. Province names are a bounded domain, so their
+    set travels with the totals.
     """
+    dropped = F.array(*[F.lit(p) for p in (*dims.EXCLUDED_REGIONS, "未知", "")])
     groups = prices.groupBy("variety", "market").agg(
-        F.count(F.lit(1)).alias("n"), F.min("price_date").alias("d0"), F.max("price_date").alias("d1")
+        F.count(F.lit(1)).alias("n"), F.min("price_date").alias("d0"), F.max("price_date").alias("d1"), F.collect_set("province").alias("p")
     )
     listing = lambda df: df.agg(
-        F.struct(F.count(F.lit(1)).alias("n"), F.max("publish_date").alias("d")).alias("v")
+        F.struct(F.count(F.lit(1)).alias("n"), F.max("publish_date").alias("d"), F.collect_set("province").alias("p")).alias("v")
     ).scalar()
+    provinces = F.array_except(F.array_union("p", F.array_union(listing(seeds)["p"], listing(suppliers)["p"])), dropped)
     return groups.agg(
         F.coalesce(F.sum("n"), F.lit(0)).alias("price_count"),
         F.countDistinct("variety").alias("varieties"),
         F.countDistinct("market").alias("markets"),
         F.min("d0").alias("price_date_min"),
         F.max("d1").alias("price_date_max"),
+        F.array_distinct(F.flatten(F.collect_set("p"))).alias("p"),
     ).select(
-        "*",
+        "price_count", "varieties", "markets", "price_date_min", "price_date_max",
         listing(seeds)["n"].alias("seed_count"),
         listing(suppliers)["n"].alias("supplier_count"),
-        province_list(prices, seeds, suppliers).agg(F.count(F.lit(1))).scalar().alias("provinces"),
+        F.size(provinces).cast("bigint").alias("provinces"),
         listing(seeds)["d"].alias("seed_date_max"),
         listing(suppliers)["d"].alias("supplier_date_max"),
     )
@@ -68,7 +74,7 @@ def data_quality(prices: DataFrame) -> DataFrame:
         F.min("price_date").alias("date_min"),
         F.max("price_date").alias("date_max"),
     )
-    best = stats.agg(F.max("record_count")).scalar()
+    best = F.max("record_count").over(W.partitionBy())
     return stats.withColumn(
         "completeness", round_out(F.try_divide(F.col("record_count"), best) * 100.0, 1)
     ).orderBy(F.desc("record_count"), "variety")

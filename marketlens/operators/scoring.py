@@ -1,27 +1,28 @@
 """Variety scores and supply health.
 
-Maxima that normalise a score are scalar subqueries over the per-variety
-aggregate (its exchange is reused), never a driver round trip.
+Maxima that normalise a score are windows over the per-variety aggregate (one
+row per variety), so the facts are scanned once and nothing goes to the driver.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import Window as W
 
 from ..functions.numbers import ratio, round_out
 from .profiles import with_listing_counts
 
 
-def share_of_max(groups: DataFrame, column: str) -> Column:
-    """column / max(column) over all groups; NULL when the maximum is zero."""
-    return ratio(column, groups.agg(F.max(column)).scalar())
+def share_of_max(column: str) -> Column:
+    """column / max(column) over all rows of a per-key aggregate; NULL when the maximum is zero."""
+    return ratio(column, F.max(column).over(W.partitionBy()))
 
 
 def normalized_count(listings: DataFrame, out: str = "n") -> DataFrame:
     """Rows per variety and their share of the largest variety."""
     counts = listings.where(F.col("variety").isNotNull()).groupBy("variety").agg(F.count(F.lit(1)).alias(out))
-    return counts.withColumn(f"{out}_norm", share_of_max(counts, out))
+    return counts.withColumn(f"{out}_norm", share_of_max(out))
 
 
 def price_cv(prices: DataFrame) -> DataFrame:
@@ -37,7 +38,7 @@ def price_cv(prices: DataFrame) -> DataFrame:
 def price_cv_norm(prices: DataFrame) -> DataFrame:
     """Stability: one minus the variation as a share of the largest variation."""
     stats = price_cv(prices)
-    return stats.withColumn("stability_norm", F.lit(1.0) - share_of_max(stats, "cv"))
+    return stats.withColumn("stability_norm", F.lit(1.0) - share_of_max("cv"))
 
 
 def _three_way(prices: DataFrame, seeds: DataFrame, suppliers: DataFrame) -> DataFrame:
@@ -72,9 +73,9 @@ def variety_score_renorm(prices: DataFrame, seeds: DataFrame, suppliers: DataFra
         F.coalesce("price_stability", F.lit(0.0)).alias("price_stability"),
     )
     total = (
-        share_of_max(common, "seed_count") * 0.3
-        + share_of_max(common, "supplier_count") * 0.4
-        + share_of_max(common, "price_stability") * 0.3
+        share_of_max("seed_count") * 0.3
+        + share_of_max("supplier_count") * 0.4
+        + share_of_max("price_stability") * 0.3
     )
     return (
         common.withColumn("total_score", round_out(total, 2))
@@ -115,7 +116,7 @@ def supply_chain_health(prices: DataFrame, seeds: DataFrame, suppliers: DataFram
         .withColumn("cv", F.coalesce(ratio("std", "mean"), F.lit(0.0)))
     )
     joined = with_listing_counts(stats, seeds, suppliers, ["variety"], "seeds", "suppliers")
-    share = lambda c: F.coalesce(share_of_max(joined, c), F.lit(0.0))
+    share = lambda c: F.coalesce(share_of_max(c), F.lit(0.0))
     normed = joined.select(
         "variety", "seeds", "suppliers", "cv", "mean",
         share("seeds").alias("n_seed"), share("suppliers").alias("n_sup"), share("cv").alias("n_cv"),

@@ -32,7 +32,7 @@ def seasonal_analysis(prices: DataFrame, top_n: int = 8) -> DataFrame:
     """Twelve months for each of the varieties with most quotes; missing months stay NULL.
 
     One fact pass yields (variety, month) sums; ranking, yearly mean and the
-    month grid are built on those.
+    month grid are built from one row per variety made of those.
     """
     by_month = dated(prices).groupBy("variety", F.month("price_date").alias("month")).agg(
         F.sum("avg_price").alias("total"), F.count("avg_price").alias("priced"),
@@ -40,13 +40,14 @@ def seasonal_analysis(prices: DataFrame, top_n: int = 8) -> DataFrame:
     )
     top = (
         by_month.groupBy("variety")
-        .agg(F.sum("n").alias("n_all"), ratio(F.sum("total"), F.sum("priced")).alias("yearly"))
+        .agg(F.sum("n").alias("n_all"), ratio(F.sum("total"), F.sum("priced")).alias("yearly"),
+             F.map_from_entries(F.collect_list(F.struct("month", "mean"))).alias("means"))
         .orderBy(F.desc("n_all"), "variety").limit(top_n)
     )
-    grid = top.select("variety", "yearly", F.explode(F.sequence(F.lit(1), F.lit(12))).alias("month"))
+    grid = top.select("variety", "yearly", "means", F.explode(F.sequence(F.lit(1), F.lit(12))).alias("month"))
     month_price = round_out("mean", 2)
     return (
-        grid.join(by_month.select("variety", "month", "mean"), ["variety", "month"], "left")
+        grid.withColumn("mean", F.try_element_at("means", F.col("month")))
         .select(
             "variety", "month",
             month_price.alias("monthly_price"),
@@ -101,8 +102,9 @@ def seasonal_factor(prices: DataFrame) -> DataFrame:
     by_month = dated(prices).groupBy("variety", F.month("price_date").alias("month")).agg(
         F.sum("avg_price").alias("total"), F.count("avg_price").alias("priced"), F.avg("avg_price").alias("mean")
     )
-    overall = by_month.groupBy("variety").agg(ratio(F.sum("total"), F.sum("priced")).alias("overall"))
-    return by_month.join(overall, "variety").select(
+    of_variety = W.partitionBy("variety")
+    overall = ratio(F.sum("total").over(of_variety), F.sum("priced").over(of_variety))
+    return by_month.withColumn("overall", overall).select(
         "variety", "month", round_out(ratio("mean", "overall"), 4).alias("seasonal_factor")
     )
 
