@@ -366,6 +366,7 @@ SELECT * EXCLUDE (l_partkey, l_suppkey) FROM (
   SELECT *, count(*) OVER () AS total, CAST(3 AS INT) AS page FROM seeds
   WHERE province = 'NATION_4' AND (regexp_matches(product_name, 'red|blue') OR regexp_matches(company_name, 'red|blue'))
   ORDER BY publish_date DESC, product_name, company_name, l_partkey, l_suppkey LIMIT 50 OFFSET 100)""")
+ORACLE["search_prices_after"] = f"SELECT * EXCLUDE (total, page) FROM ({ORACLE['search_prices']})"
 add("search_suppliers", """
 SELECT * EXCLUDE (l_orderkey, l_partkey, l_suppkey) FROM (
   SELECT *, count(*) OVER () AS total, CAST(1 AS INT) AS page FROM suppliers

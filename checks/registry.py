@@ -498,6 +498,16 @@ def search_prices(prices):
     )
 
 
+@over(sv.prices)
+def search_prices_after(prices):
+    """The second page, reached by the keys of the first page's last row."""
+    found = search.find_prices(prices, province="NATION_4", variety="Brand#8")
+    keys = [("price_date", True), ("market", False), *[(k, False) for k in temporal.ROW_KEYS]]
+    first = search.page_after(found, keys, 20).select(*[c for c, _ in keys]).tail(1)
+    page = search.page_after(found, keys, 20, first[0].asDict() if first else None)
+    return page.select("variety", "market", "province", "price_date", *[numbers.round_out(c, 2).alias(c) for c in ("min_price", "max_price", "avg_price")])
+
+
 @over(sv.seeds)
 def search_seeds(seeds):
     found = search.find_seeds(seeds, keyword="red|blue", province="NATION_4")

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import dims
@@ -52,5 +52,31 @@ def page_of(found: DataFrame, order: list, page: int, page_size: int) -> DataFra
     return rows.withColumn("total", total).withColumn("page", F.lit(page))
 
 
+def _follows(keys: list[tuple[str, bool]], last: dict) -> Column:
+    """Rows behind ``last`` in an order of (column, descending) keys; nulls stand last."""
+    same, behind = F.lit(True), F.lit(False)
+    for column, descending in keys:
+        c, value = F.col(column), last[column]
+        if value is None:
+            step = F.lit(False)
+        else:
+            step = F.coalesce(c < F.lit(value) if descending else c > F.lit(value), F.lit(True))
+        behind = behind | (same & step)
+        same = same & c.eqNullSafe(F.lit(value))
+    return behind
+
+
+def page_after(found: DataFrame, keys: list[tuple[str, bool]], page_size: int, last: dict | None = None) -> DataFrame:
+    """The next ``page_size`` rows in a total order of (column, descending) keys.
+
+    ``last`` holds the key values of the row that ended the page before, so a
+    deep page is a filter and a top-k of one page: no skipped row is ranked.
+    """
+    if not 1 <= page_size <= MAX_PAGE:
+        raise ValueError(f"page_size is 1..{MAX_PAGE}")
+    rows = found if last is None else found.where(_follows(keys, last))
+    return rows.orderBy(*[F.desc_nulls_last(c) if descending else F.asc_nulls_last(c) for c, descending in keys]).limit(page_size)
+
+
 def newest_first(date: str, *keys: str) -> list:
     return [F.desc_nulls_last(date), *keys]

@@ -210,3 +210,15 @@ def test_merged_cells_equal_direct_statistics(spark, sf_dir):
     for r in p.groupBy("province").agg(F.count("*").alias("n"), F.avg("avg_price").alias("m"), F.stddev_samp("avg_price").alias("s")).collect():
         got = merged[r.province]
         assert got.n == r.n and math.isclose(got.mean, r.m, rel_tol=1e-12) and math.isclose(got.std, r.s, rel_tol=1e-10)
+
+
+def test_key_pages_are_the_whole_order(spark):
+    rng = random.Random(3)
+    rows = [(rng.choice([None, 1, 2, 3]), rng.choice([None, "a", "b"]), i) for i in range(57)]
+    df, keys = spark.createDataFrame(rows, "d int, s string, i int"), [("d", True), ("s", False), ("i", False)]
+    seen, last = [], None
+    while page := search.page_after(df, keys, 10, last).collect():
+        seen += [tuple(r) for r in page]
+        last = page[-1].asDict()
+    want = sorted(rows, key=lambda r: (r[0] is None, -(r[0] or 0), r[1] is None, r[1] or "", r[2]))
+    assert seen == want
