@@ -4,7 +4,10 @@ A text becomes a template: numbers, names (capitalised words inside a
 sentence) and units after a number turn into typed placeholders, the rest is
 lower-cased and parted at blanks and ASCII punctuation. Windows of
 ``WINDOW`` template words of the benchmark are hash-joined with those of the
-documents, so a question with other numbers or names is met as well.
+documents, so a question with other numbers or names is met as well. The name
+rule reads letter case, so a copy in capitals or title case has other names;
+windows in which names stay lower-cased words are joined too (the ``CASELESS``
+form), and a window counts as matched if it meets in either form.
 
 A run of matched windows at one shift between a document and an item is an
 alignment. Its slots must be consistent: wherever the item repeats a value the
@@ -41,24 +44,28 @@ UNITS = (
     "mm cm m km in ft yd mi mg g kg t lb lbs oz ml cl l gal s sec min h hr hrs hours hour minutes minute seconds second days day weeks week months month "
     "years year metres meters metre meter kilometres kilometers miles mile inches inch feet foot grams gram kilograms kilogram pounds pound litres liters "
     "litre liter percent degrees degree dollars dollar euros euro cents cent usd eur gbp").split()
+#: Forms of a text: with placeholders for names, or with names as lower-cased words.
+NAMED, CASELESS = 0, 1
 _UNIT = rf"({NUMBER_MARK}[ -]?)(?i:{'|'.join(UNITS)})(?![\p{{L}}0-9])"
 
 
-def template_words(text: Column) -> Column:
+def template_words(text: Column, form: int = NAMED) -> Column:
     """Array of template words."""
-    marked = F.regexp_replace(F.regexp_replace(text, _NUMBER, NUMBER_MARK), _NAME, NAME_MARK)
+    marked = F.regexp_replace(text, _NUMBER, NUMBER_MARK)
+    if form == NAMED:
+        marked = F.regexp_replace(marked, _NAME, NAME_MARK)
     marked = F.regexp_replace(marked, _UNIT, f"$1 {UNIT_MARK}")
     spaced = F.regexp_replace(marked, f"([{NUMBER_MARK}-{UNIT_MARK}])", " $1 ")
     return F.filter(F.split(F.lower(spaced), r"[\s\p{Punct}]+"), lambda w: w != "")
 
 
-def slot_values(text: Column) -> Column:
+def slot_values(text: Column, form: int = NAMED) -> Column:
     """Values of the placeholders, each kind in text order: numbers, names, units."""
     numbered = F.regexp_replace(text, _NUMBER, NUMBER_MARK)
-    named = F.regexp_replace(numbered, _NAME, NAME_MARK)
+    named = F.regexp_replace(numbered, _NAME, NAME_MARK) if form == NAMED else numbered
     return F.struct(
         F.regexp_extract_all(text, F.lit(f"({_NUMBER})"), 1).alias("numbers"),
-        F.regexp_extract_all(numbered, F.lit(f"({_NAME})"), 1).alias("names"),
+        (F.regexp_extract_all(numbered, F.lit(f"({_NAME})"), 1) if form == NAMED else F.array().cast("array<string>")).alias("names"),
         F.regexp_extract_all(named, F.lit(rf"{NUMBER_MARK}[ -]?((?i:{'|'.join(UNITS)}))(?![\p{{L}}0-9])"), 1).alias("units"),
     )
 
@@ -69,44 +76,73 @@ def _windows(words: str, size: Column | int) -> Column:
 
 
 def _slots(texts: DataFrame, key: str) -> DataFrame:
-    """``key, at, kind, value`` of every placeholder of ``texts(key, text)``."""
+    """``key, form, at, kind, value`` of every placeholder of ``texts(key, text)``."""
     marks = F.expr(f"filter(transform(words, (w, i) -> struct(i as at, w as kind)), x -> x.kind in ('{NUMBER_MARK}', '{NAME_MARK}', '{UNIT_MARK}'))")
     of_kind = [F.expr(f"transform(filter(marks, x -> x.kind = '{mark}'), (x, j) -> struct(x.at as at, x.kind as kind, lower(get(slots.{name}, j)) as value))")
                for mark, name in ((NUMBER_MARK, "numbers"), (NAME_MARK, "names"), (UNIT_MARK, "units"))]
+    forms = F.array(*[F.struct(F.lit(f).alias("form"), template_words(F.col("text"), f).alias("words"), slot_values(F.col("text"), f).alias("slots")) for f in (NAMED, CASELESS)])
     return (
-        texts.select(key, template_words(F.col("text")).alias("words"), slot_values(F.col("text")).alias("slots"))
-        .select(key, marks.alias("marks"), "slots").select(key, F.explode(F.concat(*of_kind)).alias("slot")).select(key, "slot.*").distinct()
+        texts.select(key, F.explode(forms).alias("of")).select(key, "of.*")
+        .select(key, "form", marks.alias("marks"), "slots").select(key, "form", F.explode(F.concat(*of_kind)).alias("slot")).select(key, "form", "slot.*").distinct()
     )
 
 
 def benchmark_windows(benchmark: DataFrame, window: int = WINDOW, least_words: int = LEAST_WORDS) -> DataFrame:
-    """``item_id, at, size, hash`` of the windows of every item."""
-    items = benchmark.select("item_id", template_words(F.col("text").cast("string")).alias("words")).where("size(words) > 0").withColumn("size", F.least(F.size("words"), F.lit(window)))
-    each = items.select("item_id", "words", "size", F.explode(F.expr("sequence(0, size(words) - size)")).alias("at"))
-    part = F.slice("words", F.col("at") + 1, F.col("size"))
-    plain = F.size(F.filter(part, lambda w: ~w.isin(NUMBER_MARK, NAME_MARK, UNIT_MARK)))
-    return each.where(plain >= F.least(F.col("size"), F.lit(least_words))).select("item_id", "at", "size", F.xxhash64(part).alias("hash")).distinct()
+    """``item_id, track, form, at, size, hash`` of the windows of every item.
+
+    A track is one way to number the windows of an item and to count them:
+    ``NAMED`` those with enough plain words beside names, ``CASELESS`` those
+    with enough words when names count as words. Where both forms part a text
+    alike, a window of one form counts on both tracks.
+    """
+    text = F.col("text").cast("string")
+    forms = []
+    for form, other in ((NAMED, CASELESS), (CASELESS, NAMED)):
+        items = (
+            benchmark.select("item_id", template_words(text, form).alias("words"), template_words(text, other).alias("others")).where("size(words) > 0")
+            .withColumn("size", F.least(F.size("words"), F.lit(window)))
+        )
+        each = items.select("item_id", "words", "others", "size", F.explode(F.expr("sequence(0, size(words) - size)")).alias("at"))
+        part, across = F.slice("words", F.col("at") + 1, F.col("size")), F.slice("others", F.col("at") + 1, F.col("size"))
+        rich = lambda words: F.size(F.filter(words, lambda w: ~w.isin(NUMBER_MARK, NAME_MARK, UNIT_MARK))) >= F.least(F.col("size"), F.lit(least_words))
+        both = (F.size("words") == F.size("others")) & rich(across)
+        tracks = F.when(both, F.array(F.lit(form), F.lit(other))).otherwise(F.array(F.lit(form)))
+        forms.append(each.where(rich(part)).select("item_id", F.explode(tracks).alias("track"), F.lit(form).alias("form"), "at", "size", F.xxhash64(part).alias("hash")))
+    return reduce(DataFrame.union, forms).distinct()
+
+
+def _window_hits(docs: DataFrame, windows: DataFrame) -> DataFrame | None:
+    """``doc_id, stamp, place, hash, form, size`` of the windows of documents that stand in ``windows``."""
+    wanted = windows.select("hash", "form", "size").distinct()
+    passes = sorted((r["form"], r["size"]) for r in wanted.select("form", "size").distinct().collect())
+    small = wanted.count() <= BROADCAST_WINDOWS
+    text = F.col("text").cast("string")
+    met = []
+    for form, size in passes:
+        known = wanted.where((F.col("form") == form) & (F.col("size") == size)).select("hash")
+        words = docs.select("doc_id", F.xxhash64("text").alias("stamp"), template_words(text, form).alias("words"))
+        each = words.where(F.size("words") >= size).select("doc_id", "stamp", F.posexplode(_windows("words", size)).alias("place", "hash"))
+        met.append(each.join(F.broadcast(known) if small else known, "hash", "left_semi").select("doc_id", "stamp", "place", "hash", F.lit(form).alias("form"), F.lit(size).alias("size")))
+    return settle(reduce(DataFrame.union, met), "window-hits") if met else None
 
 
 def contaminated(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, least_share: float = LEAST_SHARE) -> DataFrame:
-    """``doc_id, item_id, matched_windows, item_windows, n_slots`` of each item found in a document."""
+    """``doc_id, item_id, matched_windows, item_windows, n_slots`` of each item found in a document.
+
+    The counts are those of the track with the largest share.
+    """
     windows = settle(benchmark_windows(benchmark, window), "benchmark-windows")
-    wanted = windows.select("hash", "size").distinct()
-    sizes = sorted(r["size"] for r in wanted.select("size").distinct().collect())
-    small = wanted.count() <= BROADCAST_WINDOWS
-    words = docs.select("doc_id", F.xxhash64("text").alias("stamp"), template_words(F.col("text").cast("string")).alias("words"))
-    met = []
-    for size in sizes:
-        known = wanted.where(F.col("size") == size).select("hash")
-        each = words.where(F.size("words") >= size).select("doc_id", "stamp", F.posexplode(_windows("words", size)).alias("place", "hash"))
-        met.append(each.join(F.broadcast(known) if small else known, "hash", "left_semi").select("doc_id", "stamp", "place", "hash", F.lit(size).alias("size")))
-    if not met:
+    hits = _window_hits(docs, windows)
+    if hits is None:
         return docs.select("doc_id").limit(0).crossJoin(benchmark.select("item_id").limit(0)).selectExpr(
             "doc_id", "item_id", "0L as matched_windows", "0L as item_windows", "0L as n_slots")
-    hits = settle(reduce(DataFrame.union, met), "window-hits")
-    matches = hits.join(windows, ["hash", "size"]).select("doc_id", "stamp", "item_id", "at", "size", (F.col("place") - F.col("at")).alias("shift"))
+    shifted = ["doc_id", "stamp", "item_id", "form", "shift"]
+    matches = (
+        hits.join(windows, ["hash", "form", "size"])
+        .select("doc_id", "stamp", "item_id", "track", "form", "at", "size", (F.col("place") - F.col("at")).alias("shift"))
+    )
     runs = settle(
-        matches.groupBy("doc_id", "stamp", "item_id", "shift").agg(F.min("at").alias("low"), F.max(F.col("at") + F.col("size")).alias("high"), F.collect_set("at").alias("ats")),
+        matches.groupBy(*shifted).agg(F.min("at").alias("low"), F.max(F.col("at") + F.col("size")).alias("high"), F.collect_set(F.struct("track", "at")).alias("ats")),
         "alignments",
     )
     items = runs.select("item_id").distinct()
@@ -115,24 +151,27 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, le
     doc_slots = _slots(docs.select("doc_id", F.col("text").cast("string").alias("text")).join(hit_docs.hint("shuffle_hash"), "doc_id", "left_semi")
                        .select(F.struct("doc_id", F.xxhash64("text").alias("stamp")).alias("row"), "text"), "row")
     pairs = (
-        runs.join(item_slots.withColumnRenamed("at", "item_at"), "item_id").where("item_at >= low and item_at < high")
-        .select("doc_id", "stamp", "item_id", "shift", "kind", F.col("value").alias("item_value"), (F.col("item_at") + F.col("shift")).alias("at"))
-        .join(doc_slots.select("row.*", "at", "kind", "value"), ["doc_id", "stamp", "at", "kind"])
+        runs.join(item_slots.withColumnRenamed("at", "item_at"), ["item_id", "form"]).where("item_at >= low and item_at < high")
+        .select(*shifted, "kind", F.col("value").alias("item_value"), (F.col("item_at") + F.col("shift")).alias("at"))
+        .join(doc_slots.select("row.*", "form", "at", "kind", "value"), ["doc_id", "stamp", "form", "at", "kind"])
     )
-    checked = pairs.groupBy("doc_id", "stamp", "item_id", "shift").agg(
+    checked = pairs.groupBy(*shifted).agg(
         F.count(F.lit(1)).alias("slots"), F.countDistinct("kind", "item_value", "value").alias("links"),
         F.countDistinct("kind", "item_value").alias("left"), F.countDistinct("kind", "value").alias("right"),
     )
     consistent = (
-        runs.join(checked, ["doc_id", "stamp", "item_id", "shift"], "left")
-        .where("slots is null or (links = left and links = right)")
-        .groupBy("doc_id", "item_id").agg(F.size(F.array_distinct(F.flatten(F.collect_list("ats")))).cast("long").alias("matched_windows"),
-                                          F.coalesce(F.sum("slots"), F.lit(0)).cast("long").alias("n_slots"))
+        runs.join(checked, shifted, "left").where("slots is null or (links = left and links = right)")
+        .groupBy("doc_id", "item_id", "form").agg(F.flatten(F.collect_list("ats")).alias("ats"), F.coalesce(F.sum("slots"), F.lit(0)).cast("long").alias("n_slots"))
+        .groupBy("doc_id", "item_id").agg(F.array_distinct(F.flatten(F.collect_list("ats"))).alias("ats"), F.max("n_slots").alias("n_slots"))
+        .select("doc_id", "item_id", "n_slots", F.explode("ats").alias("met"))
+        .groupBy("doc_id", "item_id", "met.track").agg(F.count(F.lit(1)).alias("matched_windows"), F.first("n_slots").alias("n_slots"))
     )
-    totals = windows.groupBy("item_id").agg(F.countDistinct("at").alias("item_windows"))
+    totals = windows.groupBy("item_id", "track").agg(F.countDistinct("at").alias("item_windows"))
+    best = F.struct((F.col("matched_windows") / F.col("item_windows")).alias("share"), (-F.col("track")).alias("first"), "matched_windows", "item_windows", "n_slots")
     return (
-        consistent.join(totals, "item_id").where(F.col("matched_windows") >= F.col("item_windows") * least_share)
-        .select("doc_id", "item_id", "matched_windows", "item_windows", "n_slots")
+        consistent.join(totals, ["item_id", "track"]).where(F.col("matched_windows") >= F.col("item_windows") * least_share)
+        .groupBy("doc_id", "item_id").agg(F.max(best).alias("best"))
+        .select("doc_id", "item_id", "best.matched_windows", "best.item_windows", "best.n_slots")
     )
 
 

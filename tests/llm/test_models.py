@@ -111,6 +111,22 @@ def test_templates(spark, with_clashes):
     assert decontaminate.contaminated(table, benchmark.limit(0)).count() == 0
 
 
+def test_copies_in_other_letter_case(spark):
+    item = "Which of these ten plain words would ever stand in just this order, and who was Paris to Anna at home?"
+    benchmark = spark.createDataFrame([(1, item)], "item_id long, text string")
+    docs = [(1, f"so, {item} yes"), (2, f"LOUD: {item.upper()}"), (3, f"News, {item.title()}"), (4, item.lower()), (5, "WHICH OF THESE TEN OTHER WORDS STAND, AND WHO WAS IT?")]
+    got = decontaminate.contaminated(spark.createDataFrame(docs, "doc_id long, text string"), benchmark).collect()
+    assert sorted(r["doc_id"] for r in got) == [1, 2, 3, 4]
+
+
+def test_shouted_benchmark_passages_are_found(spark, sf_dir):
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet").where("doc_id % 2 = 0").selectExpr("doc_id", "upper(text) as text")
+    benchmark = spark.read.parquet(f"{sf_dir}/benchmark.parquet")
+    items = [(r["item_id"], " ".join(r["text"].lower().split())) for r in benchmark.collect()]
+    want = {(d["doc_id"], i) for d in docs.collect() for i, t in items if t in " ".join((d["text"] or "").lower().split())}
+    assert want and want <= {(r["doc_id"], r["item_id"]) for r in decontaminate.contaminated(docs, benchmark).collect()}
+
+
 def test_benchmark_passages_are_found(spark, sf_dir):
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet").collect()
     items = [(r["item_id"], " ".join(r["text"].split())) for r in spark.read.parquet(f"{sf_dir}/benchmark.parquet").collect()]
