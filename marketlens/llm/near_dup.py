@@ -1,15 +1,16 @@
 """Near-duplicate documents by an inverted join of MinHash coordinates.
 
 1. Texts with the same word sequence form a class; one member stands for it.
-   A sketch of a text is ``COORDINATES`` minimum hashes of its five-word
+   A sketch of a text is a few minimum hashes (coordinates) of its five-word
    shingles.
 2. Representatives are posted under every (coordinate, value). Two texts of
-   the wanted similarity agree in ``MATCHES`` coordinates at least (they miss
-   with a chance of about one in a million at the threshold itself), so a text
+   the wanted similarity agree in some number of coordinates at least, which is
+   derived from the similarity (they miss with a chance of ``MISS_CHANCE`` at
+   most at the threshold itself), so a text
    that meets others in fewer coordinates is skipped. So is one whose full set
    has too few shingles in common with all other candidates together.
-3. Of any ``MATCHES`` agreeing coordinates the first lies in a prefix of
-   ``COORDINATES - MATCHES + 1``, so only that prefix is joined. In a first
+3. Of any m agreeing coordinates of n the first lies in a prefix of
+   n - m + 1, so only that prefix is joined. In a first
    round each posting list links its members to its hub, the member that meets
    most others, which folds groups of many near copies without their pairs.
 4. In a second round lists that still hold several components are joined
@@ -26,6 +27,7 @@ a null component. Rows that repeat a ``doc_id`` count as one document.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -37,16 +39,38 @@ from marketlens.functions.settle import settle
 from marketlens.llm import textbytes
 from marketlens.llm.components import components
 
+#: Coordinates of a sketch; low similarities take more, so that ``LEAST_MATCHES`` must agree.
 COORDINATES = 16
-MATCHES = 6
-PREFIX = COORDINATES - MATCHES + 1
+LEAST_MATCHES = 4
+#: Chance, over the hash functions, that a pair of exactly the wanted similarity agrees in too few coordinates.
+MISS_CHANCE = 2e-6
 #: Members of a block of a posting list.
 LIST_MEMBERS = 512
 SIMILAR_PERCENT = 85
+#: Similarity of the pipeline stage.
+STAGE_PERCENT = 80
+
+
+def sketch_sizes(percent: int, miss_chance: float = MISS_CHANCE) -> tuple[int, int]:
+    """Coordinates of a sketch, and how many of them two texts of the similarity agree in."""
+    if not 0 < percent <= 100:
+        raise ValueError("percent must be in 1..100")
+    n = COORDINATES
+    while True:
+        fewer, matches = 0.0, 0
+        while matches < n and (fewer := fewer + math.comb(n, matches) * (percent / 100) ** matches * (1 - percent / 100) ** (n - matches)) <= miss_chance:
+            matches += 1
+        if matches >= LEAST_MATCHES:
+            return n, matches
+        n += 4
+
+
+def _hashes(coordinates: int) -> tuple[np.ndarray, np.ndarray]:
+    """Factors and flips of the hash function of every coordinate."""
+    random = np.random.default_rng(7)
+    factors = random.integers(1, 1 << 62, coordinates, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
+    return factors, random.integers(1, 1 << 63, coordinates, dtype=np.uint64)
 
-_random = np.random.default_rng(7)
-_FACTORS = _random.integers(1, 1 << 62, COORDINATES, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
-_FLIPS = _random.integers(1, 1 << 63, COORDINATES, dtype=np.uint64)
 
 SKETCHES = "doc_id long, key_a long, key_b long, n_shingles long, sketch array<long>"
 
@@ -64,8 +88,9 @@ def _sets(texts: pa.Array) -> Iterator[tuple[int, int, np.ndarray, np.ndarray, n
         yield first, end, words, owner, np.concatenate(own), np.concatenate([[0], np.cumsum(sizes)])
 
 
-def sketches(docs: DataFrame) -> DataFrame:
+def sketches(docs: DataFrame, coordinates: int = COORDINATES) -> DataFrame:
     """Word sequence key, set size and MinHash sketch of every text."""
+    factors, flips = _hashes(coordinates)
 
     def sketch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -74,12 +99,12 @@ def sketches(docs: DataFrame) -> DataFrame:
                 key_a, key_b = textbytes.sequence_keys(words, owner, n)
                 sizes = np.diff(bounds)
                 full = np.flatnonzero(sizes)
-                lows = np.zeros((len(full), COORDINATES), np.uint64)
+                lows = np.zeros((len(full), coordinates), np.uint64)
                 if len(full):
-                    for c in range(COORDINATES):
-                        lows[:, c] = np.minimum.reduceat((sets ^ _FLIPS[c]) * _FACTORS[c], bounds[:-1][full])
+                    for c in range(coordinates):
+                        lows[:, c] = np.minimum.reduceat((sets ^ flips[c]) * factors[c], bounds[:-1][full])
                 ends = np.zeros(n + 1, np.int32)
-                ends[1:] = np.cumsum(sizes > 0) * COORDINATES
+                ends[1:] = np.cumsum(sizes > 0) * coordinates
                 held = pa.ListArray.from_arrays(pa.array(ends), pa.array(lows.ravel().view(np.int64)))
                 yield pa.RecordBatch.from_arrays(
                     [batch.column(0).slice(first, n), pa.array(key_a.view(np.int64)), pa.array(key_b.view(np.int64)), pa.array(sizes), held],
@@ -115,7 +140,7 @@ def _possible(a: str, b: str, percent: int) -> Column:
     return (
         (F.least(n_a, n_b) * 100 >= F.greatest(n_a, n_b) * percent)
         & (F.least(f"{a}.shared", f"{b}.shared") * (100 + percent) >= (n_a + n_b) * percent)
-        & (_agreeing(F.col(f"{a}.sketch"), F.col(f"{b}.sketch")) >= MATCHES)
+        & (_agreeing(F.col(f"{a}.sketch"), F.col(f"{b}.sketch")) >= sketch_sizes(percent)[1])
     )
 
 
@@ -166,7 +191,8 @@ def near_duplicates(docs: DataFrame, percent: int = SIMILAR_PERCENT, list_member
     Documents are linked when ``100 * shared >= percent * united`` shingles;
     ``component_id`` is the smallest ``doc_id`` that links reach.
     """
-    sketched = settle(sketches(docs), "sketches")
+    coordinates, matches = sketch_sizes(percent)
+    sketched = settle(sketches(docs, coordinates), "sketches")
     classes = settle(
         sketched.where("n_shingles > 0 and doc_id is not null").groupBy("key_a", "key_b")
         .agg(F.min("doc_id").alias("doc_id"), F.first("n_shingles").alias("n_shingles"), F.first("sketch").alias("sketch")),
@@ -174,7 +200,7 @@ def near_duplicates(docs: DataFrame, percent: int = SIMILAR_PERCENT, list_member
     )
     posts = classes.select("doc_id", F.posexplode("sketch").alias("at", "value"))
     met = posts.groupBy("at", "value").agg(F.count(F.lit(1)).alias("members")).where("members > 1").select("at", "value")
-    enough = posts.join(met, ["at", "value"]).groupBy("doc_id").agg(F.count(F.lit(1)).alias("met")).where(F.col("met") >= MATCHES).select("doc_id")
+    enough = posts.join(met, ["at", "value"]).groupBy("doc_id").agg(F.count(F.lit(1)).alias("met")).where(F.col("met") >= matches).select("doc_id")
     posted = settle(classes.join(enough, "doc_id", "left_semi").dropDuplicates(["doc_id"]).select("doc_id", "n_shingles", "sketch"), "posted")
     sets = settle(
         shingle_sets(docs.join(posted.select("doc_id").hint("shuffle_hash"), "doc_id", "left_semi")).dropDuplicates(["doc_id"]), "shingle-sets"
@@ -188,7 +214,7 @@ def near_duplicates(docs: DataFrame, percent: int = SIMILAR_PERCENT, list_member
         .where(F.col("shared") * 100 >= F.col("n_shingles") * percent)
     )
     prefix = settle(
-        likely.select("doc_id", "n_shingles", "shared", "sketch", F.posexplode(F.slice("sketch", 1, PREFIX)).alias("at", "value"))
+        likely.select("doc_id", "n_shingles", "shared", "sketch", F.posexplode(F.slice("sketch", 1, coordinates - matches + 1)).alias("at", "value"))
         .withColumn("key", F.xxhash64("at", "value")).drop("value"), "posts",
     )
     sizes = prefix.groupBy("key").agg(F.count(F.lit(1)).alias("members")).where("members > 1")
@@ -212,5 +238,5 @@ def stage(spark, docs: DataFrame, sf_dir: str) -> DataFrame:
 
     Rows that repeat a kept ``doc_id`` stay.
     """
-    dropped = settle(near_duplicates(docs).where(~F.col("kept")).select("doc_id").distinct(), "dropped")
+    dropped = settle(near_duplicates(docs, percent=STAGE_PERCENT).where(~F.col("kept")).select("doc_id").distinct(), "dropped")
     return docs.join(dropped, "doc_id", "left_anti").select(docs.columns)

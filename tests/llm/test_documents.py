@@ -1,5 +1,6 @@
 """Operators on documents against plain restatements."""
 
+import math
 import random
 import zlib
 from collections import Counter
@@ -50,6 +51,30 @@ def test_near_duplicates_chain(spark):
         assert {r["doc_id"]: r["component_id"] for r in near_dup.near_duplicates(docs, list_members=members).collect()} == {d: c for d, (_, c) in want.items()}
 
 
+def test_stage_drops_copies_from_80_percent(spark):
+    """Pairs of a similarity between 0.80 and 0.85, and just below 0.80."""
+    rng = random.Random(5)
+    rows = []
+    for i in range(40):
+        words = prose(rng, 204, 5000).split()
+        near = list(words)
+        for j in range(4 if i < 30 else 5):
+            near[20 + 40 * j] = f"changed{j}"
+        rows += [(2 * i, " ".join(words)), (2 * i + 1, " ".join(near))]
+    want = brute.near_duplicates(rows, percent=80)
+    kept = {r["doc_id"] for r in near_dup.stage(spark, spark.createDataFrame(rows, "doc_id long, text string"), "").collect()}
+    assert kept == {d for d, (_, c) in want.items() if c == d} and len(kept) == 50
+    assert brute.near_duplicates(rows, percent=85) != want
+
+
+def test_sketch_sizes_follow_the_similarity():
+    assert near_dup.sketch_sizes(85) == (16, 6) and near_dup.sketch_sizes(100) == (16, 16)
+    for percent in (30, 50, 80, 95):
+        n, matches = near_dup.sketch_sizes(percent)
+        p = percent / 100
+        assert matches >= near_dup.LEAST_MATCHES and sum(math.comb(n, k) * p**k * (1 - p) ** (n - k) for k in range(matches)) <= near_dup.MISS_CHANCE
+
+
 def test_near_duplicates_null_id_and_empty(spark, empty):
     docs = spark.createDataFrame([(None, "a b c d e f"), (3, "a b c d e f"), (7, "A b c d e f")], "doc_id long, text string")
     got = {r["doc_id"]: (r["component_id"], r["kept"]) for r in near_dup.near_duplicates(docs).collect()}
