@@ -20,7 +20,8 @@ whose bound equals the score are visited, so results are exact. Scores are
 sums of 64-bit integers.
 
 A vector that is null or holds a null or a value that is not finite takes no
-part, and neither does a null id. Shorter vectors are padded with zeros. Rows
+part, and neither does a null id. Components and scores beyond 64 bits are held
+at the ends of that range. Shorter vectors are padded with zeros. Rows
 that repeat an id are candidates each; a query excludes every row of its id
 and queries of one id are answered once, by its first vector.
 """
@@ -55,7 +56,7 @@ PLACED = "vec_id long, cell int, distance double, vector array<long>"
 def integer_vectors(embeddings: DataFrame, scale: int = SCALE) -> DataFrame:
     """``vec_id, vector`` with components ``floor(scale * x)``."""
     vector = F.col("embedding").cast("array<double>")
-    fit = F.col("vec_id").isNotNull() & F.col("embedding").isNotNull() & F.forall(vector, lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < F.lit(2.0**62 / scale)))
+    fit = F.col("vec_id").isNotNull() & F.col("embedding").isNotNull() & F.forall(vector, lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < F.lit(float("inf"))))
     return embeddings.where(fit).select(F.col("vec_id").cast("long").alias("vec_id"), F.transform(vector, lambda x: F.floor(x * F.lit(scale)).cast("long")).alias("vector"))
 
 
@@ -69,7 +70,7 @@ def _matrix(vectors, width: int) -> np.ndarray:
 
 def _products(queries: np.ndarray, data: np.ndarray) -> np.ndarray:
     """Exact inner products, by floating products where those are exact."""
-    reach = float(np.abs(queries).max(initial=0)) * float(np.abs(data).max(initial=0)) * queries.shape[1]
+    reach = np.abs(queries.astype(np.float64)).max(initial=0) * np.abs(data.astype(np.float64)).max(initial=0) * queries.shape[1]
     if reach < 2.0**53:
         return (queries.astype(np.float64) @ data.astype(np.float64).T).astype(np.int64)
     if reach < 2.0**63:
@@ -140,13 +141,13 @@ def nearest(embeddings: DataFrame, query_every: int = QUERY_EVERY, k: int = K, p
         blocks_in[c] = n
     block = F.pmod(F.xxhash64("vec_id", "distance"), F.element_at(F.array(*[F.lit(int(max(1, n))) for n in blocks_in]), F.col("cell") + 1)).cast("int")
     blocks = placed.select("cell", block.alias("block"), "vec_id", "vector")
-    queries = placed.where(F.pmod("vec_id", F.lit(query_every)) == 0).groupBy(F.col("vec_id").alias("query_id")).agg(F.min("vector").alias("vector"))
+    queries = placed.where(F.pmod("vec_id", F.lit(query_every)) == 0).groupBy(F.col("vec_id").alias("query_id")).agg(F.min("vector").alias("vector"), F.count(F.lit(1)).alias("own"))
 
     def bounds(data: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         along = data @ pivot.T
         reach = np.sqrt((data**2).sum(axis=1))[:, None] * radius
         slack = SLACK * (np.abs(along) + reach) + 1e-6
-        return along - reach - slack, along + reach + slack
+        return np.clip(along - reach - slack, -(2.0**63), 2.0**63), np.clip(along + reach + slack, -(2.0**63), 2.0**63)
 
     def send(first_round: bool):
         def route(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -158,10 +159,12 @@ def nearest(embeddings: DataFrame, query_every: int = QUERY_EVERY, k: int = K, p
                         wanted = np.zeros_like(high, bool)
                         wanted[np.arange(len(high)), high.argmax(axis=1)] = True
                     else:
-                        floor = part.column(2).to_numpy(zero_copy_only=False).astype(np.float64)
+                        floor = part.column(3).to_numpy(zero_copy_only=False).astype(np.float64)
                         order = np.argsort(-low, axis=1)
-                        enough = (np.cumsum(members[order], axis=1) >= k + 1).argmax(axis=1)
-                        sure = np.where(members.sum() > k, np.take_along_axis(low, order, axis=1)[np.arange(len(low)), enough], -np.inf)
+                        # The query's own rows are among the members but not in its answer.
+                        needed = k + part.column(2).to_numpy()
+                        enough = (np.cumsum(members[order], axis=1) >= needed[:, None]).argmax(axis=1)
+                        sure = np.where(members.sum() >= needed, np.take_along_axis(low, order, axis=1)[np.arange(len(low)), enough], -np.inf)
                         wanted = high >= np.fmax(sure, np.where(np.isnan(floor), -np.inf, floor))[:, None]
                     rows, cols = np.nonzero(wanted)
                     copies = np.array([parts[int(c)] for c in cells[cols]], np.int64)
@@ -176,7 +179,7 @@ def nearest(embeddings: DataFrame, query_every: int = QUERY_EVERY, k: int = K, p
     routed = "query_id long, vector array<long>, cell int, block int"
     if not len(cells):
         return spark.createDataFrame([], "query_id long, rank int, vec_id long, score long")
-    first = _merge(_solve(queries.select("query_id", "vector").mapInArrow(send(True), routed), blocks, width, k), k)
+    first = _merge(_solve(queries.select("query_id", "vector", "own").mapInArrow(send(True), routed), blocks, width, k), k)
     floors = settle(first.groupBy("query_id").agg(F.min("score").alias("floor"), F.count(F.lit(1)).alias("n")).where(F.col("n") == k).select("query_id", "floor"), "floors")
-    second = queries.join(floors, "query_id", "left").select("query_id", "vector", F.col("floor").cast("double").alias("floor")).mapInArrow(send(False), routed)
+    second = queries.join(floors, "query_id", "left").select("query_id", "vector", "own", F.col("floor").cast("double").alias("floor")).mapInArrow(send(False), routed)
     return _merge(_solve(second, blocks, width, k), k)

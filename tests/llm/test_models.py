@@ -48,6 +48,19 @@ def test_nearest(spark, pivots, block):
     assert voronoi.nearest(table.limit(0)).count() == 0
 
 
+def test_nearest_with_repeated_query_rows(spark):
+    """A query whose own rows fill a tight cell, and components from 2**52 on."""
+    rng = np.random.default_rng(6)
+    rows = [(10, [1.0, 0.0, 0.0])] * 30 + [(i, rng.normal(0, 0.3, 3).tolist()) for i in range(101, 190)] + [(7, [0.4, 0.0, 0.0])] * 2
+    table = spark.createDataFrame(rows, "vec_id long, embedding array<double>").repartition(3)
+    for pivots in (8, 64):
+        assert sorted(tuple(r) for r in voronoi.nearest(table, query_every=10, k=7, pivots=pivots).collect()) == brute_nearest(rows, 10, 7)
+    large = [(i, [2.0**52 + 2.0**20 * i, 0.0]) for i in (3, 4)] + [(10, [2.0**-10, 0.0]), (5, [1e300, 0.0]), (6, [-1e300, 0.0]), (8, [0.0, 1.0])]
+    got = voronoi.nearest(spark.createDataFrame(large, "vec_id long, embedding array<double>"), query_every=10, k=5).collect()
+    assert [r["vec_id"] for r in sorted(got, key=lambda r: r["rank"])] == [5, 4, 3, 8, 6]
+    assert next(r["score"] for r in got if r["vec_id"] == 3) == 2**62 + 3 * 2**30
+
+
 def test_exact_products_of_any_size():
     a, b = np.array([[2**40, -3]]), np.array([[2**20, 5], [1, 1]])
     assert voronoi._products(a, b).tolist() == [[2**60 - 15, 2**40 - 3]]
