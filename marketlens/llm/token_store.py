@@ -141,7 +141,7 @@ def write_tokens(docs: DataFrame, folder: str, vocabulary: str | None = None, en
         from pyspark import TaskContext
 
         part, number = TaskContext.get().partitionId(), 0
-        encode, end = encoder(vocabulary).encode, end_id.to_bytes(4, "little")
+        encode, end = encoder(vocabulary, added=True).encode, end_id.to_bytes(4, "little")
         doc_ids: list[int | None] = []
         ids: list[bytes] = []
         held = 0

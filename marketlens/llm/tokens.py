@@ -26,33 +26,34 @@ def _letter_bytes() -> dict[str, int]:
 class Encoder:
     """Encodes texts into little-endian unsigned 32-bit ids.
 
-    Null and empty texts give no ids. Strings of special tokens are ordinary
-    text.
+    Null and empty texts give no ids. With ``added``, the strings of the added
+    tokens in a text give their single ids, as in ``encode`` of the library;
+    else they are ordinary text, as with its ``encode_special_tokens``.
     """
 
-    def __init__(self, path: str):
+    def __init__(self, path: str, added: bool = False):
         import tiktoken
         from tokenizers import Tokenizer
 
         tokenizer = Tokenizer.from_file(path)
-        special = set(tokenizer.get_added_tokens_decoder())
+        special = tokenizer.get_added_tokens_decoder()
         of = _letter_bytes()
         ranks = {bytes(of[c] for c in entry): i for entry, i in tokenizer.get_vocab().items() if i not in special}
-        self.core = tiktoken.Encoding("own", pat_str=PIECES, mergeable_ranks=ranks, special_tokens={})
+        self.core = tiktoken.Encoding("own", pat_str=PIECES, mergeable_ranks=ranks, special_tokens={token.content: i for i, token in special.items()} if added else {})
 
     def encode(self, texts: Iterable[str | None]) -> list[bytes]:
         """The id bytes of every text."""
-        return [self.core.encode_to_numpy(text, disallowed_special=()).astype("<u4").tobytes() if text else b"" for text in texts]
+        return [self.core.encode_to_numpy(text, allowed_special="all", disallowed_special=()).astype("<u4").tobytes() if text else b"" for text in texts]
 
 
-_encoders: dict[str, Encoder] = {}
+_encoders: dict[tuple[str, bool], Encoder] = {}
 
 
-def encoder(path: str) -> Encoder:
+def encoder(path: str, added: bool = False) -> Encoder:
     """The worker's encoder of a vocabulary file."""
-    if path not in _encoders:
-        _encoders[path] = Encoder(path)
-    return _encoders[path]
+    if (path, added) not in _encoders:
+        _encoders[path, added] = Encoder(path, added)
+    return _encoders[path, added]
 
 
 def id_array(ids: bytes) -> np.ndarray:

@@ -200,6 +200,21 @@ def test_tokens_equal_the_library():
     assert [id_array(x).tolist() for x in encoder(default_vocabulary()).encode(texts)] == [x[:-1] for x in brute.tokens(texts, 0)]
 
 
+def test_added_tokens_have_their_own_ids(spark):
+    from tokenizers import Tokenizer
+
+    from marketlens.llm.tokens import default_vocabulary
+
+    texts = ["a<|endoftext|>b", "<|endoftext|>", " x <|endoftext|> \n y<|endoftext|><|endoftext|>", "<|endoftext", "plain  text "]
+    want = [e.ids for e in Tokenizer.from_file(default_vocabulary()).encode_batch(texts, add_special_tokens=False)]
+    assert want[0] == [64, 50256, 65]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    stored = {r["doc_id"]: (r["n_tokens"], r["ids_crc32"]) for r in token_store.round_trip(spark, docs).collect()}
+    assert stored == {i: (len(ids) + 1, brute.ids_crc32([*ids, 0])) for i, ids in enumerate(want)}
+    packed = {r["doc_id"]: (r["length"], r["ids_crc32"]) for r in packing.packed_documents(docs).collect()}
+    assert packed == {i: (len(ids) + 1, brute.ids_crc32([*ids, 2])) for i, ids in enumerate(want)}
+
+
 def test_sharding(spark, messy, messy_rows, empty):
     got = sharding.assign_shards(messy, shards=7, slices=3).collect()
     assert len(got) == len(messy_rows)
