@@ -15,8 +15,11 @@ document repeats one too, and different values stay different. An item is
 found in a document when consistent alignments cover ``LEAST_SHARE`` of its
 windows.
 
-Windows with fewer than ``LEAST_WORDS`` plain words say too little and are
-left out; an item shorter than a window is one window of its own length. Null
+Windows with fewer than ``LEAST_WORDS`` plain words say too little as templates
+and are matched exactly, on their lower-cased words and numbers (the ``EXACT``
+form); an item shorter than a window is one window of its own length. A short
+item loses most windows by one edit, so items of up to ``SHORT_WORDS`` words
+are also found where one word at most is changed, added or left out. Null
 and empty texts have no windows. A null ``doc_id`` or ``item_id`` is matched
 like any other; rows that repeat one are taken together.
 """
@@ -44,13 +47,19 @@ UNITS = (
     "mm cm m km in ft yd mi mg g kg t lb lbs oz ml cl l gal s sec min h hr hrs hours hour minutes minute seconds second days day weeks week months month "
     "years year metres meters metre meter kilometres kilometers miles mile inches inch feet foot grams gram kilograms kilogram pounds pound litres liters "
     "litre liter percent degrees degree dollars dollar euros euro cents cent usd eur gbp").split()
-#: Forms of a text: with placeholders for names, or with names as lower-cased words.
-NAMED, CASELESS = 0, 1
+#: Forms of a text: with placeholders for names, with names as lower-cased words, or without placeholders.
+NAMED, CASELESS, EXACT = 0, 1, 2
+#: Longer items keep half of their windows under one edit.
+SHORT_WORDS = 3 * WINDOW - 2
+#: Least words of a short item and the window that one edit leaves whole in it.
+SEEDS = ((15, 7), (9, 4), (5, 2))
 _UNIT = rf"({NUMBER_MARK}[ -]?)(?i:{'|'.join(UNITS)})(?![\p{{L}}0-9])"
 
 
 def template_words(text: Column, form: int = NAMED) -> Column:
     """Array of template words."""
+    if form == EXACT:
+        return F.regexp_extract_all(F.lower(text), F.lit(rf"({_NUMBER}|[^\s\p{{Punct}}0-9]+)"), 1)
     marked = F.regexp_replace(text, _NUMBER, NUMBER_MARK)
     if form == NAMED:
         marked = F.regexp_replace(marked, _NAME, NAME_MARK)
@@ -92,8 +101,9 @@ def benchmark_windows(benchmark: DataFrame, window: int = WINDOW, least_words: i
 
     A track is one way to number the windows of an item and to count them:
     ``NAMED`` those with enough plain words beside names, ``CASELESS`` those
-    with enough words when names count as words. Where both forms part a text
-    alike, a window of one form counts on both tracks.
+    with enough words when names count as words, ``EXACT`` all windows of an
+    item that has others too. Where the forms part a text alike, a window of
+    one form counts on the other tracks.
     """
     text = F.col("text").cast("string")
     forms = []
@@ -108,7 +118,17 @@ def benchmark_windows(benchmark: DataFrame, window: int = WINDOW, least_words: i
         both = (F.size("words") == F.size("others")) & rich(across)
         tracks = F.when(both, F.array(F.lit(form), F.lit(other))).otherwise(F.array(F.lit(form)))
         forms.append(each.where(rich(part)).select("item_id", F.explode(tracks).alias("track"), F.lit(form).alias("form"), "at", "size", F.xxhash64(part).alias("hash")))
-    return reduce(DataFrame.union, forms).distinct()
+    items = (
+        benchmark.select("item_id", template_words(text, CASELESS).alias("others"), template_words(text, EXACT).alias("words")).where("size(words) > 0")
+        .withColumn("size", F.least(F.size("words"), F.lit(window))).withColumn("alike", F.size("words") == F.size("others"))
+    )
+    each = items.select("item_id", "words", "others", "size", "alike", F.explode(F.expr("sequence(0, size(words) - size)")).alias("at"))
+    poor = each.where(~F.col("alike") | ~rich(F.slice("others", F.col("at") + 1, F.col("size"))))
+    exact = poor.select("item_id", F.lit(EXACT).alias("track"), F.lit(EXACT).alias("form"), "at", "size", F.xxhash64(F.slice("words", F.col("at") + 1, F.col("size"))).alias("hash"))
+    mixed = poor.where("alike").select("item_id").distinct()
+    found = reduce(DataFrame.union, forms)
+    beside = found.where(F.col("track") == CASELESS).join(mixed, "item_id", "left_semi").withColumn("track", F.lit(EXACT))
+    return found.union(beside).union(exact).distinct()
 
 
 def _window_hits(docs: DataFrame, windows: DataFrame) -> DataFrame | None:
@@ -126,11 +146,58 @@ def _window_hits(docs: DataFrame, windows: DataFrame) -> DataFrame | None:
     return settle(reduce(DataFrame.union, met), "window-hits") if met else None
 
 
+def edited_items(docs: DataFrame, benchmark: DataFrame, least_words: int = LEAST_WORDS) -> DataFrame | None:
+    """``doc_id, item_id, matched_windows, item_windows`` of short items found with one edit at most, counted in words."""
+    text = F.col("text").cast("string")
+    n = F.size("item_words")
+    seed = reduce(lambda other, s: F.when(n >= s[0], s[1]).otherwise(other), reversed(SEEDS), F.lit(None).cast("int"))
+    seeds = settle(
+        benchmark.select("item_id", template_words(text, EXACT).alias("item_words")).where(n.between(SEEDS[-1][0], SHORT_WORDS))
+        .where(F.size(F.filter("item_words", lambda w: ~w.rlike("^[0-9]"))) > least_words).withColumn("size", seed)
+        .select("item_id", "item_words", "size", F.explode(F.expr("sequence(0, size(item_words) - size)")).alias("at"))
+        .withColumn("hash", F.xxhash64(F.slice("item_words", F.col("at") + 1, F.col("size")))).withColumn("form", F.lit(EXACT)), "seeds",
+    )
+    hits = _window_hits(docs, seeds)
+    if hits is None:
+        return None
+    near = F.array(*[F.col("place") - F.col("at") + d for d in (-1, 0, 1)])
+    spots = settle(hits.join(seeds, ["hash", "form", "size"]).select("doc_id", "stamp", "item_id", "item_words", F.explode(near).alias("start")).distinct(), "seed-hits")
+    hit_docs = spots.select("doc_id", "stamp").distinct()
+    stamped = docs.select("doc_id", F.xxhash64("text").alias("stamp"), "text")
+    same = lambda x, y: F.col(f"{x}.doc_id").eqNullSafe(F.col(f"{y}.doc_id")) & (F.col(f"{x}.stamp") == F.col(f"{y}.stamp"))
+    words = stamped.alias("d").join(hit_docs.alias("h"), same("d", "h"), "left_semi").select("doc_id", "stamp", template_words(text, EXACT).alias("words"))
+    met = (
+        spots.alias("s").join(words.alias("w"), same("s", "w")).where("start >= 0")
+        .select("s.doc_id", "item_id", "item_words", F.slice("words", F.col("start") + 1, n + 1).alias("part")).distinct()
+        .select("*", F.explode(F.array(n - 1, n, n + 1)).alias("length")).where(F.size("part") >= F.col("length"))
+        .withColumn("part", F.slice("part", F.lit(1), F.col("length")))
+    )
+    other = lambda x, y: F.array_position(F.zip_with(x, y, lambda a, b: a.eqNullSafe(b)), False)
+    equal = lambda x, y: F.when(other(x, y) == 0, n).otherwise(other(x, y) - 1)
+    agreeing = equal(F.col("item_words"), F.col("part")) + equal(F.reverse("item_words"), F.reverse("part"))
+    return (
+        met.withColumn("agreeing", agreeing).where(F.col("agreeing") >= F.greatest(n, F.col("length")) - 1)
+        .groupBy("doc_id", "item_id").agg(F.max(F.least("agreeing", n)).cast("long").alias("matched_windows"), F.max(n).cast("long").alias("item_windows"))
+    )
+
+
 def contaminated(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, least_share: float = LEAST_SHARE) -> DataFrame:
     """``doc_id, item_id, matched_windows, item_windows, n_slots`` of each item found in a document.
 
-    The counts are those of the track with the largest share.
+    The counts are those of the track with the largest share; an item that is
+    found by ``edited_items`` only has counts of words.
     """
+    by_windows, edited = _by_windows(docs, benchmark, window, least_share), edited_items(docs, benchmark)
+    if edited is None:
+        return by_windows
+    every = by_windows.withColumn("first", F.lit(1)).union(edited.withColumns({"n_slots": F.lit(0).cast("long"), "first": F.lit(0)}))
+    return (
+        every.groupBy("doc_id", "item_id").agg(F.max(F.struct("first", "matched_windows", "item_windows", "n_slots")).alias("best"))
+        .select("doc_id", "item_id", "best.matched_windows", "best.item_windows", "best.n_slots")
+    )
+
+
+def _by_windows(docs: DataFrame, benchmark: DataFrame, window: int, least_share: float) -> DataFrame:
     windows = settle(benchmark_windows(benchmark, window), "benchmark-windows")
     hits = _window_hits(docs, windows)
     if hits is None:

@@ -132,6 +132,25 @@ def test_copies_in_other_letter_case(spark):
     assert sorted(r["doc_id"] for r in got) == [1, 2, 3, 4]
 
 
+def test_short_and_number_items(spark):
+    sums = "Compute 12 + 35 * 7 - 18 / 3"
+    long_sums = " ".join(f"{i} + {i * 7}.5 km" for i in range(30))
+    short = "Which small green animal of the old forest sings at night when rain falls there?"
+    tiny = "Paris lies on the Seine"
+    benchmark = spark.createDataFrame([(1, sums), (2, long_sums), (3, short), (4, tiny), (5, "7 / 9")], "item_id long, text string")
+    docs = [
+        (1, f"Please: {sums} ok"), (2, "Please compute 12 + 35 * 7 - 18 / 4"), (3, f"see {long_sums.upper()}."),
+        (4, "x which small green animal of the old HILLS sings at night when rain falls there y"),
+        (5, "x which small green animal of the old dark forest sings at night when rain falls there y"),
+        (6, "which small green animal of the forest sings at night when rain falls there"),
+        (7, "which small grey animal of the old hills sings at night when rain falls there"),
+        (8, "and so, Paris lies on the Seine"), (None, "x which small green animal of the old hills sings at night when rain falls there"), (10, "take 7/9 of it"),
+    ]
+    got = decontaminate.contaminated(spark.createDataFrame(docs, "doc_id long, text string"), benchmark).collect()
+    want = [(1, 1), (3, 2), (4, 3), (5, 3), (6, 3), (8, 4), (None, 3)]
+    assert sorted(((r["doc_id"], r["item_id"]) for r in got), key=str) == sorted(want, key=str)
+
+
 def test_shouted_benchmark_passages_are_found(spark, sf_dir):
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet").where("doc_id % 2 = 0").selectExpr("doc_id", "upper(text) as text")
     benchmark = spark.read.parquet(f"{sf_dir}/benchmark.parquet")
