@@ -2,18 +2,19 @@
 
 1. Every page is read into a tree and each container element gets the hash of
    its subtree. Spark counts, per host, on how many pages with different main
-   text a subtree stands; a page's main text is known by its longest block, so
-   that copies of one page count once.
-2. A subtree that recurs on ``TEMPLATE_PAGES`` such pages of its host belongs
-   to the site, not to the page, and is deleted. So are elements that say what
+   text a subtree stands; a page's main text is known by its longest block
+   outside of announced boilerplate, so that copies of one page count once.
+2. A subtree outside a marked article that recurs on ``TEMPLATE_SHARE`` of such
+   pages of its host, and on ``TEMPLATE_PAGES`` at least, belongs to the site,
+   not to the page, and is deleted. So are elements that say what
    they are: menus, headers, footers, sidebars, notices, adverts, forms,
    scripts, styles, reader comments.
 3. What is left of the article (or of the body, if none is marked) is written
    as blocks, one per line, with character references decoded and white space
    folded.
 
-Paragraphs and headings inside a marked article are never deleted as
-templates: copies of an article on one host are still articles. Hot hosts only
+Nothing inside a marked article is deleted as a template, wrapped or not:
+copies of an article on one host are still articles. Hot hosts only
 meet in counts, which are summed before they move.
 """
 
@@ -31,6 +32,8 @@ from marketlens.functions.settle import settle
 from marketlens.llm.html_tree import BLOCK, Element, hash_subtrees, parse
 
 TEMPLATE_PAGES = 5
+#: Share of a host's distinct pages on which a template stands at least.
+TEMPLATE_SHARE = 0.05
 
 DROPPED = frozenset(
     "script style noscript template iframe svg canvas object head title nav aside footer form button select textarea menu dialog datalist map audio video".split())
@@ -93,7 +96,7 @@ def _blocks(part: Element, deleted: frozenset[int] | set[int], in_article: bool)
             close()
         elif type(node) is str:
             words.append(node)
-        elif node is not part and (_announced(node, in_article) or node.digest in deleted and node.tag in CONTAINERS):
+        elif node is not part and (_announced(node, in_article) or part.tag != "article" and node.digest in deleted and node.tag in CONTAINERS):
             if node.tag in BLOCK:
                 close()
         elif node.tag in ("br", "wbr"):
@@ -118,6 +121,21 @@ def extract(html: str | None, deleted: frozenset[int] | set[int] = frozenset())
     return "\n".join(block for part in _main_parts(root, deleted) for block in _blocks(part, deleted, part.tag in ("article", "main")))
 
 
+def _longest(root: Element) -> str:
+    """The longest text node of the article or body outside of announced boilerplate."""
+    longest = ""
+    for part in _main_parts(root, frozenset()):
+        todo = [part]
+        while todo:
+            element = todo.pop()
+            for child in element.children:
+                if type(child) is not Element:
+                    longest = child if len(child) > len(longest) and not child.isspace() else longest
+                elif not _announced(child, part.tag in ("article", "main")):
+                    todo.append(child)
+    return longest
+
+
 def subtrees(html: str | None) -> tuple[list[int], int]:
     """Hashes of the containers with text, and the hash that stands for the main text."""
     if not html:
@@ -125,7 +143,7 @@ def subtrees(html: str | None) -> tuple[list[int], int]:
     root = parse(html)
     hash_subtrees(root)
     found: set[int] = set()
-    longest = ""
+    longest, own = "", _longest(root)
     todo: list[Element] = [root]
     while todo:
         element = todo.pop()
@@ -143,7 +161,7 @@ def subtrees(html: str | None) -> tuple[list[int], int]:
         if has_text and element.tag in CONTAINERS:
             found.add(element.digest)
     mark = Element("p")
-    mark.children.append(longest)
+    mark.children.append(own or longest)
     hash_subtrees(mark)
     return list(found), mark.digest
 
@@ -157,7 +175,7 @@ def _keyed(pages: DataFrame) -> DataFrame:
     )
 
 
-def page_templates(pages: DataFrame, template_pages: int = TEMPLATE_PAGES) -> DataFrame:
+def page_templates(pages: DataFrame, template_pages: int = TEMPLATE_PAGES, template_share: float = TEMPLATE_SHARE) -> DataFrame:
     """``id, stamp, deleted``: for each page its subtrees that its host repeats."""
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -172,9 +190,11 @@ def page_templates(pages: DataFrame, template_pages: int = TEMPLATE_PAGES) -> Da
     rows = settle(_keyed(pages).select("host", "id", "stamp", "html").mapInArrow(
         read, "host string, id long, stamp long, content long, subtrees array<long>"), "subtrees")
     each = rows.select("host", "id", "stamp", "content", F.explode("subtrees").alias("subtree"))
+    hosts = rows.groupBy("host", "content").agg(F.lit(1).alias("one")).groupBy("host").agg(F.count("one").alias("pages"))
     recurring = (
         each.groupBy("host", "subtree", "content").agg(F.lit(1).alias("one")).groupBy("host", "subtree").agg(F.count("one").alias("n"))
-        .where(F.col("n") >= template_pages).select("host", "subtree")
+        .where(F.col("n") >= template_pages)
+        .join(hosts, "host").where(F.col("n") >= F.col("pages") * template_share).select("host", "subtree")
     )
     return each.join(recurring, ["host", "subtree"]).groupBy("id", "stamp").agg(F.collect_set("subtree").alias("deleted"))
 

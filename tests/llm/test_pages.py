@@ -96,6 +96,19 @@ def test_templates_go_and_copies_stay(spark, pages):
     assert out.columns == ["page_id", "url", "text", "n_chars"] and out.count() == pages.count() and html_text.main_texts(pages.limit(0)).count() == 0
 
 
+def test_repeats_inside_articles_and_on_hot_hosts_stay(spark):
+    own = lambda i: f"<p>{'text %d ' % i * 20}</p>"
+    table, quote, box, notice = "<ul><li>same part list</ul>", "<div><p>a quote that some repeat</p></div>", "<div><b>Read on</b></div>", f"<div class=cookie>{'We use cookies. ' * 40}</div>"
+    rows = [(i, f"http://one.com/{i}", f"<article>{own(i)}{table}<section><div>wrapped words</div></section></article>") for i in range(9)]
+    rows += [(100 + i, f"http://hot.com/{i}", f"<body>{box}{own(i)}{quote if i < 6 else ''}</body>") for i in range(200)]
+    rows += [(400 + i, f"http://notice.com/{i}", f"<body>{notice}{box}{own(i)}</body>") for i in range(8)]
+    got = {r["page_id"]: r["text"] for r in html_text.main_texts(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()}
+    text = lambda i: " ".join(["text", str(i)] * 20)
+    assert all(got[i] == f"{text(i)}\nsame part list\nwrapped words" for i in range(9))
+    assert all(got[100 + i] == text(i) + ("\na quote that some repeat" if i < 6 else "") for i in range(200))
+    assert all(got[400 + i] == text(i) for i in range(8))
+
+
 def test_query_on_whole_table(spark, sf_dir):
     from marketlens.llm.queries import QUERIES
 
