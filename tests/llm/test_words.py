@@ -170,7 +170,7 @@ def faulty():
 
 def test_conversation_repair(spark, faulty):
     want = brute.repair_report(faulty)
-    assert len({v[6] for v in want.values()}) > 50 and {*"DIKR"} == {*"".join(v[6] for v in want.values())}
+    assert len({v[6] for v in want.values()}) > 50 and {*"DKR"} <= {*"".join(v[6] for v in want.values())}
     width = len(CLASHING.split(","))
     table = spark.createDataFrame([(*r, *[None] * width) for r in faulty], f"conv_id long, turn long, role string, text string, {CLASHING}").repartition(5)
     assert report(table) == want
