@@ -611,6 +611,37 @@ UNION ALL SELECT 'variety_score', 15
 UNION ALL SELECT 'cross_table_profile', (SELECT count(*) FROM (SELECT 1 FROM prices GROUP BY variety, province HAVING count(*) >= 10))
 UNION ALL SELECT 'forecast_statistical', (SELECT 4 * count(DISTINCT variety) FROM prices)""")
 add("incremental_ingest", "SELECT * FROM clean_prices", *CLEAN_P)
+_NONE = {c: f"CAST(NULL AS {t})" for c, t in (("variety", "VARCHAR"), ("province", "VARCHAR"), ("day", "DATE"), ("avg_price", "DOUBLE"), ("record_count", "BIGINT"),
+                                              ("std", "DOUBLE"), ("low", "DOUBLE"), ("high", "DOUBLE"), ("cv", "DOUBLE"))}
+
+
+def _report(name: str, keys: dict[str, str], rest: str = "", having: str = "", **values: str) -> str:
+    have = {**_NONE, **keys, "avg_price": "round(avg(avg_price) + 0.000001, 2)", **values}
+    group = ", ".join(keys.values())
+    return f"(SELECT '{name}' AS report, {', '.join(f'{v} AS {c}' for c, v in have.items())} FROM clean_prices GROUP BY {group} {having} {rest})"
+
+
+_V, _P = {"variety": "variety"}, {"province": "province"}
+_LEVEL = {"std": "round(stddev_samp(avg_price), 2)", "low": "round(min(min_price), 2)", "high": "round(max(max_price), 2)"}
+add("report_refresh", " UNION ALL ".join([
+    _report("price_by_province", _P, record_count="count(*)"),
+    _report("price_by_variety", _V, "ORDER BY round(avg(avg_price) + 0.000001, 2) DESC, variety LIMIT 20", record_count="count(*)"),
+    _report("heatmap", {**_V, **_P}), _report("price_trend", {"day": "price_date"}),
+    _report("monthly_levels", {**_V, "day": "CAST(date_trunc('month', price_date) AS DATE)"}, record_count="count(*)", **_LEVEL),
+    _report("price_spread", _V, having="HAVING count(*) >= 10", cv="round(stddev_samp(avg_price) / avg(avg_price) * 100, 2)", **_LEVEL),
+]), *CLEAN_P)
+add("compacted_months", """
+SELECT strftime(price_date, '%Y-%m') AS ym, count(*) AS quotes, max(avg_price) AS highest, CAST(count(*) AS BIGINT) AS in_cells,
+       CASE WHEN price_date < DATE '1999-01-01' THEN 1 ELSE count(DISTINCT CAST(right(market, 1) AS INT) % 3) END AS parts
+FROM clean_prices GROUP BY strftime(price_date, '%Y-%m'), price_date < DATE '1999-01-01'""", *CLEAN_P)
+add("watermarked_ingest", f"""
+SELECT kind, strftime(price_date, '%Y-%m') AS ym, count(*) AS quotes, count(DISTINCT variety) AS varieties, max(avg_price) AS highest FROM (
+  SELECT 'kept' AS kind, variety, price_date, avg_price FROM clean_prices
+  UNION ALL
+  SELECT 'late', variety, {p.DAY.format(c='date')}, {p.NUMBER.format(c='avg_price')} FROM (SELECT DISTINCT * FROM raw_prices WHERE variety = '白菜')
+  WHERE {p.NUMBER.format(c='avg_price')} IS NOT NULL
+    AND {p.DAY.format(c='date')} <= (SELECT max(price_date) FROM clean_prices WHERE price_date < DATE '1999-01-01') - 90
+) GROUP BY ALL""", *CLEAN_P)
 
 # --- 2.2 scalar functions, 2.6 value discard ------------------------------
 add("scalar_math", """

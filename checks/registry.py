@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import Window
@@ -602,16 +603,21 @@ def forecast_statistical(prices):
     return forecast_stat.forecast_statistical(prices)
 
 
+def _ml_inputs(spark, sf_dir):
+    return forecast_ml.narrow_inputs(sv.prices(spark, sf_dir), sv.seeds(spark, sf_dir), sv.suppliers(spark, sf_dir))
+
+
 def _fitted(spark, sf_dir):
     """Model and training frame."""
-    frame = forecast_ml.training_frame(sv.prices(spark, sf_dir), sv.seeds(spark, sf_dir), sv.suppliers(spark, sf_dir))
-    return forecast_ml.rf_train(frame.where("is_train")), frame
+    inputs = _ml_inputs(spark, sf_dir)
+    return forecast_ml.fitted(*inputs), forecast_ml.training_frame(*inputs)
 
 
 @query
 def rf_train(spark, sf_dir):
     """Test rows per variety, and whether all their predictions lie inside the training range."""
-    model, frame = _fitted(spark, sf_dir)
+    frame = forecast_ml.training_frame(*_ml_inputs(spark, sf_dir))
+    model = forecast_ml.rf_train(frame.where("is_train"))
     edge = lambda f: frame.where("is_train").agg(f("avg_price")).scalar()
     return model.transform(frame.where("NOT is_train")).groupBy("variety").agg(
         F.count(F.lit(1)).alias("test_rows"),
@@ -640,7 +646,7 @@ def model_metrics(spark, sf_dir):
 @query
 def feature_importance(spark, sf_dir):
     """All features, with no negative importance, which sum to one."""
-    found = settle(forecast_ml.feature_importance(spark, _fitted(spark, sf_dir)[0]), "importances")
+    found = settle(forecast_ml.feature_importance(spark, forecast_ml.fitted(*_ml_inputs(spark, sf_dir))), "importances")
     whole = found.agg(F.abs(F.sum("importance") - 1) < 1e-6).scalar()
     return found.select("feature", (F.col("importance") >= 0).alias("not_negative"), whole.alias("sum_is_one"))
 
@@ -648,8 +654,8 @@ def feature_importance(spark, sf_dir):
 @query
 def forecast(spark, sf_dir):
     """Forecasts with their current price, and whether price and rank are in order."""
-    views = sv.prices(spark, sf_dir), sv.seeds(spark, sf_dir), sv.suppliers(spark, sf_dir)
-    rows = settle(forecast_ml.forecast(_fitted(spark, sf_dir)[0], *views), "forecasts")
+    views = _ml_inputs(spark, sf_dir)
+    rows = settle(forecast_ml.forecast(forecast_ml.fitted(*views), *views), "forecasts")
     by_price = Window.partitionBy("horizon").orderBy(F.desc("predicted_price"), "variety")
     level = F.col("current_avg_price")
     return rows.withColumn("place", F.row_number().over(by_price)).select(
@@ -942,6 +948,61 @@ def incremental_ingest(spark, sf_dir):
     return take("second")
 
 
+def _waves(spark, sf_dir, base, take):
+    """Land the raw quotes in two waves, the second with copies of some rows of the first; ``take`` runs after each."""
+    raw = sv.raw_prices(spark, sf_dir)
+    early = F.coalesce(dates.parse_date("date") < F.lit("1999-01-01").cast("date"), F.lit(False))
+    writers.append_rows(raw.where(early), f"{base}/landing")
+    take()
+    writers.append_rows(raw.where(~early | (F.col("variety") == "白菜")), f"{base}/landing")
+    return take()
+
+
+@query
+def report_refresh(spark, sf_dir):
+    """Reports folded from the stored cells after two waves of quotes; the second wave adds its own cells only."""
+    base = fresh_path(spark, "refresh")
+    _waves(spark, sf_dir, base, lambda: ingest.incremental_ingest(
+        spark, f"{base}/landing", schemas.RAW_PRICES, f"{base}/table", f"{base}/first", cleaning.clean_prices, states=ingest.REPORT_STATES))
+    # Means of cents lie on the rounding border at times; a shift takes them off it for both engines.
+    cells, days = (ingest.stored_state(spark, f"{base}/table", s).withColumn("mean", F.col("mean") + 1e-6) for s in ("cells", "days"))
+    shown = {"variety": "string", "province": "string", "day": "date", "avg_price": "double", "record_count": "bigint", "std": "double", "low": "double", "high": "double", "cv": "double"}
+    names = {"price_date": "day", "month": "day", "mean": "avg_price"}
+
+    def rows(name, report):
+        have = {names.get(c, c): F.col(c) for c in report.columns}
+        return report.select(F.lit(name).alias("report"), *[have.get(c, F.lit(None)).cast(t).alias(c) for c, t in shown.items()])
+
+    return reduce(DataFrame.unionByName, [rows(n, r) for n, r in batch.cell_reports(cells, days).items()])
+
+
+@query
+def compacted_months(spark, sf_dir):
+    """Rows and parts per month of quotes taken in as three waves by market, after the months before 1999 were compacted."""
+    base, raw = fresh_path(spark, "compact"), sv.raw_prices(spark, sf_dir)
+    wave = F.pmod(F.substring("market", -1, 1).cast("int"), F.lit(3))
+    for i in range(3):
+        writers.append_rows(raw.where(wave == i), f"{base}/landing")
+        ingest.incremental_ingest(spark, f"{base}/landing", schemas.RAW_PRICES, f"{base}/table", f"{base}/first", cleaning.clean_prices, states=ingest.REPORT_STATES)
+    after = ingest.compact(spark, f"{base}/table", "1999-01", ingest.REPORT_STATES)
+    parts = spark.createDataFrame(sorted(after.parts_of().items()), "ym string, parts long")
+    rows = ingest.stored_rows(spark, f"{base}/table").groupBy(dates.year_month("price_date").alias("ym")).agg(
+        F.count(F.lit(1)).alias("quotes"), F.max("avg_price").alias("highest"))
+    cells = ingest.stored_state(spark, f"{base}/table", "cells").groupBy(dates.year_month("month").alias("ym")).agg(F.sum("n").alias("in_cells"))
+    return rows.join(cells, "ym").join(parts, "ym")
+
+
+@query
+def watermarked_ingest(spark, sf_dir):
+    """Kept and late quotes per month where a second wave brings copies, new rows and rows behind the watermark."""
+    base = fresh_path(spark, "watermark")
+    kept, late = _waves(spark, sf_dir, base, lambda: ingest.watermarked_ingest(
+        spark, f"{base}/landing", schemas.RAW_PRICES, f"{base}/table", f"{base}/first", cleaning.clean_prices, delay="90 days"))
+    count = lambda df, name: df.groupBy(F.lit(name).alias("kind"), dates.year_month("price_date").alias("ym")).agg(
+        F.count(F.lit(1)).alias("quotes"), F.countDistinct("variety").alias("varieties"), F.max("avg_price").alias("highest"))
+    return count(kept, "kept").unionByName(count(late, "late"))
+
+
 # --- 2.2 scalar functions, 2.6 value discard ------------------------------
 
 @over(sv.prices)

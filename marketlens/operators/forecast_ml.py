@@ -19,6 +19,7 @@ from pyspark.sql import Window as W
 from ..functions.numbers import ratio, round_out
 from ..functions.settle import settle
 from .forecast_stat import WINDOWS
+from .model_store import stored_model
 from .profiles import PAIR, with_listing_counts
 from .quantiles import iqr_filter, percentile_bounds
 from .temporal import dated, max_date, recent_avg_30d, seasonal_factor
@@ -38,6 +39,37 @@ FEATURES = [
 ]
 
 
+def narrow_inputs(prices: DataFrame, seeds: DataFrame, suppliers: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """The columns that training and forecasting read, as settled tables.
+
+    Both read the quotes many times (cutoff, statistics, fences, levels, rows);
+    behind a settled table each of these is a scan of four columns, whatever
+    joins the quotes come from.
+    """
+    listing = lambda df: df.select("variety", "publish_date")
+    return (
+        settle(dated(prices).select(*PAIR, "price_date", "avg_price"), "ml-quotes"),
+        settle(listing(seeds), "ml-seeds"), settle(listing(suppliers), "ml-suppliers"),
+    )
+
+
+def forest_settings(**forest) -> dict[str, object]:
+    """All settings that a fitted forest depends on, for the key of a stored one."""
+    own = {"num_trees": NUM_TREES, "max_depth": MAX_DEPTH, "min_bins": MIN_BINS, "min_rows": MIN_ROWS_PER_NODE, "seed": SEED, "partition_rows": PARTITION_ROWS}
+    return {**own, **forest, "features": tuple(FEATURES), "level_days": LEVEL_DAYS}
+
+
+def fitted(prices: DataFrame, seeds: DataFrame, suppliers: DataFrame, folder: str | None = None, **forest) -> PipelineModel:
+    """The forest of these tables: the stored one, else fitted on their training frame and stored.
+
+    The key is a digest of ``narrow_inputs`` tables, from which the frame follows.
+    """
+    return stored_model(
+        prices.sparkSession, {"quotes": prices, "seeds": seeds, "suppliers": suppliers},
+        lambda: rf_train(training_frame(prices, seeds, suppliers).where("is_train"), **forest), forest_settings(**forest), folder,
+    )
+
+
 def variety_stats(prices: DataFrame, seeds: DataFrame, suppliers: DataFrame) -> DataFrame:
     """Per variety: mean, deviation, rows, listing counts and the recent 30-day mean."""
     groups = prices.groupBy("variety").agg(
