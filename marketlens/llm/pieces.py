@@ -5,29 +5,21 @@ the longest prefix that the map holds is replaced, and each byte of the result
 records the source byte it stems from. The merges then run over the normalised
 text, and the borders of every piece are projected through that record, so each
 id comes with the span of source bytes it stands for.
-
-Merges never cross a border between two characters that stand side by side in
-no entry of the vocabulary. The normalised text is therefore cut into segments
-at word marks and at characters that no longer entry holds, and a worker
-remembers the ids of a bounded number of short segments.
 """
 
 from __future__ import annotations
 
 import hashlib
-import heapq
 import re
 import struct
 import zlib
-from collections.abc import Callable, Iterable, Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
 MARK = "▁"
-#: Segments a worker remembers, and the longest of them in characters.
-REMEMBERED, REMEMBERED_LENGTH = 1 << 17, 64
 #: Bytes of texts worked on before a batch of results is handed on.
 BATCH_BYTES = 8 << 20
 
@@ -37,7 +29,6 @@ DIGESTS = "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string,
 #: Kinds of vocabulary entries in the model file.
 NORMAL, UNKNOWN, CONTROL, USER_DEFINED, UNUSED, BYTE = 1, 2, 3, 4, 5, 6
 BPE = 2
-_NONE = float("inf")
 
 
 class CharacterMap:
@@ -100,7 +91,8 @@ class CharacterMap:
 class PieceModel:
     """A byte-pair SentencePiece model.
 
-    Models of another kind, with unused entries, or that write word marks
+    The text is normalised here; the library, with its own normalisation
+    switched off, merges the normalised text. Models of another kind, with unused entries, or that write word marks
     behind the words are refused.
     """
 
@@ -116,20 +108,14 @@ class PieceModel:
         self.processor = SentencePieceProcessor(model_proto=serialized)
         self.map = CharacterMap(rules.precompiled_charsmap)
         self.dummy_prefix, self.squeeze = rules.add_dummy_prefix, rules.remove_extra_whitespaces
-        self.ids = {p.piece: i for i, p in enumerate(model.pieces) if p.type in (NORMAL, USER_DEFINED)}
-        self.scores = {p.piece: -p.score for p in model.pieces if p.type in (NORMAL, USER_DEFINED)}
-        self.byte_ids = {int(p.piece[3:5], 16): i for i, p in enumerate(model.pieces) if p.type == BYTE} if trainer.byte_fallback else {}
-        self.unknown = next(i for i, p in enumerate(model.pieces) if p.type == UNKNOWN)
-        self.end = trainer.eos_id
         own = sorted((p.piece for p in model.pieces if p.type == USER_DEFINED), key=len, reverse=True)
-        self.own = re.compile("(" + "|".join(map(re.escape, own)) + ")") if own else None
-        longer = [p for p in self.ids if len(p) > 1]
-        joined = "".join(sorted(set("".join(longer)) - {MARK}))
-        inner = any(b == MARK != a for p in longer for a, b in zip(p, p[1:], strict=False))
-        bound = f"[{re.escape(joined)}]" if joined else r"(?!)"
-        self.segments = re.compile(rf"(?:{MARK}|{bound})+|." if inner else rf"{MARK}*{bound}+|{MARK}+|.", re.S)
+        self.own = re.compile("|".join(map(re.escape, own))) if own else None
         self.simple = not rules.precompiled_charsmap and not self.squeeze and self.own is None
-        self._remembered: dict[str, tuple[bytes, bytes]] = {}
+        self.whole = BYTE in kinds
+        self.end = trainer.eos_id
+        self.widths = np.array([1 if p.type == BYTE else len(p.piece.encode()) for p in model.pieces], np.int64)
+        rules.precompiled_charsmap, rules.add_dummy_prefix, rules.remove_extra_whitespaces, rules.escape_whitespaces = b"", False, False, False
+        self.merges = SentencePieceProcessor(model_proto=model.SerializeToString())
 
     def normalise(self, text: str) -> tuple[str, np.ndarray]:
         """Normalised text, and for each of its bytes (and its end) the source byte it stems from."""
@@ -138,7 +124,8 @@ class PieceModel:
             return "", np.zeros(1, np.uint32)
         if self.simple:
             codes = np.frombuffer(data, np.uint8)
-            origin = np.repeat(np.arange(len(codes), dtype=np.uint32), np.where(codes == 0x20, 3, 1))
+            first = np.maximum.accumulate(np.where(codes & 0xC0 == 0x80, 0, np.arange(len(codes), dtype=np.uint32)))
+            origin = np.repeat(first, np.where(codes == 0x20, 3, 1)).astype(np.uint32)
             lead = np.zeros(3 if self.dummy_prefix else 0, np.uint32)
             return MARK * self.dummy_prefix + text.replace(" ", MARK), np.concatenate([lead, origin, np.array([len(codes)], np.uint32)])
         parts, origin, at, after_space = [], [], 0, self.squeeze
@@ -189,95 +176,19 @@ class PieceModel:
                 i += len(data[at : at + hit[0]].decode())
                 at += hit[0]
 
-    def _merge(self, segment: str) -> Iterable[str]:
-        """The entries and single characters a segment is made of."""
-        return self._merge_short(segment) if len(segment) <= REMEMBERED_LENGTH else self._merge_long(segment)
-
-    def _merge_short(self, segment: str) -> list[str]:
-        """Merges with a plain list of the scores of all pairs."""
-        parts, score = list(segment), self.scores.get
-        pairs = [score(a + b, _NONE) for a, b in zip(parts, parts[1:], strict=False)]
-        while pairs:
-            best = min(pairs)
-            if best == _NONE:
-                break
-            i = pairs.index(best)
-            parts[i] += parts.pop(i + 1)
-            del pairs[i]
-            if i:
-                pairs[i - 1] = score(parts[i - 1] + parts[i], _NONE)
-            if i < len(pairs):
-                pairs[i] = score(parts[i] + parts[i + 1], _NONE)
-        return parts
-
-    def _merge_long(self, segment: str) -> Iterator[str]:
-        """The same merges with a heap of pairs."""
-        symbols: list[str | None] = list(segment)
-        before, behind = list(range(-1, len(symbols) - 1)), [*range(1, len(symbols)), -1]
-        heap: list[tuple[float, int, int, int]] = []
-
-        def offer(left: int, right: int) -> None:
-            if left >= 0 and right >= 0:
-                pair = symbols[left] + symbols[right]
-                score = self.scores.get(pair)
-                if score is not None:
-                    heapq.heappush(heap, (score, left, right, len(pair)))
-
-        for i in range(len(symbols) - 1):
-            offer(i, i + 1)
-        while heap:
-            _, left, right, size = heapq.heappop(heap)
-            if symbols[left] is None or symbols[right] is None or len(symbols[left]) + len(symbols[right]) != size:
-                continue
-            symbols[left] += symbols[right]
-            symbols[right] = None
-            behind[left] = behind[right]
-            if behind[right] >= 0:
-                before[behind[right]] = left
-            offer(before[left], left)
-            offer(left, behind[left])
-        return (s for s in symbols if s is not None)
-
-    def _entries(self, parts: Iterable[str]) -> tuple[bytes, bytes]:
-        """Ids, and the normalised bytes that each id moves on by."""
-        ids, moves = [], []
-        for part in parts:
-            known, width = self.ids.get(part), len(part.encode())
-            if known is None and self.byte_ids:
-                ids += [self.byte_ids[b] for b in part.encode()]
-                moves += [0] * (width - 1) + [width]
-            else:
-                ids.append(self.unknown if known is None else known)
-                moves.append(width)
-        return struct.pack(f"<{len(ids)}I", *ids), struct.pack(f"<{len(moves)}I", *moves)
-
-    def _segment(self, segment: str) -> tuple[bytes, bytes]:
-        known = self._remembered.get(segment)
-        if known is None:
-            known = self._entries(self._merge(segment))
-            if len(segment) <= REMEMBERED_LENGTH:
-                if len(self._remembered) >= REMEMBERED:
-                    self._remembered.clear()
-                self._remembered[segment] = known
-        return known
-
     def encode(self, text: str | None) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """Ids without an end id, and the first and behind-last source byte of each."""
         normal, origin = self.normalise(text or "")
-        if self.own is None:
-            found = [self._segment(s) for s in self.segments.findall(normal)]
+        ids = np.array(self.merges.encode(normal) if normal else [], np.uint32)
+        if self.whole:
+            widths = self.widths[ids]
         else:
-            found = []
-            for i, part in enumerate(self.own.split(normal)):
-                found += [self._entries([part])] if i % 2 else [self._segment(s) for s in self.segments.findall(part)]
-        ids = np.frombuffer(b"".join([f[0] for f in found]), "<u4")
-        moves = np.frombuffer(b"".join([f[1] for f in found]), "<u4")
-        borders = np.concatenate([np.zeros(1, np.int64), np.cumsum(moves, dtype=np.int64)])
-        starts, ends = origin[borders[:-1]], origin[borders[1:]]
-        if not self.byte_ids and len(ids):
-            run_on = (ids[1:] == self.unknown) & (ids[:-1] == self.unknown)
-            ids, starts, ends = ids[np.concatenate([[True], ~run_on])], starts[np.concatenate([[True], ~run_on])], ends[np.concatenate([~run_on, [True]])]
-        return ids, starts, ends
+            # The id of what is unknown doesn't tell its width.
+            widths = np.array([len(p.encode()) for p in self.merges.encode(normal, out_type=str)] if normal else [], np.int64)
+        borders = np.concatenate([np.zeros(1, np.int64), np.cumsum(widths)])
+        if borders[-1] != len(origin) - 1:
+            raise ValueError("the pieces do not cover the normalised text")
+        return ids, origin[borders[:-1]], origin[borders[1:]]
 
     def decode(self, ids: list[int]) -> str:
         """The text of the ids, by the library."""
@@ -310,11 +221,21 @@ def _rows(batches: Iterator[pa.RecordBatch], work: Callable, schema: pa.Schema)
             row = tuple(column[i].as_py() for column in batch.columns)
             size += sum(len(v) for v in row if isinstance(v, str | bytes))
             out.append(work(*row))
-            if size >= BATCH_BYTES:
+            if size >= BATCH_BYTES or i + 1 == batch.num_rows:
                 yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*out, strict=True), schema, strict=True)], schema=schema)
                 out, size = [], 0
-        if out:
-            yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*out, strict=True), schema, strict=True)], schema=schema)
+
+
+def _with_end(pieces: PieceModel, text: str | None, end: bool) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    ids, starts, ends = pieces.encode(text)
+    if end:
+        last = np.array([len((text or "").encode())], np.uint32)
+        ids, starts, ends = np.append(ids, np.uint32(pieces.end)), np.append(starts, last), np.append(ends, last)
+    return ids.astype("<u4"), starts.astype("<u4"), ends.astype("<u4")
+
+
+def _texts(docs: DataFrame) -> DataFrame:
+    return docs.selectExpr("cast(doc_id as bigint) as doc_id", "cast(text as string) as text")
 
 
 def encode_documents(docs: DataFrame, path: str | None = None, end: bool = True) -> DataFrame:
@@ -333,17 +254,9 @@ def encode_documents(docs: DataFrame, path: str | None = None, end: bool = True)
 
     def run(batches):
         pieces = model(path)
+        return _rows(batches, lambda doc_id, text: (doc_id, *(a.tobytes() for a in _with_end(pieces, text, end))), schema)
 
-        def work(doc_id, text):
-            ids, starts, ends = pieces.encode(text)
-            if end:
-                last = np.array([len((text or "").encode())], "<u4")
-                ids, starts, ends = np.append(ids, np.uint32(pieces.end)), np.append(starts, last), np.append(ends, last)
-            return doc_id, ids.astype("<u4").tobytes(), starts.astype("<u4").tobytes(), ends.astype("<u4").tobytes()
-
-        return _rows(batches, work, schema)
-
-    return docs.selectExpr("cast(doc_id as bigint) as doc_id", "cast(text as string) as text").mapInArrow(run, ENCODED)
+    return _texts(docs).mapInArrow(run, ENCODED)
 
 
 def decode_documents(encoded: DataFrame, path: str | None = None) -> DataFrame:
@@ -358,12 +271,12 @@ def decode_documents(encoded: DataFrame, path: str | None = None) -> DataFrame:
     return encoded.select("doc_id", "ids").mapInArrow(run, "doc_id long, text string")
 
 
-def round_trip_digests(encoded: DataFrame, path: str | None = None) -> DataFrame:
-    """Digests of ``encode_documents`` and of the texts decoded from its ids.
+def round_trip_digests(docs: DataFrame, path: str | None = None) -> DataFrame:
+    """Digests of ids and spans as in ``encode_documents``, and of the texts decoded from the ids.
 
     ``doc_id, n_tokens, ids_sha256, decoded_sha256, source_bytes, spans_crc32``:
     the last two are the end of the last span and the crc32 of all starts and
-    then all ends as they are stored.
+    then all ends. Encoded and decoded in one pass, so that no ids move between processes.
     """
     path = path or default_model()
     schema = pa.schema([("doc_id", pa.int64()), ("n_tokens", pa.int64()), ("ids_sha256", pa.string()), ("decoded_sha256", pa.string()),
@@ -373,13 +286,13 @@ def round_trip_digests(encoded: DataFrame, path: str | None = None) -> DataFrame
         pieces = model(path)
         decimal = [str(i) for i in range(pieces.processor.get_piece_size())]
 
-        def work(doc_id, ids, starts, ends):
-            each = np.frombuffer(ids, "<u4").tolist()
+        def work(doc_id, text):
+            ids, starts, ends = _with_end(pieces, text, True)
+            each = ids.tolist()
             written = " ".join([decimal[i] for i in each])
-            last = int.from_bytes(ends[-4:], "little") if ends else 0
             return (doc_id, len(each), hashlib.sha256(written.encode()).hexdigest(), hashlib.sha256(pieces.decode(each).encode()).hexdigest(),
-                    last, zlib.crc32(ends, zlib.crc32(starts)))
+                    int(ends[-1]), zlib.crc32(ends.tobytes(), zlib.crc32(starts.tobytes())))
 
         return _rows(batches, work, schema)
 
-    return encoded.select("doc_id", "ids", "starts", "ends").mapInArrow(run, DIGESTS)
+    return _texts(docs).mapInArrow(run, DIGESTS)
