@@ -366,6 +366,18 @@ SELECT * EXCLUDE (l_partkey, l_suppkey) FROM (
   SELECT *, count(*) OVER () AS total, CAST(3 AS INT) AS page FROM seeds
   WHERE province = 'NATION_4' AND (regexp_matches(product_name, 'red|blue') OR regexp_matches(company_name, 'red|blue'))
   ORDER BY publish_date DESC, product_name, company_name, l_partkey, l_suppkey LIMIT 50 OFFSET 100)""")
+add("search_seeds_after", """
+SELECT * EXCLUDE (l_partkey, l_suppkey) FROM (
+  SELECT * FROM seeds WHERE province = 'NATION_4' AND (regexp_matches(product_name, 'red|blue') OR regexp_matches(company_name, 'red|blue'))
+  ORDER BY publish_date DESC, product_name, company_name, l_partkey, l_suppkey LIMIT 50 OFFSET 50)""")
+add("search_suppliers_after", """
+SELECT * EXCLUDE (l_orderkey, l_partkey, l_suppkey) FROM (
+  SELECT * FROM suppliers
+  WHERE company_type = 'MACHINERY' AND (regexp_matches(product_name, 'ring|00012') OR regexp_matches(contact_person, 'ring|00012'))
+  ORDER BY publish_date DESC, product_name, contact_person, l_orderkey, l_partkey, l_suppkey, click_count LIMIT 20 OFFSET 20)""")
+add("search_postings", " UNION ALL ".join(f"""
+SELECT product_name, count(*) AS listings, max(publish_date) AS last_day, '{k}' AS keyword FROM seeds
+WHERE regexp_matches(product_name, '{k}') OR regexp_matches(company_name, '{k}') GROUP BY product_name""" for k in ("Supplier#00003|item 12", "red|0000[1-3]")))
 ORACLE["search_prices_after"] = f"SELECT * EXCLUDE (total, page) FROM ({ORACLE['search_prices']})"
 add("search_suppliers", """
 SELECT * EXCLUDE (l_orderkey, l_partkey, l_suppkey) FROM (
@@ -489,7 +501,20 @@ SELECT horizon, forecast_date, rank, variety, predicted_price, current_avg_price
 factors AS (SELECT variety, month(price_date) AS mm, round(avg(avg_price) / any_value(a), 4) AS f
   FROM prices JOIN (SELECT variety, avg(avg_price) AS a FROM prices GROUP BY variety) USING (variety) GROUP BY ALL)""")
 
+add("period_statistics", """
+SELECT p.period_no, CAST(coalesce(sum(n), 0) AS BIGINT) AS record_count, round(sum(total) / sum(n), 2) AS avg_price, round(min(low), 2) AS min_price, round(max(high), 2) AS max_price
+FROM (SELECT o_orderkey AS period_no, CAST(min(o_orderdate) AS DATE) AS f, CAST(min(o_orderdate) AS DATE) + CAST(o_orderkey % 700 - 5 AS INT) AS t FROM orders GROUP BY o_orderkey) p
+LEFT JOIN (SELECT price_date, count(*) AS n, sum(avg_price) AS total, min(avg_price) AS low, max(avg_price) AS high FROM prices GROUP BY price_date) d
+  ON d.price_date BETWEEN p.f AND p.t GROUP BY p.period_no""")
+add("distinct_sketches", " UNION ALL ".join(f"""
+SELECT province, count(DISTINCT {c}) AS n_distinct, true AS in_bound, '{c}' AS counted FROM prices
+WHERE price_date BETWEEN DATE '1996-01-01' AND DATE '1997-12-31' GROUP BY province""" for c in ("market", "price_date")))
+
 # --- 2.8 pages ------------------------------------------------------------
+add("html_nested_rows", f"""
+SELECT p_brand AS variety, s_name AS market, count(*) AS quotes, CAST(sum(c) AS BIGINT) AS cents,
+       min(concat('¥', {p._money('(c * 9 // 10)')})) AS lowest, max(concat('¥', {p._money('(c * 11 // 10)')})) AS highest, min(strftime(day, '%Y-%m-%d')) AS first_day
+FROM cents GROUP BY ALL""", p.RAW_PRICES)
 add("html_table_rows", f"""
 , quoted AS (
   SELECT *, CAST(floor(l_extendedprice / l_quantity * 100) AS BIGINT) AS c, CAST(l_shipdate AS DATE) AS day
@@ -538,11 +563,15 @@ FROM (SELECT CAST(CASE WHEN l_linenumber BETWEEN 1 AND 5 THEN l_quantity ELSE 5
 JOIN generate_series(1, 60) g(n) ON n <= page_count GROUP BY n""", "one AS (SELECT 1)")
 add("url_resolve", "SELECT page_id, position, target AS at_page, at_root FROM resolved", LINKS)
 add("link_frontier", "SELECT DISTINCT split_part(target, '#', 1) AS target FROM resolved WHERE split_part(target, '#', 1) NOT IN (SELECT url FROM pages)", LINKS)
+ORACLE["link_frontier_held"] = ORACLE["link_frontier"]
 add("crawl_coverage", """
 SELECT host, pages_held, coalesce(links_seen, 0) AS links_seen, coalesce(links_missing, 0) AS links_missing, CAST(0 AS BIGINT) AS rows_extracted
 FROM (SELECT regexp_extract(url, '^https?://[^/?#]+') AS host, count(*) AS pages_held FROM pages GROUP BY 1)
 LEFT JOIN (SELECT host, count(DISTINCT split_part(target, '#', 1)) AS links_seen,
-                  count(DISTINCT split_part(target, '#', 1)) FILTER (split_part(target, '#', 1) NOT IN (SELECT url FROM pages)) AS links_missing FROM resolved GROUP BY host) USING (host)""", LINKS)
+                  count(DISTINCT split_part(target, '#', 1)) FILTER (split_part(target, '#', 1) NOT IN (SELECT url FROM pages)) AS links_missing FROM resolved GROUP BY host) USING (host)
+UNION ALL
+SELECT 'http://seeds.example.com', count(*), count(DISTINCT product_url) + count(DISTINCT company_url), count(DISTINCT product_url) + count(DISTINCT company_url), count(*) FROM raw_seeds""",
+    p.RAW_SEEDS, LINKS)
 
 # --- 2.1 sources, sinks, layers; 2.9 streaming ----------------------------
 ALL_CLEAN = (*CLEAN_P, *CLEAN_S, *CLEAN_U)
@@ -553,6 +582,20 @@ add("src_seeds", _LISTED.format(t="clean_seeds"), *CLEAN_S)
 add("src_suppliers", _LISTED.format(t="clean_suppliers"), *CLEAN_U)
 add("src_lenient_csv", """
 SELECT variety, count(*) AS kept, nullif(count(*) FILTER (date = '未知'), 0) AS malformed FROM raw_prices GROUP BY variety""", *RAW_P)
+add("clean_price_rejects", f"""
+SELECT variety, reason, count(*) AS rows, max(date) AS last_date, max(avg_price) AS last_price FROM (
+  SELECT *, CASE WHEN {p.NUMBER.format(c='avg_price')} IS NULL AND {p.DAY.format(c='date')} IS NULL THEN 'no price, no date'
+                 WHEN {p.NUMBER.format(c='avg_price')} IS NULL THEN 'no price' WHEN {p.DAY.format(c='date')} IS NULL THEN 'no date' END AS reason FROM raw_prices)
+WHERE reason IS NOT NULL GROUP BY variety, reason""", *RAW_P)
+add("observed_load", " UNION ALL ".join(
+    f"SELECT '{t}' AS table_name, '{c}' AS counter, {e} AS value FROM clean_{t}"
+    for t, d in (("prices", "price_date"), ("seeds", "publish_date"), ("suppliers", "publish_date"))
+    for c, e in (("rows", "count(*)"), *((f"null_{c}", f"count(*) FILTER ({c} IS NULL)") for c in ("province", "variety", d)))), *ALL_CLEAN)
+add("src_landed_csv", """
+SELECT variety, kind, count(*) AS rows, max(shown) AS market, max(date) AS date FROM (
+  SELECT *, CASE WHEN wave = 1 THEN market || chr(10) || '"2", east' ELSE market END AS shown,
+         CASE WHEN wave = 2 AND date = '未知' THEN 'surplus field' WHEN wave = 1 THEN 'two lines' ELSE 'one line' END AS kind
+  FROM (SELECT *, CAST(right(market, 1) AS INT) % 3 AS wave FROM raw_prices)) GROUP BY variety, kind""", *RAW_P)
 add("src_external_table", """
 SELECT province, count(*) AS quotes, min(price_date) AS first_day, max(avg_price) AS highest FROM clean_prices GROUP BY province""", *CLEAN_P)
 add("src_result_readback", f"""

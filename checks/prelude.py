@@ -150,7 +150,7 @@ clean_prices AS (
   WHERE {NUMBER.format(c='avg_price')} IS NOT NULL AND {DAY.format(c='date')} IS NOT NULL
 )
 """
-CLICKS = "coalesce(CAST(TRY_CAST(trim(click_count) AS DOUBLE) AS INT), 0)"
+CLICKS = "coalesce(CAST(TRY_CAST(trim(click_count) AS DOUBLE) AS BIGINT), 0)"
 CLEAN_RAW_SEEDS = f"""
 clean_seeds AS (
   SELECT DISTINCT product_name, supply_region, company_name, {CLICKS} AS click_count,

@@ -14,11 +14,11 @@ from marketlens.functions import dates, numbers
 from marketlens.functions.settle import fresh_path, settle
 from marketlens.functions.text import normalize_text, region_head
 from marketlens.operators import (
-    cleaning, compare, forecast_ml, forecast_stat, listings, pages, pricing, profiles, quality, quantiles, scoring,
-    search, temporal,
+    cleaning, compare, forecast_ml, forecast_stat, listings, pages, periods, pricing, profiles, quality, quantiles, scoring,
+    search, sketches, temporal, text_index,
 )
 from marketlens.plans import batch, warehouse
-from marketlens.sources import audit, readers, writers
+from marketlens.sources import audit, held_urls, observed, readers, writers
 from marketlens.sources import star_views as sv
 from marketlens.streaming import ingest
 
@@ -332,6 +332,27 @@ def time_period_compare(prices):
     return pricing.time_period_compare(prices, PERIODS)
 
 
+@query
+def period_statistics(spark, sf_dir):
+    """Statistics over a period for every order: from its date on, for up to two years."""
+    orders = sv.table(spark, sf_dir, "orders").groupBy("o_orderkey").agg(F.min("o_orderdate").cast("date").alias("date_from"))
+    asked = orders.select(F.col("o_orderkey").alias("period_no"), "date_from", F.expr("date_add(date_from, cast(o_orderkey % 700 as int) - 5)").alias("date_to"))
+    found = periods.period_statistics(sv.prices(spark, sf_dir), asked)
+    return found.select("period_no", "record_count", "avg_price", "min_price", "max_price")
+
+
+@over(sv.prices)
+def distinct_sketches(prices):
+    """Distinct markets and days per province over two years: exact, and whether the merged monthly sketches agree."""
+    out = []
+    for column in ("market", "price_date"):
+        stored = settle(sketches.monthly_sketches(prices.withColumn("price_date_text", F.col("price_date").cast("string")), column if column == "market" else "price_date_text", "province"), "sketches")
+        guess = sketches.estimated_distinct(stored, "province", first="1996-01", last="1997-12")
+        exact = sketches.exact_distinct(prices, column, "province", first="1996-01", last="1997-12")
+        out.append(sketches.within(guess, exact, "province").withColumn("counted", F.lit(column)))
+    return out[0].unionByName(out[1])
+
+
 @over(sv.prices)
 def time_period_varieties(prices):
     return pricing.time_period_varieties(prices, PERIODS)
@@ -478,12 +499,7 @@ def group_transform(prices):
 
 @over(sv.prices)
 def topk_then_detail(prices):
-    """Detail rows (per day) of the varieties with most quotes, from one daily aggregate."""
-    daily = prices.groupBy("variety", "price_date").agg(
-        F.count(F.lit(1)).alias("quotes"), numbers.round_out(F.avg("avg_price"), 2).alias("avg_price")
-    )
-    top = daily.groupBy("variety").agg(F.sum("quotes").alias("n")).orderBy(F.desc("n"), "variety").limit(3)
-    return daily.join(top.select("variety"), "variety", "left_semi")
+    return pricing.top_varieties_by_day(prices)
 
 
 # --- 2.6 search -----------------------------------------------------------
@@ -516,6 +532,16 @@ def search_seeds(seeds):
     return search.page_of(found, order, 3, 50).drop("l_partkey", "l_suppkey")
 
 
+@query
+def search_postings(spark, sf_dir):
+    """A keyword search through stored postings, and one that needs the scan."""
+    path = fresh_path(spark, "postings")
+    text_index.build(sv.seeds(spark, sf_dir), path, "product_name", "company_name", part_rows=5000)
+    rows = lambda keyword: text_index.find(spark, path, keyword, "product_name", "company_name").groupBy("product_name").agg(
+        F.count(F.lit(1)).alias("listings"), F.max("publish_date").alias("last_day")).withColumn("keyword", F.lit(keyword))
+    return rows("Supplier#00003|item 12").unionByName(rows("red|0000[1-3]"))
+
+
 @over(sv.suppliers)
 def search_suppliers(suppliers):
     found = search.find_suppliers(suppliers, keyword="ring|00012", company_type="MACHINERY")
@@ -523,6 +549,27 @@ def search_suppliers(suppliers):
     return search.page_of(found, order, 1, 100).drop("l_orderkey", "l_partkey", "l_suppkey")
 
 
+def _second_page(found, keys, page_size):
+    first = search.page_after(found, keys, page_size).select(*[c for c, _ in keys]).tail(1)
+    return search.page_after(found, keys, page_size, first[0].asDict() if first else None)
+
+
+@over(sv.seeds)
+def search_seeds_after(seeds):
+    """The second page of a seed search, reached by keys."""
+    found = search.find_seeds(seeds, keyword="red|blue", province="NATION_4")
+    keys = [("publish_date", True), *[(k, False) for k in ("product_name", "company_name", "l_partkey", "l_suppkey")]]
+    return _second_page(found, keys, 50).drop("l_partkey", "l_suppkey")
+
+
+@over(sv.suppliers)
+def search_suppliers_after(suppliers):
+    """The second page of a supplier search, reached by keys."""
+    found = search.find_suppliers(suppliers, keyword="ring|00012", company_type="MACHINERY")
+    keys = [("publish_date", True), *[(k, False) for k in ("product_name", "contact_person", "l_orderkey", "l_partkey", "l_suppkey", "click_count")]]
+    return _second_page(found, keys, 20).drop("l_orderkey", "l_partkey", "l_suppkey")
+
+
 # --- 2.7 forecasting ------------------------------------------------------
 
 def _stats(spark, sf_dir):
@@ -562,16 +609,16 @@ def string_index(prices):
 
 @query
 def assemble(spark, sf_dir):
-    """Assembled vectors, read back element by element."""
-    from pyspark.ml.feature import VectorAssembler
+    """Vectors of the forest's own indexers and assembler, read back element by element."""
+    from pyspark.ml import Pipeline
     from pyspark.ml.functions import vector_to_array
 
     columns = ["month", "day_of_year", "year", "variety_price_records", "variety_seed_count", "variety_supplier_count"]
-    vectors = VectorAssembler(inputCols=columns, outputCol="features", handleInvalid="skip").transform(
-        _features(spark, sf_dir)
-    ).select("variety", vector_to_array("features").alias("v"))
+    rows = settle(_features(spark, sf_dir).withColumn("recent_level", F.col("recent_30d_avg")), "features")
+    vectors = Pipeline(stages=forecast_ml.feature_stages()).fit(rows).transform(rows).select("variety", vector_to_array("features").alias("v"))
+    place = {c: forecast_ml.FEATURES.index(c) for c in columns}
     return vectors.groupBy("variety").agg(
-        F.count(F.lit(1)).alias("vectors"), *[F.sum(F.col("v")[i]).alias(f"sum_{c}") for i, c in enumerate(columns)]
+        F.count(F.lit(1)).alias("vectors"), *[F.sum(F.col("v")[place[c]]).alias(f"sum_{c}") for c in columns]
     )
 
 
@@ -707,6 +754,15 @@ def html_table_rows(stored):
     )
 
 
+@over(sv.nested_quote_pages)
+def html_nested_rows(stored):
+    """Quotes of pages whose price table stands in another and whose cells hold tables."""
+    cents = F.floor(numbers.to_number(numbers.strip_currency("avg_price")) * 100 + 0.5)
+    return pages.html_table_rows(stored, "2024-01-01").groupBy("variety", "market").agg(
+        F.count(F.lit(1)).alias("quotes"), F.sum(cents).alias("cents"), F.min("min_price").alias("lowest"),
+        F.max("max_price").alias("highest"), F.min("date").alias("first_day"))
+
+
 @over(sv.seed_pages)
 def html_listing_rows(stored):
     return pages.html_listing_rows(stored).drop("page_id", "url", "row_no")
@@ -762,9 +818,20 @@ def link_frontier(stored):
     return pages.link_frontier(stored)
 
 
-@over(_pages)
-def crawl_coverage(stored):
-    return pages.crawl_coverage(stored, pages.html_supplier_rows(stored))
+@query
+def link_frontier_held(spark, sf_dir):
+    """The frontier against the bucketed table of held addresses."""
+    path = fresh_path(spark, "held-urls")
+    held = held_urls.write_held(_pages(spark, sf_dir), "held_urls_" + path.rsplit("-", 1)[-1], path)
+    return held_urls.not_held(pages.link_targets(_pages(spark, sf_dir)), held)
+
+
+@query
+def crawl_coverage(spark, sf_dir):
+    """Coverage of the stored pages and of listing pages, whose rows are extracted."""
+    listed = sv.seed_pages(spark, sf_dir)
+    stored = _pages(spark, sf_dir).select("page_id", "url", "html").unionByName(listed)
+    return pages.crawl_coverage(stored, pages.html_listing_rows(stored))
 
 
 # --- 2.1 sources, sinks, layers; 2.9 streaming ----------------------------
@@ -808,6 +875,41 @@ def src_lenient_csv(spark, sf_dir):
     return kept.groupBy("variety").agg(F.count(F.lit(1)).alias("kept")).join(bad, "variety", "left")
 
 
+@query
+def src_landed_csv(spark, sf_dir):
+    """Raw quotes landed under three headers, with line breaks in fields and lines that are too long: kept rows and the rest."""
+    path, raw = fresh_path(spark, "landed-prices"), sv.raw_prices(spark, sf_dir)
+    wave = F.pmod(F.substring("market", -1, 1).cast("int"), F.lit(3))
+    writers.append_rows(raw.where(wave == 0), path)
+    aliases = dict(zip(schemas.RAW_PRICE_HEADER, schemas.RAW_PRICES.names))
+    turned = raw.where(wave == 1).select(F.lit("x").alias("note"), *[F.col(c).alias(a) for a, c in reversed(aliases.items())])
+    writers.append_rows(turned.withColumn(schemas.RAW_PRICE_HEADER[1], F.concat(F.col(schemas.RAW_PRICE_HEADER[1]), F.lit("\n\"2\", east"))), path)
+    line = lambda *more: F.concat_ws(",", *[F.concat(F.lit('"'), c, F.lit('"')) for c in schemas.RAW_PRICES.names], *more)
+    third = raw.where(wave == 2)
+    lines = third.where("date <> '未知'").select(line().alias("l")).union(third.where("date = '未知'").select(line(F.lit("more")).alias("l")))
+    # Every file gets its header: one line in front of the lines of a partition.
+    head = F.lit("\ufeff" + ",".join(schemas.RAW_PRICES.names))
+    bodies = settle(lines.groupBy(F.pmod(F.xxhash64("l"), F.lit(4)).alias("file")).agg(F.array_join(F.collect_list("l"), "\n").alias("body")), "bodies")
+    for i in range(4):
+        bodies.where(F.col("file") == i).select(F.concat_ws("\n", head, "body")).coalesce(1).write.mode("append").text(path)
+    kept, malformed = readers.read_landed(spark, path, schemas.RAW_PRICES, aliases)
+    kind = F.when(F.col("market").contains("\n"), "two lines").otherwise("one line")
+    good = kept.groupBy("variety", kind.alias("kind")).agg(F.count(F.lit(1)).alias("rows"), F.max("market").alias("market"), F.max("date").alias("date"))
+    fields = F.from_json("record", "array<string>")
+    bad = malformed.groupBy(F.get(fields, F.lit(0)).alias("variety"), F.col("reason").alias("kind")).agg(
+        F.count(F.lit(1)).alias("rows"), F.max(F.get(fields, F.lit(1))).alias("market"), F.max(F.get(fields, F.lit(5))).alias("date"))
+    return good.unionByName(bad)
+
+
+@query
+def observed_load(spark, sf_dir):
+    """Rows and nulls of the cleaned tables, counted by the tasks that write them."""
+    counts = {}
+    for name, df in zip(("prices", "seeds", "suppliers"), _clean_layer(spark, sf_dir)):
+        counts[name] = observed.write_observed(df, fresh_path(spark, f"observed-{name}"), observed.null_counts(df, "province", "variety", "price_date" if name == "prices" else "publish_date"))
+    return observed.counts_frame(spark, counts)
+
+
 @query
 def src_external_table(spark, sf_dir):
     path = writers.write_clean(_clean_layer(spark, sf_dir)[0], fresh_path(spark, "ods-prices"))
@@ -885,6 +987,13 @@ def landing_audit(spark, sf_dir):
     return audit.landing_audit({**landed, "missing": None}).drop("files")
 
 
+@over(sv.raw_prices)
+def clean_price_rejects(raw):
+    """Rejected raw quotes per variety and reason."""
+    return cleaning.price_rejects(raw).groupBy("variety", "reason").agg(
+        F.count(F.lit(1)).alias("rows"), F.max("date").alias("last_date"), F.max("avg_price").alias("last_price"))
+
+
 @query
 def dwd_prices(spark, sf_dir):
     return warehouse.dwd_prices(_clean_layer(spark, sf_dir)[0])

@@ -7,18 +7,19 @@ from pyspark.sql import functions as F
 
 from .numbers import _col
 
-# Year-month-day with '-' or '/', then optionally a time of day. Matching the
-# whole shape first means that no row pays for a failed parse.
+# Year, month and day parted by '-', '/' or '.', by the Chinese signs, or
+# compact; then optionally a time of day with fraction and zone. The whole shape
+# is rewritten first, so no row pays for a failed parse.
 _DATE_SHAPE = (
-    r"(?U)^\s*([0-9]{4}([-/])[0-9]{1,2}\2[0-9]{1,2})"
-    r"(\s+([01]?[0-9]|2[0-3]):[0-5]?[0-9](:[0-5]?[0-9])?)?\s*$"
+    r"(?U)^\s*([0-9]{4})(?:([-/.])([0-9]{1,2})\2([0-9]{1,2})|年([0-9]{1,2})月([0-9]{1,2})日?|([0-9]{2})([0-9]{2}))"
+    r"(?:(?:[Tt]|\s+)(?:[01]?[0-9]|2[0-3]):[0-5]?[0-9](?::[0-5]?[0-9](?:[.,][0-9]+)?)?\s*(?:[Zz]|[+-][0-9]{2}:?[0-9]{2})?)?\s*$"
 )
 
 
 def parse_date(c: Column | str) -> Column:
     """Text in one of the accepted date shapes to DATE; everything else is NULL."""
-    day = F.regexp_extract(_col(c), _DATE_SHAPE, 1)
-    return F.replace(day, F.lit("/"), F.lit("-")).try_cast("date")
+    plain = F.regexp_replace(_col(c), _DATE_SHAPE, "$1-$3$5$7-$4$6$8")
+    return F.regexp_extract(plain, "^[0-9]{4}-[0-9]{1,2}-[0-9]{1,2}$", 0).try_cast("date")
 
 
 def between_dates(c: Column | str, date_from: str | None, date_to: str | None) -> Column:

@@ -42,5 +42,5 @@ def to_number(c: Column | str) -> Column:
 
 
 def click_count(c: Column | str) -> Column:
-    """Text to a whole count: '12' and '12.0' give 12, bad or missing gives 0."""
-    return F.coalesce(to_number(F.trim(_col(c))).try_cast("int"), F.lit(0))
+    """Text to a whole count of 64 bits: '12' and '12.0' give 12, bad or missing gives 0."""
+    return F.coalesce(to_number(F.trim(_col(c))).try_cast("bigint"), F.lit(0).cast("bigint"))

@@ -27,8 +27,15 @@ def exclude_regions(df: DataFrame, column: str = "province", regions=dims.EXCLUD
     return df.where(c.isNotNull() & ~c.isin(*regions))
 
 
+def price_rejects(raw: DataFrame) -> DataFrame:
+    """The raw rows that ``clean_prices`` does not take, whole, with the reason: what could not be read."""
+    no_price, no_date = to_number(strip_currency("avg_price")).isNull(), parse_date("date").isNull()
+    reason = F.when(no_price & no_date, "no price, no date").when(no_price, "no price").when(no_date, "no date")
+    return compute_once(raw, *raw.columns, reason=reason).where(F.col("reason").isNotNull())
+
+
 def clean_prices(raw: DataFrame) -> DataFrame:
-    """Raw quote text to the clean schema; rows without date or average price go."""
+    """Raw quote text to the clean schema; rows without date or average price go (see ``price_rejects``)."""
     parsed = compute_once(
         raw, "variety", "market", "province", "variety_code",
         **{f"{c}_value": to_number(strip_currency(c)) for c in PRICE_COLUMNS}, price_date=parse_date("date"),

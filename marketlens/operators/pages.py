@@ -1,8 +1,8 @@
 """Extraction from stored web pages ``pages(page_id, url, html)``.
 
-Everything is array and regular-expression functions over the whole document.
-Markup is cut at opening tags, so unclosed rows and cells are tolerated and a
-table is its innermost markup.
+Tables come from one pass over the tags of a page (``functions.markup``), so
+nested tables, unclosed rows and unclosed cells come out right; all that follows
+is array and regular-expression functions on single cells.
 """
 
 from __future__ import annotations
@@ -10,6 +10,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..functions.markup import with_tables
 from ..functions.numbers import _col
 from ..functions.once import compute_once
 from ..functions.text import normalize_text, strip
@@ -37,6 +38,7 @@ _ENTITIES = {
     "&times;": "×", "&deg;": "°", "&euro;": "€", "&pound;": "£", "&amp;": "&",
 }
 _UNREAD = r"(?is)<!--.*?(?:-->|\z)|<(script|style)\b.*?(?:</\1\s*>|\z)"
+_SCHEME = "^[A-Za-z][A-Za-z0-9+.-]*:"
 _VALUE = r"""("[^"]*"|'[^']*'|[^\s"'>]+)"""
 
 
@@ -89,10 +91,6 @@ def _unquoted(value: Column) -> Column:
     return decode_entities(F.regexp_replace(value, r"""^["']|["']$""", ""))
 
 
-def _cells(row: Column) -> Column:
-    return F.transform(_blocks(row, "td"), _inner)
-
-
 def _attribute(block: Column, name: str) -> Column:
     return _unquoted(F.regexp_extract(block, rf"(?is)(?<![\w-]){name}\s*=\s*{_VALUE}", 1))
 
@@ -106,29 +104,27 @@ def _table_fields(pages: DataFrame, longest_raw_name: int, longest_name: int, re
 
     The first five rows of a table are only looked at to recognise it.
     """
-    width = lambda row: F.regexp_count(row, F.lit(r"(?i)<td[\s>]"))
-
     def shaped(rows: Column) -> Column:
-        opening = F.transform(F.slice(rows, 1, 5), width)
+        opening = F.transform(F.slice(rows, 1, 5), F.size)
         six = F.size(F.filter(opening, lambda n: n == 6))
         return (F.size(rows) >= 5) & (F.get(opening, F.lit(0)) == 6) & (six >= 3)
 
     def titled(rows: Column) -> Column:
         first = F.get(rows, F.lit(0))
-        heading = text_of(first)
+        heading = F.array_join(F.transform(first, lambda c: text_of(c["own"])), " ")
         named = F.lit(True)
         for word in PRICE_HEADINGS:
             named = named & heading.contains(word)
-        return (F.size(rows) >= 2) & (width(first) >= 3) & named
+        return (F.size(rows) >= 2) & (F.size(first) >= 3) & named
 
-    # Tables become arrays of row markup; cells are cut only for rows of the chosen table.
-    tables = F.transform(_blocks(F.col("html"), "table"), lambda t: _blocks(t, "tr"))
+    rows = F.transform("tables", lambda t: t["rows"])
+    whole = F.transform("cells", lambda c: F.coalesce(c["whole"], c["own"]))
     found = (
-        pages.where(F.col("html").rlike("(?i)<td") & ~F.col("html").contains(NO_RESULT))
-        .select("page_id", "url", tables.alias("tables"))
+        with_tables(pages.where(F.col("html").rlike("(?i)<td") & ~F.col("html").contains(NO_RESULT)))
+        .select("page_id", "url", rows.alias("tables"))
         .select("page_id", "url", F.coalesce(_first(F.col("tables"), shaped), _first(F.col("tables"), titled)).alias("rows"))
-        .select("page_id", "url", F.posexplode(F.transform("rows", _cells)).alias("row_no", "cells"))
-        .where(F.size("cells") >= 6)
+        .select("page_id", "url", F.posexplode("rows").alias("row_no", "cells"))
+        .where(F.size("cells") >= 6).withColumn("cells", whole)
     )
     cell = lambda i: F.get("cells", F.lit(i))
     raw_name, first = text_of(cell(0)), strip(text_of(cell(0)))
@@ -185,11 +181,9 @@ def _clicks(cell: Column, last: bool) -> Column:
 def html_listing_rows(pages: DataFrame) -> DataFrame:
     """Seed listings: every table row with three cells whose second holds three paragraphs."""
     rows = (
-        pages.where(F.col("html").rlike("(?i)<td"))
-        .select("page_id", "url", F.posexplode(F.transform(
-            F.flatten(F.transform(_blocks(F.col("html"), "table"), lambda t: _blocks(t, "tr"))), _cells
-        )).alias("row_no", "cells"))
-        .where(F.size("cells") >= 3)
+        with_tables(pages.where(F.col("html").rlike("(?i)<td")))
+        .select("page_id", "url", F.posexplode(F.flatten(F.transform("tables", lambda t: t["rows"]))).alias("row_no", "cells"))
+        .where(F.size("cells") >= 3).withColumn("cells", F.transform("cells", lambda c: c["own"]))
     )
     offers = compute_once(
         rows, "page_id", "url", "row_no",
@@ -214,16 +208,11 @@ def html_listing_rows(pages: DataFrame) -> DataFrame:
 
 def html_supplier_rows(pages: DataFrame) -> DataFrame:
     """Supplier listings: first row of every listing table whose product link is an offer."""
-    tables = F.filter(
-        _blocks(F.col("html"), "table"),
-        lambda t: _attribute(_open_tag(t), "class").rlike(rf"(^|\s){LISTING_TABLE_CLASS}(\s|$)"),
-    )
+    tables = F.filter("tables", lambda t: _attribute(t["opening"], "class").rlike(rf"(^|\s){LISTING_TABLE_CLASS}(\s|$)"))
     rows = (
-        pages.where(F.col("html").rlike("(?i)<td"))
-        .select("page_id", "url", F.posexplode(
-            F.transform(tables, lambda t: _cells(F.get(_blocks(t, "tr"), F.lit(0))))
-        ).alias("row_no", "cells"))
-        .where(F.size("cells") >= 2)
+        with_tables(pages.where(F.col("html").rlike("(?i)<td")))
+        .select("page_id", "url", F.posexplode(F.transform(tables, lambda t: F.get(t["rows"], F.lit(0)))).alias("row_no", "cells"))
+        .where(F.size("cells") >= 2).withColumn("cells", F.transform("cells", lambda c: c["own"]))
     )
     second = F.get("cells", F.lit(1))
     offers = compute_once(
@@ -299,11 +288,12 @@ def url_host(url: Column | str) -> Column:
 
 
 def url_resolve(base: Column | str, href: Column | str, at_root: bool = False) -> Column:
-    """Absolute links stay; '/x' goes to the host; others below the base, or below the host root."""
+    """Links with a scheme stay; '//host/x' takes the scheme of the base, '/x' its host; others go below the base, or below the host root."""
     base, href = _col(base), _col(href)
     below = F.concat(url_host(base), F.lit("/"), href) if at_root else F.concat(F.rtrim(base, F.lit("/")), F.lit("/"), href)
     return (
-        F.when(F.lower(href).startswith("http"), href)
+        F.when(href.rlike(_SCHEME), href)
+        .when(href.startswith("//"), F.concat(F.regexp_extract(base, r"^https?:", 0), href))
         .when(href.startswith("/"), F.concat(url_host(base), href))
         .otherwise(below)
     )
@@ -311,7 +301,7 @@ def url_resolve(base: Column | str, href: Column | str, at_root: bool = False) -
 
 def link_targets(pages: DataFrame) -> DataFrame:
     """(host of the page, resolved link) of the links that can be fetched: fragments and other schemes are left out."""
-    fetched = ~F.col("href").startswith("#") & ~F.col("href").rlike("^(?!(?i)https?:)[A-Za-z][A-Za-z0-9+.-]*:")
+    fetched = ~F.col("href").startswith("#") & (F.col("href").rlike("^(?i)https?:") | ~F.col("href").rlike(_SCHEME))
     return link_extract(pages).where(fetched).select(
         url_host("url").alias("host"), F.regexp_replace(url_resolve("url", "href"), "#.*$", "").alias("target")
     )

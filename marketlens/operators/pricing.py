@@ -81,6 +81,13 @@ def price_heatmap(prices: DataFrame, top_vegs: int = 12, top_provs: int | None =
     )
 
 
+def top_varieties_by_day(prices: DataFrame, top_n: int = 3) -> DataFrame:
+    """Daily rows and mean quote of the varieties with most quotes, ranked and shown from one daily aggregate."""
+    daily = prices.groupBy("variety", "price_date").agg(F.count(F.lit(1)).alias("quotes"), round_out(F.avg("avg_price"), 2).alias("avg_price"))
+    top = daily.groupBy("variety").agg(F.sum("quotes").alias("n")).orderBy(F.desc("n"), "variety").limit(top_n)
+    return daily.join(top.select("variety"), "variety", "left_semi")
+
+
 def price_volatility(prices: DataFrame, top_n: int = 15,
                      date_from: str | None = None, date_to: str | None = None) -> DataFrame:
     """Varieties by coefficient of variation (sample deviation over mean)."""

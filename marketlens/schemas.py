@@ -6,9 +6,9 @@ and dates are parsed by the cleaning operators so that a bad token becomes NULL.
 
 from __future__ import annotations
 
-from pyspark.sql.types import DateType, DoubleType, IntegerType, StringType, StructField, StructType
+from pyspark.sql.types import DateType, DoubleType, LongType, StringType, StructField, StructType
 
-_TYPES = {"string": StringType(), "double": DoubleType(), "int": IntegerType(), "date": DateType()}
+_TYPES = {"string": StringType(), "double": DoubleType(), "bigint": LongType(), "date": DateType()}
 
 
 def _struct(columns: str) -> StructType:
@@ -34,11 +34,11 @@ CLEAN_PRICES = _struct(
     "province_raw string, variety_code string, province string"
 )
 CLEAN_SEEDS = _struct(
-    "product_name string, supply_region string, company_name string, click_count int, publish_date date, "
+    "product_name string, supply_region string, company_name string, click_count bigint, publish_date date, "
     "product_url string, category string, variety string, province string"
 )
 CLEAN_SUPPLIERS = _struct(
-    "product_name string, origin string, contact_person string, company_type string, click_count int, "
+    "product_name string, origin string, contact_person string, company_type string, click_count bigint, "
     "publish_date date, product_url string, category string, sub_type string, variety string, province string"
 )
 

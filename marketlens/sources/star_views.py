@@ -271,6 +271,28 @@ def quote_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def nested_quote_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Quotes as pages of a whole order: the price table stands in a cell of a layout table, and market cells hold a table of their own."""
+    t = lambda name: table(spark, sf_dir, name)
+    cell = lambda *parts: F.concat(F.lit("<td>"), *parts, F.lit("</td>"))
+    money = lambda c: F.concat(F.lit("&yen;"), _money(c))
+    row = F.concat(
+        F.lit("<tr>"), cell(F.col("p_brand")), cell(F.lit("<table class=x><tr><td>"), F.col("s_name"), F.lit("</table>")),
+        cell(money(F.floor(F.col("cents") * 9 / 10))), cell(money(F.floor(F.col("cents") * 11 / 10))), cell(money(F.col("cents"))),
+        cell(F.date_format(F.col("l_shipdate").cast("date"), "yyyy-MM-dd")),
+    )
+    head = "<tr>" + "".join(f"<td>{h}" for h in ("品种", "批发市场", "最低价格", "最高价格", "平均价格", "发布时间")) + "</tr>"
+    quotes = (
+        spread(t("lineitem").select(*_QUOTE_COLUMNS))
+        .join(t("part"), F.col("l_partkey") == F.col("p_partkey"))
+        .join(t("supplier"), F.col("l_suppkey") == F.col("s_suppkey"))
+        .withColumn("cents", F.floor(F.col("l_extendedprice") / F.col("l_quantity") * 100))
+    )
+    return quotes.groupBy(F.col("l_orderkey").alias("page_id")).agg(F.array_join(F.collect_list(row), "\n").alias("body")).select(
+        "page_id", F.lit("http://quotes.example.com/o").alias("url"),
+        F.concat(F.lit("<body><table><tr><td><ul><li>menu</ul><td>"), F.lit("<TABLE border=0>" + head), F.col("body"), F.lit("</TABLE><td>side</td></tr></table>")).alias("html"))
+
+
 def seed_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Seed offers as stored listing pages, one offer each."""
     link = lambda href, text: F.concat(F.lit('<a href="'), href, F.lit('">'), text, F.lit("</a>"))
