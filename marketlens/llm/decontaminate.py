@@ -1,27 +1,31 @@
 """Benchmark decontamination by templates, in DataFrame functions only.
 
-A text becomes a template: numbers, names (capitalised words inside a
-sentence) and units after a number turn into typed placeholders, the rest is
-lower-cased and parted at blanks and ASCII punctuation. Windows of
-``WINDOW`` template words of the benchmark are hash-joined with those of the
-documents, so a question with other numbers or names is met as well. The name
-rule reads letter case, so a copy in capitals or title case has other names;
-windows in which names stay lower-cased words are joined too (the ``CASELESS``
-form), and a window counts as matched if it meets in either form.
-
-A run of matched windows at one shift between a document and an item is an
-alignment. Its slots must be consistent: wherever the item repeats a value the
-document repeats one too, and different values stay different. An item is
-found in a document when consistent alignments cover ``LEAST_SHARE`` of its
-windows.
-
-Windows with fewer than ``LEAST_WORDS`` plain words say too little as templates
-and are matched exactly, on their lower-cased words and numbers (the ``EXACT``
-form); an item shorter than a window is one window of its own length. A short
-item loses most windows by one edit, so items of up to ``SHORT_WORDS`` words
-are also found where one word at most is changed, added or left out. Null
-and empty texts have no windows. A null ``doc_id`` or ``item_id`` is matched
-like any other; rows that repeat one are taken together.
+A text is parted once into tokens: numbers and words, lower-cased, of which
+numbers, names (capitalised words inside a sentence) and units after a number
+are typed slots. A token has a hash in each of three forms: ``NAMED``, where
+slots are placeholders, ``CASELESS``, where names are plain words (the name rule reads letter case, so
+a copy in capitals has other names), and ``EXACT``, where all tokens stand as they are. Windows of ``WINDOW`` tokens get their hashes from
+those by doubling: two neighbours, four, eight.
+
+Items of the benchmark that differ in their slots alone are one template: the
+same placeholders in the same places, equal values in the same places. Windows
+are posted per template, so that a document meets a template once and not each
+of its items; ``template_items`` tells the items of each. A window counts if
+it meets in one of the forms in which it holds ``LEAST_WORDS`` plain words, or
+exactly. Windows that meet at one shift between a document and a
+template are an alignment, and its slots must be consistent: where the item repeats a value the document
+repeats one too, and different values stay different.
+
+A template is found when consistent alignments cover ``LEAST_SHARE`` of its
+windows with enough plain words, or of all its windows. So one of any larger half of its windows has to
+be met: only the rarest are used to find candidates, and a phrase that
+many items begin with costs nothing.
+
+An item shorter than a window is one window of its own length. A short item
+loses most windows by one edit, so items of up to ``SHORT_WORDS`` tokens are also found where one token at most is
+changed, added or left out: one of the two halves of the item is then whole, and the seeds are cut from
+the halves at the place that gives both the most letters. Null and empty texts have no windows. A null ``doc_id`` or
+``item_id`` is matched like any other; rows that repeat one are taken together.
 """
 
 from __future__ import annotations
@@ -31,144 +35,245 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from marketlens.functions.settle import settle
+from marketlens.functions.settle import Settled, settle, settled
 
 WINDOW = 8
 LEAST_WORDS = 4
 LEAST_SHARE = 0.5
 #: Distinct window hashes of the benchmark up to which they are broadcast (16 MB); more are joined by a shuffle.
 BROADCAST_WINDOWS = 1_000_000
+#: Longer items keep half of their windows under one edit.
+SHORT_WORDS = 3 * WINDOW - 2
+#: Shorter items have to be met whole.
+LEAST_EDITED = 5
+#: Sizes of seeds and the least length of a half that holds one.
+SEEDS = (7, 4, 2)
 
 NUMBER_MARK, NAME_MARK, UNIT_MARK = "\ue001", "\ue002", "\ue003"
+_MARKS = f"{NUMBER_MARK}-{UNIT_MARK}"
 _NUMBER = r"[0-9](?:[0-9.,:/]*[0-9])?"
-_NAME = r"\p{Lu}(?<=[\p{Ll}0-9,;:] \p{Lu})[\p{L}'’]*"
+# The class of private signs holds the marks; written out as a range it makes the class ten times as slow.
+_WORD = r"[^\s\p{Punct}\d\p{Co}]+"
+_NAME = r"\p{Lu}(?<=[\p{Ll}0-9,;:] \p{Lu})\p{L}*"
 #: Units that may follow a number.
 UNITS = (
     "mm cm m km in ft yd mi mg g kg t lb lbs oz ml cl l gal s sec min h hr hrs hours hour minutes minute seconds second days day weeks week months month "
     "years year metres meters metre meter kilometres kilometers miles mile inches inch feet foot grams gram kilograms kilogram pounds pound litres liters "
     "litre liter percent degrees degree dollars dollar euros euro cents cent usd eur gbp").split()
-#: Forms of a text: with placeholders for names, with names as lower-cased words, or without placeholders.
-NAMED, CASELESS, EXACT = 0, 1, 2
-#: Longer items keep half of their windows under one edit.
-SHORT_WORDS = 3 * WINDOW - 2
-#: Least words of a short item and the window that one edit leaves whole in it.
-SEEDS = ((15, 7), (9, 4), (5, 2))
-_UNIT = rf"({NUMBER_MARK}[ -]?)(?i:{'|'.join(UNITS)})(?![\p{{L}}0-9])"
+_UNIT = rf"({NUMBER_MARK}{_NUMBER}[ -]?)((?i:{'|'.join(UNITS)})(?![\p{{L}}0-9]))"
+#: Names of the hash arrays of the three forms.
+NAMED, CASELESS, EXACT = "named", "caseless", "exact"
+
 
+def tokens(text: Column) -> Column:
+    """Array of tokens, lower-cased; a slot begins with the mark of its kind."""
+    marked = F.regexp_replace(F.regexp_replace(text, f"[{_MARKS}]", " "), f"({_NUMBER})", f"{NUMBER_MARK}$1")
+    marked = F.regexp_replace(F.regexp_replace(marked, f"({_NAME})", f"{NAME_MARK}$1"), _UNIT, f"$1{UNIT_MARK}$2")
+    return F.regexp_extract_all(F.lower(marked), F.lit(rf"[{_MARKS}]?(?:{_NUMBER}|{_WORD})"), F.lit(0))
 
-def template_words(text: Column, form: int = NAMED) -> Column:
-    """Array of template words."""
+
+def _is_slot(token: Column) -> Column:
+    return (token >= NUMBER_MARK) & (token < chr(ord(UNIT_MARK) + 1))
+
+
+def _plain(token: Column) -> Column:
+    """The token without its mark."""
+    return F.when(_is_slot(token), F.substring(token, 2, 1 << 30)).otherwise(token)
+
+
+def _hashes(form: str) -> Column:
+    """Hash of every token of ``tokens`` in a form."""
     if form == EXACT:
-        return F.regexp_extract_all(F.lower(text), F.lit(rf"({_NUMBER}|[^\s\p{{Punct}}0-9]+)"), 1)
-    marked = F.regexp_replace(text, _NUMBER, NUMBER_MARK)
+        return F.transform("tokens", lambda t: F.xxhash64(_plain(t)))
     if form == NAMED:
-        marked = F.regexp_replace(marked, _NAME, NAME_MARK)
-    marked = F.regexp_replace(marked, _UNIT, f"$1 {UNIT_MARK}")
-    spaced = F.regexp_replace(marked, f"([{NUMBER_MARK}-{UNIT_MARK}])", " $1 ")
-    return F.filter(F.split(F.lower(spaced), r"[\s\p{Punct}]+"), lambda w: w != "")
-
-
-def slot_values(text: Column, form: int = NAMED) -> Column:
-    """Values of the placeholders, each kind in text order: numbers, names, units."""
-    numbered = F.regexp_replace(text, _NUMBER, NUMBER_MARK)
-    named = F.regexp_replace(numbered, _NAME, NAME_MARK) if form == NAMED else numbered
-    return F.struct(
-        F.regexp_extract_all(text, F.lit(f"({_NUMBER})"), 1).alias("numbers"),
-        (F.regexp_extract_all(numbered, F.lit(f"({_NAME})"), 1) if form == NAMED else F.array().cast("array<string>")).alias("names"),
-        F.regexp_extract_all(named, F.lit(rf"{NUMBER_MARK}[ -]?((?i:{'|'.join(UNITS)}))(?![\p{{L}}0-9])"), 1).alias("units"),
-    )
+        return F.transform("tokens", lambda t: F.xxhash64(F.when(_is_slot(t), F.substring(t, 1, 1)).otherwise(t)))
+    return F.transform("tokens", lambda t: F.xxhash64(
+        F.when(F.startswith(t, F.lit(NAME_MARK)), F.substring(t, 2, 1 << 30)).when(_is_slot(t), F.substring(t, 1, 1)).otherwise(t)))
 
 
-def _windows(words: str, size: Column | int) -> Column:
-    """Hashes of all windows of ``size`` words."""
-    return F.expr(f"transform(sequence(1, size({words}) - {size} + 1), i -> xxhash64(slice({words}, i, {size})))")
+def _joined(array: Column, ahead: int, size: int) -> Column:
+    """Hashes of pairs of an array's elements ``ahead`` apart; ``size`` tokens are joined by that."""
+    pairs = F.zip_with(array, F.slice(array, F.lit(ahead + 1), F.size(array)), lambda a, b: F.xxhash64(a, b, F.lit(size)))
+    return F.slice(pairs, F.lit(1), F.greatest(F.size(array) - ahead, F.lit(0)))
 
 
-def _slots(texts: DataFrame, key: str) -> DataFrame:
-    """``key, form, at, kind, value`` of every placeholder of ``texts(key, text)``."""
-    marks = F.expr(f"filter(transform(words, (w, i) -> struct(i as at, w as kind)), x -> x.kind in ('{NUMBER_MARK}', '{NAME_MARK}', '{UNIT_MARK}'))")
-    of_kind = [F.expr(f"transform(filter(marks, x -> x.kind = '{mark}'), (x, j) -> struct(x.at as at, x.kind as kind, lower(get(slots.{name}, j)) as value))")
-               for mark, name in ((NUMBER_MARK, "numbers"), (NAME_MARK, "names"), (UNIT_MARK, "units"))]
-    forms = F.array(*[F.struct(F.lit(f).alias("form"), template_words(F.col("text"), f).alias("words"), slot_values(F.col("text"), f).alias("slots")) for f in (NAMED, CASELESS)])
-    return (
-        texts.select(key, F.explode(forms).alias("of")).select(key, "of.*")
-        .select(key, "form", marks.alias("marks"), "slots").select(key, "form", F.explode(F.concat(*of_kind)).alias("slot")).select(key, "form", "slot.*").distinct()
+def with_windows(df: DataFrame, form: str, sizes: set[int], *keep: str) -> DataFrame:
+    """``keep`` and the columns ``<form>_<size>`` with the hashes of all windows of these sizes, by doubling."""
+    name = lambda n: f"{form}_{n}"
+    df = df.withColumn(name(1), _hashes(form))
+    have = [1]
+    while have[-1] * 2 <= max(sizes):
+        n = have[-1] * 2
+        df = df.withColumn(name(n), _joined(F.col(name(n // 2)), n // 2, n))
+        have.append(n)
+    for size in sorted(sizes - set(have)):
+        half = max(n for n in have if n < size)
+        df = df.withColumn(name(size), _joined(F.col(name(half)), size - half, size))
+    return df.select(*keep, *[c for c in df.columns if c not in keep and (not c.startswith(f"{form}_") or int(c.rsplit("_", 1)[1]) in sizes)])
+
+
+def _forms(df: DataFrame, wanted: dict[str, set[int]], *keep: str) -> DataFrame:
+    """``keep`` and the window hashes of every form and size in ``wanted``."""
+    own = list(keep)
+    for form, sizes in wanted.items():
+        if sizes:
+            df = with_windows(df, form, sizes, *own, "tokens")
+            own += [f"{form}_{n}" for n in sorted(sizes)]
+    return df.select(*own)
+
+
+def benchmark_items(benchmark: DataFrame) -> DataFrame:
+    """``item_id, template, tokens, n, slots`` of every item that has tokens.
+
+    ``template`` is a hash of the placeholders and plain words with every slot numbered by the first place of its value.
+    """
+    items = benchmark.select("item_id", tokens(F.col("text").cast("string")).alias("tokens")).where("size(tokens) > 0").distinct()
+    numbered = F.transform("tokens", lambda t: F.when(_is_slot(t), F.concat(F.substring(t, 1, 1), F.array_position("tokens", t).cast("string"))).otherwise(t))
+    return items.withColumn("shape", numbered).select("item_id", F.xxhash64("shape").alias("template"), "tokens", F.size("tokens").alias("n"), "shape")
+
+
+def template_items(benchmark: DataFrame) -> DataFrame:
+    """``item_id, template_item``: the template of every item, named by the smallest of its items; null is the smallest."""
+    items = benchmark_items(benchmark).select("item_id", "template")
+    first = items.groupBy("template").agg(F.min(F.struct(F.col("item_id").isNotNull(), "item_id")).alias("first"))
+    return items.join(first, "template").select("item_id", F.col("first.item_id").alias("template_item")).distinct()
+
+
+def template_windows(items: DataFrame, window: int, least_words: int) -> DataFrame:
+    """``template, at, rich, hash`` of the windows of ``benchmark_items``, in every form that counts.
+
+    ``rich`` windows hold ``least_words`` plain words, with names among them or without.
+    """
+    lengths = sorted(r["n"] for r in items.where(F.col("n") < window).select("n").distinct().collect())
+    parts = []
+    for size in [*lengths, window]:
+        some = items.where(F.col("n") == size if size < window else F.col("n") >= window)
+        hashed = _forms(some, {form: {size} for form in (NAMED, CASELESS, EXACT)}, "template", "tokens")
+        each = hashed.select("template", "tokens", F.posexplode(F.arrays_zip(*[F.col(f"{f}_{size}").alias(f) for f in (NAMED, CASELESS, EXACT)])).alias("at", "hash"))
+        part, enough = F.slice("tokens", F.col("at") + 1, F.lit(size)), min(size, least_words)
+        plain = F.size(F.filter(part, lambda t: ~_is_slot(t))) >= enough
+        with_names = F.size(F.filter(part, lambda t: ~_is_slot(t) | F.startswith(t, F.lit(NAME_MARK)))) >= enough
+        parts.append(each.select("template", "at", F.explode(F.array(
+            F.struct(plain.alias("use"), plain.alias("rich"), F.col(f"hash.{NAMED}").alias("hash")),
+            F.struct(with_names.alias("use"), with_names.alias("rich"), F.col(f"hash.{CASELESS}").alias("hash")),
+            F.struct(F.lit(True).alias("use"), with_names.alias("rich"), F.col(f"hash.{EXACT}").alias("hash")),
+        )).alias("of")).where("of.use").select("template", "at", F.lit(size).alias("size"), "of.rich", "of.hash"))
+    rows = reduce(DataFrame.union, parts)
+    rich = rows.groupBy("template", "at", "size").agg(F.max("rich").alias("rich"), F.collect_set("hash").alias("hashes"))
+    return rich.select("template", "at", "size", "rich", F.explode("hashes").alias("hash"))
+
+
+def rarest_windows(windows: DataFrame, least_share: float) -> DataFrame:
+    """The windows one of which has to be met for a template to be found: ``template, at, hash``.
+
+    Of n windows ``least_share`` n have to be met, so some of any n - ceil(least_share n) + 1 is; those are
+    taken that stand in the fewest templates. The same holds among the rich windows.
+    """
+    from pyspark.sql import Window
+
+    common = windows.groupBy("hash").agg(F.count(F.lit(1)).alias("n_templates"))
+    spread = windows.join(common, "hash").groupBy("template", "at").agg(F.max("n_templates").alias("spread"), F.first("rich").alias("rich"))
+    ranked = spread.select(
+        "*", F.row_number().over(Window.partitionBy("template").orderBy("spread", "at")).alias("place"), F.count(F.lit(1)).over(Window.partitionBy("template")).alias("n"),
+        F.row_number().over(Window.partitionBy("template", "rich").orderBy("spread", "at")).alias("rich_place"), F.count(F.lit(1)).over(Window.partitionBy("template", "rich")).alias("n_rich"),
     )
+    among = lambda place, n: F.col(place) <= F.col(n) - F.ceil(F.col(n) * least_share) + 1
+    wanted = ranked.where(among("place", "n") | (F.col("rich") & among("rich_place", "n_rich"))).select("template", "at")
+    return windows.join(wanted, ["template", "at"]).select("template", "at", "hash")
 
 
-def benchmark_windows(benchmark: DataFrame, window: int = WINDOW, least_words: int = LEAST_WORDS) -> DataFrame:
-    """``item_id, track, form, at, size, hash`` of the windows of every item.
+def edit_seeds(items: DataFrame, least_words: int) -> DataFrame:
+    """``item_id, template, words, size, at, hash`` of two seeds of every short item with enough words that are no numbers.
 
-    A track is one way to number the windows of an item and to count them:
-    ``NAMED`` those with enough plain words beside names, ``CASELESS`` those
-    with enough words when names count as words, ``EXACT`` all windows of an
-    item that has others too. Where the forms part a text alike, a window of
-    one form counts on the other tracks.
+    The item is cut in two where the shorter half has the most letters; each half gives one seed of
+    the largest size it holds.
     """
-    text = F.col("text").cast("string")
-    forms = []
-    for form, other in ((NAMED, CASELESS), (CASELESS, NAMED)):
-        items = (
-            benchmark.select("item_id", template_words(text, form).alias("words"), template_words(text, other).alias("others")).where("size(words) > 0")
-            .withColumn("size", F.least(F.size("words"), F.lit(window)))
-        )
-        each = items.select("item_id", "words", "others", "size", F.explode(F.expr("sequence(0, size(words) - size)")).alias("at"))
-        part, across = F.slice("words", F.col("at") + 1, F.col("size")), F.slice("others", F.col("at") + 1, F.col("size"))
-        rich = lambda words: F.size(F.filter(words, lambda w: ~w.isin(NUMBER_MARK, NAME_MARK, UNIT_MARK))) >= F.least(F.col("size"), F.lit(least_words))
-        both = (F.size("words") == F.size("others")) & rich(across)
-        tracks = F.when(both, F.array(F.lit(form), F.lit(other))).otherwise(F.array(F.lit(form)))
-        forms.append(each.where(rich(part)).select("item_id", F.explode(tracks).alias("track"), F.lit(form).alias("form"), "at", "size", F.xxhash64(part).alias("hash")))
-    items = (
-        benchmark.select("item_id", template_words(text, CASELESS).alias("others"), template_words(text, EXACT).alias("words")).where("size(words) > 0")
-        .withColumn("size", F.least(F.size("words"), F.lit(window))).withColumn("alike", F.size("words") == F.size("others"))
+    words = F.transform("tokens", _plain)
+    short = (
+        items.where(F.col("n").between(LEAST_EDITED, SHORT_WORDS)).withColumn("words", words)
+        .where(F.size(F.filter("words", lambda w: ~w.rlike("^[0-9]"))) > least_words)
     )
-    each = items.select("item_id", "words", "others", "size", "alike", F.explode(F.expr("sequence(0, size(words) - size)")).alias("at"))
-    poor = each.where(~F.col("alike") | ~rich(F.slice("others", F.col("at") + 1, F.col("size"))))
-    exact = poor.select("item_id", F.lit(EXACT).alias("track"), F.lit(EXACT).alias("form"), "at", "size", F.xxhash64(F.slice("words", F.col("at") + 1, F.col("size"))).alias("hash"))
-    mixed = poor.where("alike").select("item_id").distinct()
-    found = reduce(DataFrame.union, forms)
-    beside = found.where(F.col("track") == CASELESS).join(mixed, "item_id", "left_semi").withColumn("track", F.lit(EXACT))
-    return found.union(beside).union(exact).distinct()
-
-
-def _window_hits(docs: DataFrame, windows: DataFrame) -> DataFrame | None:
-    """``doc_id, stamp, place, hash, form, size`` of the windows of documents that stand in ``windows``."""
-    wanted = windows.select("hash", "form", "size").distinct()
-    passes = sorted((r["form"], r["size"]) for r in wanted.select("form", "size").distinct().collect())
-    small = wanted.count() <= BROADCAST_WINDOWS
+    letters = lambda low, high: F.aggregate(F.slice("words", low, high), F.lit(0), lambda s, w: s + F.length(w))
+    cut = F.array_max(F.transform(F.sequence(F.lit(2), F.col("n") - 2), lambda c: F.struct(
+        F.least(letters(F.lit(1), c), letters(c + 1, F.col("n") - c)).alias("letters"), c.cast("int").alias("cut"))))["cut"]
+    size_of = lambda length: reduce(lambda other, s: F.when(length >= s, s).otherwise(other), reversed(SEEDS), F.lit(None).cast("int"))
+    halves = short.withColumn("cut", cut).select("item_id", "template", "tokens", "words", F.explode(F.array(
+        F.struct(F.lit(0).alias("at"), size_of(F.col("cut")).alias("size")),
+        F.struct(F.col("cut").alias("at"), size_of(F.col("n") - F.col("cut")).alias("size")))).alias("seed")).select("item_id", "template", "tokens", "words", "seed.*")
+    hashed = _forms(halves, {EXACT: set(SEEDS)}, "item_id", "template", "words", "at", "size")
+    hash_ = reduce(lambda other, s: F.when(F.col("size") == s, F.get(f"{EXACT}_{s}", F.col("at"))).otherwise(other), SEEDS, F.lit(None).cast("long"))
+    return hashed.select("item_id", "template", "words", "size", "at", hash_.alias("hash"))
+
+
+def window_hits(docs: DataFrame, known: DataFrame, wanted: dict[str, set[int]], run: Settled) -> DataFrame:
+    """``doc_id, stamp, place, hash`` of the windows of documents that stand in ``known(hash)``; one pass over the texts."""
     text = F.col("text").cast("string")
-    met = []
-    for form, size in passes:
-        known = wanted.where((F.col("form") == form) & (F.col("size") == size)).select("hash")
-        words = docs.select("doc_id", F.xxhash64("text").alias("stamp"), template_words(text, form).alias("words"))
-        each = words.where(F.size("words") >= size).select("doc_id", "stamp", F.posexplode(_windows("words", size)).alias("place", "hash"))
-        met.append(each.join(F.broadcast(known) if small else known, "hash", "left_semi").select("doc_id", "stamp", "place", "hash", F.lit(form).alias("form"), F.lit(size).alias("size")))
-    return settle(reduce(DataFrame.union, met), "window-hits") if met else None
+    hashed = _forms(docs.select("doc_id", F.xxhash64(text).alias("stamp"), tokens(text).alias("tokens")), wanted, "doc_id", "stamp")
+    names = [c for c in hashed.columns if c not in ("doc_id", "stamp")]
+    each = hashed.select("doc_id", "stamp", F.posexplode(F.arrays_zip(*names)).alias("place", "hashes"))
+    rows = each.select("doc_id", "stamp", "place", F.explode(F.array_distinct(F.array(*[F.col(f"hashes.{n}") for n in names]))).alias("hash"))
+    small = known.count() <= BROADCAST_WINDOWS
+    return run.keep(rows.join(F.broadcast(known) if small else known, "hash", "left_semi").select("doc_id", "stamp", "place", "hash"), "window-hits")
 
 
-def edited_items(docs: DataFrame, benchmark: DataFrame, least_words: int = LEAST_WORDS) -> DataFrame | None:
-    """``doc_id, item_id, matched_windows, item_windows`` of short items found with one edit at most, counted in words."""
+def _same(x: str, y: str) -> Column:
+    return F.col(f"{x}.doc_id").eqNullSafe(F.col(f"{y}.doc_id")) & (F.col(f"{x}.stamp") == F.col(f"{y}.stamp"))
+
+
+def _tokens_of(docs: DataFrame, chosen: DataFrame) -> DataFrame:
+    """``doc_id, stamp, words`` of the chosen documents, their tokens without marks."""
     text = F.col("text").cast("string")
-    n = F.size("item_words")
-    seed = reduce(lambda other, s: F.when(n >= s[0], s[1]).otherwise(other), reversed(SEEDS), F.lit(None).cast("int"))
-    seeds = settle(
-        benchmark.select("item_id", template_words(text, EXACT).alias("item_words")).where(n.between(SEEDS[-1][0], SHORT_WORDS))
-        .where(F.size(F.filter("item_words", lambda w: ~w.rlike("^[0-9]"))) > least_words).withColumn("size", seed)
-        .select("item_id", "item_words", "size", F.explode(F.expr("sequence(0, size(item_words) - size)")).alias("at"))
-        .withColumn("hash", F.xxhash64(F.slice("item_words", F.col("at") + 1, F.col("size")))).withColumn("form", F.lit(EXACT)), "seeds",
+    stamped = docs.select("doc_id", F.xxhash64(text).alias("stamp"), text.alias("text"))
+    found = stamped.alias("d").join(chosen.select("doc_id", "stamp").distinct().alias("c"), _same("d", "c"), "left_semi").distinct()
+    return found.select("doc_id", "stamp", tokens(F.col("text")).alias("tokens")).select("doc_id", "stamp", F.transform("tokens", _plain).alias("words"))
+
+
+def _by_windows(docs: DataFrame, items: DataFrame, windows: DataFrame, probes: DataFrame, hits: DataFrame, least_share: float, run: Settled) -> DataFrame:
+    """``doc_id, template, matched_windows, item_windows, n_slots``."""
+    candidates = run.keep(hits.join(probes.select("template", "hash").distinct(), "hash").select("doc_id", "stamp", "template").distinct(), "candidates")
+    wanted = candidates.join(windows, "template")
+    shifted = ["doc_id", "stamp", "template", "shift"]
+    matches = wanted.alias("w").join(hits.alias("h"), _same("w", "h") & (F.col("w.hash") == F.col("h.hash"))).select(
+        "w.doc_id", "w.stamp", "w.template", "at", "size", "rich", (F.col("place") - F.col("at")).alias("shift"))
+    runs = run.keep(
+        matches.groupBy(*shifted).agg(F.min("at").alias("low"), F.max(F.col("at") + F.col("size")).alias("high"), F.collect_set(F.struct("at", "rich")).alias("met")),
+        "alignments",
+    )
+    slots = items.select("template", F.posexplode("shape").alias("at", "slot")).where(_is_slot(F.col("slot"))).distinct()
+    aligned = (
+        runs.join(slots, "template").where("at >= low and at < high")
+        .select(*shifted, F.substring("slot", 1, 1).alias("kind"), "slot", (F.col("at") + F.col("shift")).alias("place"))
+    )
+    values = _tokens_of(docs, runs).select("doc_id", "stamp", F.posexplode("words").alias("place", "value"))
+    checked = (
+        aligned.alias("a").join(values.alias("v"), _same("a", "v") & (F.col("a.place") == F.col("v.place")))
+        .select(*[F.col(f"a.{c}") for c in shifted], "kind", "slot", "value").groupBy(*shifted)
+        .agg(F.count(F.lit(1)).alias("slots"), F.countDistinct("kind", "slot", "value").alias("links"),
+             F.countDistinct("kind", "slot").alias("left"), F.countDistinct("kind", "value").alias("right"))
     )
-    hits = _window_hits(docs, seeds)
-    if hits is None:
-        return None
+    same_run = reduce(Column.__and__, [F.col(f"r.{c}").eqNullSafe(F.col(f"c.{c}")) for c in shifted])
+    met = (
+        runs.alias("r").join(checked.alias("c"), same_run, "left").where("slots is null or (links = left and links = right)")
+        .select("r.doc_id", "r.template", F.coalesce("slots", F.lit(0)).alias("slots"), F.explode("met").alias("met"))
+        .groupBy("doc_id", "template", "met").agg(F.max("slots").alias("slots"))
+        .groupBy("doc_id", "template").agg(F.count(F.lit(1)).alias("all"), F.count_if(F.col("met.rich")).alias("rich"), F.max("slots").cast("long").alias("n_slots"))
+    )
+    totals = windows.select("template", "at", "rich").distinct().groupBy("template").agg(F.count(F.lit(1)).alias("n_all"), F.count_if("rich").alias("n_rich"))
+    enough = lambda part, whole: (F.col(part) > 0) & (F.col(part) >= F.col(whole) * least_share)
+    by_rich = enough("rich", "n_rich")
+    return met.join(totals, "template").where(by_rich | enough("all", "n_all")).select(
+        "doc_id", "template", F.when(by_rich, F.col("rich")).otherwise(F.col("all")).alias("matched_windows"),
+        F.when(by_rich, F.col("n_rich")).otherwise(F.col("n_all")).alias("item_windows"), "n_slots")
+
+
+def _by_edits(docs: DataFrame, seeds: DataFrame, hits: DataFrame, run: Settled) -> DataFrame:
+    """``doc_id, template, matched_windows, item_windows`` of short items found with one edit at most, counted in tokens."""
+    n = F.size("item_words")
     near = F.array(*[F.col("place") - F.col("at") + d for d in (-1, 0, 1)])
-    spots = settle(hits.join(seeds, ["hash", "form", "size"]).select("doc_id", "stamp", "item_id", "item_words", F.explode(near).alias("start")).distinct(), "seed-hits")
-    hit_docs = spots.select("doc_id", "stamp").distinct()
-    stamped = docs.select("doc_id", F.xxhash64("text").alias("stamp"), "text")
-    same = lambda x, y: F.col(f"{x}.doc_id").eqNullSafe(F.col(f"{y}.doc_id")) & (F.col(f"{x}.stamp") == F.col(f"{y}.stamp"))
-    words = stamped.alias("d").join(hit_docs.alias("h"), same("d", "h"), "left_semi").select("doc_id", "stamp", template_words(text, EXACT).alias("words"))
+    spots = run.keep(hits.join(seeds, "hash").select("doc_id", "stamp", "template", F.col("words").alias("item_words"), F.explode(near).alias("start")).distinct(), "seed-hits")
     met = (
-        spots.alias("s").join(words.alias("w"), same("s", "w")).where("start >= 0")
-        .select("s.doc_id", "item_id", "item_words", F.slice("words", F.col("start") + 1, n + 1).alias("part")).distinct()
+        spots.alias("s").join(_tokens_of(docs, spots).alias("w"), _same("s", "w")).where("start >= 0")
+        .select("s.doc_id", "template", "item_words", F.slice("words", F.col("start") + 1, n + 1).alias("part")).distinct()
         .select("*", F.explode(F.array(n - 1, n, n + 1)).alias("length")).where(F.size("part") >= F.col("length"))
         .withColumn("part", F.slice("part", F.lit(1), F.col("length")))
     )
@@ -177,72 +282,42 @@ def edited_items(docs: DataFrame, benchmark: DataFrame, least_words: int = LEAST
     agreeing = equal(F.col("item_words"), F.col("part")) + equal(F.reverse("item_words"), F.reverse("part"))
     return (
         met.withColumn("agreeing", agreeing).where(F.col("agreeing") >= F.greatest(n, F.col("length")) - 1)
-        .groupBy("doc_id", "item_id").agg(F.max(F.least("agreeing", n)).cast("long").alias("matched_windows"), F.max(n).cast("long").alias("item_windows"))
+        .groupBy("doc_id", "template").agg(F.max(F.least("agreeing", n)).cast("long").alias("matched_windows"), F.max(n).cast("long").alias("item_windows"))
     )
 
 
-def contaminated(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, least_share: float = LEAST_SHARE) -> DataFrame:
-    """``doc_id, item_id, matched_windows, item_windows, n_slots`` of each item found in a document.
+def contaminated(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, least_share: float = LEAST_SHARE, least_words: int = LEAST_WORDS) -> DataFrame:
+    """``doc_id, item_id, matched_windows, item_windows, n_slots, n_items`` of each template found in a document.
 
-    The counts are those of the track with the largest share; an item that is
-    found by ``edited_items`` only has counts of words.
+    ``item_id`` names the template by the smallest of its ``n_items`` items (``template_items``). A template found
+    by ``_by_edits`` only has counts of tokens.
     """
-    by_windows, edited = _by_windows(docs, benchmark, window, least_share), edited_items(docs, benchmark)
-    if edited is None:
-        return by_windows
-    every = by_windows.withColumn("first", F.lit(1)).union(edited.withColumns({"n_slots": F.lit(0).cast("long"), "first": F.lit(0)}))
-    return (
-        every.groupBy("doc_id", "item_id").agg(F.max(F.struct("first", "matched_windows", "item_windows", "n_slots")).alias("best"))
-        .select("doc_id", "item_id", "best.matched_windows", "best.item_windows", "best.n_slots")
-    )
-
-
-def _by_windows(docs: DataFrame, benchmark: DataFrame, window: int, least_share: float) -> DataFrame:
-    windows = settle(benchmark_windows(benchmark, window), "benchmark-windows")
-    hits = _window_hits(docs, windows)
-    if hits is None:
-        return docs.select("doc_id").limit(0).crossJoin(benchmark.select("item_id").limit(0)).selectExpr(
-            "doc_id", "item_id", "0L as matched_windows", "0L as item_windows", "0L as n_slots")
-    shifted = ["doc_id", "stamp", "item_id", "form", "shift"]
-    matches = (
-        hits.join(windows, ["hash", "form", "size"])
-        .select("doc_id", "stamp", "item_id", "track", "form", "at", "size", (F.col("place") - F.col("at")).alias("shift"))
-    )
-    runs = settle(
-        matches.groupBy(*shifted).agg(F.min("at").alias("low"), F.max(F.col("at") + F.col("size")).alias("high"), F.collect_set(F.struct("track", "at")).alias("ats")),
-        "alignments",
-    )
-    items = runs.select("item_id").distinct()
-    item_slots = _slots(benchmark.select("item_id", F.col("text").cast("string").alias("text")).join(items, "item_id", "left_semi"), "item_id")
-    hit_docs = runs.select("doc_id").distinct()
-    doc_slots = _slots(docs.select("doc_id", F.col("text").cast("string").alias("text")).join(hit_docs.hint("shuffle_hash"), "doc_id", "left_semi")
-                       .select(F.struct("doc_id", F.xxhash64("text").alias("stamp")).alias("row"), "text"), "row")
-    pairs = (
-        runs.join(item_slots.withColumnRenamed("at", "item_at"), ["item_id", "form"]).where("item_at >= low and item_at < high")
-        .select(*shifted, "kind", F.col("value").alias("item_value"), (F.col("item_at") + F.col("shift")).alias("at"))
-        .join(doc_slots.select("row.*", "form", "at", "kind", "value"), ["doc_id", "stamp", "form", "at", "kind"])
-    )
-    checked = pairs.groupBy(*shifted).agg(
-        F.count(F.lit(1)).alias("slots"), F.countDistinct("kind", "item_value", "value").alias("links"),
-        F.countDistinct("kind", "item_value").alias("left"), F.countDistinct("kind", "value").alias("right"),
-    )
-    consistent = (
-        runs.join(checked, shifted, "left").where("slots is null or (links = left and links = right)")
-        .groupBy("doc_id", "item_id", "form").agg(F.flatten(F.collect_list("ats")).alias("ats"), F.coalesce(F.sum("slots"), F.lit(0)).cast("long").alias("n_slots"))
-        .groupBy("doc_id", "item_id").agg(F.array_distinct(F.flatten(F.collect_list("ats"))).alias("ats"), F.max("n_slots").alias("n_slots"))
-        .select("doc_id", "item_id", "n_slots", F.explode("ats").alias("met"))
-        .groupBy("doc_id", "item_id", "met.track").agg(F.count(F.lit(1)).alias("matched_windows"), F.first("n_slots").alias("n_slots"))
-    )
-    totals = windows.groupBy("item_id", "track").agg(F.countDistinct("at").alias("item_windows"))
-    best = F.struct((F.col("matched_windows") / F.col("item_windows")).alias("share"), (-F.col("track")).alias("first"), "matched_windows", "item_windows", "n_slots")
-    return (
-        consistent.join(totals, ["item_id", "track"]).where(F.col("matched_windows") >= F.col("item_windows") * least_share)
-        .groupBy("doc_id", "item_id").agg(F.max(best).alias("best"))
-        .select("doc_id", "item_id", "best.matched_windows", "best.item_windows", "best.n_slots")
-    )
+    with settled(docs.sparkSession) as run:
+        items = run.keep(benchmark_items(benchmark), "items")
+        windows = run.keep(template_windows(items, window, least_words), "benchmark-windows")
+        probes = run.keep(rarest_windows(windows, least_share), "probes")
+        seeds = run.keep(edit_seeds(items, least_words), "seeds")
+        sizes = {r["size"] for r in windows.select("size").distinct().collect()}
+        seed_sizes = {r["size"] for r in seeds.select("size").distinct().collect()}
+        none = docs.select("doc_id").where("false").select("doc_id", *[F.lit(0).cast("long").alias(c) for c in ("template", "matched_windows", "item_windows", "n_slots", "first")])
+        found = none
+        if sizes:
+            known = run.keep(windows.select("hash").union(seeds.select("hash")).distinct(), "known")
+            hits = window_hits(docs, known, {NAMED: sizes, CASELESS: sizes, EXACT: sizes | seed_sizes}, run)
+            found = found.union(_by_windows(docs, items, windows, probes, hits, least_share, run).withColumn("first", F.lit(1)))
+            if seed_sizes:
+                found = found.union(_by_edits(docs, seeds, hits, run).withColumns({"n_slots": F.lit(0).cast("long"), "first": F.lit(0)}))
+        best = F.max(F.struct("first", "matched_windows", "item_windows", "n_slots")).alias("best")
+        names = items.groupBy("template").agg(F.min(F.struct(F.col("item_id").isNotNull(), "item_id")).alias("name"), F.countDistinct(F.struct("item_id")).alias("n_items"))
+        return settle(
+            found.groupBy("doc_id", "template").agg(best).join(names, "template")
+            .select("doc_id", "name.item_id", "best.matched_windows", "best.item_windows", "best.n_slots", "n_items"), "contaminated")
 
 
 def stage(spark, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Pipeline stage: documents in which a benchmark item is found go."""
-    found = contaminated(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
-    return docs.join(settle(found.select("doc_id").distinct(), "contaminated"), "doc_id", "left_anti").select(docs.columns)
+    """Pipeline stage: documents in which a benchmark item is found go.
+
+    Null, empty and clean texts stay; rows that repeat an id go together; an empty table gives an empty one.
+    """
+    found = contaminated(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet")).select("doc_id").distinct()
+    return docs.alias("d").join(found.alias("f"), F.col("d.doc_id").eqNullSafe(F.col("f.doc_id")), "left_anti").select(*[f"d.{c}" for c in docs.columns])

@@ -101,6 +101,24 @@ def test_pairs_count():
     assert score(0, 1, 2) > 0.8 and score(2) > 0.8 and score(0, 2) < 0.2 and score(1, 2) < 0.2
 
 
+def test_pairs_are_learned(spark):
+    """A label that two words decide together, each useless alone, through the whole training."""
+    rng = random.Random(4)
+    rows, labels = [], []
+    for i in range(5000):
+        text, a, b = prose(rng, 40).split(), rng.random() < 0.5, rng.random() < 0.5
+        for word, there in (("marble", a), ("zebra", b)):
+            if there:
+                text[rng.randrange(40)] = word
+        a, b = "marble" in text, "zebra" in text
+        rows.append((i, " ".join(text)))
+        labels.append((i, int(a == b)))
+    docs, known = spark.createDataFrame(rows, "doc_id long, text string"), spark.createDataFrame(labels, "doc_id long, toxic int")
+    got = {r["doc_id"]: r for r in toxicity.toxic_documents(docs, known).collect()}
+    held = [i for i, _ in labels if got[i]["held_out"]]
+    assert len(held) > 1000 and np.mean([(got[i]["score"] >= 0.5) == labels[i][1] for i in held]) > 0.9
+
+
 def test_toxicity_without_labels(spark, messy, empty):
     none = spark.createDataFrame([], "doc_id long, toxic int")
     assert {r["score"] for r in toxicity.toxic_documents(messy, none).collect()} == {0.5}
@@ -166,6 +184,46 @@ def test_benchmark_passages_are_found(spark, sf_dir):
     assert {(r["doc_id"], r["item_id"]) for r in QUERIES["op6_template_decontamination"](spark, sf_dir).collect()} == want
 
 
+def test_one_row_for_a_template_of_many_items(spark):
+    """Items of one template and documents that hold it do not make all pairs."""
+    text = "On market day farmer {} carried {} baskets of fresh green pears over the old bridge to the town of {} before noon."
+    names = ["Anna", "Bert", "Carl", "Dora", "Emil", "Frida"]
+    items = [(i, text.format(names[i % 6], 3 + i, names[(i + 1) % 6])) for i in range(30)]
+    docs = [(i, "Long ago, so they say, this is what was told: " + text.format(names[(i + 2) % 6], 90 + i, names[(i + 4) % 6])) for i in range(20)]
+    docs += [(100 + i, f"Where {w} came first nothing of that kind was ever told to anybody in town.") for i, w in enumerate(names)]
+    benchmark, table = spark.createDataFrame(items, "item_id long, text string"), spark.createDataFrame(docs, "doc_id long, text string")
+    got = decontaminate.contaminated(table, benchmark).collect()
+    assert sorted((r["doc_id"], r["item_id"], r["n_items"]) for r in got) == [(i, 0, 30) for i in range(20)]
+    assert sorted(tuple(r) for r in decontaminate.template_items(benchmark).collect()) == [(i, 0) for i in range(30)]
+
+
+def test_copies_with_other_values_names_case_and_edits(spark, sf_dir):
+    """Planted copies of every item, changed in one way each: the share found of each kind, and of clean texts."""
+    rng = random.Random(8)
+    words = [w for r in spark.read.parquet(f"{sf_dir}/documents.parquet").limit(40).collect() for w in (r["text"] or "").split() if w.isalpha() and w.islower()]
+    filler = lambda n: " ".join(rng.choice(words) for _ in range(n))
+    units = ["km", "kg", "hours", "dollars"]
+    items, docs, kinds = [], [], {}
+    for i in range(60):
+        name, number, unit = f"N{filler(1)}", rng.randrange(10, 99), rng.choice(units)
+        form = f"{filler(6)}, {{0}} {filler(5)} {{1}} {{2}} {filler(5)} {{0}} {filler(6)}"
+        items.append((i, form.format(name, number, unit)))
+        other = form.format(f"M{filler(1)}", number + 7, units[(units.index(unit) + 1) % 4])
+        inconsistent = form.replace("{0}", f"M{filler(1)}", 1).format(f"K{filler(1)}", number, unit)
+        plain = items[-1][1]
+        edited = plain.split()
+        edited[rng.randrange(len(edited))] = "changed"
+        for kind, text in (("other values", other), ("upper", plain.upper()), ("title", plain.title()), ("edited", " ".join(edited)), ("inconsistent", inconsistent), ("clean", filler(30))):
+            docs.append((len(docs), f"{filler(20)} {text} {filler(20)}"))
+            kinds.setdefault(kind, []).append((len(docs) - 1, i))
+    benchmark, table = spark.createDataFrame(items, "item_id long, text string"), spark.createDataFrame(docs, "doc_id long, text string")
+    got = {(r["doc_id"], r["item_id"]) for r in decontaminate.contaminated(table, benchmark).collect()}
+    share = {k: len(got & {*v}) / len(v) for k, v in kinds.items()}
+    assert share["other values"] == share["upper"] == share["title"] == 1 and share["edited"] >= 0.95
+    assert share["clean"] == 0 and share["inconsistent"] <= 0.1
+    assert got <= {p for v in kinds.values() for p in v}
+
+
 def test_native_plans(spark, sf_dir):
     for key in ("op6_template_decontamination", "op7_jump_hash_sharding"):
         plan = QUERIES[key](spark, sf_dir)._jdf.queryExecution().executedPlan().toString()
@@ -191,7 +249,7 @@ def test_pipeline(spark, sf_dir):
     gone = set(before) - set(after)
     assert gone and sum(labels.get(d) == 0 for d in gone) <= 0.05 * len(before) and all(after[d] == before[d] for d in after)
     groups = defaultdict(list)
-    for d, (_, c) in brute.near_duplicates(sorted(after.items())).items():
+    for d, (_, c) in brute.near_duplicates(sorted(after.items()), percent=near_dup.STAGE_PERCENT).items():
         groups[c].append(d)
     assert set(texts[2]) == set(groups)
     kept = sorted(texts[2].items())
