@@ -79,7 +79,7 @@ def token_pieces(docs: DataFrame, vocabulary: str | None = None, size: int = SEQ
     vocabulary = vocabulary or default_vocabulary()
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encode, end = encoder(vocabulary, added=True).encode, end_id.to_bytes(4, "little")
+        encode, end = encoder(vocabulary).encode, end_id.to_bytes(4, "little")
         for batch in batches:
             for lo in range(0, batch.num_rows, 512):
                 part = batch.slice(lo, 512)
@@ -151,5 +151,5 @@ def packed_documents(docs: DataFrame, vocabulary: str | None = None) -> DataFram
 
 
 def stage(spark, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Pipeline stage: pack every document kept so far."""
+    """Pipeline stage: pack every document kept so far. A null text is an end id alone; repeated rows are packed apart; an empty table gives no pieces."""
     return packed_documents(docs)

@@ -38,12 +38,14 @@ MANIFEST = "file string, part int, number int, n_docs long, n_ids long"
 
 
 class EliasFano:
-    """A non-decreasing sequence of non-negative integers."""
+    """A non-decreasing sequence of non-negative integers.
 
-    def __init__(self, n: int, low_bits: int, low: bytes, high: np.ndarray):
-        self.n, self.low_bits, self.low, self.high = n, low_bits, low, high
-        ones = np.flatnonzero(np.unpackbits(high.view(np.uint8), bitorder="little"))
-        self.samples = ones[::SELECT_STEP].astype(np.int64)
+    ``samples`` are the places of every SELECT_STEP-th bit set in the upper
+    bitmap, as unsigned 32-bit numbers; they are stored, so a sequence is read without being decoded.
+    """
+
+    def __init__(self, n: int, low_bits: int, low: bytes, high: np.ndarray, samples: np.ndarray):
+        self.n, self.low_bits, self.low, self.high, self.samples = n, low_bits, low, high, samples
 
     @classmethod
     def encode(cls, values: np.ndarray) -> EliasFano:
@@ -53,19 +55,24 @@ class EliasFano:
         low = (values & ((1 << low_bits) - 1)).astype(np.uint64)
         bits = ((low[:, None] >> np.arange(low_bits, dtype=np.uint64)) & np.uint64(1)).astype(np.uint8)
         n_high = n + (top >> low_bits) + 1
+        if n_high >= 1 << 32:
+            raise ValueError("too many values for one sequence")
         high = np.zeros(-(-n_high // 64) * 64, np.uint8)
-        high[(values >> low_bits) + np.arange(n)] = 1
-        return cls(n, low_bits, np.packbits(bits.ravel(), bitorder="little").tobytes(), np.packbits(high, bitorder="little").view(np.uint64))
+        ones = (values >> low_bits) + np.arange(n)
+        high[ones] = 1
+        return cls(n, low_bits, np.packbits(bits.ravel(), bitorder="little").tobytes(), np.packbits(high, bitorder="little").view(np.uint64), ones[::SELECT_STEP].astype("<u4"))
 
     def to_bytes(self) -> bytes:
-        return struct.pack("<QBQQ", self.n, self.low_bits, len(self.low), len(self.high)) + self.low + self.high.tobytes()
+        return struct.pack("<QBQQ", self.n, self.low_bits, len(self.low), len(self.high)) + self.low + self.high.tobytes() + self.samples.tobytes()
 
     @classmethod
     def from_bytes(cls, data: bytes, at: int = 0) -> tuple[EliasFano, int]:
         n, low_bits, n_low, n_high = struct.unpack_from("<QBQQ", data, at)
         at += struct.calcsize("<QBQQ")
         high = np.frombuffer(data, np.uint64, n_high, at + n_low)
-        return cls(n, low_bits, data[at : at + n_low], high), at + n_low + 8 * n_high
+        last = at + n_low + 8 * n_high
+        samples = np.frombuffer(data, "<u4", -(-n // SELECT_STEP), last)
+        return cls(n, low_bits, data[at : at + n_low], high, samples), last + 4 * len(samples)
 
     def select(self, i: int) -> int:
         """The i-th value, from the nearest sample and a few bitmap words."""
@@ -141,7 +148,7 @@ def write_tokens(docs: DataFrame, folder: str, vocabulary: str | None = None, en
         from pyspark import TaskContext
 
         part, number = TaskContext.get().partitionId(), 0
-        encode, end = encoder(vocabulary, added=True).encode, end_id.to_bytes(4, "little")
+        encode, end = encoder(vocabulary).encode, end_id.to_bytes(4, "little")
         doc_ids: list[int | None] = []
         ids: list[bytes] = []
         held = 0
@@ -188,15 +195,14 @@ def read_tokens(spark: SparkSession, manifest: DataFrame, digest=None) -> DataFr
             for file, base in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
                 with open_input(file) as source:
                     held = TokenFile(source.read())
-                ends, numbers = held.ends.all(), held.numbers.all() + held.base
-                starts = np.concatenate([[0], ends])
                 for lo in range(0, len(held), 2048):
                     hi = min(lo + 2048, len(held))
-                    ids = [held.ids[starts[i] : starts[i + 1]].astype("<u4") for i in range(lo, hi)]
+                    bounds = np.array([held.start(i) for i in range(lo, hi + 1)], np.int64)
+                    ids = [held.ids[a:b].astype("<u4") for a, b in zip(bounds, bounds[1:], strict=False)]
                     yield pa.RecordBatch.from_arrays([
-                        pa.array([None if i < held.n_null else int(numbers[i - held.n_null]) for i in range(lo, hi)], pa.int64()),
-                        pa.array(starts[lo:hi] + base, pa.int64()),
-                        pa.array(ends[lo:hi] - starts[lo:hi], pa.int64()),
+                        pa.array([held.doc_id(i) for i in range(lo, hi)], pa.int64()),
+                        pa.array(bounds[:-1] + base, pa.int64()),
+                        pa.array(np.diff(bounds), pa.int64()),
                         pa.array([digest(x) if digest else x.tobytes() for x in ids], last[1]),
                     ], names=["doc_id", "start", "n_tokens", last[0]])
 

@@ -26,34 +26,40 @@ def _letter_bytes() -> dict[str, int]:
 class Encoder:
     """Encodes texts into little-endian unsigned 32-bit ids.
 
-    Null and empty texts give no ids. With ``added``, the strings of the added
-    tokens in a text give their single ids, as in ``encode`` of the library;
-    else they are ordinary text, as with its ``encode_special_tokens``.
+    Null and empty texts give no ids. The strings of the added tokens in a text
+    give their single ids, as in ``encode`` of the library. The merger gives up on runs of about a
+    million blanks; texts with such runs are encoded by the library itself.
     """
 
-    def __init__(self, path: str, added: bool = False):
+    def __init__(self, path: str):
         import tiktoken
         from tokenizers import Tokenizer
 
-        tokenizer = Tokenizer.from_file(path)
+        self.library = tokenizer = Tokenizer.from_file(path)
         special = tokenizer.get_added_tokens_decoder()
         of = _letter_bytes()
         ranks = {bytes(of[c] for c in entry): i for entry, i in tokenizer.get_vocab().items() if i not in special}
-        self.core = tiktoken.Encoding("own", pat_str=PIECES, mergeable_ranks=ranks, special_tokens={token.content: i for i, token in special.items()} if added else {})
+        self.core = tiktoken.Encoding("own", pat_str=PIECES, mergeable_ranks=ranks, special_tokens={token.content: i for i, token in special.items()})
 
     def encode(self, texts: Iterable[str | None]) -> list[bytes]:
         """The id bytes of every text."""
-        return [self.core.encode_to_numpy(text, allowed_special="all", disallowed_special=()).astype("<u4").tobytes() if text else b"" for text in texts]
+        return [self._ids(text).astype("<u4").tobytes() if text else b"" for text in texts]
 
+    def _ids(self, text: str) -> np.ndarray:
+        try:
+            return self.core.encode_to_numpy(text, allowed_special="all", disallowed_special=())
+        except ValueError:
+            return np.array(self.library.encode(text, add_special_tokens=False).ids, np.uint32)
 
-_encoders: dict[tuple[str, bool], Encoder] = {}
 
+_encoders: dict[str, Encoder] = {}
 
-def encoder(path: str, added: bool = False) -> Encoder:
+
+def encoder(path: str) -> Encoder:
     """The worker's encoder of a vocabulary file."""
-    if (path, added) not in _encoders:
-        _encoders[path, added] = Encoder(path, added)
-    return _encoders[path, added]
+    if path not in _encoders:
+        _encoders[path] = Encoder(path)
+    return _encoders[path]
 
 
 def id_array(ids: bytes) -> np.ndarray:
