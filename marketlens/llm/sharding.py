@@ -15,7 +15,7 @@ from pyspark.sql.window import Window
 
 SHARDS = 40
 ROW_OVERHEAD_BYTES = 16
-#: A walk that is longer ends where it is; its mean length is ln(shards).
+#: Steps allowed to a walk, whose mean length is ln(shards); a longer one raises instead of ending wrong.
 LONGEST_WALK = 64
 #: Numbering groups inside a shard.
 SLICES = 211
@@ -36,7 +36,8 @@ def jump_shards(key: Column, shards: int) -> Column:
     zero = F.lit(0).cast("long")
     begin = F.struct(zero.alias("shard"), zero.alias("grown"), zero.alias("reached"))
     walked = F.aggregate(F.sequence(F.lit(1), F.lit(LONGEST_WALK)), begin, step)
-    return F.struct(walked["shard"].cast("int").alias("shard"), walked["grown"].cast("int").alias("grown"))
+    ended = lambda w, c: F.when(w["reached"] > shards, w[c]).otherwise(F.raise_error(F.lit("a walk over the shards did not end")).cast("long")).cast("int").alias(c)
+    return F.transform(F.array(walked), lambda w: F.struct(ended(w, "shard"), ended(w, "grown")))[0]
 
 
 def assign_shards(docs: DataFrame, shards: int = SHARDS, slices: int = SLICES) -> DataFrame:
