@@ -130,6 +130,19 @@ def _texts(docs: DataFrame) -> DataFrame:
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
 
 
+def _with_keys(docs: DataFrame) -> DataFrame:
+    """``doc_id, key_a, key_b, text``."""
+
+    def keyed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for first, end, words, owner, _, _ in _sets(batch.column(1)):
+                key_a, key_b = textbytes.sequence_keys(words, owner, end - first)
+                part = batch.slice(first, end - first)
+                yield pa.RecordBatch.from_arrays([part.column(0), pa.array(key_a.view(np.int64)), pa.array(key_b.view(np.int64)), part.column(1)], names=["doc_id", "key_a", "key_b", "text"])
+
+    return _texts(docs).mapInArrow(keyed, "doc_id long, key_a long, key_b long, text string")
+
+
 def _agreeing(a: Column, b: Column) -> Column:
     return F.aggregate(F.zip_with(a, b, lambda x, y: F.when(x == y, 1).otherwise(0)), F.lit(0), lambda s, x: s + x)
 
@@ -189,10 +202,21 @@ def near_duplicates(docs: DataFrame, percent: int = SIMILAR_PERCENT, list_member
     """``doc_id, n_shingles, component_id, kept`` for every document.
 
     Documents are linked when ``100 * shared >= percent * united`` shingles;
-    ``component_id`` is the smallest ``doc_id`` that links reach.
+    ``component_id`` is the smallest ``doc_id`` that links reach. Rows that repeat a ``doc_id`` are one document, whose text is the one with
+    the smallest key; a null id, an empty text and a null text are linked with nothing.
     """
     coordinates, matches = sketch_sizes(percent)
     sketched = settle(sketches(docs, coordinates), "sketches")
+    several = settle(
+        sketched.where("doc_id is not null").groupBy("doc_id").agg(F.min(F.struct("key_a", "key_b")).alias("low"), F.max(F.struct("key_a", "key_b")).alias("high"))
+        .where("low <> high").select("doc_id", "low.*"), "repeated-ids",
+    )
+    if not several.isEmpty():
+        # Only ids with different texts: their rows take the values of the chosen text.
+        chosen = sketched.join(several, ["doc_id", "key_a", "key_b"], "left_semi").dropDuplicates(["doc_id"])
+        rows = sketched.select("doc_id").join(several, "doc_id", "left_semi").join(chosen, "doc_id").select(sketched.columns)
+        sketched = settle(sketched.alias("s").join(several.alias("r"), "doc_id", "left_anti").select(sketched.columns).union(rows), "sketches")
+        docs = _with_keys(docs).join(several, ["doc_id", "key_a", "key_b"], "left_semi").union(_with_keys(docs).join(several, "doc_id", "left_anti")).select("doc_id", "text")
     classes = settle(
         sketched.where("n_shingles > 0 and doc_id is not null").groupBy("key_a", "key_b")
         .agg(F.min("doc_id").alias("doc_id"), F.first("n_shingles").alias("n_shingles"), F.first("sketch").alias("sketch")),
@@ -236,7 +260,7 @@ def near_duplicates(docs: DataFrame, percent: int = SIMILAR_PERCENT, list_member
 def stage(spark, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Pipeline stage: one document of each near-duplicate group stays.
 
-    Rows that repeat a kept ``doc_id`` stay.
+    Rows that repeat a kept ``doc_id`` stay, and so do rows with a null id and empty or null texts; an empty table gives an empty one.
     """
     dropped = settle(near_duplicates(docs, percent=STAGE_PERCENT).where(~F.col("kept")).select("doc_id").distinct(), "dropped")
     return docs.join(dropped, "doc_id", "left_anti").select(docs.columns)
