@@ -46,8 +46,8 @@ TOKEN_CONTEXTS = 20_000
 #: Windows that are compared at once.
 BATCH_WINDOWS = 800_000
 
-SUFFIXES = "doc_id long, stamp int, token long, context long, at int, back short, ahead short"
-_SUFFIX_TYPES = [("doc_id", pa.int64()), ("stamp", pa.int32()), ("token", pa.int64()), ("context", pa.int64()), ("at", pa.int32()), ("back", pa.int16()), ("ahead", pa.int16())]
+SUFFIXES = "doc_id long, stamp long, token long, context long, at int, back short, ahead short"
+_SUFFIX_TYPES = [("doc_id", pa.int64()), ("stamp", pa.int64()), ("token", pa.int64()), ("context", pa.int64()), ("at", pa.int32()), ("back", pa.int16()), ("ahead", pa.int16())]
 
 
 def _slide_minimum(values: np.ndarray, width: int) -> np.ndarray:
@@ -169,11 +169,11 @@ def repeated_suffixes(texts: DataFrame, bucket_suffixes: int = BUCKET_SUFFIXES)
     )
     delete_path(spark, path)
     ends = sorted_rows.where("edge").select("token", "context", "bucket").distinct()
-    spans = ends.groupBy("token").agg(F.countDistinct("bucket").alias("n")).where("n > 1").select("token", F.lit(True).alias("token_spans"))
-    equal = ends.groupBy("token", "context").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("token", "context", F.lit(True).alias("context_spans"))
-    # Each boundary adds one row to either table at most: both are smaller than the number of buckets.
+    # Each boundary adds one row to either table at most; both are stored, so that their size decides how they are joined.
+    spans = settle(ends.groupBy("token").agg(F.countDistinct("bucket").alias("n")).where("n > 1").select("token", F.lit(True).alias("token_spans")), "token-spans")
+    equal = settle(ends.groupBy("token", "context").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("token", "context", F.lit(True).alias("context_spans")), "context-spans")
     return (
-        sorted_rows.join(F.broadcast(spans), "token", "left").join(F.broadcast(equal), ["token", "context"], "left")
+        sorted_rows.join(spans, "token", "left").join(equal, ["token", "context"], "left")
         .withColumn("same", F.col("same") | F.coalesce("context_spans", F.lit(False)))
         .withColumn("mixed", F.col("mixed") | F.coalesce("token_spans", F.lit(False)))
         .where(F.col("repeated") | F.coalesce("token_spans", F.lit(False)))
@@ -234,7 +234,7 @@ def remove_repeats(docs: DataFrame, output: tuple[str, Callable] = DIGEST, token
     made = _arrow_schema(docs.sparkSession, fields)
     row = F.struct(*[F.col(f"`{c}`") for c in docs.columns if c != "text" and c not in made.names])
     base = docs.select(row.alias("row"), F.coalesce(F.col("doc_id").cast("long"), F.lit(-1)).alias("doc_id"),
-                       F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text")).withColumn("stamp", F.hash("text"))
+                       F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text")).withColumn("stamp", F.xxhash64("text"))
     found = settle(repeated_suffixes(base.select("doc_id", "stamp", "text"), bucket_suffixes), "repeated-suffixes")
     border = (~F.col("same")) | (F.col("lead") & F.col("mixed"))
     # Stored, so that its size is known: it is broadcast while it is small, and a hot token's rows stay where they are.
@@ -266,10 +266,10 @@ def remove_repeats(docs: DataFrame, output: tuple[str, Callable] = DIGEST, token
                 )
 
     parted = settle(joined.mapInArrow(
-        first_pass, f"row {row_type}, doc_id long, stamp int, {fields}, text string, spans {spans_type}, places {contexts_type}, pending boolean"), "parted-texts")
+        first_pass, f"row {row_type}, doc_id long, stamp long, {fields}, text string, spans {spans_type}, places {contexts_type}, pending boolean"), "parted-texts")
 
     def contexts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        schema = pa.schema([("doc_id", pa.int64()), ("stamp", pa.int32()), ("token", pa.int64()), ("many", pa.bool_()), ("known", pa.bool_()), ("lo", pa.int32()), ("bytes", pa.binary())])
+        schema = pa.schema([("doc_id", pa.int64()), ("stamp", pa.int64()), ("token", pa.int64()), ("many", pa.bool_()), ("known", pa.bool_()), ("lo", pa.int32()), ("bytes", pa.binary())])
         for batch in batches:
             for lo in range(0, batch.num_rows, 500):
                 part = batch.slice(lo, 500)
@@ -280,9 +280,9 @@ def remove_repeats(docs: DataFrame, output: tuple[str, Callable] = DIGEST, token
                 yield pa.RecordBatch.from_arrays(_rows(rows, schema), schema=schema)
 
     cut = settle(parted.where("text is not null").select("doc_id", "stamp", "text", "places").mapInArrow(
-        contexts, "doc_id long, stamp int, token long, many boolean, known boolean, lo int, bytes binary"), "contexts")
-    few = cut.where("not many").repartition(F.col("token")).sortWithinPartitions("token").mapInArrow(_repeated_windows, "doc_id long, stamp int, lo int, hi int")
-    counted = cut.where("many").mapInArrow(_windows, "doc_id long, stamp int, known boolean, window long, lo int")
+        contexts, "doc_id long, stamp long, token long, many boolean, known boolean, lo int, bytes binary"), "contexts")
+    few = cut.where("not many").repartition(F.col("token")).sortWithinPartitions("token").mapInArrow(_repeated_windows, "doc_id long, stamp long, lo int, hi int")
+    counted = cut.where("many").mapInArrow(_windows, "doc_id long, stamp long, known boolean, window long, lo int")
     often = counted.groupBy("window").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("window")
     hot = counted.where("not known").join(often, "window").select("doc_id", "stamp", "lo", (F.col("lo") + WIDTH).alias("hi"))
     windows = few.union(hot).groupBy("doc_id", "stamp").agg(F.collect_set(F.struct("lo", "hi")).alias("more"))
@@ -320,7 +320,7 @@ def _expand(blobs: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
 
 def _repeated_windows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Repeated windows of contexts that come sorted by token, as spans."""
-    schema = pa.schema([("doc_id", pa.int64()), ("stamp", pa.int32()), ("lo", pa.int32()), ("hi", pa.int32())])
+    schema = pa.schema([("doc_id", pa.int64()), ("stamp", pa.int64()), ("lo", pa.int32()), ("hi", pa.int32())])
 
     def solve(table: pa.Table) -> pa.RecordBatch:
         table = table.combine_chunks()
@@ -366,7 +366,10 @@ def _windows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def stage(spark, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Pipeline stage: texts without their repeated passages; ``n_chars`` follows."""
+    """Pipeline stage: texts without their repeated passages; ``n_chars`` follows.
+
+    A null text becomes an empty one; repeated rows are copies of each other and lose what they share; an empty table gives an empty one.
+    """
     name = "cleaned"
     while name in docs.columns:
         name += "_"
