@@ -9,7 +9,9 @@ another.
 
 It is fitted on at most ``SAMPLE_ROWS`` labelled rows (those with the smallest
 hash of their id, never from the held-out fold). Counts over that sample choose
-the terms that differ most between the classes; only those get weights. All
+the terms that get weights and vectors: those that differ most between the
+classes by themselves, and those of which a pair does, though neither term alone
+may (the odds ratio of the pair differs between the classes). All
 bounds are parameters. Scoring is one pass over the whole texts: no shuffle,
 and nothing but the model moves.
 """
@@ -33,8 +35,12 @@ ACTIVE_TERMS = 2048
 BEGINNINGS = (4, 5, 6)
 FACTORS = 8
 THRESHOLD = 0.3
-#: Chi-square of a term below which it gets no weight.
+#: Chi-square of a term below which it gets no weight for itself.
 LEAST_CHI_SQUARE = 20.0
+#: Terms whose pairs are looked at: those that part the sample most evenly.
+PAIR_TERMS = 2048
+#: Squared normal deviate of a pair's odds ratios below which its terms get no weight for the pair; chance reaches it in one of some 10^9 pairs.
+LEAST_PAIR_SQUARE = 40.0
 
 _LETTERS = np.zeros(256, bool)
 _LETTERS[[*range(48, 58), *range(65, 91), *range(97, 123), *range(128, 256)]] = True
@@ -89,6 +95,27 @@ def _term_sets(texts: pa.Array, numbered: np.ndarray | None = None) -> Iterator[
         yield first, end, pairs & (BUCKETS - 1), pairs >> 20
 
 
+def interacting(texts: list[np.ndarray], labels: np.ndarray, size: int) -> np.ndarray:
+    """The terms below ``size`` of which some pair's odds ratio differs between the classes beyond ``LEAST_PAIR_SQUARE``."""
+    odds, spread = [], []
+    for side in (False, True):
+        rows = [texts[i] for i in np.flatnonzero((labels > 0) == side)]
+        both = np.zeros((size, size), np.float32)
+        for lo in range(0, len(rows), 1000):
+            part = rows[lo : lo + 1000]
+            held = np.zeros((len(part), size), np.float32)
+            held[np.repeat(np.arange(len(part)), [len(t) for t in part]), np.concatenate(part)] = 1
+            both += held.T @ held
+        alone = np.diag(both)
+        cells = [both, alone[:, None] - both, alone[None, :] - both, len(rows) - alone[:, None] - alone[None, :] + both]
+        cells = [c + 0.5 for c in cells]
+        odds.append(np.log(cells[0]) - np.log(cells[1]) - np.log(cells[2]) + np.log(cells[3]))
+        spread.append(sum(1 / c for c in cells))
+    square = (odds[0] - odds[1]) ** 2 / (spread[0] + spread[1])
+    np.fill_diagonal(square, 0)
+    return np.flatnonzero(square.max(axis=1, initial=0) >= LEAST_PAIR_SQUARE)
+
+
 @dataclass
 class Machine:
     """A fitted factorization machine over numbered terms."""
@@ -140,7 +167,7 @@ def _texts(docs: DataFrame) -> DataFrame:
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
 
 
-def train(docs: DataFrame, labels: DataFrame, sample_rows: int = SAMPLE_ROWS, active_terms: int = ACTIVE_TERMS) -> Machine:
+def train(docs: DataFrame, labels: DataFrame, sample_rows: int = SAMPLE_ROWS, active_terms: int = ACTIVE_TERMS, pair_terms: int = PAIR_TERMS) -> Machine:
     """Fit on labelled rows outside the held-out fold.
 
     Rows with a null label or id are left out; a repeated id counts once, as
@@ -173,14 +200,16 @@ def train(docs: DataFrame, labels: DataFrame, sample_rows: int = SAMPLE_ROWS, ac
     a, b = F.col("toxic").cast("double"), F.col("clean").cast("double")
     n, x, y = clean + toxic, F.lit(float(toxic)), F.lit(float(clean))
     chi = n * F.pow(a * (y - b) - b * (x - a), 2) / (x * y * (a + b) * (n - a - b) + 1)
-    ranked = (
+    counted = settle(
         sample.mapInArrow(count, "term long, clean long, toxic long").groupBy("term").agg(F.sum("clean").alias("clean"), F.sum("toxic").alias("toxic"))
-        .select("term", chi.alias("chi")).where(F.col("chi") >= LEAST_CHI_SQUARE).orderBy(F.desc("chi"), "term").limit(active_terms).collect()
-    )
-    for i, row in enumerate(ranked):
-        machine.numbered[row["term"]] = i
-    machine.weights, machine.vectors = np.zeros(len(ranked)), np.random.default_rng(5).normal(0, 0.02, (len(ranked), FACTORS))
-    numbered = sample.sparkSession.sparkContext.broadcast(machine.numbered)
+        .select("term", chi.alias("chi"), ((a + b) * (n - a - b)).alias("evenness")), "term-counts")
+    ranked = [r["term"] for r in counted.where(F.col("chi") >= LEAST_CHI_SQUARE).orderBy(F.desc("chi"), "term").limit(active_terms).collect()]
+    even = [r["term"] for r in counted.orderBy(F.desc("evenness"), "term").limit(pair_terms).collect()]
+    # Terms looked at for pairs come first, then those that count for themselves.
+    looked_at = np.full(BUCKETS, -1, np.int16)
+    seen = list(dict.fromkeys([*even, *ranked]))
+    looked_at[seen] = np.arange(len(seen))
+    numbered = sample.sparkSession.sparkContext.broadcast(looked_at)
 
     def number(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -191,7 +220,13 @@ def train(docs: DataFrame, labels: DataFrame, sample_rows: int = SAMPLE_ROWS, ac
 
     rows = sample.mapInArrow(number, "toxic int, terms binary").collect()
     rows.sort(key=lambda r: (bytes(r["terms"]), r["toxic"]))
-    machine.fit(np.array([r["toxic"] > 0 for r in rows], float), [np.frombuffer(r["terms"], np.int16) for r in rows])
+    marks, texts = np.array([r["toxic"] > 0 for r in rows], float), [np.frombuffer(r["terms"], np.int16) for r in rows]
+    paired = interacting([t[t < len(even)] for t in texts], marks, len(even))
+    kept = list(dict.fromkeys([*ranked, *(seen[i] for i in paired)]))
+    machine.numbered[kept] = np.arange(len(kept))
+    machine.weights, machine.vectors = np.zeros(len(kept)), np.random.default_rng(5).normal(0, 0.02, (len(kept), FACTORS))
+    own = machine.numbered[np.array(seen, np.int64)] if seen else np.zeros(0, np.int16)
+    machine.fit(marks, [own[t][own[t] >= 0] for t in texts])
     return machine
 
 
@@ -218,7 +253,11 @@ def toxic_documents(docs: DataFrame, labels: DataFrame) -> DataFrame:
 
 
 def stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Pipeline stage: documents that the machine finds toxic go."""
+    """Pipeline stage: documents that the machine finds toxic go.
+
+    Null and empty texts have the score of no terms; rows with null or repeated ids are judged one by one; an
+    empty table gives an empty one. Columns keep their names, whatever they are.
+    """
     name = "toxicity"
     while name in docs.columns:
         name += "_"
