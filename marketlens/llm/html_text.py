@@ -40,43 +40,69 @@ DROPPED = frozenset(
 #: Elements whose recurrence is counted.
 CONTAINERS = frozenset("nav ul ol dl div section aside header footer form table details center fieldset menu main".split())
 _ROLES = frozenset("navigation banner contentinfo complementary search alert alertdialog dialog menu menubar toolbar".split())
-_NAMES = re.compile(
-    r"(?:^|[\s_-])(?:ads?|adverts?|advertisements?|advertising|sponsor(?:ed|s)?|promos?|promotion|sidebar|side-bar|menu|nav|navbar|navigation|breadcrumbs?|masthead|"
-    r"cookies?|consent|gdpr|notices?|banner|popup|modal|overlay|newsletter|subscribe|subscription|share|sharing|social|related|recommended|comments?|"
-    r"commentlist|replies|respond|disqus|login|signup|signin|pagination|pager|widget|toolbar|skip-link)(?:$|[\s_-])", re.I)
-_OUTER_NAMES = re.compile(r"(?:^|[\s_-])(?:header|footer|top-?bar)(?:$|[\s_-])", re.I)
+#: Words that name boilerplate when a class or id is one, ends with one ("site-nav") or begins with one and goes on with parts of pages ("share-buttons").
+_NAMES = frozenset(
+    "ad ads advert adverts advertisement advertisements advertising sponsor sponsored sponsors promo promos promotion sidebar menu nav navbar navigation breadcrumb breadcrumbs masthead "
+    "cookie cookies consent gdpr notice notices banner popup modal overlay newsletter subscribe subscription share sharing social related recommended comment comments "
+    "commentlist replies respond disqus login signup signin pagination pager widget toolbar skip-link side-bar".split())
+_OUTER_NAMES = frozenset("header footer topbar top-bar".split())
+_PARTS = frozenset(
+    "list lists box boxes bar block wrap wrapper container area section link links button buttons post posts article articles widget panel inner outer content item items "
+    "text header footer form menu message group media icons left right top bottom main primary secondary mobile".split())
+#: Words that say that something else has, or lacks, the named part.
+_OF_OTHERS = frozenset("has with no not non without is hide show".split())
 _HIDDEN = re.compile(r"display\s*:\s*none|visibility\s*:\s*hidden", re.I)
+_WORD_BORDER = re.compile("[-_]+")
+
+
+def _is_name(name: str, words: frozenset[str]) -> bool:
+    """Whether a whole class or id is a name out of ``words``."""
+    if name in words:
+        return True
+    parts = [p for p in _WORD_BORDER.split(name) if p]
+    if not parts or not _OF_OTHERS.isdisjoint(parts):
+        return False
+    return parts[-1] in words or parts[0] in words and all(p in _PARTS or p.isdigit() for p in parts[1:])
 
 
 def _announced(element: Element, in_article: bool) -> bool:
-    """Whether an element says that it is no part of the article."""
+    """Whether an element says by its tag, role or style that it is no part of the article."""
     if element.tag in DROPPED or element.tag == "header" and not in_article:
         return True
-    if not element.attributes.strip() or element.tag in ("html", "body", "article", "main") and "class" not in element.attributes and "hidden" not in element.attributes:
+    if not element.attributes.strip():
         return False
     named = element.attribute_map()
-    if "hidden" in named or named.get("aria-hidden") == "true" or _HIDDEN.search(named.get("style", "")) or named.get("role", "").lower() in _ROLES:
-        return True
-    if element.tag in ("html", "body", "main"):
+    return "hidden" in named or named.get("aria-hidden") == "true" or bool(_HIDDEN.search(named.get("style", ""))) or named.get("role", "").lower() in _ROLES
+
+
+def _named(element: Element, in_article: bool) -> bool:
+    """Whether a class or the id of an element names boilerplate."""
+    if not element.attributes.strip() or element.tag in ("html", "body", "main"):
         return False
-    names = f"{named.get('class', '')} {named.get('id', '')}"
-    return bool(_NAMES.search(names)) or not in_article and element.tag != "article" and bool(_OUTER_NAMES.search(names))
+    named = element.attribute_map()
+    names = f"{named.get('class', '')} {named.get('id', '')}".lower().split()
+    return any(_is_name(n, _NAMES) or not in_article and element.tag != "article" and _is_name(n, _OUTER_NAMES) for n in names)
+
+
+def _left_out(element: Element, in_article: bool) -> bool:
+    """Whether an element is announced or named boilerplate; a name never decides on what holds a marked article."""
+    return _announced(element, in_article) or not element.holds_article and _named(element, in_article)
 
 
 def _main_parts(root: Element, deleted: frozenset[int] | set[int]) -> list[Element]:
-    """The marked articles, else the main element, else the whole page."""
-    articles, mains, todo = [], [], [root]
+    """The marked articles (those named as something else only if there is no other), else the main element, else the whole page."""
+    articles, named, mains, todo = [], [], [], [root]
     while todo:
         element = todo.pop()
-        if _announced(element, False) or element.tag != "article" and element.digest in deleted and element.tag in CONTAINERS:
+        if (_announced if element.tag == "article" else _left_out)(element, False) or element.tag != "article" and element.digest in deleted and element.tag in CONTAINERS:
             continue
         if element.tag == "article":
-            articles.append(element)
+            (named if _named(element, False) else articles).append(element)
             continue
         if element.tag == "main":
             mains.append(element)
         todo.extend(c for c in reversed(element.children) if type(c) is Element)
-    return articles or mains[:1] or [root]
+    return articles or named or mains[:1] or [root]
 
 
 def _blocks(part: Element, deleted: frozenset[int] | set[int], in_article: bool) -> list[str]:
@@ -96,7 +122,7 @@ def _blocks(part: Element, deleted: frozenset[int] | set[int], in_article: bool)
             close()
         elif type(node) is str:
             words.append(node)
-        elif node is not part and (_announced(node, in_article) or part.tag != "article" and node.digest in deleted and node.tag in CONTAINERS):
+        elif node is not part and (_left_out(node, in_article) or part.tag != "article" and node.digest in deleted and node.tag in CONTAINERS):
             if node.tag in BLOCK:
                 close()
         elif node.tag in ("br", "wbr"):
@@ -131,7 +157,7 @@ def _longest(root: Element) -> str:
             for child in element.children:
                 if type(child) is not Element:
                     longest = child if len(child) > len(longest) and not child.isspace() else longest
-                elif not _announced(child, part.tag in ("article", "main")):
+                elif not _left_out(child, part.tag in ("article", "main")):
                     todo.append(child)
     return longest
 

@@ -25,10 +25,10 @@ _ATTRIBUTE = re.compile(r"""([^\s"'<>/=]+)(?:\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s
 
 
 class Element:
-    __slots__ = ("tag", "attributes", "children", "digest")
+    __slots__ = ("tag", "attributes", "children", "digest", "holds_article")
 
     def __init__(self, tag: str, attributes: str = ""):
-        self.tag, self.attributes, self.children, self.digest = tag, attributes, [], 0
+        self.tag, self.attributes, self.children, self.digest, self.holds_article = tag, attributes, [], 0, False
 
     def attribute_map(self) -> dict[str, str]:
         """Attributes by lower-case name; the first of a name counts."""
@@ -73,6 +73,9 @@ def parse(html: str) -> Element:
                     del stack[i:]
         element = Element(tag, match[3])
         stack[-1].children.append(element)
+        if tag == "article" and not any(outer.tag == "article" for outer in stack):
+            for outer in stack:
+                outer.holds_article = True
         if tag in RAW:
             end = re.compile(rf"</{tag}\b", re.I).search(html, at)
             stop = end.start() if end else len(html)
