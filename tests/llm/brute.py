@@ -14,7 +14,6 @@ def tokens(texts, end_id):
     from marketlens.llm.tokens import default_vocabulary
 
     tokenizer = Tokenizer.from_file(default_vocabulary())
-    tokenizer.encode_special_tokens = True
     return [e.ids + [end_id] for e in tokenizer.encode_batch([t or "" for t in texts], add_special_tokens=False)]
 
 

@@ -239,3 +239,51 @@ def test_jump_walk(spark):
         assert len(sizes) == n and max(sizes.values()) < 1.35 * 20_000 / n
     row = spark.createDataFrame([(None,)], "k long").select(sharding.jump_shards(F.col("k"), 40)["shard"].alias("s")).first()
     assert 0 <= row["s"] < 40
+
+
+@pytest.mark.parametrize("blank", [" ", "\t", "\n", "　"])
+def test_long_runs_of_blanks(blank):
+    """The merger gives up on these; the ids are the library's all the same."""
+    from tokenizers import Tokenizer
+
+    from marketlens.llm import tokens
+
+    text = f"a{blank * 1_700_000}b <|endoftext|>"
+    want = Tokenizer.from_file(tokens.default_vocabulary()).encode(text, add_special_tokens=False).ids
+    assert tokens.id_array(tokens.encoder(tokens.default_vocabulary()).encode([text])[0]).tolist() == want
+
+
+def test_long_blanks_through_packing_and_store(spark):
+    docs = spark.createDataFrame([(1, " " * 5_000_000), (2, "x" + "\n" * 1_500_000), (3, "short")], "doc_id long, text string")
+    want = {d: brute.tokens([t], 0)[0] for d, t in docs.collect()}
+    got = {r["doc_id"]: r for r in token_store.round_trip(spark, docs).collect()}
+    assert {d: (r["n_tokens"], r["ids_crc32"]) for d, r in got.items()} == {d: (len(i), brute.ids_crc32(i)) for d, i in want.items()}
+    assert {r["doc_id"]: r["n"] for r in packing.packed_documents(docs).groupBy("doc_id").agg(F.sum("length").alias("n")).collect()} == {d: len(i) for d, i in want.items()}
+
+
+def test_repeated_ids_with_different_texts(spark):
+    """They are one document, the same one whatever the order of the rows."""
+    rng = random.Random(6)
+    base = [prose(rng, 60, 5000) for _ in range(4)]
+    rows = [(1, base[0]), (1, base[1]), (2, base[0]), (3, base[1]), (4, base[2]), (4, base[2]), (5, base[2]), (6, None), (6, base[3]), (7, base[3])]
+    show = lambda r: sorted((x["doc_id"], x["n_shingles"], x["component_id"], x["kept"]) for x in near_dup.near_duplicates(spark.createDataFrame(r, "doc_id long, text string").repartition(3)).collect())
+    first = show(rows)
+    assert first == show(rows[::-1]) and len(first) == len(rows)
+    component = {d: c for d, _, c, _ in first}
+    assert sorted((component[2], component[3])) in ([1, 3], [1, 2]) and component[5] == 4 and len({c for d, _, c, _ in first if d == 1}) == 1
+
+
+def test_walk_against_a_plain_one(spark):
+    import hashlib
+
+    def plain(key, shards):
+        at = shard = 0
+        while at < shards:
+            shard = at
+            draw = int(hashlib.md5(f"{key}:{at}".encode()).hexdigest()[:8], 16)
+            at = math.floor((at + 1) * 4294967296.0 / (draw + 1))
+        return shard
+
+    for shards in (1, 2, 40, 1000):
+        got = spark.range(3000).select("id", sharding.jump_shards(F.col("id"), shards).alias("j")).select("id", "j.*").collect()
+        assert all((r["shard"], r["grown"]) == (plain(r["id"], shards), plain(r["id"], shards + 1)) for r in got)

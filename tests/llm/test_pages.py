@@ -69,6 +69,9 @@ ARTICLE = "<article><header><h1>A &amp; B</h1></header><p>One<br>two <b>three<p>
     ("<div class=cookie-notice>we use</div><table><tr><td>1<td>2<tr><td>3</table><form>f<input></form>", "1\n2\n3"),
     ("<ul><li>a<ul><li>b</ul><li>c</ul>", "a\nb\nc"), ("<p>x < y and y > z</p>", "x < y and y > z"),
     ("<div hidden>h</div><p style='display:none'>n</p><p>ok</p><p title='a>b'>q", "ok\nq"), ("<article>cut off in the mid", "cut off in the mid"),
+    ('<div class="layout with-sidebar"><article><p>t</p></article></div>', "t"), ('<article class="post has-sidebar"><p>t</p></article>', "t"),
+    ('<div id="page" class="no-comments social"><article><p>t</p></article></div>', "t"),
+    ('<article><section class="social-science"><p>t</p></section><p class="notice-period">u</p><div class="share-buttons">s</div><ul class=site-nav><li>n</ul></article>', "t\nu"),
     ("<article><p>in</p><article class=comment><p>reader</p></article></article>", "in"), ("</p></div>stray", "stray"),
 ])
 def test_extract(html, text):
