@@ -30,7 +30,11 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All stages over the documents of a data folder."""
+    """All stages over the documents of a data folder.
+
+    Null and empty texts pass all stages as empty documents; rows that repeat an id are kept or dropped together
+    by the stages that decide by id; an empty table gives no pieces.
+    """
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     for name, stage in STAGES[:-1]:
         docs = settle(stage(spark, docs, sf_dir), name)
