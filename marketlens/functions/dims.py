@@ -6,156 +6,149 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 # Variety names and the codes used by the listing pages.
-LISTING_VARIETY_CODES = """
-白菜 baicai
-芹菜 qincai
-菠菜 bocai
-莴苣 woju
-番茄 fanqie
-辣椒 lajiao
-茄子 qiezi
-甘蓝 ganlan
-花椰菜 huacai
-西瓜 gua
-黄瓜 hg
-南瓜 nangua
-西葫芦 xihulu
-冬瓜 donggua
-豆角 doujiao
-萝卜 luobo
-姜 jiang
-大葱 cong
-大蒜 suan
-土豆 tudou
-香菜 xiangcai
-芥菜 jiecai
-油菜 youcai
-茼蒿 tonghao
-甜椒 tianjiao
-西兰花 xilanhua
-甜瓜 tiangua
-苦瓜 kugua
-丝瓜 sigua
-菜豆 caidou
-豌豆 wandou
-胡萝卜 huluobo
-莲藕 lianou
-洋葱 yangcong
-韭菜 jiucai
-食用菌 shiyongjun
-蒜薹 suantai
-蒜苗 suanmiao
-红薯 hongshu
-芋头 yutou
-芦笋 lusun
-"""
+LISTING_VARIETY_CODES = {
+    "白菜": "baicai",
+    "芹菜": "qincai",
+    "菠菜": "bocai",
+    "莴苣": "woju",
+    "番茄": "fanqie",
+    "辣椒": "lajiao",
+    "茄子": "qiezi",
+    "甘蓝": "ganlan",
+    "花椰菜": "huacai",
+    "西瓜": "gua",
+    "黄瓜": "hg",
+    "南瓜": "nangua",
+    "西葫芦": "xihulu",
+    "冬瓜": "donggua",
+    "豆角": "doujiao",
+    "萝卜": "luobo",
+    "姜": "jiang",
+    "大葱": "cong",
+    "大蒜": "suan",
+    "土豆": "tudou",
+    "香菜": "xiangcai",
+    "芥菜": "jiecai",
+    "油菜": "youcai",
+    "茼蒿": "tonghao",
+    "甜椒": "tianjiao",
+    "西兰花": "xilanhua",
+    "甜瓜": "tiangua",
+    "苦瓜": "kugua",
+    "丝瓜": "sigua",
+    "菜豆": "caidou",
+    "豌豆": "wandou",
+    "胡萝卜": "huluobo",
+    "莲藕": "lianou",
+    "洋葱": "yangcong",
+    "韭菜": "jiucai",
+    "食用菌": "shiyongjun",
+    "蒜薹": "suantai",
+    "蒜苗": "suanmiao",
+    "红薯": "hongshu",
+    "芋头": "yutou",
+    "芦笋": "lusun",
+}
 
 # Names whose quotes use another code; these win for name -> code.
-QUOTE_VARIETY_CODES = """
-花椰菜 huayecai
-菜花 caihua
-西兰花 xilanhua
-黄瓜 huanggua
-西瓜 xigua
-山药 shanyao
-大蒜 dasuan
-大葱 dacong
-"""
+QUOTE_VARIETY_CODES = {
+    "花椰菜": "huayecai",
+    "菜花": "caihua",
+    "西兰花": "xilanhua",
+    "黄瓜": "huanggua",
+    "西瓜": "xigua",
+    "山药": "shanyao",
+    "大蒜": "dasuan",
+    "大葱": "dacong",
+}
 
 # Short province name and the full name used on maps.
-PROVINCE_NAMES = """
-北京 北京市
-天津 天津市
-上海 上海市
-重庆 重庆市
-河北 河北省
-山西 山西省
-辽宁 辽宁省
-吉林 吉林省
-黑龙江 黑龙江省
-江苏 江苏省
-浙江 浙江省
-安徽 安徽省
-福建 福建省
-江西 江西省
-山东 山东省
-河南 河南省
-湖北 湖北省
-湖南 湖南省
-广东 广东省
-海南 海南省
-四川 四川省
-贵州 贵州省
-云南 云南省
-陕西 陕西省
-甘肃 甘肃省
-青海 青海省
-台湾 台湾省
-内蒙古 内蒙古自治区
-广西 广西壮族自治区
-西藏 西藏自治区
-宁夏 宁夏回族自治区
-新疆 新疆维吾尔自治区
-香港 香港特别行政区
-澳门 澳门特别行政区
-"""
+SHORT_TO_FULL = {
+    "北京": "北京市",
+    "天津": "天津市",
+    "上海": "上海市",
+    "重庆": "重庆市",
+    "河北": "河北省",
+    "山西": "山西省",
+    "辽宁": "辽宁省",
+    "吉林": "吉林省",
+    "黑龙江": "黑龙江省",
+    "江苏": "江苏省",
+    "浙江": "浙江省",
+    "安徽": "安徽省",
+    "福建": "福建省",
+    "江西": "江西省",
+    "山东": "山东省",
+    "河南": "河南省",
+    "湖北": "湖北省",
+    "湖南": "湖南省",
+    "广东": "广东省",
+    "海南": "海南省",
+    "四川": "四川省",
+    "贵州": "贵州省",
+    "云南": "云南省",
+    "陕西": "陕西省",
+    "甘肃": "甘肃省",
+    "青海": "青海省",
+    "台湾": "台湾省",
+    "内蒙古": "内蒙古自治区",
+    "广西": "广西壮族自治区",
+    "西藏": "西藏自治区",
+    "宁夏": "宁夏回族自治区",
+    "新疆": "新疆维吾尔自治区",
+    "香港": "香港特别行政区",
+    "澳门": "澳门特别行政区",
+}
 
 # Province codes found in raw quotes and the short names.
-PROVINCE_CODES = """
-gansu 甘肃
-shandong 山东
-shanxi 山西
-xinjiang 新疆
-hubei 湖北
-anhui 安徽
-jiangsu 江苏
-hebei 河北
-zhejiang 浙江
-beijing 北京
-sichuan 四川
-liaoning 辽宁
-henan 河南
-tianjin 天津
-neimenggu 内蒙古
-jiangxi 江西
-hunan 湖南
-yunnan 云南
-guangdong 广东
-heilongjian 黑龙江
-ningxia 宁夏
-shan_xi 陕西
-fujian 福建
-chongqing 重庆
-guizhou 贵州
-jilin 吉林
-guangxi 广西
-xizang 西藏
-hainan 海南
-qinghai 青海
-shanghai 上海
-xicang 西藏
-"""
+CODE_TO_PROVINCE = {
+    "gansu": "甘肃",
+    "shandong": "山东",
+    "shanxi": "山西",
+    "xinjiang": "新疆",
+    "hubei": "湖北",
+    "anhui": "安徽",
+    "jiangsu": "江苏",
+    "hebei": "河北",
+    "zhejiang": "浙江",
+    "beijing": "北京",
+    "sichuan": "四川",
+    "liaoning": "辽宁",
+    "henan": "河南",
+    "tianjin": "天津",
+    "neimenggu": "内蒙古",
+    "jiangxi": "江西",
+    "hunan": "湖南",
+    "yunnan": "云南",
+    "guangdong": "广东",
+    "heilongjian": "黑龙江",
+    "ningxia": "宁夏",
+    "shan_xi": "陕西",
+    "fujian": "福建",
+    "chongqing": "重庆",
+    "guizhou": "贵州",
+    "jilin": "吉林",
+    "guangxi": "广西",
+    "xizang": "西藏",
+    "hainan": "海南",
+    "qinghai": "青海",
+    "shanghai": "上海",
+    "xicang": "西藏",
+}
 
 # Code alias accepted wherever a province name is expected.
-PROVINCE_ALIASES = """
-xicang 西藏
-"""
+ALIAS_TO_PROVINCE = {
+    "xicang": "西藏",
+}
 
 # Regions left out of every analysis, and names that mean "no province".
 EXCLUDED_REGIONS = ("台湾", "香港", "澳门", "zhongguo")
 UNKNOWN_PROVINCES = ("未知", "", "zhongguo", "中国")
 
 
-def _pairs(text: str) -> list[tuple[str, str]]:
-    return [tuple(line.split()) for line in text.strip().splitlines()]
-
-
-NAME_TO_CODE = dict(_pairs(LISTING_VARIETY_CODES) + _pairs(QUOTE_VARIETY_CODES))
-CODE_TO_NAME = {code: name for name, code in _pairs(LISTING_VARIETY_CODES) + _pairs(QUOTE_VARIETY_CODES)}
-SHORT_TO_FULL = dict(_pairs(PROVINCE_NAMES))
-FULL_TO_SHORT = {full: short for short, full in _pairs(PROVINCE_NAMES)}
-CODE_TO_PROVINCE = dict(_pairs(PROVINCE_CODES))
-ALIAS_TO_PROVINCE = dict(_pairs(PROVINCE_ALIASES))
+NAME_TO_CODE = LISTING_VARIETY_CODES | QUOTE_VARIETY_CODES
+CODE_TO_NAME = {code: name for codes in (LISTING_VARIETY_CODES, QUOTE_VARIETY_CODES) for name, code in codes.items()}
+FULL_TO_SHORT = {full: short for short, full in SHORT_TO_FULL.items()}
 
 
 def dim_frame(spark: SparkSession, mapping: dict[str, str]) -> DataFrame:
