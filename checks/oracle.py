@@ -623,18 +623,16 @@ SELECT variety, province, company_name, click_count, publish_date, category FROM
 add("dwd_suppliers", f"""
 SELECT variety, province, contact_person, company_type, click_count, publish_date, category
 FROM clean_suppliers WHERE province NOT IN {OUT}""", *CLEAN_U)
+_KEPT = f"WHERE province NOT IN {OUT}"
 _LAYERS = {
-    "ods_prices": "SELECT count(*) FROM clean_prices", "ods_seeds": "SELECT count(*) FROM clean_seeds",
-    "ods_suppliers": "SELECT count(*) FROM clean_suppliers",
-    "dwd_prices": f"SELECT count(*) FROM clean_prices WHERE province NOT IN {OUT}",
-    "dwd_seeds": f"SELECT count(*) FROM clean_seeds WHERE province NOT IN {OUT}",
-    "dwd_suppliers": f"SELECT count(*) FROM clean_suppliers WHERE province NOT IN {OUT}",
-    "dws_panorama": f"SELECT count(*) FROM (SELECT DISTINCT variety, province FROM clean_prices WHERE province NOT IN {OUT})",
-    "ads_variety_province_profile":
-        f"SELECT count(*) FROM (SELECT variety, province FROM clean_prices WHERE province NOT IN {OUT} GROUP BY ALL HAVING count(*) >= 10)",
-    "ads_variety_ranking": f"SELECT count(DISTINCT variety) FROM clean_prices WHERE province NOT IN {OUT}",
+    "ods_prices": "SELECT avg_price AS v FROM clean_prices", "ods_seeds": "SELECT click_count AS v FROM clean_seeds", "ods_suppliers": "SELECT click_count AS v FROM clean_suppliers",
+    "dwd_prices": f"SELECT max_price AS v FROM clean_prices {_KEPT}", "dwd_seeds": f"SELECT click_count AS v FROM clean_seeds {_KEPT}",
+    "dwd_suppliers": f"SELECT click_count AS v FROM clean_suppliers {_KEPT}",
+    "dws_panorama": f"SELECT count(*) AS v FROM clean_prices {_KEPT} GROUP BY variety, province",
+    "ads_variety_province_profile": f"SELECT count(*) AS v FROM clean_prices {_KEPT} GROUP BY variety, province HAVING count(*) >= 10",
+    "ads_variety_ranking": f"SELECT count(*) AS v FROM clean_prices {_KEPT} GROUP BY variety",
 }
-add("layer_counts", " UNION ALL ".join(f"SELECT '{n}' AS layer_table, ({q}) AS cnt" for n, q in _LAYERS.items()), *ALL_CLEAN)
+add("layer_counts", " UNION ALL ".join(f"SELECT '{n}' AS layer_table, count(*) AS cnt, round(CAST(sum(v) AS DOUBLE), 2) AS total FROM ({q})" for n, q in _LAYERS.items()), *ALL_CLEAN)
 add("union_all", """
 SELECT kind, variety, count(*) AS n, max(day) AS last_day FROM (
   SELECT 'price' AS kind, variety, price_date AS day FROM prices
@@ -643,16 +641,13 @@ SELECT kind, variety, count(*) AS n, max(day) AS last_day FROM (
 add("merged_statistics", """
 SELECT variety, count(*) AS n, round(avg(avg_price), 4) AS mean, round(stddev_samp(avg_price), 4) AS std,
        round(min(min_price), 4) AS low, round(max(max_price), 4) AS high FROM prices GROUP BY variety""")
-add("batch_reports", """
-SELECT 'price_by_province' AS layer_table, (SELECT count(DISTINCT province) FROM prices) AS cnt
-UNION ALL SELECT 'price_by_variety', (SELECT least(20, count(DISTINCT variety)) FROM prices)
-UNION ALL SELECT 'heatmap', (SELECT count(*) FROM (SELECT DISTINCT province, variety FROM prices))
-UNION ALL SELECT 'seed_by_province', (SELECT count(DISTINCT province) FROM seeds)
-UNION ALL SELECT 'supplier_by_province', (SELECT count(DISTINCT province) FROM suppliers)
-UNION ALL SELECT 'price_trend', (SELECT count(DISTINCT price_date) FROM prices)
-UNION ALL SELECT 'variety_score', 15
-UNION ALL SELECT 'cross_table_profile', (SELECT count(*) FROM (SELECT 1 FROM prices GROUP BY variety, province HAVING count(*) >= 10))
-UNION ALL SELECT 'forecast_statistical', (SELECT 4 * count(DISTINCT variety) FROM prices)""")
+_REPORTS = {
+    "price_by_province": ("price_by_province", "avg_price"), "price_by_variety": ("price_by_variety", "avg_price"), "heatmap": ("price_heatmap_long", "avg_price"),
+    "seed_by_province": ("seed_by_province", "seed_count"), "supplier_by_province": ("supplier_by_province", "supplier_count"), "price_trend": ("price_trend", "avg_price"),
+    "variety_score": ("variety_score", "total_score"), "cross_table_profile": ("cross_table_profile", "price_competitiveness"), "forecast_statistical": ("forecast_statistical", "predicted_price"),
+}
+ORACLE["batch_reports"] = " UNION ALL ".join(
+    f"SELECT '{n}' AS layer_table, count(*) AS cnt, round(CAST(sum({c}) AS DOUBLE), 2) AS total FROM ({ORACLE[k]})" for n, (k, c) in _REPORTS.items())
 add("incremental_ingest", "SELECT * FROM clean_prices", *CLEAN_P)
 _NONE = {c: f"CAST(NULL AS {t})" for c, t in (("variety", "VARCHAR"), ("province", "VARCHAR"), ("day", "DATE"), ("avg_price", "DOUBLE"), ("record_count", "BIGINT"),
                                               ("std", "DOUBLE"), ("low", "DOUBLE"), ("high", "DOUBLE"), ("cv", "DOUBLE"))}

@@ -1009,11 +1009,28 @@ def dwd_suppliers(spark, sf_dir):
     return warehouse.dwd_suppliers(_clean_layer(spark, sf_dir)[2])
 
 
+#: A value column of each stored report and layer.
+BATCH_VALUES = {
+    "price_by_province": "avg_price", "price_by_variety": "avg_price", "heatmap": "avg_price", "seed_by_province": "seed_count", "supplier_by_province": "supplier_count",
+    "price_trend": "avg_price", "variety_score": "total_score", "cross_table_profile": "price_competitiveness", "forecast_statistical": "predicted_price",
+}
+LAYER_VALUES = {
+    "ods_prices": "avg_price", "ods_seeds": "click_count", "ods_suppliers": "click_count", "dwd_prices": "max_price", "dwd_seeds": "click_count", "dwd_suppliers": "click_count",
+    "dws_panorama": "price_record_count", "ads_variety_province_profile": "price_records", "ads_variety_ranking": "price_record_count",
+}
+
+
+def _totals(tables, values):
+    """Rows of every table and the sum of its value column."""
+    one = lambda name, df: df.agg(F.count(F.lit(1)).alias("cnt"), numbers.round_out(F.sum(values[name]), 2).alias("total")).select(F.lit(name).alias("layer_table"), "cnt", "total")
+    return reduce(DataFrame.unionByName, [one(name, df) for name, df in tables.items()])
+
+
 @query
 def layer_counts(spark, sf_dir):
-    """Rows per stored warehouse layer, built on the landed clean tables."""
+    """Rows and the sum of a value per stored warehouse layer, built on the landed clean tables."""
     landed = [settle(df, "ods") for df in _clean_layer(spark, sf_dir)]
-    return warehouse.counts(warehouse.build(*landed, fresh_path(spark, "warehouse")))
+    return _totals(warehouse.build(*landed, fresh_path(spark, "warehouse")), LAYER_VALUES)
 
 
 @three
@@ -1035,10 +1052,10 @@ def merged_statistics(prices):
 
 @query
 def batch_reports(spark, sf_dir):
-    """All batch reports stored, then their row counts."""
+    """All batch reports stored, then their rows and the sum of a value of each."""
     out = fresh_path(spark, "reports")
     paths = batch.run(sv.prices(spark, sf_dir), sv.seeds(spark, sf_dir), sv.suppliers(spark, sf_dir), out)
-    return audit.layer_counts({p.rsplit("/", 1)[-1]: spark.read.parquet(p) for p in paths})
+    return _totals({p.rsplit("/", 1)[-1]: spark.read.parquet(p) for p in paths}, BATCH_VALUES)
 
 
 @query
