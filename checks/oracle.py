@@ -632,7 +632,7 @@ _LAYERS = {
     "ads_variety_province_profile": f"SELECT count(*) AS v FROM clean_prices {_KEPT} GROUP BY variety, province HAVING count(*) >= 10",
     "ads_variety_ranking": f"SELECT count(*) AS v FROM clean_prices {_KEPT} GROUP BY variety",
 }
-add("layer_counts", " UNION ALL ".join(f"SELECT '{n}' AS layer_table, count(*) AS cnt, round(CAST(sum(v) AS DOUBLE), 2) AS total FROM ({q})" for n, q in _LAYERS.items()), *ALL_CLEAN)
+add("layer_counts", " UNION ALL ".join(f"SELECT '{n}' AS layer_table, count(*) AS cnt, round(CAST(sum(v) AS DOUBLE), 4) AS total FROM ({q})" for n, q in _LAYERS.items()), *ALL_CLEAN)
 add("union_all", """
 SELECT kind, variety, count(*) AS n, max(day) AS last_day FROM (
   SELECT 'price' AS kind, variety, price_date AS day FROM prices
@@ -647,7 +647,7 @@ _REPORTS = {
     "variety_score": ("variety_score", "total_score"), "cross_table_profile": ("cross_table_profile", "price_competitiveness"), "forecast_statistical": ("forecast_statistical", "predicted_price"),
 }
 ORACLE["batch_reports"] = " UNION ALL ".join(
-    f"SELECT '{n}' AS layer_table, count(*) AS cnt, round(CAST(sum({c}) AS DOUBLE), 2) AS total FROM ({ORACLE[k]})" for n, (k, c) in _REPORTS.items())
+    f"SELECT '{n}' AS layer_table, count(*) AS cnt, round(CAST(sum({c}) AS DOUBLE), 4) AS total FROM ({ORACLE[k]})" for n, (k, c) in _REPORTS.items())
 add("incremental_ingest", "SELECT * FROM clean_prices", *CLEAN_P)
 _NONE = {c: f"CAST(NULL AS {t})" for c, t in (("variety", "VARCHAR"), ("province", "VARCHAR"), ("day", "DATE"), ("avg_price", "DOUBLE"), ("record_count", "BIGINT"),
                                               ("std", "DOUBLE"), ("low", "DOUBLE"), ("high", "DOUBLE"), ("cv", "DOUBLE"))}

@@ -1022,7 +1022,7 @@ LAYER_VALUES = {
 
 def _totals(tables, values):
     """Rows of every table and the sum of its value column."""
-    one = lambda name, df: df.agg(F.count(F.lit(1)).alias("cnt"), numbers.round_out(F.sum(values[name]), 2).alias("total")).select(F.lit(name).alias("layer_table"), "cnt", "total")
+    one = lambda name, df: df.agg(F.count(F.lit(1)).alias("cnt"), numbers.round_out(F.sum(values[name]), 4).alias("total")).select(F.lit(name).alias("layer_table"), "cnt", "total")
     return reduce(DataFrame.unionByName, [one(name, df) for name, df in tables.items()])
 
 
