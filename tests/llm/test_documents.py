@@ -287,3 +287,24 @@ def test_walk_against_a_plain_one(spark):
     for shards in (1, 2, 40, 1000):
         got = spark.range(3000).select("id", sharding.jump_shards(F.col("id"), shards).alias("j")).select("id", "j.*").collect()
         assert all((r["shard"], r["grown"]) == (plain(r["id"], shards), plain(r["id"], shards + 1)) for r in got)
+
+
+def test_components(spark):
+    from marketlens.llm.components import components
+
+    links = [(i, i + 1) for i in range(100, 160)] + [(5, 5), (7, None), (None, 8), (3, 1), (1, 3), (9, 3), (42, 9)] + [(200, 200 + i) for i in range(1, 50)]
+    got = {r["node"]: r["component"] for r in components(spark.createDataFrame(links, "a long, b long")).collect()}
+    assert got == {**dict.fromkeys(range(100, 161), 100), **dict.fromkeys((1, 3, 9, 42), 1), **dict.fromkeys(range(200, 250), 200)}
+    assert components(spark.createDataFrame([], "a long, b long")).count() == 0
+
+
+def test_shards_and_sequences_of_nulls_and_nothing(spark, tmp_path, empty):
+    docs = spark.createDataFrame([(1, "a"), (None, None), (None, "x"), (2, "")], "doc_id long, text string")
+    sharding.write_shards(docs, str(tmp_path / "s"))
+    back = spark.read.parquet(str(tmp_path / "s"))
+    assert sorted(map(str, back.select("doc_id", "text").collect())) == sorted(map(str, docs.collect()))
+    want = {r["doc_id"]: r["shard"] for r in sharding.assign_shards(docs).collect()}
+    assert {r["doc_id"]: r["shard"] for r in back.collect()} == want
+    packed = packing.pack(packing.token_pieces(docs))
+    assert sum(len(r["pieces"]) for r in packing.sequences(packed).collect()) == 4
+    assert packing.sequences(packing.pack(packing.token_pieces(empty))).count() == 0
