@@ -14,7 +14,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 
 #: Texts are worked on in runs of about this size; each byte takes some hundred bytes of arrays meanwhile.
-CHUNK_BYTES = 1 << 20
+CHUNK_BYTES = 1 << 19
 WORDS_IN_SHINGLE = 5
 
 _MASK = (1 << 64) - 1

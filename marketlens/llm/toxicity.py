@@ -233,12 +233,13 @@ def train(docs: DataFrame, labels: DataFrame, sample_rows: int = SAMPLE_ROWS, ac
 def score(docs: DataFrame, machine: Machine, name: str = "score") -> DataFrame:
     """All columns of ``docs`` and the score as ``name``; a null text scores as an empty one."""
     model = docs.sparkSession.sparkContext.broadcast(machine)
+    # The text travels once, inside the row.
     row = F.struct(*[F.col(f"`{c}`") for c in docs.columns])
-    packed = docs.select(row.alias("row"), F.col("text").cast("string").alias("text"))
+    packed = docs.withColumn("text", F.col("text").cast("string")).select(row.alias("row"))
 
     def rate(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for first, end, found, owner in _term_sets(batch.column(1), model.value.numbered):
+            for first, end, found, owner in _term_sets(batch.column(0).field("text"), model.value.numbered):
                 rated = model.value.scores(end - first, found, owner)
                 yield pa.RecordBatch.from_arrays([batch.column(0).slice(first, end - first), pa.array(rated)], names=["row", "rated"])
 
