@@ -65,10 +65,18 @@ _UNIT = rf"({NUMBER_MARK}{_NUMBER}[ -]?)((?i:{'|'.join(UNITS)})(?![\p{{L}}0-9]))
 NAMED, CASELESS, EXACT = "named", "caseless", "exact"
 
 
+def marked_text(text: Column) -> Column:
+    """The text with a mark before every slot."""
+    marked = F.regexp_replace(F.regexp_replace(text, f"[{_MARKS}]", " "), f"({_NUMBER})", f"{NUMBER_MARK}$1")
+    return F.regexp_replace(F.regexp_replace(marked, f"({_NAME})", f"{NAME_MARK}$1"), _UNIT, f"$1{UNIT_MARK}$2")
+
+
 def tokens(text: Column) -> Column:
     """Array of tokens, lower-cased; a slot begins with the mark of its kind."""
-    marked = F.regexp_replace(F.regexp_replace(text, f"[{_MARKS}]", " "), f"({_NUMBER})", f"{NUMBER_MARK}$1")
-    marked = F.regexp_replace(F.regexp_replace(marked, f"({_NAME})", f"{NAME_MARK}$1"), _UNIT, f"$1{UNIT_MARK}$2")
+    return _parted(marked_text(text))
+
+
+def _parted(marked: Column) -> Column:
     return F.regexp_extract_all(F.lower(marked), F.lit(rf"[{_MARKS}]?(?:{_NUMBER}|{_WORD})"), F.lit(0))
 
 
@@ -97,29 +105,34 @@ def _joined(array: Column, ahead: int, size: int) -> Column:
     return F.slice(pairs, F.lit(1), F.greatest(F.size(array) - ahead, F.lit(0)))
 
 
-def with_windows(df: DataFrame, form: str, sizes: set[int], *keep: str) -> DataFrame:
-    """``keep`` and the columns ``<form>_<size>`` with the hashes of all windows of these sizes, by doubling."""
-    name = lambda n: f"{form}_{n}"
-    df = df.withColumn(name(1), _hashes(form))
-    have = [1]
-    while have[-1] * 2 <= max(sizes):
-        n = have[-1] * 2
-        df = df.withColumn(name(n), _joined(F.col(name(n // 2)), n // 2, n))
-        have.append(n)
-    for size in sorted(sizes - set(have)):
-        half = max(n for n in have if n < size)
-        df = df.withColumn(name(size), _joined(F.col(name(half)), size - half, size))
-    return df.select(*keep, *[c for c in df.columns if c not in keep and (not c.startswith(f"{form}_") or int(c.rsplit("_", 1)[1]) in sizes)])
-
-
-def _forms(df: DataFrame, wanted: dict[str, set[int]], *keep: str) -> DataFrame:
-    """``keep`` and the window hashes of every form and size in ``wanted``."""
-    own = list(keep)
+def _forms(df: DataFrame, wanted: dict[str, set[int]], *keep: str, flags: bool = False) -> DataFrame:
+    """``keep`` and the columns ``<form>_<size>`` with the hashes of all windows of every form and size in ``wanted``, by doubling.
+
+    With ``flags`` the columns ``has_names`` and ``has_slots`` tell where forms agree: a text
+    without names has no ``CASELESS`` windows of its own, and one without slots shares the doubled arrays of ``NAMED``.
+    """
+    empty = F.array().cast("array<bigint>")
     for form, sizes in wanted.items():
-        if sizes:
-            df = with_windows(df, form, sizes, *own, "tokens")
-            own += [f"{form}_{n}" for n in sorted(sizes)]
-    return df.select(*own)
+        if not sizes:
+            continue
+        shared = lambda n: flags and form == EXACT and f"{NAMED}_{n}" in df.columns  # noqa: B023, E731
+        base = _hashes(form)
+        if flags and form == CASELESS:
+            base = F.when(F.col("has_names"), base).otherwise(empty)
+        if shared(1):
+            base = F.when(F.col("has_slots"), base).otherwise(F.col(f"{NAMED}_1"))
+        df, have = df.withColumn(f"{form}_1", base), [1]
+        while have[-1] * 2 <= max(sizes):
+            n = have[-1] * 2
+            joined = _joined(F.col(f"{form}_{n // 2}"), n // 2, n)
+            if shared(n):
+                joined = F.when(F.col("has_slots"), joined).otherwise(empty if n == max(sizes) and n in wanted[NAMED] else F.col(f"{NAMED}_{n}"))
+            df = df.withColumn(f"{form}_{n}", joined)
+            have.append(n)
+        for size in sorted(sizes - set(have)):
+            half = max(n for n in have if n < size)
+            df = df.withColumn(f"{form}_{size}", _joined(F.col(f"{form}_{half}"), size - half, size))
+    return df.select(*keep, *[f"{form}_{n}" for form, sizes in wanted.items() for n in sorted(sizes)])
 
 
 def benchmark_items(benchmark: DataFrame) -> DataFrame:
@@ -208,12 +221,16 @@ def edit_seeds(items: DataFrame, least_words: int) -> DataFrame:
 def window_hits(docs: DataFrame, known: DataFrame, wanted: dict[str, set[int]], run: Settled) -> DataFrame:
     """``doc_id, stamp, place, hash`` of the windows of documents that stand in ``known(hash)``; one pass over the texts."""
     text = F.col("text").cast("string")
-    hashed = _forms(docs.select("doc_id", F.xxhash64(text).alias("stamp"), tokens(text).alias("tokens")), wanted, "doc_id", "stamp")
+    marked = docs.select("doc_id", F.xxhash64(text).alias("stamp"), marked_text(text).alias("marked"))
+    has = lambda mark: F.contains("marked", F.lit(mark))
+    parted = marked.select("doc_id", "stamp", _parted(F.col("marked")).alias("tokens"), has(NAME_MARK).alias("has_names"), (has(NAME_MARK) | has(NUMBER_MARK)).alias("has_slots"))
+    hashed = _forms(parted, wanted, "doc_id", "stamp", flags=True)
     names = [c for c in hashed.columns if c not in ("doc_id", "stamp")]
     each = hashed.select("doc_id", "stamp", F.posexplode(F.arrays_zip(*names)).alias("place", "hashes"))
-    rows = each.select("doc_id", "stamp", "place", F.explode(F.array_distinct(F.array(*[F.col(f"hashes.{n}") for n in names]))).alias("hash"))
+    rows = each.select("doc_id", "stamp", "place", F.explode(F.array(*[F.col(f"hashes.{n}") for n in names])).alias("hash")).where("hash is not null")
     small = known.count() <= BROADCAST_WINDOWS
-    return run.keep(rows.join(F.broadcast(known) if small else known, "hash", "left_semi").select("doc_id", "stamp", "place", "hash"), "window-hits")
+    # Forms that agree give a hit twice; there are few hits, so they are made distinct here and not in every window.
+    return run.keep(rows.join(F.broadcast(known) if small else known, "hash", "left_semi").select("doc_id", "stamp", "place", "hash").distinct(), "window-hits")
 
 
 def _same(x: str, y: str) -> Column:

@@ -46,6 +46,8 @@ LEAST_MATCHES = 4
 MISS_CHANCE = 2e-6
 #: Members of a block of a posting list.
 LIST_MEMBERS = 512
+#: Members of a list from which on pairs are held against the list's hub before they are joined; this changes no result.
+HUB_MEMBERS = 64
 SIMILAR_PERCENT = 85
 #: Similarity of the pipeline stage.
 STAGE_PERCENT = 80
@@ -168,24 +170,53 @@ def _confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     )
 
 
+def _hubs(posts: DataFrame) -> DataFrame:
+    """``key, x``: of every list the member that meets the most others."""
+    reach = posts.groupBy("doc_id").agg(F.sum("members").alias("reach"))
+    return posts.join(reach, "doc_id").groupBy("key").agg(F.max_by(F.struct("doc_id", "n_shingles", "shared", "sketch"), F.struct("reach", -F.col("doc_id"))).alias("x"))
+
+
 def _star_pairs(posts: DataFrame, percent: int) -> DataFrame:
     """Each member of a list with the list's hub."""
-    reach = posts.groupBy("doc_id").agg(F.sum("members").alias("reach"))
-    hubs = posts.join(reach, "doc_id").groupBy("key").agg(F.max_by(F.struct("doc_id", "n_shingles", "shared", "sketch"), F.struct("reach", -F.col("doc_id"))).alias("x"))
     return (
-        posts.alias("y").join(hubs, "key").where((F.col("x.doc_id") != F.col("y.doc_id")) & _possible("x", "y", percent))
+        posts.alias("y").join(_hubs(posts), "key").where((F.col("x.doc_id") != F.col("y.doc_id")) & _possible("x", "y", percent))
         .select(F.least("x.doc_id", "y.doc_id").alias("a"), F.greatest("x.doc_id", "y.doc_id").alias("b")).distinct()
     )
 
 
-def _cross_pairs(posts: DataFrame, percent: int, list_members: int) -> DataFrame:
+def _hub_overlaps(posts: DataFrame, sets: DataFrame) -> DataFrame:
+    """``doc_id, key, overlap``: the shingles that each member of a long list shares with the list's hub."""
+    long = posts.where(F.col("members") >= HUB_MEMBERS)
+    hubs = settle(_hubs(long).select("key", F.col("x.doc_id").alias("hub")), "hubs")
+    met = long.select("doc_id", "key").join(hubs, "key")
+    hub_sets = settle(sets.join(hubs.select(F.col("hub").alias("doc_id")).distinct(), "doc_id", "left_semi").select(F.col("doc_id").alias("hub"), F.col("shingles").alias("hub_set")), "hub-sets")
+    counted = (
+        met.select("doc_id", "hub").distinct().join(sets, "doc_id").join(hub_sets, "hub")
+        .select("doc_id", "hub", F.size(F.array_intersect("shingles", "hub_set")).alias("overlap"))
+    )
+    return met.join(counted, ["doc_id", "hub"]).select("doc_id", "key", "overlap")
+
+
+def _beside_hub(a: str, b: str, percent: int) -> Column:
+    """Whether what two members share with the hub of their list, and what both have beside it, allows the similarity.
+
+    Their common shingles are in the hub, no more than the smaller overlap, or not, no more than the smaller rest
+    of those shared with any text.
+    """
+    rest = lambda x: F.greatest(F.col(f"{x}.shared") - F.col(f"{x}.overlap"), F.lit(0))
+    most = F.least(f"{a}.overlap", f"{b}.overlap") + F.least(rest(a), rest(b))
+    return F.coalesce(most * (100 + percent) >= (F.col(f"{a}.n_shingles") + F.col(f"{b}.n_shingles")) * percent, F.lit(True))
+
+
+def _cross_pairs(posts: DataFrame, sets: DataFrame, percent: int, list_members: int) -> DataFrame:
     """Possible pairs between the components that meet in a posting list, each in the first list it agrees in."""
     lists = posts.groupBy("key").agg(F.count(F.lit(1)).alias("n"), F.min("component").alias("low"), F.max("component").alias("high"))
     mixed = lists.where("low < high").select("key", F.ceil(F.col("n") / list_members).cast("int").alias("blocks"))
+    several = posts.join(mixed.select("key"), "key", "left_semi")
     cells = settle(
-        posts.join(mixed, "key").withColumn("own", F.pmod(F.xxhash64("doc_id"), F.col("blocks")).cast("int"))
+        posts.join(mixed, "key").join(_hub_overlaps(several, sets), ["doc_id", "key"], "left").withColumn("own", F.pmod(F.xxhash64("doc_id"), F.col("blocks")).cast("int"))
         .withColumn("other", F.explode(F.expr("sequence(0, blocks - 1)")))
-        .select("doc_id", "n_shingles", "shared", "sketch", "component", "at", "own", "key", F.least("own", "other").alias("low"), F.greatest("own", "other").alias("high")),
+        .select("doc_id", "n_shingles", "shared", "overlap", "sketch", "component", "at", "own", "key", F.least("own", "other").alias("low"), F.greatest("own", "other").alias("high")),
         "cells",
     )
     x, y = cells.alias("x"), cells.alias("y")
@@ -193,7 +224,7 @@ def _cross_pairs(posts: DataFrame, percent: int, list_members: int) -> DataFrame
     earlier = _agreeing(F.slice("x.sketch", F.lit(1), F.col("x.at")), F.slice("y.sketch", F.lit(1), F.col("x.at"))) == 0
     apart = (F.col("x.component") < F.col("y.component")) & ((F.col("x.low") == F.col("x.high")) | (F.col("x.own") != F.col("y.own")))
     return (
-        x.join(y, met[0] & met[1] & met[2] & apart & _possible("x", "y", percent) & earlier)
+        x.join(y, met[0] & met[1] & met[2] & apart & _possible("x", "y", percent) & _beside_hub("x", "y", percent) & earlier)
         .select(F.least("x.doc_id", "y.doc_id").alias("a"), F.greatest("x.doc_id", "y.doc_id").alias("b"))
     )
 
@@ -246,7 +277,7 @@ def near_duplicates(docs: DataFrame, percent: int = SIMILAR_PERCENT, list_member
     stars = settle(_confirmed(_star_pairs(lists, percent), sets, percent), "star-links")
     folded = components(stars)
     coloured = lists.join(folded.withColumnRenamed("node", "doc_id"), "doc_id", "left").withColumn("component", F.coalesce("component", "doc_id"))
-    more = _confirmed(_cross_pairs(coloured, percent, list_members), sets, percent)
+    more = _confirmed(_cross_pairs(coloured, sets, percent, list_members), sets, percent)
     linked = components(stars.union(more)).withColumnRenamed("node", "class_id")
     members = classes.select("key_a", "key_b", F.col("doc_id").alias("class_id")).join(linked, "class_id", "left")
     return (

@@ -308,3 +308,24 @@ def test_shards_and_sequences_of_nulls_and_nothing(spark, tmp_path, empty):
     packed = packing.pack(packing.token_pieces(docs))
     assert sum(len(r["pieces"]) for r in packing.sequences(packed).collect()) == 4
     assert packing.sequences(packing.pack(packing.token_pieces(empty))).count() == 0
+
+
+def test_long_lists_of_near_copies(spark):
+    """Copies that are edited too much for the list's hub: pairs among them are still found, though most are left out before they are joined."""
+    rng = random.Random(12)
+    base = prose(rng, 220, 5000).split()
+    rows = [(1000, " ".join(base))]
+    for i in range(120):
+        words = list(base)
+        for _ in range(rng.choice([2, 4, 6, 7, 8, 9])):
+            words[rng.randrange(220)] = rng.choice([f"own{i}x{rng.random()}", "shared", "other"])
+        rows.append((i, " ".join(words)))
+    words = list(base)
+    for j in range(0, 220, 22):
+        words[j] = f"far{j}"
+    rows += [(2000 + i, " ".join([*words[:-1], f"end{i}"])) for i in range(6)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    want = brute.near_duplicates(rows, percent=80)
+    assert len({c for _, c in want.values()}) > 3 and want[2003][1] == 2000
+    for members in (16, 512):
+        assert {r["doc_id"]: r["component_id"] for r in near_dup.near_duplicates(docs, percent=80, list_members=members).collect()} == {d: c for d, (_, c) in want.items()}
