@@ -97,7 +97,7 @@ def _term_sets(texts: pa.Array, numbered: np.ndarray | None = None) -> Iterator[
 
 def interacting(texts: list[np.ndarray], labels: np.ndarray, size: int) -> np.ndarray:
     """The terms below ``size`` of which some pair's odds ratio differs between the classes beyond ``LEAST_PAIR_SQUARE``."""
-    odds, spread = [], []
+    together, totals = [], []
     for side in (False, True):
         rows = [texts[i] for i in np.flatnonzero((labels > 0) == side)]
         both = np.zeros((size, size), np.float32)
@@ -106,14 +106,21 @@ def interacting(texts: list[np.ndarray], labels: np.ndarray, size: int) -> np.nd
             held = np.zeros((len(part), size), np.float32)
             held[np.repeat(np.arange(len(part)), [len(t) for t in part]), np.concatenate(part)] = 1
             both += held.T @ held
-        alone = np.diag(both)
-        cells = [both, alone[:, None] - both, alone[None, :] - both, len(rows) - alone[:, None] - alone[None, :] + both]
-        cells = [c + 0.5 for c in cells]
-        odds.append(np.log(cells[0]) - np.log(cells[1]) - np.log(cells[2]) + np.log(cells[3]))
-        spread.append(sum(1 / c for c in cells))
-    square = (odds[0] - odds[1]) ** 2 / (spread[0] + spread[1])
-    np.fill_diagonal(square, 0)
-    return np.flatnonzero(square.max(axis=1, initial=0) >= LEAST_PAIR_SQUARE)
+        together.append(both)
+        totals.append(len(rows))
+    highest = np.zeros(size)
+    # A strip of the pairs at a time keeps the arrays small.
+    for lo in range(0, size, 128):
+        strip, odds, spread = slice(lo, min(lo + 128, size)), 0, 0
+        for both, total, sign in zip(together, totals, (1, -1), strict=True):
+            alone, held = np.diag(both), both[strip]
+            cells = [c + 0.5 for c in (held, alone[strip, None] - held, alone[None, :] - held, total - alone[strip, None] - alone[None, :] + held)]
+            odds = odds + sign * (np.log(cells[0]) - np.log(cells[1]) - np.log(cells[2]) + np.log(cells[3]))
+            spread = spread + sum(1 / c for c in cells)
+        square = odds**2 / spread
+        square[np.arange(square.shape[0]), np.arange(strip.start, strip.stop)] = 0
+        highest[strip] = square.max(axis=1, initial=0)
+    return np.flatnonzero(highest >= LEAST_PAIR_SQUARE)
 
 
 @dataclass
