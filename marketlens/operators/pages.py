@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from ..functions.markup import with_tables
 from ..functions.numbers import _col
-from ..functions.once import compute_once
+from ..functions.once import compute_once, with_value
 from ..functions.text import normalize_text, strip
 
 # Words that identify headings and labels on the pages.
@@ -73,17 +73,21 @@ def _numbered(text: Column, pattern: str, base: int) -> Column:
 
 def decode_entities(text: Column) -> Column:
     """Character references of all numbers and the common names, each decoded once."""
-    numbered = _numbered(_numbered(text, "&#[0-9]{1,7};", 10), "&#[xX][0-9a-fA-F]{1,6};", 16)
-    decoded = F.when(text.contains("&#"), numbered).otherwise(text)
-    for entity, char in _ENTITIES.items():
-        decoded = F.replace(decoded, F.lit(entity), F.lit(char))
-    # Most texts hold no entity: one scan decides.
-    return F.when(text.contains("&"), decoded).otherwise(text)
+    def decode(text: Column) -> Column:
+        numbered = _numbered(_numbered(text, "&#[0-9]{1,7};", 10), "&#[xX][0-9a-fA-F]{1,6};", 16)
+        decoded = F.when(text.contains("&#"), numbered).otherwise(text)
+        for entity, char in _ENTITIES.items():
+            decoded = F.replace(decoded, F.lit(entity), F.lit(char))
+        # Most texts hold no entity: one scan decides.
+        return F.when(text.contains("&"), decoded).otherwise(text)
+
+    return with_value(text, decode)
 
 
 def text_of(markup: Column) -> Column:
     """Text without tags, character references decoded."""
-    return decode_entities(F.when(markup.contains("<"), F.regexp_replace(markup, r"(?s)<[^>]*>", "")).otherwise(markup))
+    plain = lambda m: F.when(m.contains("<"), F.regexp_replace(m, r"(?s)<[^>]*>", "")).otherwise(m)
+    return decode_entities(with_value(markup, plain))
 
 
 def _unquoted(value: Column) -> Column:
@@ -120,7 +124,7 @@ def _table_fields(pages: DataFrame, longest_raw_name: int, longest_name: int, re
     rows = F.transform("tables", lambda t: t["rows"])
     whole = F.transform("cells", lambda c: F.coalesce(c["whole"], c["own"]))
     found = (
-        with_tables(pages.where(F.col("html").rlike("(?i)<td") & ~F.col("html").contains(NO_RESULT)))
+        with_tables(pages, but_with=NO_RESULT)
         .select("page_id", "url", rows.alias("tables"))
         .select("page_id", "url", F.coalesce(_first(F.col("tables"), shaped), _first(F.col("tables"), titled)).alias("rows"))
         .select("page_id", "url", F.posexplode("rows").alias("row_no", "cells"))
@@ -181,7 +185,7 @@ def _clicks(cell: Column, last: bool) -> Column:
 def html_listing_rows(pages: DataFrame) -> DataFrame:
     """Seed listings: every table row with three cells whose second holds three paragraphs."""
     rows = (
-        with_tables(pages.where(F.col("html").rlike("(?i)<td")))
+        with_tables(pages)
         .select("page_id", "url", F.posexplode(F.flatten(F.transform("tables", lambda t: t["rows"]))).alias("row_no", "cells"))
         .where(F.size("cells") >= 3).withColumn("cells", F.transform("cells", lambda c: c["own"]))
     )
@@ -210,7 +214,7 @@ def html_supplier_rows(pages: DataFrame) -> DataFrame:
     """Supplier listings: first row of every listing table whose product link is an offer."""
     tables = F.filter("tables", lambda t: _attribute(t["opening"], "class").rlike(rf"(^|\s){LISTING_TABLE_CLASS}(\s|$)"))
     rows = (
-        with_tables(pages.where(F.col("html").rlike("(?i)<td")))
+        with_tables(pages)
         .select("page_id", "url", F.posexplode(F.transform(tables, lambda t: F.get(t["rows"], F.lit(0)))).alias("row_no", "cells"))
         .where(F.size("cells") >= 2).withColumn("cells", F.transform("cells", lambda c: c["own"]))
     )

@@ -114,3 +114,28 @@ def test_links_slugs_and_frontier(stored, spark):
     cover = {r.host: r for r in pg.crawl_coverage(held, held.where("page_id = 9")).collect()}
     assert (cover["http://q.example.com"].pages_held, cover["http://q.example.com"].links_seen, cover["http://q.example.com"].links_missing) == (2, 4, 3)
     assert cover["http://o.com"].rows_extracted == 1 and cover["http://o.com"].links_seen == 0
+
+
+@pytest.mark.parametrize("rows", [lambda p: pg.html_table_rows(p, "d"), pg.html_listing_rows, pg.html_supplier_rows])
+def test_what_makes_the_html_runs_once_a_page(spark, rows):
+    from pyspark.sql import functions as F
+
+    made = spark.range(3).select(F.col("id").alias("page_id"), F.lit("u").alias("url"), F.reverse(F.concat(F.lit("<td>"), F.col("id").cast("string"))).alias("html"))
+    assert rows(made)._jdf.queryExecution().optimizedPlan().toString().count("reverse(") == 1
+
+
+def test_a_value_named_often_is_evaluated_once(spark):
+    from pyspark.sql import functions as F
+
+    from marketlens.functions.text import normalize_text
+
+    for use in (normalize_text, pg.decode_entities, pg.text_of):
+        assert use(F.reverse(F.col("html")))._jc.toString().count("reverse(") == 1
+
+
+def test_tables_as_columns(spark, stored):
+    from marketlens.functions.markup import tables_of, with_tables
+
+    nested = "<table a=1><tr><td>x<table><tr><td>y<td>z</table>w<td></table><TABLE><td>q"
+    got = {r.page_id: [t.asDict(True) for t in r.tables] for r in with_tables(stored(nested, None, "", "<table>", "no <td> none", "<td>", row("k")), but_with="none").collect()}
+    assert got == {0: tables_of(nested), 5: [], 6: []} and len(got[0]) == 3
