@@ -23,6 +23,9 @@ GRAM = 3
 BUCKETS = 64
 #: Rows of a part of the stored table.
 PART_ROWS = 100_000
+#: Parts at most; with more rows the parts get larger. Each is a folder to write and to list, and every task
+#: of the shuffle in front makes a block for each, so that their number must not grow with the rows.
+MAX_PARTS = 256
 _SIGNS = re.compile(r"[\\.^$*+?{}\[\]()]")
 
 
@@ -39,7 +42,7 @@ def _grams(text: Column) -> Column:
 def build(rows: DataFrame, path: str, *columns: str, part_rows: int = PART_ROWS) -> None:
     """Store ``rows`` and the postings of ``columns`` below ``path``."""
     spark = rows.sparkSession
-    parts = max(1, -(-rows.count() // part_rows))
+    parts = min(max(1, -(-rows.count() // part_rows)), MAX_PARTS)
     # The id holds the number of its partition above bit 33.
     numbered = rows.repartition(parts).withColumn("row_id", F.monotonically_increasing_id()).withColumn("part", F.shiftright("row_id", 33))
     numbered.write.mode("overwrite").partitionBy("part").parquet(f"{path}/rows")

@@ -224,6 +224,14 @@ def test_postings_find_what_the_scan_finds(spark, tmp_path):
     assert "PartitionFilters: [bucket" in plan and ("dynamicpruning" in plan or "LeftSemi" in plan)
 
 
+def test_parts_of_the_stored_table_are_bounded(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(text_index, "MAX_PARTS", 5)
+    rows = spark.range(400).select("id", F.concat(F.lit("word"), F.col("id") % 7).alias("a"))
+    text_index.build(rows, str(tmp_path / "i"), "a", part_rows=10)
+    assert spark.read.parquet(str(tmp_path / "i/rows")).agg(F.countDistinct("part"), F.count("id")).first()[:] == (5, 400)
+    assert text_index.find(spark, str(tmp_path / "i"), "word3", "a").count() == rows.where("a = 'word3'").count()
+
+
 def test_held_side_is_not_moved(spark, tmp_path):
     held_pages = spark.createDataFrame([(f"http://h/{i}",) for i in range(50)] + [(None,)], "url string")
     held = held_urls.write_held(held_pages, "held_for_test", str(tmp_path / "held"), buckets=4)
