@@ -108,3 +108,13 @@ def test_retried_batch_does_not_double(spark, tmp_path):
     write(rows, 0)
     write(rows.union(rows.withColumn("k", F.col("k") + 10)), 1)
     assert sorted(r.k for r in spark.read.parquet(str(tmp_path / "t")).collect()) == [1, 2, 11, 12]
+
+
+def test_offers_are_dealt_by_the_number_of_lines(spark, monkeypatch):
+    from marketlens.sources import star_views
+
+    monkeypatch.setattr(star_views, "OFFER_LINES", 10)
+    lines = spark.range(400).selectExpr("id % 150 AS l_partkey", "id % 3 AS l_suppkey", "date_add(DATE '2024-01-01', cast(id as int)) AS l_shipdate")
+    offers = star_views._offers(lines, "day")
+    assert offers.rdd.getNumPartitions() == 40
+    assert offers.count() == 150 and str(offers.agg({"day": "max"}).first()[0]) == "2024-05-29"
