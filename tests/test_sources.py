@@ -118,3 +118,11 @@ def test_offers_are_dealt_by_the_number_of_lines(spark, monkeypatch):
     offers = star_views._offers(lines, "day")
     assert offers.rdd.getNumPartitions() == 40
     assert offers.count() == 150 and str(offers.agg({"day": "max"}).first()[0]) == "2024-05-29"
+
+
+def test_appended_files_are_bounded(spark, tmp_path):
+    path = str(tmp_path / "landed")
+    rows = spark.range(95).selectExpr("cast(id as string) AS a").coalesce(1)
+    writers.append_rows(rows, path, file_rows=10)
+    files = [f.read_text().split() for f in sorted((tmp_path / "landed").glob("*.csv"))]
+    assert len(files) == 10 and all(f[0] == "a" and len(f) <= 11 for f in files) and sum(len(f) - 1 for f in files) == 95
