@@ -30,8 +30,9 @@ CLIP_LOW, CLIP_HIGH, PRICE_FLOOR, TOP_N = 0.7, 1.3, 0.1, 30
 RMSE_FACTOR, MAE_FACTOR, MARGIN_SHARE, MARGIN_FLOOR = 1.96, 2.5, 0.10, 0.1
 
 LEVEL_DAYS = 30
-# Rows of a training partition.
-PARTITION_ROWS = 25_000
+# Rows of a training partition, until there are as many partitions as this: at each level every partition sends
+# the histograms of all nodes, so that their number must not grow with the rows.
+PARTITION_ROWS, MAX_PARTITIONS = 25_000, 48
 FEATURES = [
     "province_idx", "variety_idx", "month", "day_of_year", "year",
     "variety_national_avg", "variety_price_std", "variety_seed_count", "variety_supplier_count",
@@ -55,7 +56,7 @@ def narrow_inputs(prices: DataFrame, seeds: DataFrame, suppliers: DataFrame) ->
 
 def forest_settings(**forest) -> dict[str, object]:
     """All settings that a fitted forest depends on, for the key of a stored one."""
-    own = {"num_trees": NUM_TREES, "max_depth": MAX_DEPTH, "min_bins": MIN_BINS, "min_rows": MIN_ROWS_PER_NODE, "seed": SEED, "partition_rows": PARTITION_ROWS}
+    own = {"num_trees": NUM_TREES, "max_depth": MAX_DEPTH, "min_bins": MIN_BINS, "min_rows": MIN_ROWS_PER_NODE, "seed": SEED, "partition_rows": PARTITION_ROWS, "max_partitions": MAX_PARTITIONS}
     return {**own, **forest, "features": tuple(FEATURES), "level_days": LEVEL_DAYS}
 
 
@@ -192,31 +193,33 @@ def feature_stages() -> list:
     ]
 
 
-def in_fixed_order(rows: DataFrame, partition_rows: int = PARTITION_ROWS) -> DataFrame:
-    """Rows dealt and sorted by their own values, into partitions counted from the rows.
+def in_fixed_order(rows: DataFrame, partition_rows: int = PARTITION_ROWS, max_partitions: int = MAX_PARTITIONS) -> DataFrame:
+    """Rows dealt and sorted by their own values, into partitions counted from the rows, ``max_partitions`` at most.
 
     Trees draw their samples per partition, so the forest must not depend on
     how the rows happen to lie.
     """
-    partitions = max(1, -(-rows.count() // partition_rows))
+    partitions = min(max_partitions, max(1, -(-rows.count() // partition_rows)))
     return rows.repartition(partitions, F.xxhash64(*rows.columns)).sortWithinPartitions(*rows.columns)
 
 
 def rf_train(train: DataFrame, num_trees: int = NUM_TREES, max_depth: int = MAX_DEPTH, min_bins: int = MIN_BINS,
-             min_rows: int = MIN_ROWS_PER_NODE, seed: int = SEED, partition_rows: int = PARTITION_ROWS) -> PipelineModel:
-    """Fit indexers, assembler and random forest as one pipeline.
+             min_rows: int = MIN_ROWS_PER_NODE, seed: int = SEED, partition_rows: int = PARTITION_ROWS,
+             max_partitions: int = MAX_PARTITIONS) -> PipelineModel:
+    """Fit indexers, assembler and random forest, as one pipeline. The indexers don't depend on the order of rows.
 
     There are as many bins as the widest category needs. The histogram memory
     lets each pass over the rows grow many tree nodes.
     """
     widest = train.agg(F.greatest(F.countDistinct("variety"), F.countDistinct("province"))).first()[0]
     max_bins = max(min_bins, (widest or 0) + 1)
-    train = in_fixed_order(train, partition_rows)
     forest = RandomForestRegressor(
         featuresCol="features", labelCol="avg_price", numTrees=num_trees, maxDepth=max_depth, maxBins=max_bins,
         minInstancesPerNode=min_rows, seed=seed, maxMemoryInMB=1024,
     )
-    return Pipeline(stages=[*feature_stages(), forest]).fit(train)
+    features = Pipeline(stages=feature_stages()).fit(train)
+    trees = forest.fit(features.transform(in_fixed_order(train, partition_rows, max_partitions)))
+    return PipelineModel([*features.stages, trees])
 
 
 def regression_metrics(scored: DataFrame, label: str = "avg_price", prediction: str = "prediction") -> DataFrame:

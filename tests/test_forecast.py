@@ -143,3 +143,10 @@ def test_batch_stores_the_forest_reports(spark, views, tmp_path):
     rows = stored["price_prediction"].collect()
     assert rows and all(r.confidence_lower <= r.predicted_price <= r.confidence_upper for r in rows)
     assert {"RMSE", "naive_RMSE", "numTrees"} <= {r.metric for r in stored["model_metrics"].collect()}
+
+
+def test_training_partitions_do_not_grow_with_the_rows(spark):
+    rows = spark.range(500).select("id", (F.col("id") % 7).alias("x"))
+    assert ml.in_fixed_order(rows, partition_rows=100).rdd.getNumPartitions() == 5
+    assert ml.in_fixed_order(rows, partition_rows=1).rdd.getNumPartitions() == ml.MAX_PARTITIONS
+    assert ml.in_fixed_order(rows, partition_rows=1).count() == 500
