@@ -105,3 +105,19 @@ def test_clean_prices_edges(spark):
 def test_exclude_regions_drops_null(spark):
     df = spark.createDataFrame([("山东",), ("台湾",), ("zhongguo",), (None,)], "province string")
     assert [r.province for r in cleaning.exclude_regions(df).collect()] == ["山东"]
+
+
+def test_short_ways_of_dates_and_numbers_give_what_the_patterns_give(spark):
+    from pyspark.sql import functions as F
+
+    from marketlens.functions import dates, numbers
+
+    days = ["2024-01-05", "2024/1/5", "2024/1-5", "2024-13-01", "2024-02-30", "2024-1-5\n", "2024-01-05\u2028", " 2024-01-05", "2024-01", "0001-01-01", "2024-01-05 25:00:00", None, ""]
+    slow_date = F.regexp_extract(F.regexp_replace("t", dates._DATE_SHAPE, "$1-$3$5$7-$4$6$8"), "^[0-9]{4}-[0-9]{1,2}-[0-9]{1,2}$", 0).try_cast("date")
+    rows = spark.createDataFrame([(d,) for d in days], "t string").select("t", dates.parse_date("t").alias("a"), slow_date.alias("b")).collect()
+    assert all(r.a == r.b for r in rows) and sum(r.a is not None for r in rows) >= 4
+    texts = ["12", "12.", ".5", ".", "1.2.3", "1e3", "12d", "1,000", "￥7元", " 7", "7\n", "", None, "99999999999999999999", "-0", "٣"]
+    rows = spark.createDataFrame([(x,) for x in texts], "t string").select(
+        "t", numbers.price_number("t").alias("a"), numbers.to_number(numbers.strip_currency("t")).alias("b"),
+        numbers.click_count("t").alias("c"), F.coalesce(numbers.to_number(F.trim("t")).try_cast("bigint"), F.lit(0)).alias("d")).collect()
+    assert all(r.a == r.b and r.c == r.d for r in rows)

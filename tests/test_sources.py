@@ -126,3 +126,12 @@ def test_appended_files_are_bounded(spark, tmp_path):
     writers.append_rows(rows, path, file_rows=10)
     files = [f.read_text().split() for f in sorted((tmp_path / "landed").glob("*.csv"))]
     assert len(files) == 10 and all(f[0] == "a" and len(f) <= 11 for f in files) and sum(len(f) - 1 for f in files) == 95
+
+
+def test_compressed_landing_is_read_alike(spark, tmp_path):
+    rows = spark.range(95).selectExpr("cast(id as string) AS a", "concat('x, \"', id, '\"') AS b").coalesce(1)
+    writers.write_clean(rows, str(tmp_path / "t"), compression="gzip", file_rows=10)
+    assert len(list((tmp_path / "t").glob("*.csv.gz"))) == 10
+    assert sorted(readers.read_csv(spark, str(tmp_path / "t"), rows.schema).collect()) == sorted(rows.collect())
+    writers.append_rows(rows, str(tmp_path / "u"), file_rows=50, compression="gzip")
+    assert len(list((tmp_path / "u").glob("*.csv.gz"))) == 2 and readers.read_csv(spark, str(tmp_path / "u"), rows.schema).count() == 95
