@@ -37,6 +37,8 @@ from ..sources.snapshots import Part, Snapshot
 
 #: Keys of the states that the reports of ``plans.batch.cell_reports`` need.
 REPORT_STATES: dict[str, list[str]] = {"cells": CELL, "days": ["price_date"]}
+#: Rows of a month that one task makes distinct and writes.
+MONTH_ROWS = 500_000
 _STORED = ("stream", "batch_id", "ym", "row_digest")
 
 
@@ -64,28 +66,62 @@ def _cells(rows: DataFrame, keys: Sequence[str], date: str) -> DataFrame:
     return cells_by(rows.withColumn("month", F.trunc(date, "month")), *dict.fromkeys([*keys, "ym"]))
 
 
+def deal_by_month(rows: DataFrame, months: Mapping[str, int], key: Column, *place: str) -> tuple[DataFrame, list[str]]:
+    """Rows dealt by ``ym`` and ``place``, those of heavy months in slices by ``key``; and the columns of the deal.
+
+    ``months`` are row counts. A stream with state runs without AQE, which then ignores a rebalance: every task
+    would write a file of every month.
+    """
+    by = [*place, "ym"]
+    slices = {m: -(-n // MONTH_ROWS) for m, n in months.items() if n > MONTH_ROWS}
+    if slices:
+        count = F.coalesce(F.element_at(F.create_map(*[F.lit(x) for pair in slices.items() for x in pair]), F.col("ym")), F.lit(1))
+        rows, by = rows.withColumn("_slice", F.pmod(F.xxhash64(key), count)), [*by, "_slice"]
+    return rows.repartition(*by), by
+
+
+def month_counts(rows: DataFrame) -> dict[str, int]:
+    return {r["ym"]: r["n"] for r in rows.groupBy("ym").agg(F.count(F.lit(1)).alias("n")).collect()}
+
+
+def unseen_rows(rows: DataFrame, held: DataFrame | None, months: Mapping[str, int]) -> DataFrame:
+    """One row of each digest that ``held`` hasn't, clustered by month; ``months`` are the row counts of ``rows``.
+
+    One shuffle deals rows and held digests by month, heavy months in slices by
+    digest. It serves the copies, the look-up and the write: a month is one
+    file of a task unless it is heavy.
+    """
+    columns = [c for c in rows.columns if c not in ("ym", "row_digest")]
+    both = rows.withColumn("_held", F.lit(False))
+    if held is not None:
+        both = both.unionByName(held.select(F.col("ym").cast("string"), "row_digest", F.lit(True).alias("_held")), allowMissingColumns=True)
+    dealt, by = deal_by_month(both, months, F.col("row_digest"))
+    # All rows of a digest are alike, and held ones have no values.
+    found = dealt.groupBy(*by, "row_digest").agg(
+        *[F.first(c, ignorenulls=True).alias(c) for c in columns], F.max("_held").alias("_held"))
+    return found.where("NOT _held").select(*rows.columns)
+
+
 def append_new_rows(target: str, clean: Callable[[DataFrame], DataFrame], date: str,
                     stream: Callable[[SparkSession], str] = lambda spark: "direct",
                     states: Mapping[str, Sequence[str]] | None = None) -> Callable[[DataFrame, int], None]:
     """A batch function writing the unseen rows of a batch below ``target``.
 
     ``stream`` gives the name under which the stream's batches are numbered;
-    ``states`` names the statistics to keep and their keys.
+    ``states`` names the statistics to keep and their keys. ``clean`` may leave copies in.
     """
     def write(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
         name = stream(spark)
         folder = Part(name, batch_id, ()).folder
         rows = clean(batch)
-        rows = rows.withColumn("row_digest", row_digest(rows.columns)).dropDuplicates(["row_digest"]).withColumn("ym", month_of(date))
+        rows = rows.withColumn("row_digest", row_digest(rows.columns)).withColumn("ym", month_of(date))
         rows = rows.persist()
         try:
-            months = rows.agg(F.min("ym").alias("first"), F.max("ym").alias("last")).first()
+            months = month_counts(rows)
             listed = snapshots.current(spark, target)
-            held = None if months["first"] is None else snapshots.read(spark, target, listed, "", months["first"], months["last"], (name, batch_id))
-            new = rows if held is None else rows.join(held.select("ym", "row_digest"), ["ym", "row_digest"], "left_anti")
-            # One file per month and batch unless a month is heavy; AQE splits those.
-            new.hint("rebalance", "ym").write.mode("overwrite").partitionBy("ym").parquet(f"{target}/{folder}")
+            held = snapshots.read(spark, target, listed, "", min(months), max(months), (name, batch_id)) if months else None
+            unseen_rows(rows, held, months).write.mode("overwrite").partitionBy("ym").parquet(f"{target}/{folder}")
             part = Part(name, batch_id, snapshots.written_months(spark, f"{target}/{folder}"))
             written = snapshots.read(spark, target, Snapshot(0, (part,)))
             for state, keys in (states or {}).items():
@@ -124,6 +160,8 @@ def incremental_ingest(spark: SparkSession, landing: str, schema: StructType, ta
                        max_files: int = 1000, states: Mapping[str, Sequence[str]] | None = None) -> DataFrame:
     """Take in every file not taken in yet, then stop; returns the whole table.
 
+    Copies are dropped here, by digest: a ``clean`` that leaves them in spares a shuffle.
+
     Safe to run again at any time: done files are skipped by the checkpoint and
     copies of stored rows by the anti join, whichever stream stored them.
     """
@@ -184,9 +222,12 @@ def files_of(spark: SparkSession, checkpoint: str, batch_id: int) -> list[str]:
 
 def watermarked_ingest(spark: SparkSession, landing: str, schema: StructType, target: str, checkpoint: str,
                        clean: Callable[[DataFrame], DataFrame], date: str = "price_date", delay: str = "30 days",
-                       max_files: int = 1000) -> tuple[DataFrame, DataFrame]:
+                       max_files: int = 1000, parse: Callable[[DataFrame], DataFrame] | None = None) -> tuple[DataFrame, DataFrame]:
     """Take in every new file; returns the kept rows and the late ones.
 
+    ``parse`` is ``clean`` with copies left in: the stream goes through it if it is given, since a ``clean`` that
+    drops them keeps every row it has seen as state of its own. Late rows go through ``clean``.
+
     Spark moves the watermark between batches, to the newest date less ``delay``,
     and drops what is not after the watermark of the batch before; such rows, and
     rows without a date, are late. Of the others copies are dropped by
@@ -194,7 +235,7 @@ def watermarked_ingest(spark: SparkSession, landing: str, schema: StructType, ta
     watermark. Late rows come from a second read of the batch's own files and
     are stored as they came, copies included. A batch that is retried overwrites its folder.
     """
-    rows = clean(_files(spark, landing, schema, max_files))
+    rows = (parse or clean)(_files(spark, landing, schema, max_files))
     columns = rows.columns
     event_time = F.col(date).cast("timestamp")
     kept = (
@@ -210,7 +251,12 @@ def watermarked_ingest(spark: SparkSession, landing: str, schema: StructType, ta
             arrived = clean(_csv(spark.read, schema).csv(files))
             found = found.unionByName(arrived.where(event_time.isNull() | (event_time <= edge)).withColumn("table", F.lit("late")))
         # One folder a batch holds both tables, so that one write switches both.
-        found.withColumn("ym", month_of(date)).hint("rebalance", "table", "ym").write.mode("overwrite").partitionBy("table", "ym").parquet(f"{target}/batch_id={batch_id}")
+        found = found.withColumn("ym", month_of(date)).persist()
+        try:
+            dealt, _ = deal_by_month(found, month_counts(found), F.struct(*columns), "table")
+            dealt.drop("_slice").write.mode("overwrite").partitionBy("table", "ym").parquet(f"{target}/batch_id={batch_id}")
+        finally:
+            found.unpersist()
 
     run = kept.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
     run.awaitTermination()

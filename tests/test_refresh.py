@@ -267,3 +267,43 @@ def test_landed_files_with_other_headers(spark, tmp_path):
     assert sorted(((r.product_name, r.click_count, r.category) for r in kept.collect()), key=str) == sorted(
         [('two\nlines, and "quotes"', "5", "c"), ("short", None, None), ("p2", None, "c2")], key=str)
     assert sorted((r.reason, r.record[:8]) for r in lost.collect()) == [("surplus field", '["long",'), ("unknown header", '["1","2"')]
+
+
+def test_a_month_is_one_file_of_a_batch_unless_it_is_heavy(spark, tmp_path, monkeypatch):
+    days = [f"2024-0{1 + i % 4}-{1 + i % 28:02}" for i in range(200)]
+    put(tmp_path / "land" / "1.csv", HEAD + "".join(line(f"v{i}", 1 + i, d) for i, d in enumerate(days)))
+    take = lambda name: ingest.watermarked_ingest(
+        spark, str(tmp_path / "land"), schemas.RAW_PRICES, str(tmp_path / name), str(tmp_path / f"{name}-c"), clean_prices,
+        parse=lambda raw: clean_prices(raw, distinct=False))
+    files = lambda name: len(list((tmp_path / name).glob("batch_id=0/table=kept/ym=*/*.parquet")))
+    assert take("t")[0].count() == 200 and files("t") == 4
+    monkeypatch.setattr(ingest, "MONTH_ROWS", 10)
+    assert take("u")[0].count() == 200 and 4 < files("u") <= 20
+
+
+def test_a_stream_that_leaves_copies_keeps_no_state_of_its_own(spark, tmp_path):
+    put(tmp_path / "land" / "1.csv", HEAD + line("a", 2, "2024-03-05") * 3)
+    kept, _ = ingest.watermarked_ingest(
+        spark, str(tmp_path / "land"), schemas.RAW_PRICES, str(tmp_path / "t"), str(tmp_path / "c"), clean_prices, parse=lambda raw: clean_prices(raw, distinct=False))
+    assert kept.count() == 1 and [p.name for p in (tmp_path / "c" / "state").iterdir()] == ["0"]
+
+
+def test_unseen_rows_in_one_shuffle(spark, monkeypatch):
+    rows = spark.range(100).selectExpr("id % 40 AS k", "IF(id % 40 = 3, NULL, 'x') AS v", "md5(cast(id % 40 AS string)) AS row_digest", "IF(id % 40 < 30, '2024-01', '2024-02') AS ym")
+    held = rows.where("k >= 35 OR k < 2").select("ym", "row_digest").union(spark.sql("SELECT '2024-01', 'other'"))
+    for heavy in (500_000, 10):
+        monkeypatch.setattr(ingest, "MONTH_ROWS", heavy)
+        new = ingest.unseen_rows(rows, held, ingest.month_counts(rows))
+        # Nothing is shuffled but the rows and the held digests, once.
+        assert str(new._jdf.queryExecution().executedPlan()).count("Exchange hashpartitioning") == 1
+        assert new.columns == rows.columns and sorted(r.k for r in new.collect()) == list(range(2, 35))
+        assert new.where("v IS NULL").count() == 1
+    assert ingest.unseen_rows(rows, None, ingest.month_counts(rows)).count() == 40
+
+
+def test_copies_left_in_give_the_same_table(spark, tmp_path):
+    put(tmp_path / "land" / "1.csv", HEAD + "".join(line("a", p, "2024/3/5") for p in ("2", "2.0", "￥2", "-0", "0", "0.", "x")))
+    plain, left = (
+        ingest.incremental_ingest(spark, str(tmp_path / "land"), schemas.RAW_PRICES, str(tmp_path / n), str(tmp_path / f"{n}-c"), c)
+        for n, c in (("plain", clean_prices), ("left", lambda raw: clean_prices(raw, distinct=False))))
+    assert sorted(map(tuple, plain.collect())) == sorted(map(tuple, left.collect())) and left.count() == 2
