@@ -163,7 +163,7 @@ def incremental_ingest(spark: SparkSession, landing: str, schema: StructType, ta
     Copies are dropped here, by digest: a ``clean`` that leaves them in spares a shuffle.
 
     Safe to run again at any time: done files are skipped by the checkpoint and
-    copies of stored rows by the anti join, whichever stream stored them.
+    copies of stored rows by their digest, whichever stream stored them.
     """
     files = _files(spark, landing, schema, max_files)
     run = (
