@@ -1,19 +1,21 @@
 """Extraction from stored web pages ``pages(page_id, url, html)``.
 
 Tables come from one pass over the tags of a page (``functions.markup``), so
-nested tables, unclosed rows and unclosed cells come out right; all that follows
-is array and regular-expression functions on single cells.
+nested tables, unclosed rows and unclosed cells come out right. The fields of their
+rows are read from the cells in the same pass (``functions.celltext``).
 """
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.markup import with_tables
+from ..functions import celltext as ct
+from ..functions.markup import with_fields
 from ..functions.numbers import _col
-from ..functions.once import compute_once, with_value
-from ..functions.text import normalize_text, strip
+from ..functions.once import with_value
 
 # Words that identify headings and labels on the pages.
 NO_RESULT = "共找到0条"
@@ -21,41 +23,20 @@ PRICE_HEADINGS = ("品种", "批发市场", "价格")
 SKIPPED_FIRST_CELLS = ("品种", "发布时间", "日期", "时间", "")
 REPEATED_MARKS = ("菠菜", "￥")
 REGION_LABEL, COMPANY_LABEL, PERSON_LABEL, ORIGIN_LABEL = "供应地区：", "企业", "个人", "产地"
-CLICKS = r"点击量[:：]\s*(\d+)"
-LISTING_DATE = r"(\d{4}/\d{1,2}/\d{1,2}(?:\s+\d{1,2}:\d{1,2}(?::\d{1,2})?)?)"
+_CLICKS = re.compile(r"点击量[:：]\s*(\d+)", re.A)
+_LISTING_DATE = re.compile(r"(\d{4}/\d{1,2}/\d{1,2}(?:\s+\d{1,2}:\d{1,2}(?::\d{1,2})?)?)", re.A)
+_ORIGIN = re.compile(ORIGIN_LABEL + r"[:：]\s*([^<\n]+)", re.A)
 PAGE_COUNTS = (r"共\s*(\d+)\s*页", r"</b>(\d+)</b>\s*页", r"&nbsp;/<b>(\d+)</b>\s*页", r"pageCount\s*=\s*(\d+)")
 PAGER_BLOCK = r'(?s)<div align="center" id="pager".*?</div>'
 PAGER_LINK = r"/p(\d+)\.html"
 SUB_CATEGORY = "/shucai/([^/]+)/"
 NOT_SUB_CATEGORIES = ("p", "buy")
 LISTING_TABLE_CLASS = "m_t_5"
+_LISTING_CLASS = re.compile(rf"(?:^|\s){LISTING_TABLE_CLASS}(?:\s|[\u0085\u2028\u2029]?\Z)", re.A)
 LONGEST_RAW_NAME, LONGEST_NAME = 200, 100
 
-# Named character references; the ampersand comes last.
-_ENTITIES = {
-    "&nbsp;": " ", "&lt;": "<", "&gt;": ">", "&quot;": '"', "&apos;": "'", "&yen;": "¥", "&copy;": "©", "&reg;": "®", "&middot;": "·",
-    "&laquo;": "«", "&raquo;": "»", "&ldquo;": "“", "&rdquo;": "”", "&lsquo;": "‘", "&rsquo;": "’", "&hellip;": "…", "&mdash;": "—", "&ndash;": "–",
-    "&times;": "×", "&deg;": "°", "&euro;": "€", "&pound;": "£", "&amp;": "&",
-}
 _UNREAD = r"(?is)<!--.*?(?:-->|\z)|<(script|style)\b.*?(?:</\1\s*>|\z)"
 _SCHEME = "^[A-Za-z][A-Za-z0-9+.-]*:"
-_VALUE = r"""("[^"]*"|'[^']*'|[^\s"'>]+)"""
-
-
-def _blocks(html: Column, tag: str) -> Column:
-    """Markup of every ``tag`` element, opening tag text included, cut at the next opening or the closing tag."""
-    return F.regexp_extract_all(
-        html, F.lit(rf"(?is)<{tag}(?=[\s>])(.*?)(?=<{tag}[\s>]|</{tag}\s*>|\z)"), F.lit(1)
-    )
-
-
-def _inner(block: Column) -> Column:
-    """A block without the rest of its opening tag."""
-    return F.regexp_replace(block, r"^[^>]*>", "")
-
-
-def _open_tag(block: Column) -> Column:
-    return F.regexp_extract(block, r"^[^>]*", 0)
 
 
 def _numbered(text: Column, pattern: str, base: int) -> Column:
@@ -76,7 +57,7 @@ def decode_entities(text: Column) -> Column:
     def decode(text: Column) -> Column:
         numbered = _numbered(_numbered(text, "&#[0-9]{1,7};", 10), "&#[xX][0-9a-fA-F]{1,6};", 16)
         decoded = F.when(text.contains("&#"), numbered).otherwise(text)
-        for entity, char in _ENTITIES.items():
+        for entity, char in ct.ENTITIES.items():
             decoded = F.replace(decoded, F.lit(entity), F.lit(char))
         # Most texts hold no entity: one scan decides.
         return F.when(text.contains("&"), decoded).otherwise(text)
@@ -95,57 +76,49 @@ def _unquoted(value: Column) -> Column:
     return decode_entities(F.regexp_replace(value, r"""^["']|["']$""", ""))
 
 
-def _attribute(block: Column, name: str) -> Column:
-    return _unquoted(F.regexp_extract(block, rf"(?is)(?<![\w-]){name}\s*=\s*{_VALUE}", 1))
+def _is_price_table(rows: list[list[str]]) -> bool:
+    """By shape; the first five rows of a table are only looked at to recognise it."""
+    return len(rows) >= 5 and len(rows[0]) == 6 and sum(len(r) == 6 for r in rows[:5]) >= 3
 
 
-def _first(array: Column, test) -> Column:
-    return F.get(F.filter(array, test), F.lit(0))
+def _has_price_headings(rows: list[list[str]]) -> bool:
+    if len(rows) < 2 or len(rows[0]) < 3:
+        return False
+    heading = " ".join(map(ct.text_of, rows[0]))
+    return all(word in heading for word in PRICE_HEADINGS)
 
 
-def _table_fields(pages: DataFrame, longest_raw_name: int, longest_name: int, repeated_marks) -> DataFrame:
-    """Fields of the rows of the price table, with the ``reason`` for which a row is no quote.
+def _title(links: list[str]) -> str | None:
+    """The first title of the links that is not empty."""
+    return next((t for a in links if (t := ct.strip(ct.attribute(ct.open_tag(a), "title")))), None)
 
-    The first five rows of a table are only looked at to recognise it.
-    """
-    def shaped(rows: Column) -> Column:
-        opening = F.transform(F.slice(rows, 1, 5), F.size)
-        six = F.size(F.filter(opening, lambda n: n == 6))
-        return (F.size(rows) >= 5) & (F.get(opening, F.lit(0)) == 6) & (six >= 3)
-
-    def titled(rows: Column) -> Column:
-        first = F.get(rows, F.lit(0))
-        heading = F.array_join(F.transform(first, lambda c: text_of(c["own"])), " ")
-        named = F.lit(True)
-        for word in PRICE_HEADINGS:
-            named = named & heading.contains(word)
-        return (F.size(rows) >= 2) & (F.size(first) >= 3) & named
-
-    rows = F.transform("tables", lambda t: t["rows"])
-    whole = F.transform("cells", lambda c: F.coalesce(c["whole"], c["own"]))
-    found = (
-        with_tables(pages, but_with=NO_RESULT)
-        .select("page_id", "url", rows.alias("tables"))
-        .select("page_id", "url", F.coalesce(_first(F.col("tables"), shaped), _first(F.col("tables"), titled)).alias("rows"))
-        .select("page_id", "url", F.posexplode("rows").alias("row_no", "cells"))
-        .where(F.size("cells") >= 6).withColumn("cells", whole)
-    )
-    cell = lambda i: F.get("cells", F.lit(i))
-    raw_name, first = text_of(cell(0)), strip(text_of(cell(0)))
-    titles = F.transform(_blocks(cell(1), "a"), lambda a: strip(_attribute(_open_tag(a), "title")))
-    title = _first(titles, lambda t: t != "")
-    plain = lambda i: normalize_text(text_of(cell(i)))
-    fields = compute_once(
-        found, "page_id", "url", "row_no",
-        raw_name=raw_name, variety=normalize_text(raw_name), first=first,
-        market=normalize_text(F.coalesce(title, strip(text_of(cell(1))))),
-        min_price=plain(2), max_price=plain(3), avg_price=plain(4), day=plain(5),
-    )
+
+def _price_fields(tables: list) -> list[tuple]:
+    """Row number, name as it stands, and the normalised name, market, prices and day of the rows of the price table."""
+    table = next((t for t in tables if _is_price_table(t.rows)), None) or next((t for t in tables if _has_price_headings(t.rows)), None)
+    found = []
+    for row_no, cells in enumerate(table.rows if table else ()):
+        if len(cells) < 6:
+            continue
+        name, market, *plain = [whole or own for own, whole in zip(cells[:6], table.wholes[row_no], strict=False)]
+        raw_name = ct.text_of(name)
+        first = ct.strip(raw_name)
+        if first in SKIPPED_FIRST_CELLS or "价格" in first:
+            continue
+        title = _title(ct.blocks(market, "a"))
+        found.append((
+            row_no, raw_name, ct.normalize_text(raw_name), ct.normalize_text(ct.strip(ct.text_of(market)) if title is None else title),
+            *map(ct.normal_text_of, plain)))
+    return found
+
+
+def _table_fields(pages: DataFrame, longest_raw_name: int, longest_name: int, repeated_marks) -> DataFrame:
+    """Fields of the rows of the price table but its headings, with the ``reason`` for which a row is no quote."""
+    named = with_fields(pages, ["raw_name", "variety", "market", "min_price", "max_price", "avg_price", "day"], _price_fields, but_with=NO_RESULT)
     name = F.col("raw_name")
     repeated = F.lit(False)
     for mark in repeated_marks:
         repeated = repeated | (F.size(F.split(name, mark)) > 2)
-    named = fields.where(~F.col("first").isin(*SKIPPED_FIRST_CELLS) & ~F.col("first").contains("价格"))
     return named.withColumn(
         "reason",
         F.when((F.length(name) > longest_raw_name) | (F.length("variety") > longest_name), "long name")
@@ -176,74 +149,69 @@ def html_table_rejects(pages: DataFrame, longest_raw_name: int = LONGEST_RAW_NAM
         "page_id", "url", "row_no", "raw_name", "market", "min_price", "max_price", "avg_price", "day", "reason")
 
 
-def _clicks(cell: Column, last: bool) -> Column:
-    strong = F.transform(_blocks(cell, "strong"), lambda s: strip(text_of(_inner(s))))
-    marked = F.try_element_at(strong, F.lit(-1 if last else 1))
-    return F.coalesce(marked, F.regexp_extract(text_of(cell), CLICKS, 1))
+def _clicks(cell: str, last: bool) -> str:
+    strong = ct.blocks(cell, "strong")
+    return ct.strip(ct.text_of(ct.inner(strong[-1 if last else 0]))) if strong else ct.extract(_CLICKS, ct.text_of(cell))
+
+
+def _listing_fields(tables: list) -> list[tuple]:
+    found = []
+    for row_no, cells in enumerate(row for t in tables for row in t.rows):
+        if len(cells) < 3 or len(p := [ct.inner(x) for x in ct.blocks(cells[1], "p")]) < 3:
+            continue
+        link = lambda i: next(iter(ct.blocks(p[i], "a")), "")  # noqa: E731, B023
+        part = lambda i, label: ct.strip(ct.strip(ct.text_of(p[i])).replace(label, ""))  # noqa: E731, B023
+        href = lambda a: ct.attribute(ct.open_tag(a), "href")
+        product = link(0)
+        if name := ct.strip(ct.text_of(ct.inner(product))):
+            found.append((
+                row_no, name, href(product), part(1, REGION_LABEL), part(2, COMPANY_LABEL + "："), href(link(2)),
+                _clicks(cells[2], last=True), ct.extract(_LISTING_DATE, ct.text_of(cells[2]))))
+    return found
 
 
 def html_listing_rows(pages: DataFrame) -> DataFrame:
     """Seed listings: every table row with three cells whose second holds three paragraphs."""
-    rows = (
-        with_tables(pages)
-        .select("page_id", "url", F.posexplode(F.flatten(F.transform("tables", lambda t: t["rows"]))).alias("row_no", "cells"))
-        .where(F.size("cells") >= 3).withColumn("cells", F.transform("cells", lambda c: c["own"]))
-    )
-    offers = compute_once(
-        rows, "page_id", "url", "row_no",
-        p=F.transform(_blocks(F.get("cells", F.lit(1)), "p"), _inner), third=F.get("cells", F.lit(2)),
-    ).where(F.size("p") >= 3)
-    link = lambda i: F.get(_blocks(F.get("p", F.lit(i)), "a"), F.lit(0))
-    href = lambda a: F.coalesce(_attribute(_open_tag(a), "href"), F.lit(""))
-    part = lambda i, label: strip(F.replace(strip(text_of(F.get("p", F.lit(i)))), F.lit(label), F.lit("")))
-    fields = compute_once(
-        offers, "page_id", "url", "row_no",
-        product_name=F.coalesce(strip(text_of(_inner(link(0)))), F.lit("")), href=href(link(0)),
-        supply_region=part(1, REGION_LABEL), company_name=part(2, COMPANY_LABEL + "："), company_url=href(link(2)),
-        click_count=_clicks(F.col("third"), last=True),
-        date=F.regexp_extract(text_of(F.col("third")), LISTING_DATE, 1),
-    )
+    fields = with_fields(
+        pages, ["product_name", "href", "supply_region", "company_name", "company_url", "click_count", "date"], _listing_fields)
     target = F.when(F.col("href") == "", "").otherwise(url_resolve("url", "href", at_root=True))
-    return fields.where(F.col("product_name") != "").select(
+    return fields.select(
         "page_id", "url", "row_no", "product_name", "supply_region", "company_name", "click_count", "date",
         target.alias("product_url"), "company_url",
     )
 
 
+def _supplier_fields(tables: list) -> list[tuple]:
+    found = []
+    for row_no, table in enumerate(t for t in tables if _LISTING_CLASS.search(ct.attribute(t.opening, "class"))):
+        cells = table.rows[0] if table.rows else ()
+        if len(cells) < 2:
+            continue
+        links = ((a, ct.attribute(ct.open_tag(a), "href")) for a in ct.blocks(cells[1], "a"))
+        a, href = next(((a, href) for a, href in links if href), ("", ""))
+        name = ct.strip(ct.text_of(ct.inner(a)))
+        if "/sell/" not in href or not name:
+            continue
+        third = cells[2] if len(cells) > 2 else ""
+        p = [ct.inner(x) for x in ct.blocks(cells[1], "p")]
+        texts = [ct.text_of(x) for x in p]
+        origins = (ct.strip(ct.extract(_ORIGIN, ct.strip(text))) for text in texts)
+        labelled = lambda label: next(
+            (t for x, text in zip(p, texts, strict=True) if label in text and (t := _title(ct.blocks(x, "a")))), None)  # noqa: B023
+        person, company = labelled(PERSON_LABEL), labelled(COMPANY_LABEL)
+        found.append((
+            row_no, name, href, next((o for o in origins if o), ""), person or company or "",
+            PERSON_LABEL if person else COMPANY_LABEL if company else "",
+            _clicks(third, last=False), ct.extract(_LISTING_DATE, ct.text_of(third))))
+    return found
+
+
 def html_supplier_rows(pages: DataFrame) -> DataFrame:
     """Supplier listings: first row of every listing table whose product link is an offer."""
-    tables = F.filter("tables", lambda t: _attribute(t["opening"], "class").rlike(rf"(^|\s){LISTING_TABLE_CLASS}(\s|$)"))
-    rows = (
-        with_tables(pages)
-        .select("page_id", "url", F.posexplode(F.transform(tables, lambda t: F.get(t["rows"], F.lit(0)))).alias("row_no", "cells"))
-        .where(F.size("cells") >= 2).withColumn("cells", F.transform("cells", lambda c: c["own"]))
-    )
-    second = F.get("cells", F.lit(1))
-    offers = compute_once(
-        rows, "page_id", "url", "row_no",
-        a=_first(_blocks(second, "a"), lambda a: _attribute(_open_tag(a), "href") != ""),
-        p=F.transform(_blocks(second, "p"), _inner), third=F.coalesce(F.get("cells", F.lit(2)), F.lit("")),
-    )
-    titled = lambda p: _first(
-        F.transform(_blocks(p, "a"), lambda a: strip(_attribute(_open_tag(a), "title"))), lambda t: t != ""
-    )
-    labelled = lambda label: F.get(F.filter(
-        F.transform("p", lambda p: F.when(text_of(p).contains(label), titled(p))), lambda t: t.isNotNull()
-    ), F.lit(0))
-    origins = F.transform("p", lambda p: strip(F.regexp_extract(strip(text_of(p)), ORIGIN_LABEL + r"[:：]\s*([^<\n]+)", 1)))
-    fields = compute_once(
-        offers, "page_id", "url", "row_no",
-        href=_attribute(_open_tag(F.col("a")), "href"), product_name=strip(text_of(_inner(F.col("a")))),
-        origin=F.coalesce(_first(origins, lambda t: t != ""), F.lit("")),
-        person=labelled(PERSON_LABEL), company=labelled(COMPANY_LABEL),
-        click_count=_clicks(F.col("third"), last=False),
-        date=F.regexp_extract(text_of(F.col("third")), LISTING_DATE, 1),
-    )
-    person, company = F.col("person"), F.col("company")
-    return fields.where(F.col("href").contains("/sell/") & (F.col("product_name") != "")).select(
-        "page_id", "url", "row_no", "product_name", "origin",
-        F.coalesce(person, company, F.lit("")).alias("contact_person"),
-        F.when(person.isNotNull(), PERSON_LABEL).when(company.isNotNull(), COMPANY_LABEL).otherwise("").alias("company_type"),
+    fields = with_fields(
+        pages, ["product_name", "href", "origin", "contact_person", "company_type", "click_count", "date"], _supplier_fields)
+    return fields.select(
+        "page_id", "url", "row_no", "product_name", "origin", "contact_person", "company_type",
         "click_count", "date", url_resolve("url", "href", at_root=True).alias("product_url"),
     )
 
@@ -251,7 +219,7 @@ def html_supplier_rows(pages: DataFrame) -> DataFrame:
 def link_extract(pages: DataFrame) -> DataFrame:
     """(page_id, url, position, href) of every link with a target, outside comments and scripts; targets are decoded."""
     read = F.regexp_replace("html", _UNREAD, " ")
-    hrefs = F.regexp_extract_all(read, F.lit(rf"(?i)<a(?=\s)[^>]*?\shref\s*=\s*{_VALUE}"), F.lit(1))
+    hrefs = F.regexp_extract_all(read, F.lit(rf"(?i)<a(?=\s)[^>]*?\shref\s*=\s*{ct.VALUE}"), F.lit(1))
     return pages.select("page_id", "url", F.posexplode(F.transform(hrefs, _unquoted)).alias("position", "href"))
 
 

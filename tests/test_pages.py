@@ -139,3 +139,37 @@ def test_tables_as_columns(spark, stored):
     nested = "<table a=1><tr><td>x<table><tr><td>y<td>z</table>w<td></table><TABLE><td>q"
     got = {r.page_id: [t.asDict(True) for t in r.tables] for r in with_tables(stored(nested, None, "", "<table>", "no <td> none", "<td>", row("k")), but_with="none").collect()}
     assert got == {0: tables_of(nested), 5: [], 6: []} and len(got[0]) == 3
+
+
+@pytest.mark.parametrize("rows", [lambda p: pg.html_table_rows(p, "d"), pg.html_listing_rows, pg.html_supplier_rows])
+def test_cells_are_read_in_the_pass_over_the_page(stored, rows):
+    """No array of all tables, rows and cells leaves the pass, to be walked by interpreted lambdas."""
+    plan = rows(stored("<td>"))._jdf.queryExecution().optimizedPlan().toString()
+    assert "lambda" not in plan and "array<" not in plan and plan.count("MapInArrow") == 1
+
+
+def test_plain_text_functions_give_what_the_column_functions_give(spark):
+    from pyspark.sql import functions as F
+
+    from marketlens.functions import celltext as ct
+    from marketlens.functions.text import normalize_text, strip
+
+    texts = [
+        "", "Brand#1", " Brand#1\n", "a  b", "　x ", "x y", "\u0085z", "\x1cw\x1f", "1,200", "'q\" r", "a\\nb\\rc", " \\ ", " k ", " m",
+        "<b>x</b> y", "a < b", "<p", "&nbsp;&amp;lt;", "&#30333;&#x83DC;&#0;&#xD800;", "&#38;#65;&#65;", "&#1114112;&unknown;", "\U0001d4b3é", "﻿.",
+    ]
+    got = spark.createDataFrame([(t,) for t in texts], "t string").select("t", pg.text_of(F.col("t")), pg.decode_entities(F.col("t")), normalize_text("t"), strip("t"), normalize_text(pg.text_of(F.col("t")))).collect()
+    for t, *want in got:
+        assert [ct.text_of(t), ct.decode_entities(t), ct.normalize_text(t), ct.strip(t), ct.normal_text_of(t)] == want, repr(t)
+
+
+@pytest.mark.parametrize("html", [
+    "<table a><tr><td>1</td><td>2</tr>x<TR b><TD>3<b>c</b></table><td>out<table><td>4", "<table><td <tr>5</td <tr>6<td>7", "</table><table></tr <td>8<td>9</td>10<td/>11</table>",
+    "<table><td>12<td>", "<table x <td>13<td>14</table <td>", "<table><tdx><td>15<tr/><td\n>16</tdx></table>", "a < b<table><td>17</table>", "<table><tr><td <table><td>18",
+])
+def test_flat_and_nested_pages_are_read_alike(html):
+    from marketlens.functions import markup
+
+    read = lambda tables: [(t.opening, t.rows, t.wholes) for t in tables]
+    flat = markup._flat(html)
+    assert read(markup._tables(html)) == read(markup._nested(html)) and (flat is None or read(flat) == read(markup._nested(html)))
