@@ -203,22 +203,42 @@ def in_fixed_order(rows: DataFrame, partition_rows: int = PARTITION_ROWS, max_pa
     return rows.repartition(partitions, F.xxhash64(*rows.columns)).sortWithinPartitions(*rows.columns)
 
 
+def feature_cells(train: DataFrame, label: str = "avg_price") -> DataFrame:
+    """One row for all rows of the same features: their mean ``label`` and their number as ``weight``.
+
+    All features follow from variety, province and day, so that the cells grow with the calendar and not with the
+    markets that quote. A split is judged by sums of labels and numbers of rows on both sides; the spread within a cell
+    is on one side as a whole and adds the same to every split. Means are of exact sums, hence independent of the order
+    of the rows. A cell with a label that is missing has none.
+    """
+    total = F.sum(F.col(label).cast("decimal(38,12)")).cast("double")
+    n = F.count(F.lit(1))
+    keys = [c for c in ("province", "variety", *FEATURES) if c in train.columns]
+    return train.groupBy(*keys).agg(
+        F.when(F.count(label) == n, total / n).alias(label), n.cast("double").alias("weight"))
+
+
 def rf_train(train: DataFrame, num_trees: int = NUM_TREES, max_depth: int = MAX_DEPTH, min_bins: int = MIN_BINS,
              min_rows: int = MIN_ROWS_PER_NODE, seed: int = SEED, partition_rows: int = PARTITION_ROWS,
              max_partitions: int = MAX_PARTITIONS) -> PipelineModel:
     """Fit indexers, assembler and random forest, as one pipeline. The indexers don't depend on the order of rows.
 
-    There are as many bins as the widest category needs. The histogram memory
-    lets each pass over the rows grow many tree nodes.
+    Trees pass over the rows once a level, so they are fitted on ``feature_cells`` weighted by their rows: no row is left
+    out, a node's ``min_rows`` are rows, and a tree draws whole cells. There are as many bins as the widest category
+    needs. The histogram memory lets each pass grow many tree nodes.
     """
-    widest = train.agg(F.greatest(F.countDistinct("variety"), F.countDistinct("province"))).first()[0]
+    cells = settle(feature_cells(train), "cells")
+    widest, total = cells.agg(F.greatest(F.countDistinct("variety"), F.countDistinct("province")), F.coalesce(F.sum("weight"), F.lit(0.0))).first()
     max_bins = max(min_bins, (widest or 0) + 1)
+    features = Pipeline(stages=feature_stages()).fit(train)
+    # Weights are whole numbers of rows: at least ``min_rows`` is more than half a row less. Fewer than twice as many are not split.
+    splits = total >= 2 * min_rows
     forest = RandomForestRegressor(
-        featuresCol="features", labelCol="avg_price", numTrees=num_trees, maxDepth=max_depth, maxBins=max_bins,
-        minInstancesPerNode=min_rows, seed=seed, maxMemoryInMB=1024,
+        featuresCol="features", labelCol="avg_price", weightCol="weight", numTrees=num_trees, maxDepth=max_depth, maxBins=max_bins,
+        minInstancesPerNode=1 if splits else max(1, min_rows), minWeightFractionPerNode=max(0.0, min_rows - 0.5) / total if splits and total else 0.0,
+        seed=seed, maxMemoryInMB=1024,
     )
-    features = Pipeline(stages=feature_stages()).fit(train)
-    trees = forest.fit(features.transform(in_fixed_order(train, partition_rows, max_partitions)))
+    trees = forest.fit(features.transform(in_fixed_order(cells, partition_rows, max_partitions)))
     return PipelineModel([*features.stages, trees])
 
 

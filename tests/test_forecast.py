@@ -150,3 +150,26 @@ def test_training_partitions_do_not_grow_with_the_rows(spark):
     assert ml.in_fixed_order(rows, partition_rows=100).rdd.getNumPartitions() == 5
     assert ml.in_fixed_order(rows, partition_rows=1).rdd.getNumPartitions() == ml.MAX_PARTITIONS
     assert ml.in_fixed_order(rows, partition_rows=1).count() == 500
+
+
+def test_trees_pass_over_cells_that_hold_all_rows(fitted, monkeypatch):
+    train = fitted[1].where("is_train")
+    many = train.withColumn("copy", F.explode(F.array(*map(F.lit, range(4))))).withColumn("avg_price", F.col("avg_price") + F.col("copy") - 1.5).drop("copy")
+    dealt = []
+    deal = ml.in_fixed_order
+    monkeypatch.setattr(ml, "in_fixed_order", lambda rows, *a: dealt.append(rows) or deal(rows, *a))
+    one, four = (ml.rf_train(t, num_trees=3, max_depth=4, min_rows=n) for t, n in ((train, 5), (many, 20)))
+    few, some = (d.agg(F.count("*"), F.sum("weight"), F.sum(F.col("avg_price") * F.col("weight"))).first() for d in dealt)
+    # Four quotes of one mean weigh four times one of that price, whatever their spread: the same trees.
+    rows, total = train.agg(F.count("*"), F.sum("avg_price")).first()
+    assert (few[0], few[1], some[0], some[1]) == (few[0], rows, few[0], 4 * rows) and abs(some[2] - 4 * total) < 1e-6 * total
+    test = fitted[1].where("NOT is_train")
+    mean = [m.transform(test).agg(F.avg("prediction")).first()[0] for m in (one, four)]
+    assert abs(mean[0] - mean[1]) < 1e-6 * mean[0]
+
+
+def test_few_rows_make_no_split(quotes, offers):
+    d = lambda i: str(dt.date(2024, 1, 1) + dt.timedelta(days=i))
+    frame = ml.training_frame(quotes([("a", "pq"[i % 2], "m", 5 + i, d(i)) for i in range(30)]), offers([]), offers([]))
+    model = ml.rf_train(frame.where("is_train"), num_trees=2, max_depth=3, min_rows=20)
+    assert [t.numNodes for t in model.stages[-1].trees] == [1, 1]
