@@ -307,3 +307,20 @@ def test_copies_left_in_give_the_same_table(spark, tmp_path):
         ingest.incremental_ingest(spark, str(tmp_path / "land"), schemas.RAW_PRICES, str(tmp_path / n), str(tmp_path / f"{n}-c"), c)
         for n, c in (("plain", clean_prices), ("left", lambda raw: clean_prices(raw, distinct=False))))
     assert sorted(map(tuple, plain.collect())) == sorted(map(tuple, left.collect())) and left.count() == 2
+
+
+def test_postings_are_packed_before_they_are_moved(spark, tmp_path):
+    import numpy as np
+
+    ids = np.array([5, 6, 133, 16517, 2**33 + 1, 3 * 2**33, 7, 9, 2**40], np.int64)
+    starts = np.array([0, 6, 8])
+    gaps = text_index.packed(ids, starts).to_pylist()
+    assert [list(text_index.unpacked(int(ids[s]), g)) for s, g in zip(starts, gaps, strict=True)] == [[*ids[:6]], [7, 9], [2**40]]
+    rows = spark.range(3000).select("id", F.concat(F.lit("common words "), F.md5(F.col("id").cast("string"))).alias("a"), F.when(F.col("id") % 3 == 0, "none").alias("b")).repartition(4)
+    text_index.build(rows, str(tmp_path / "i"), "a", "b", part_rows=500)
+    stored = spark.read.parquet(str(tmp_path / "i/postings"))
+    # One row a part and triple, not one a posting: "mon" stands in 3,000 rows.
+    assert stored.where("gram = 'mon'").count() <= 8 and stored.where("gram = 'mon'").agg(F.sum(F.length("gaps") + 1)).first()[0] < 2 * 3000
+    for keyword in ("common words 1", "words c4", "none", "non|zzz", "mmon words "):
+        got = text_index.find(spark, str(tmp_path / "i"), keyword, "a", "b")
+        assert sorted(r.id for r in got.collect()) == sorted(r.id for r in keyword_filter(rows, keyword, "a", "b").collect()), keyword
